@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .packing import op6_best_fit_packing
+from .pii import op5_pii
 from .quality import op1_quality_classifier
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier,)}
+    return {f.__name__: f for f in (op1_quality_classifier, op5_pii, op6_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
