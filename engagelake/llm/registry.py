@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .fingerprint import op9_fingerprints
+from .lm import op8_lm_scoring
+from .mixing import op2_mixing
 from .packing import op6_best_fit_packing
 from .pii import op5_pii
 from .quality import op1_quality_classifier
 
+QUERIES = (op1_quality_classifier, op2_mixing, op5_pii, op6_best_fit_packing, op8_lm_scoring, op9_fingerprints)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op5_pii, op6_best_fit_packing)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
