@@ -12,8 +12,9 @@ from .mixing import op2_mixing
 from .packing import op6_best_fit_packing
 from .pii import op5_pii
 from .quality import op1_quality_classifier
+from .vectors import op10_embedding_near_dedup
 
-QUERIES = (op1_quality_classifier, op2_mixing, op5_pii, op6_best_fit_packing, op8_lm_scoring, op9_fingerprints)
+QUERIES = (op1_quality_classifier, op2_mixing, op5_pii, op6_best_fit_packing, op8_lm_scoring, op9_fingerprints, op10_embedding_near_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
