@@ -44,16 +44,19 @@ def signature(e: DataFrame) -> tuple:
     return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def block_pairs(members: DataFrame, group: list[str], member: str, block: int = BLOCK) -> DataFrame:
+def block_pairs(members: DataFrame, group: list[str], member: str, block: int = BLOCK, payload: DataFrame | None = None) -> DataFrame:
     """Rows of ``members`` for every pair of blocks of their group that they belong to.
 
     Adds i_ and j_ (the blocks, i_ <= j_) and own_ (the row's block). Members are dealt to blocks of
     about ``block`` by a hash of ``member``; groups of one are left out. Rows with equal
     (group, i_, j_) are in one partition, sorted by these: no task holds more than two blocks of a group at a time.
+    ``payload`` (a row for each member) is joined to the members that are left.
     """
     sizes = members.groupBy(*group).agg(F.count("*").alias("size_")).where("size_ > 1")
     n = F.ceil(F.col("size_") / F.lit(float(block))).cast("int")
     placed = members.join(sizes, group).withColumn("own_", F.pmod(F.xxhash64(member, F.lit(5)), n).cast("int"))
+    if payload is not None:
+        placed = placed.join(payload, member)
     pairs = placed.withColumn("other_", F.explode(F.sequence(F.lit(0), n - 1))).withColumns({"i_": F.least("own_", "other_"), "j_": F.greatest("own_", "other_")}).drop("size_", "other_")
     keys = [*group, "i_", "j_"]
     return pairs.repartition(shared.partitions(members.sparkSession), *keys).sortWithinPartitions(*keys, member)

@@ -55,8 +55,7 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.95, window: int = 3
     sound = F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf")))) & F.exists("v", lambda x: x != 0)
     sound = F.coalesce(sound, F.lit(False))
     classes = rows.where(sound).groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
-    # a class of null ids alone gets a negative stand-in of its own
-    classes = shared.written(classes.withColumn("rid", F.coalesce("id", -2 - F.abs(F.xxhash64("v") % (1 << 40)))).withColumn("dim", F.size("v")))
+    classes = shared.written(classes.withColumn("rid", F.xxhash64("v")).withColumn("dim", F.size("v")))
     passes = passes_for(classes.count(), window, threshold, miss)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,7 +107,7 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.95, window: int = 3
 
     edges = placed.select("block", "pass", "dim", "rid", "v").mapInArrow(neighbours, "a long, b long")
     found = shared.written(graph.components(edges))
-    members = found.join(classes, found["id"] == classes["rid"]).select("component", "rid", "v", "copies")
+    members = found.withColumnRenamed("id", "rid").join(classes, "rid").select("component", "rid", "v", "copies")
     pairs = graph.block_pairs(members, ["component"], "rid")
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +126,9 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.95, window: int = 3
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(counts))], ["rid", "n"])
 
     linked = pairs.mapInArrow(links, "rid long, n long").groupBy("rid").agg(F.sum("n").alias("n"))
-    about = classes.join(linked, "rid", "left").join(found.withColumnRenamed("id", "rid"), "rid", "left").select("v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rid").alias("component_id"))
+    about = classes.join(linked, "rid", "left").join(found.withColumnRenamed("id", "rid"), "rid", "left").select("v", "id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rid").alias("component"))
+    names = about.groupBy("component").agg(F.min("id").alias("component_id"))
+    about = about.join(names, "component").select("v", "n_links", "component_id")
     sound_rows = rows.where(sound).join(about, "v").select("vec_id", "n_links", "component_id")
     alone = rows.where(~sound).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return sound_rows.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
