@@ -13,9 +13,10 @@ from .ngram_join import op4_ngram_jaccard_join
 from .packing import op6_best_fit_packing
 from .pii import op5_pii
 from .quality import op1_quality_classifier
+from .substring import op3_substring_dedup
 from .vectors import op10_embedding_near_dedup
 
-QUERIES = (op1_quality_classifier, op2_mixing, op4_ngram_jaccard_join, op5_pii, op6_best_fit_packing, op8_lm_scoring, op9_fingerprints, op10_embedding_near_dedup)
+QUERIES = (op1_quality_classifier, op2_mixing, op3_substring_dedup, op4_ngram_jaccard_join, op5_pii, op6_best_fit_packing, op8_lm_scoring, op9_fingerprints, op10_embedding_near_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
