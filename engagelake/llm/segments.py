@@ -69,7 +69,7 @@ def segments_of(sums: np.ndarray, bounds: np.ndarray, w: Windows):
     new[1:] = (own[1:] != own[:-1]) | (place[1:] != place[:-1] + 1)
     first = np.flatnonzero(new)
     row = np.repeat(np.arange(len(count)), count)[first]
-    return row, place[first], np.diff(np.append(first, len(place))), h[own[first]]
+    return row, place[first], np.diff(np.append(first, len(place))), textblock.mix(h[own[first]])  # least hashes are small: spread them
 
 
 def bloom_places(h: np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -78,12 +78,24 @@ def bloom_places(h: np.ndarray, size: int) -> Iterator[np.ndarray]:
         yield (x >> np.uint64(32 * k)) & np.uint64(size - 1)
 
 
-def repeated_anchors(texts: DataFrame, w: Windows) -> tuple[np.ndarray, int]:
-    """The filter of anchors (48 of their bits) that occur more than once in ``texts`` (a column text), and its bucket bits."""
+def by_row(h: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Hashes of each row, each once."""
+    order = np.argsort(h, kind="stable")
+    h, row = h[order], row[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+    return h[new]
+
+
+def repeated_hashes(texts: DataFrame, hashes: Callable[[np.ndarray, np.ndarray], np.ndarray], density: int) -> tuple[np.ndarray, int]:
+    """The filter of hashes (48 of their bits) that occur more than once in ``texts`` (a column text), and its bucket bits.
+
+    ``hashes`` gives those of a block; there is about one in ``density`` bytes.
+    """
     n = shared.partitions(texts.sparkSession)
     bits = max(4, int(2 * n - 1).bit_length())
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    filter_bits = min(MAX_BITS, max(1 << (bits + 6), 1 << int(size // 8).bit_length()))
+    filter_bits = min(MAX_BITS, max(1 << (bits + 6), 1 << int(2 * size // density).bit_length()))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -99,8 +111,7 @@ def repeated_anchors(texts: DataFrame, w: Windows) -> tuple[np.ndarray, int]:
         for b in batches:
             data, offsets = shared.utf8(b.column(0))
             for lo, hi in shared.steps(offsets):
-                values, bounds, _, _ = w.symbols(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                held.append(segments_of(textblock.prefix(values), bounds, w)[3])
+                held.append(hashes(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]))
                 if sum(map(len, held)) > HELD:
                     yield flush()
                     held = []
@@ -141,13 +152,21 @@ def passes(data: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
     return out
 
 
-def occurrences(rows: DataFrame, w: Windows) -> DataFrame:
+def occurrences(rows: DataFrame, w: Windows, within: bool) -> DataFrame:
     """A row for each text of a segment in each row of ``rows`` (ord, text_key, text), where its anchor passes the filter.
 
-    Columns anchor, content (hash of the segment), ord, text_key, at (packed places of the first
-    windows, counted in symbols), at0 (the least of them), n (windows), body (its bytes, once for each task).
+    Columns content (hash of the segment, which is also its key), ord, text_key, at (packed places of
+    the first windows, counted in symbols), at0 (the least of them), n (windows), and, once for each
+    task, anchor and body (its bytes). At 64 bits, two of a million million different segments share a
+    key with a chance of one in about ten million.
     """
-    filter_, bits = repeated_anchors(rows.select("text"), w)
+
+    def anchors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        values, bounds, _, _ = w.symbols(data, offsets)
+        row, _, _, h = segments_of(textblock.prefix(values), bounds, w)
+        return h if within else by_row(h, row)
+
+    filter_, bits = repeated_hashes(rows.select("text"), anchors, 16)
     model = rows.sparkSession.sparkContext.broadcast(filter_)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,39 +190,40 @@ def occurrences(rows: DataFrame, w: Windows) -> DataFrame:
                 first = np.flatnonzero(new)
                 places = shared.binary((place - bounds[row]).astype(np.int32), np.append(first, len(row)))
                 row, place, n, anchor, content = row[first], place[first], n[first], anchor[first], content[first]
-                raw, body = part.tobytes(), []
+                raw, body, new = part.tobytes(), [], []
                 for c, x, y in zip(content.tolist(), begin[place].tolist(), end[place + n + w.width - 2].tolist(), strict=True):
-                    body.append(None if c in seen else raw[x:y])
+                    new.append(c not in seen)
+                    body.append(raw[x:y] if new[-1] else None)
                     seen.add(c)
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), b.column(0).slice(lo, hi - lo).take(take), b.column(1).slice(lo, hi - lo).take(take), places, pa.array((place - bounds[row]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(body, pa.binary())],
+                    [pa.array(anchor.view(np.int64), mask=~np.array(new)), pa.array(content.view(np.int64)), b.column(0).slice(lo, hi - lo).take(take), b.column(1).slice(lo, hi - lo).take(take), places, pa.array((place - bounds[row]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(body, pa.binary())],
                     ["anchor", "content", "ord", "text_key", "at", "at0", "n", "body"],
                 )
 
-    return rows.select("ord", "text_key", "text").mapInArrow(run, "anchor long, content long, ord long, text_key long, at binary, at0 int, n int, body binary")
+    return rows.select("ord", "text_key", "text").mapInArrow(run, "anchor long, content long, ord long, text_key int, at binary, at0 int, n int, body binary")
 
 
 def ordered_rows(documents: DataFrame) -> DataFrame:
     """doc_id, ord (the id, null ids last), text_key, text (null: empty)."""
     text = F.coalesce("text", F.lit(""))
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"), F.hash(text).alias("text_key"), text.alias("text"))
 
 
 def repeated_windows(documents: DataFrame, w: Windows, masks: Callable[[DataFrame], DataFrame], within: bool) -> DataFrame:
     """ord, text_key, removed (a list of packed (first window, number) pairs) of every text with repeated windows.
 
     ``masks`` looks closer: from the distinct segments whose anchor has several texts (anchor,
-    content, ord, at0, n, body; body may come in several equal rows) it gives (anchor, content,
-    mask), a byte for each window, 1 where the first occurrence's window is repeated, too. ``within``:
+    content, ord, at0, n, texts, body; a row may come several times) it gives (content, mask), a
+    byte for each window, 1 where the first occurrence's window is repeated, too. ``within``:
     a text's later occurrences in one document are repeats of the first.
     """
-    found = shared.written(occurrences(ordered_rows(documents), w))
-    texts = shared.written(found.groupBy("anchor", "content").agg(F.min(F.struct("ord", "at0")).alias("first"), F.first("n").alias("n")).select("anchor", "content", F.col("first.ord").alias("first_ord"), "first.at0", "n"))
+    found = shared.written(occurrences(ordered_rows(documents), w, within))
+    texts = shared.written(found.groupBy("content").agg(F.min(F.struct("ord", "at0")).alias("first"), F.first("n").alias("n"), F.max("anchor").alias("anchor")).select("content", "anchor", F.col("first.ord").alias("first_ord"), "first.at0", "n"))
     several = texts.groupBy("anchor").agg(F.count("*").alias("texts")).where("texts > 1")
-    closer = texts.join(several, "anchor").join(found.where("body is not null").select("anchor", "content", "body").groupBy("anchor", "content").agg(F.max("body").alias("body")), ["anchor", "content"])
+    closer = texts.join(several, "anchor").join(found.where("body is not null").select("content", "body"), "content")
     mask = masks(closer.select("anchor", "content", F.col("first_ord").alias("ord"), "at0", "n", "texts", "body"))
-    decided = found.drop("body", "at0", "n").join(texts.select("anchor", "content", "first_ord", "n"), ["anchor", "content"]).join(mask, ["anchor", "content"], "left")
+    decided = found.select("content", "ord", "text_key", "at").join(texts.select("content", "first_ord", "n"), "content").join(mask, "content", "left")
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -222,7 +242,7 @@ def repeated_windows(documents: DataFrame, w: Windows, masks: Callable[[DataFram
                 out.append(runs.tobytes() if len(runs) else None)
             yield pa.RecordBatch.from_arrays([b.column("ord"), b.column("text_key"), pa.array(out, pa.binary())], ["ord", "text_key", "removed"])
 
-    rows = decided.select("ord", "text_key", "at", "first_ord", "n", "mask").mapInArrow(pairs, "ord long, text_key long, removed binary")
+    rows = decided.select("ord", "text_key", "at", "first_ord", "n", "mask").mapInArrow(pairs, "ord long, text_key int, removed binary")
     return rows.where("removed is not null").groupBy("ord", "text_key").agg(F.collect_list("removed").alias("removed"))
 
 

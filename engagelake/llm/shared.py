@@ -37,7 +37,7 @@ def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/engagelake-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -83,27 +83,31 @@ class SuffixAutomaton:
 
 
 def automaton_masks(distinct: DataFrame) -> DataFrame:
-    """(anchor, content, mask) for ``segments.repeated_windows``."""
+    """(content, mask) for ``segments.repeated_windows``."""
     n = shared.partitions(distinct.sparkSession)
     distinct = shared.written(distinct)
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole, at in graph.whole_groups(batches, ["anchor"]):
-            masks = []
-            bodies = whole.column("body").to_pylist()
+            contents, masks = [], []
+            bodies, names = whole.column("body").to_pylist(), whole.column("content").to_pylist()
             for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
                 automaton = SuffixAutomaton()
                 for k in range(lo, hi):
+                    if k > lo and names[k] == names[k - 1]:  # the same segment from another task
+                        continue
                     words = bodies[k].split()
                     mask = np.array(automaton.matching(words)[WIDTH - 1 :]) >= WIDTH
-                    masks.append(mask.astype(np.uint8).tobytes() if mask.any() else None)
+                    if mask.any():
+                        contents.append(names[k])
+                        masks.append(mask.astype(np.uint8).tobytes())
                     if not mask.all():
                         automaton.add(words)
-            yield pa.RecordBatch.from_arrays([whole.column("anchor"), whole.column("content"), pa.array(masks, pa.binary())], ["anchor", "content", "mask"])
+            yield pa.RecordBatch.from_arrays([pa.array(contents, pa.int64()), pa.array(masks, pa.binary())], ["content", "mask"])
 
-    few = distinct.where(F.col("texts") <= SHARD).repartition(n, "anchor").sortWithinPartitions("anchor", "ord", "at0")
-    out = few.select("anchor", "content", "body").mapInArrow(shard, "anchor long, content long, mask binary")
-    return out.unionByName(window_masks(distinct.where(F.col("texts") > SHARD))).where("mask is not null")
+    few = distinct.where(F.col("texts") <= SHARD).repartition(n, "anchor").sortWithinPartitions("anchor", "ord", "at0", "content")
+    out = few.select("anchor", "content", "body").mapInArrow(shard, "content long, mask binary")
+    return out.unionByName(window_masks(distinct.where(F.col("texts") > SHARD)))
 
 
 def window_masks(distinct: DataFrame) -> DataFrame:
@@ -120,14 +124,14 @@ def window_masks(distinct: DataFrame) -> DataFrame:
             k = np.arange(len(row)) - at[row]
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [b.column("anchor").take(take), b.column("content").take(take), b.column("ord").take(take), pa.array(b.column("at0").to_numpy()[row] + k), pa.array(k.astype(np.int32)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))],
-                ["anchor", "content", "ord", "start", "k", "one", "two"],
+                [b.column("content").take(take), b.column("ord").take(take), pa.array(b.column("at0").to_numpy()[row] + k), pa.array(k.astype(np.int32)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))],
+                ["content", "ord", "start", "k", "one", "two"],
             )
 
-    each = distinct.select("anchor", "content", "ord", "at0", "body").mapInArrow(windows, "anchor long, content long, ord long, start long, k int, one long, two long")
+    each = distinct.select("content", "ord", "at0", "body").mapInArrow(windows, "content long, ord long, start long, k int, one long, two long")
     first = each.groupBy("one", "two").agg(F.min(F.struct("ord", "start")).alias("first"), F.count("*").alias("times")).where("times > 1")
     later = each.join(first, ["one", "two"]).where(F.struct("ord", "start") > F.col("first"))
-    marked = later.groupBy("anchor", "content").agg(F.collect_list("k").alias("ks"))
+    marked = later.groupBy("content").agg(F.collect_list("k").alias("ks"))
     size = WIDTH - GRAM + 1  # windows of a segment at most
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,9 +141,9 @@ def window_masks(distinct: DataFrame) -> DataFrame:
                 m = np.zeros(size, np.uint8)
                 m[ks] = 1
                 masks.append(m.tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("anchor"), b.column("content"), pa.array(masks, pa.binary())], ["anchor", "content", "mask"])
+            yield pa.RecordBatch.from_arrays([b.column("content"), pa.array(masks, pa.binary())], ["content", "mask"])
 
-    return marked.mapInArrow(pack, "anchor long, content long, mask binary")
+    return marked.mapInArrow(pack, "content long, mask binary")
 
 
 WORDS = segments.Windows(WIDTH, GRAM, segments.word_symbols)
