@@ -16,11 +16,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import graph, shared, textblock
 
 SHINGLE, THRESHOLD = 5, 0.8
+#: Stands for a null id where rows are matched.
+LAST = (1 << 63) - 1
 #: A pair at 0.8 agrees on no band with probability (1 - 0.8**4)**20, under 3 in 100,000.
 BANDS, ROWS = 20, 4
 VALUES = BANDS * ROWS
@@ -252,3 +256,31 @@ def similar(documents: DataFrame) -> DataFrame:
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar(shared.table(spark, sf_dir, "documents")).drop("k1", "k2")
+
+
+def one_of_each(documents: DataFrame) -> DataFrame:
+    """One row of each class of ``similar``, all columns unchanged: the one with the class's id.
+
+    Of repeated rows of that id and set one stays. Texts without words are all kept.
+    """
+    names = documents.columns
+    decisions = similar(documents)
+    chosen = decisions.where(F.col("kept") & (F.col("n_shingles") > 0)).select(F.coalesce("doc_id", F.lit(LAST)).alias("id_key_"), F.col("k1").alias("set_key_"), F.col("k2").alias("also_key_")).distinct()
+    schema = T.StructType([*documents.schema.fields, T.StructField("set_key_", T.LongType()), T.StructField("also_key_", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = shared.utf8(b.column(names.index("text")))
+            keys = [set_keys(*shingle_sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])) for lo, hi in shared.steps(offsets)]
+            one, two = (np.concatenate(x) for x in zip(*keys, strict=True)) if keys else (np.zeros(0, np.int64),) * 2
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(one), pa.array(two)], [*b.schema.names, "set_key_", "also_key_"])
+
+    rows = documents.mapInArrow(run, schema).withColumn("id_key_", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
+    empty = rows.where("set_key_ = 0 and also_key_ = 0")
+    worded = rows.where("set_key_ <> 0 or also_key_ <> 0")
+    key = ["id_key_", "set_key_", "also_key_"]
+    # a repeated row is a copy, too: the join has brought such rows together, numbering them moves none
+    first = W.partitionBy(*key).orderBy(*key)
+    kept = worded.join(chosen, key, "left_semi").withColumn("nth_", F.row_number().over(first)).where("nth_ = 1")
+    columns = [F.col(f"`{c}`") for c in names]
+    return kept.select(*columns).unionByName(empty.select(*columns))
