@@ -25,6 +25,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by marks."""
+    shared.small_batches(spark)
     return pii.redacted(docs)
 
 

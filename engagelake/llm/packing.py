@@ -40,7 +40,7 @@ class BlockTokenizer:
     """
 
     #: Distinct pieces that a worker remembers; beyond, it starts anew.
-    REMEMBER = 2_000_000
+    REMEMBER = 500_000
 
     def __init__(self, path: str, ranks_path: str):
         self.exact = Tokenizer.from_file(path)

@@ -15,7 +15,18 @@ from pyspark.sql import functions as F
 STEP_BYTES = 2 << 20
 
 
+#: Bytes and rows of an Arrow batch between Spark and Python: texts can be long, and a batch is held several times over.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of the session's Python tasks, so that workers stay small beside full executors."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -36,6 +47,7 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_dir(spark).rstrip('/')}/engagelake-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
