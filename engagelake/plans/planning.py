@@ -62,7 +62,7 @@ def theoretical_capacity(spark, sf_dir):
 
 def pilot_metrics(spark, sf_dir):
     """What a pilot's users brought: users, posts, attachments, and their means."""
-    users = b.groups(spark, sf_dir).where("group_id % 10 = 0").select("group_id")
+    users = b.groups(spark, sf_dir).where("segment = 'MACHINERY'").select("group_id")
     p = b.posts(spark, sf_dir).join(users, "group_id", "left_semi")
     a = b.table(spark, sf_dir, "lineitem").join(p, F.col("l_orderkey") == F.col("post_id"), "left_semi").agg(F.count("*").alias("attachments"))
     n = p.agg(F.countDistinct("group_id").alias("users"), F.count("*").alias("posts"))
@@ -90,7 +90,7 @@ def token_slots(spark, sf_dir):
 def review_log(spark, sf_dir):
     """Labels that a review adds to what is there, and a line of its log for each document."""
     old = b.table(spark, sf_dir, "labels").where("quality = 1").select("doc_id", F.lit("good").alias("label"))
-    added = b.table(spark, sf_dir, "labels").where("toxic = 1 or doc_id % 2 = 0").select("doc_id", F.when(F.col("toxic") == 1, "rude").otherwise("good").alias("label"))
+    added = b.table(spark, sf_dir, "labels").where("toxic = 1 or quality = 1").select("doc_id", F.when(F.col("toxic") == 1, "rude").otherwise("good").alias("label"))
     new = added.join(old, ["doc_id", "label"], "left_anti")
     both = old.unionByName(new)
     return both.groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_set("label")), "|").alias("labels"), F.count("*").alias("n"))
@@ -106,8 +106,8 @@ QUERIES = {
     "plan_keys": (plan_keys, f"WITH {b.JOBS_SQL}, a AS (SELECT DISTINCT job_type, priority FROM jobs WHERE status IN ('pending','running')) SELECT DISTINCT j.job_type, j.priority, a.priority IS NOT NULL AS known FROM jobs j LEFT JOIN a ON a.job_type = j.job_type AND a.priority = j.priority"),
     "subscription_totals": (subscription_totals, f"WITH {b.EDGES_SQL} SELECT count(*) AS edges, count(DISTINCT user_id) AS users, count(DISTINCT community_id) AS communities, count(*) FILTER (WHERE last_seen >= TIMESTAMP '2001-01-01') AS current FROM edges"),
     "theoretical_capacity": (theoretical_capacity, "SELECT count(*) AS users, count(*) * 64000 AS links_bytes, count(*) * 2304000 AS posts_bytes FROM customer"),
-    "pilot_metrics": (pilot_metrics, "WITH p AS (SELECT * FROM orders WHERE o_custkey % 10 = 0), n AS (SELECT count(DISTINCT o_custkey) AS users, count(*) AS posts FROM p), a AS (SELECT count(*) AS attachments FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM p)) SELECT *, round(posts / users::DOUBLE, 6) AS posts_per_user FROM n, a"),
+    "pilot_metrics": (pilot_metrics, "WITH p AS (SELECT * FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY')), n AS (SELECT count(DISTINCT o_custkey) AS users, count(*) AS posts FROM p), a AS (SELECT count(*) AS attachments FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM p)) SELECT *, round(posts / users::DOUBLE, 6) AS posts_per_user FROM n, a"),
     "iso_moments": (iso_moments, "SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 2 THEN o_orderdate END AS moment FROM orders"),
     "token_slots": (token_slots, f"WITH {b.CALLS_SQL}, n AS (SELECT event_id, token, ts, CAST(floor(epoch(ts)) AS BIGINT) AS sec, row_number() OVER (PARTITION BY token ORDER BY ts, event_id) - 1 AS nth FROM calls), m AS (SELECT event_id, sec, nth, max(sec - nth * 7200) OVER (PARTITION BY token ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM n) SELECT event_id, run + nth * 7200 AS slot, run + nth * 7200 - sec AS wait FROM m"),
-    "review_log": (review_log, "WITH o AS (SELECT doc_id, 'good' AS label FROM labels WHERE quality = 1), a AS (SELECT doc_id, CASE WHEN toxic = 1 THEN 'rude' ELSE 'good' END AS label FROM labels WHERE toxic = 1 OR doc_id % 2 = 0), u AS (SELECT * FROM o UNION SELECT * FROM a) SELECT doc_id, string_agg(label, '|' ORDER BY label) AS labels, count(*) AS n FROM u GROUP BY 1"),
+    "review_log": (review_log, "WITH o AS (SELECT doc_id, 'good' AS label FROM labels WHERE quality = 1), a AS (SELECT doc_id, CASE WHEN toxic = 1 THEN 'rude' ELSE 'good' END AS label FROM labels WHERE toxic = 1 OR quality = 1), u AS (SELECT * FROM o UNION SELECT * FROM a) SELECT doc_id, string_agg(label, '|' ORDER BY label) AS labels, count(*) AS n FROM u GROUP BY 1"),
 }

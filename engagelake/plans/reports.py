@@ -149,8 +149,8 @@ def pending_batch(spark, sf_dir):
 
 def decision_coverage(spark, sf_dir):
     """Ids of a batch without a decision, and decisions for ids outside it."""
-    batch = b.table(spark, sf_dir, "documents").where("doc_id % 2 = 0").select("doc_id")
-    decided = b.table(spark, sf_dir, "labels").where("doc_id % 3 = 0").select("doc_id")
+    batch = b.table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id")
+    decided = b.table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return batch.join(decided, "doc_id", "left_anti").agg(F.lit("missing").alias("kind"), F.count("*").alias("n")).unionByName(decided.join(batch, "doc_id", "left_anti").agg(F.lit("foreign").alias("kind"), F.count("*").alias("n")))
 
 
@@ -233,7 +233,7 @@ QUERIES = {
     "eligible_profiles": (eligible_profiles, f"""WITH {E}, {P}, z AS (SELECT community_id, count(*) AS members FROM edges GROUP BY 1), l AS (SELECT user_id, string_agg(community_id, ',' ORDER BY members DESC, community_id) AS communities FROM edges JOIN z USING (community_id) WHERE last_seen >= TIMESTAMP '2001-06-01' GROUP BY 1),
         p AS (SELECT group_id AS user_id, string_agg(post_id, ',' ORDER BY post_id) AS posts FROM posts WHERE published >= TIMESTAMP '2001-03-01' GROUP BY 1) SELECT user_id, posts, communities FROM p JOIN l USING (user_id)"""),
     "pending_batch": (pending_batch, "SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS INT) AS position FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality IS NOT NULL) ORDER BY doc_id LIMIT 100"),
-    "decision_coverage": (decision_coverage, "SELECT 'missing' AS kind, count(*) AS n FROM documents WHERE doc_id % 2 = 0 AND doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id % 3 = 0) UNION ALL SELECT 'foreign', count(*) FROM labels WHERE doc_id % 3 = 0 AND doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 2 = 0)"),
+    "decision_coverage": (decision_coverage, "SELECT 'missing' AS kind, count(*) AS n FROM documents WHERE lang = 'en' AND doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1) UNION ALL SELECT 'foreign', count(*) FROM labels WHERE quality = 1 AND doc_id NOT IN (SELECT doc_id FROM documents WHERE lang = 'en')"),
     "decision_violations": (decision_violations, "SELECT quality = 1 AS approved, count(*) AS violations FROM labels WHERE (quality = 1) <> (toxic = 1) GROUP BY 1"),
     "audit_metrics": (audit_metrics, """WITH d AS (SELECT quality, CASE WHEN n_chars % 7 = 0 THEN 1 - quality ELSE quality END AS said FROM labels JOIN documents USING (doc_id)), m AS (SELECT count(*) AS n, coalesce(count(*) FILTER (WHERE said = 1 AND quality = 1) / nullif(count(*) FILTER (WHERE said = 1), 0)::DOUBLE, 0) AS p, coalesce(count(*) FILTER (WHERE said = 0 AND quality = 1) / nullif(count(*) FILTER (WHERE said = 0), 0)::DOUBLE, 0) AS f, count(*) FILTER (WHERE said = quality) / count(*)::DOUBLE AS e FROM d)
         SELECT n, round(p, 4) AS precision, round(f, 4) AS false_negatives, round(e, 4) AS exact, p >= 0.9 AND f <= 0.1 AND e >= 0.85 AND n >= 300 AS passes FROM m"""),

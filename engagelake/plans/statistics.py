@@ -92,7 +92,7 @@ def mad_keyframes(spark, sf_dir):
 
 def grid_search(spark, sf_dir):
     """The best setting of a small grid: first strict maximum by score, then grid order."""
-    ev = b.table(spark, sf_dir, "events").where("user_id < 20")
+    ev = b.table(spark, sf_dir, "events")
     w = ev.groupBy("user_id").agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
     grid = spark.createDataFrame([(i, float(t)) for i, t in enumerate((5, 10, 20, 40, 80))], "g int, threshold double")
     scored = w.crossJoin(F.broadcast(grid)).withColumn("similarity", 1 - F.col("threshold") / 200).withColumn("compression", F.col("n") * F.col("threshold") / (F.col("high") - F.col("low") + 1))
@@ -126,6 +126,6 @@ QUERIES = {
     "mock_embeddings": (mock_embeddings, None),
     "mad_keyframes": (mad_keyframes, """WITH s AS (SELECT user_id, event_id, row_number() OVER w AS frame, CASE WHEN row_number() OVER w = 1 THEN 1.0 ELSE abs(value - lag(value) OVER w) END AS score FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
         n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY frame <> 1, score DESC, frame) AS nth FROM s) SELECT user_id, event_id, CAST(frame AS INT) AS frame FROM n WHERE frame = 1 OR (score > 40 AND nth <= 5) OR nth <= 2"""),
-    "grid_search": (grid_search, """WITH w AS (SELECT user_id, count(*) AS n, min(value) AS low, max(value) AS high FROM events WHERE user_id < 20 GROUP BY 1), g AS (SELECT i AS g, ([5.0,10,20,40,80])[i + 1]::DOUBLE AS t FROM range(5) r(i)),
+    "grid_search": (grid_search, """WITH w AS (SELECT user_id, count(*) AS n, min(value) AS low, max(value) AS high FROM events GROUP BY 1), g AS (SELECT i AS g, ([5.0,10,20,40,80])[i + 1]::DOUBLE AS t FROM range(5) r(i)),
         s AS (SELECT g, 1 - t / 200 AS sim, n * t / (high - low + 1) AS comp FROM w, g), x AS (SELECT g, sim * (1 + 0.2 * ln(1 + comp)) / CASE WHEN sim < 0.85 THEN 2 ELSE 1 END AS sc FROM s) SELECT CAST(g AS INT) AS g, round(avg(sc), 6) AS score FROM x GROUP BY 1 ORDER BY score DESC, g LIMIT 1"""),
 }
