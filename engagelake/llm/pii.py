@@ -125,7 +125,7 @@ def features(text: str, start: int, end: int, kind: str) -> list[float]:
         float(bool(re.search(r"[=:]\s*[\"']?$", before))), float(before[-1:] in "\"'") + float(after[:1] in "\"'"),
         float(luhn(d)) if (d := digits_of(s)) else -1.0, float(len(d)),
         float(kind == "iban" and mod97(s)), float(s[:1] == "("), float(bool(re.search(r"[\[(]", s))),
-        float(max((len(w) for w in re.findall(r"[A-Za-z]+", s)), default=0)),
+        float(max((len(w) for w in re.findall(r"[A-Za-z]+", s)), default=0)), float(len(re.search(r"[A-Za-z]*$", s)[0])),
         float(before[-1:].isalnum() or before[-1:] in tuple("./-_")), float(after[:1].isalnum() or after[:1] in tuple("/-_")),
         *(float(any(w in near for w in words)) for words in WORDS_AROUND),
     ]
@@ -243,22 +243,39 @@ def made_examples(n: int, seed: int) -> tuple[list[tuple[str, int, int, str]], n
     return rows, np.array(labels, float)
 
 
+def held_out(kinds: np.ndarray, labels: np.ndarray, seed: int) -> np.ndarray:
+    """A seeded quarter of the spans of each kind and label."""
+    out, order = np.zeros(len(labels), bool), np.random.default_rng(seed).permutation(len(labels))
+    for kind in ADDED_KINDS:
+        for label in (0, 1):
+            own = order[(kinds[order] == kind) & (labels[order] == label)]
+            out[own[: len(own) // 4]] = True
+    return out
+
+
 class Detector:
     """Trained trees and a threshold for each added kind."""
 
     def __init__(self, examples: int = 4000, precision: float = 0.98, seed: int = 11):
         rows, y = made_examples(examples, seed)
         x = np.array([features(*r) for r in rows])
-        held = np.arange(len(y)) % 4 == 3
+        kinds = np.array([r[3] for r in rows])
+        held = held_out(kinds, y, seed)
+        for kind in ADDED_KINDS:  # without both labels in both parts, a kind is not learnt or its precision not tested
+            for part in (held, ~held):
+                if len(np.unique(y[part & (kinds == kind)])) < 2:
+                    raise ValueError(f"{examples} examples do not give {kind} both labels in training and held-out spans")
         self.trees = BoostedTrees().fit(x[~held], y[~held])
         p = self.trees.probability(x[held])
         self.threshold = {}
         for kind in ADDED_KINDS:  # the least threshold with that precision on held-out spans, and never under 0.6
-            own = np.array([r[3] == kind for r in rows])[held]
+            own = kinds[held] == kind
             order = np.argsort(-p[own], kind="stable")
+            ranked = p[own][order]
             right = np.cumsum(y[held][own][order]) / np.arange(1, own.sum() + 1)
-            good = np.flatnonzero(right >= precision)
-            self.threshold[kind] = max(0.6, float(p[own][order][good[-1]])) if len(good) else 2.0
+            last = np.append(ranked[1:] < ranked[:-1], True)  # a threshold takes all spans of equal probability
+            good = np.flatnonzero((right >= precision) & last)
+            self.threshold[kind] = max(0.6, float(ranked[good[-1]])) if len(good) else 2.0
 
     def spans(self, text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
         """Base spans, and all spans in order."""

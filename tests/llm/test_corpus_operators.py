@@ -272,6 +272,31 @@ def test_pii_added_and_redaction(awkward):
     assert out.columns == awkward.columns and got[17].text == "mail [EMAIL]. call [PHONE], card [CARD]; [IP] and 1.2.3.400" and got[17].n_chars == len(got[17].text) and got[9].text is None
 
 
+def test_pii_detects_each_added_kind():
+    d = pii.Detector()
+    personal = {
+        "secret": 'api_key = "24be64439e3e49cf46b2d7c90f3602a3"', "written_email": "write to anna at firma dot de please", "local_phone": "please call (555) 123-4567 today",
+        "iban": "iban DE89 3704 0044 0532 0130 00 thanks", "ssn": "my ssn 123-45-6789 is",
+    }
+    alike = {"secret": "a well-known-word-12 here", "written_email": "look at things dot testing now", "local_phone": "your order 555 123 4567 shipped", "iban": "the sku DE89 37AB CD44 X532 is", "ssn": "see part 123-45-6789 there"}
+    for kind in pii.ADDED_KINDS:
+        assert [k for *_, k in d.spans(personal[kind])[1]] == [kind] and kind in [k for *_, k in pii.candidates(alike[kind])] and d.spans(alike[kind])[1] == [], kind
+    rows, y = pii.made_examples(2000, 99)  # spans that the detector has not seen
+    found = d.trees.probability(np.array([pii.features(*r) for r in rows])) >= np.array([d.threshold[r[3]] for r in rows])
+    for kind in pii.ADDED_KINDS:
+        own = np.array([r[3] == kind for r in rows])
+        assert found[own & (y > 0)].mean() > 0.9 and found[own & (y == 0)].mean() < 0.05, kind
+
+
+def test_pii_held_out_has_both_labels():
+    rows, y = pii.made_examples(4000, 11)
+    kinds = np.array([r[3] for r in rows])
+    held = pii.held_out(kinds, y, 11)
+    assert all(0.2 < held[(kinds == k) & (y == label)].mean() < 0.3 for k in pii.ADDED_KINDS for label in (0, 1))
+    with pytest.raises(ValueError):
+        pii.Detector(examples=20)
+
+
 def test_boosted_trees_learn():
     rows, y = pii.made_examples(2000, 5)
     x = np.array([pii.features(*r) for r in rows])
