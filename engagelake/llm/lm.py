@@ -3,14 +3,16 @@
 Counting: tasks count words and word pairs of training texts, merge their counts, and deal them
 out by hash as packed arrays; each bucket of hashes sums its counts and builds its own segment of
 the filter. An n-gram whose count has level q = 1 + floor(log2 count) is put in q times, with
-levels 1 to q, so that a look-up probes level after level until one is missing. The filter has at
-most ``MAX_BITS`` bits, whatever the corpus holds, and is broadcast.
+levels 1 to q, so that a look-up probes level after level until one is missing. The filter grows
+with the training texts and is never gathered: its segments stay in their buckets.
 
-Scoring: tasks probe the filter for every whole text, and interpolate pair and word estimates.
+Scoring: texts are cut into steps. Each step asks the buckets for its distinct words and pairs;
+these probe their segment and send back levels, in the order asked; where the answers meet the step's
+texts again, pair and word estimates are interpolated.
 
-Base scores need exact counts. Words with more than one in ``SHARE`` of all tokens (so at most
-``SHARE`` words) are broadcast with their counts; the others' occurrences are dealt out to the
-buckets that hold the counts, which send back a sum for each text. No word's rows can swamp a task.
+Base scores need exact counts, which come back with the levels. Words with more than one in ``SHARE``
+of all tokens (so at most ``SHARE`` words) are broadcast with their counts and levels. A step asks for
+each word and pair once, so that no word's rows can swamp a task.
 """
 
 from __future__ import annotations
@@ -25,7 +27,6 @@ from pyspark.sql import functions as F
 
 from . import shared, textblock
 
-MAX_BITS = 1 << 29
 SHARE = 50_000
 PROBES = 2
 #: Weight of the pair estimate against the word estimate.
@@ -39,7 +40,8 @@ LOWER[0x41:0x5B] += 32
 START, END = np.uint64(0x5D1CE0F51A27), np.uint64(0xE4D0F7E47)
 
 MESSAGE = "bucket int, kind int, a binary, b binary, c binary, d binary"
-COUNTS, PAIR_COUNTS, SEGMENT, OCCURRENCES, TEXTS = range(5)
+#: In the order in which a bucket, or a step, needs them.
+COUNTS, PAIR_COUNTS, SEGMENT, ASKED, LEVELS, TEXTS = range(6)
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -75,7 +77,7 @@ def bounds_of(h: np.ndarray, bits: int) -> np.ndarray:
 
 
 class Filter:
-    """Look-ups in the whole filter: all segments one after another."""
+    """Look-ups in segments one after another, of all 2**bits buckets, or in the segment of one (0 bits)."""
 
     def __init__(self, data: np.ndarray, bits: int):
         self.data, self.bits, self.size = data, bits, len(data) * 8 >> bits
@@ -88,10 +90,10 @@ class Filter:
         for k in range(PROBES):
             yield (x >> np.uint64(32 * k)) & np.uint64(size - 1)
 
-    def estimates(self, h: np.ndarray) -> np.ndarray:
-        """Counts by repeated membership probes: the middle of the last level that is there, 0 if none is."""
+    def levels(self, h: np.ndarray) -> np.ndarray:
+        """The last level that is there, by repeated membership probes; 0 if none is."""
         level, live = np.zeros(len(h), np.int64), np.arange(len(h))
-        base = (h >> np.uint64(64 - self.bits)) * np.uint64(self.size)
+        base = (h >> np.uint64(64 - self.bits)) * np.uint64(self.size) if self.bits else np.zeros(len(h), np.uint64)
         while len(live):
             found = np.ones(len(live), bool)
             for place in self.places(h[live], level[live] + 1, self.size):
@@ -100,7 +102,15 @@ class Filter:
             live = live[found]
             level[live] += 1
             live = live[level[live] < 48]
-        return np.where(level > 1, 2.0 ** (level - 1) * 1.4, level)
+        return level
+
+    def estimates(self, h: np.ndarray) -> np.ndarray:
+        return middle(self.levels(h))
+
+
+def middle(level: np.ndarray) -> np.ndarray:
+    """The count that stands for a level: the middle of its range, 0 for none."""
+    return np.where(level > 1, 2.0 ** (level - 1.0) * 1.4, level)
 
 
 def segment(h: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
@@ -116,6 +126,11 @@ def segment(h: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
     return np.packbits(out, bitorder="little")
 
 
+def filter_size(text_bytes: int, bits: int) -> int:
+    """Bits of the filter: the next power of two of 5/8 bit for each byte of training text, without a limit."""
+    return max(1 << (bits + 6), 1 << int(text_bytes * 5 // 8).bit_length())
+
+
 def counted(documents: DataFrame, bits: int, filter_bits: int, partitions: int) -> DataFrame:
     """Messages COUNTS (a bucket's words and counts) and SEGMENT (its part of the filter) from training texts."""
 
@@ -163,7 +178,8 @@ def counted(documents: DataFrame, bits: int, filter_bits: int, partitions: int)
         for bucket in sorted(held):
             x = {k: summed(*(np.concatenate(y) for y in zip(*v, strict=True))) if v else (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for k, v in held.pop(bucket).items()}
             bits_set = segment(np.concatenate([word_keys(x[COUNTS][0], bits), x[PAIR_COUNTS][0]]), np.concatenate([x[COUNTS][1], x[PAIR_COUNTS][1]]), size)
-            rows = [(bucket, COUNTS, x[COUNTS][0].tobytes(), x[COUNTS][1].tobytes(), None, None), (bucket, SEGMENT, bits_set.tobytes(), None, None, None)]
+            level = Filter(bits_set, 0).levels(word_keys(x[COUNTS][0], bits)).astype(np.uint8)
+            rows = [(bucket, COUNTS, x[COUNTS][0].tobytes(), x[COUNTS][1].tobytes(), level.tobytes(), None), (bucket, SEGMENT, bits_set.tobytes(), None, None, None)]
             yield pa.RecordBatch.from_pydict(dict(zip(("bucket", "kind", "a", "b", "c", "d"), map(list, zip(*rows, strict=True)), strict=True)), schema=arrow_schema())
 
     return documents.select("text").mapInArrow(count, MESSAGE).repartition(partitions, "bucket").mapInArrow(gather, MESSAGE)
@@ -179,7 +195,7 @@ def word_keys(h: np.ndarray, bits: int) -> np.ndarray:
     return textblock.mix(h) >> np.uint64(bits) | h >> high << high
 
 
-def lm_scores(documents: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def lm_scores(documents: DataFrame) -> DataFrame:
     """Per row of ``documents``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Texts whose crc32 of the id modulo 5 is 1 are held out, all others (a null id, too) are counted.
@@ -193,8 +209,7 @@ def lm_scores(documents: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     texts, size = training.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
     n = shared.partitions(spark)
     bits = max(4, int(2 * n - 1).bit_length())
-    filter_bits = min(max_bits, max(1 << (bits + 6), 1 << int((size or 0) * 5 // 8).bit_length()))
-    table = shared.written(counted(training, bits, filter_bits, n))
+    table = shared.written(counted(training, bits, filter_size(size or 0, bits), n))
     counts = table.where(F.col("kind") == COUNTS).select("bucket", "kind", "a", "b", "c", "d")
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,156 +225,119 @@ def lm_scores(documents: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                h, c = np.frombuffer(x, np.uint64), np.frombuffer(y, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(h[c >= least].view(np.int64)), pa.array(c[c >= least])], ["h", "c"])
+            for x, y, z in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                h, c, level = np.frombuffer(x, np.uint64), np.frombuffer(y, np.int64), np.frombuffer(z, np.uint8)
+                yield pa.RecordBatch.from_arrays([pa.array(h[c >= least].view(np.int64)), pa.array(c[c >= least]), pa.array(level[c >= least].astype(np.int64))], ["h", "c", "level"])
 
-    hot = counts.select("a", "b").mapInArrow(frequent, "h long, c long").collect()  # at most SHARE rows
+    hot = counts.select("a", "b", "c").mapInArrow(frequent, "h long, c long, level long").collect()  # at most SHARE rows
     hot_h = np.array([x[0] for x in hot], np.int64).view(np.uint64)
-    hot_c = np.array([x[1] for x in hot], np.int64)[np.argsort(hot_h)]
-    hot_h = np.sort(hot_h)
-    data = np.zeros(filter_bits >> 3, np.uint8)
-    step = len(data) >> bits
-    for bucket, part in table.where(F.col("kind") == SEGMENT).select("bucket", "a").toLocalIterator():  # max_bits bits in all
-        data[bucket * step : (bucket + 1) * step] = np.frombuffer(part, np.uint8)
-    model = spark.sparkContext.broadcast((data, hot_h, hot_c))
-    del data
+    by_hash = np.argsort(hot_h)
+    model = spark.sparkContext.broadcast((hot_h[by_hash], np.array([x[1] for x in hot], np.int64)[by_hash], np.array([x[2] for x in hot], np.int64)[by_hash]))
     denominator = total + 0.5 * (distinct + 1)
+    narrow = np.min_scalar_type(int(least))  # rare words' counts are less than that
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, hot_h, hot_c = model.value
-        lookup = Filter(data, bits)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, step_of = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
             data, offsets = shared.utf8(batch.column(1))
             for lo, hi in shared.steps(offsets, shared.STEP_BYTES // 2):
-                m = hi - lo
-                h, at = tokens(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                row = np.repeat(np.arange(m), np.diff(at))
-                order = np.argsort(h, kind="stable")  # by word, then by row
-                s = h[order]
-                new = np.concatenate([[True], s[1:] != s[:-1]])
-                first = np.flatnonzero(new)
-                words = s[first]
-                which = np.empty(len(h), np.int64)
-                which[order] = np.cumsum(new) - 1
-                # the model
-                c = lookup.estimates(word_keys(words, bits))[which]
-                pairs, back = np.unique(pair_hashes(h, at) >> np.uint64(16) << np.uint64(16), return_inverse=True)
-                both = lookup.estimates(pairs)[back]
-                before = np.empty(len(h))
-                before[1:] = c[:-1]
-                before[at[:-1]] = texts
-                p = PAIRS * both / np.maximum(np.maximum(before, both), 1) + (1 - PAIRS) * np.minimum((c + 0.5) / denominator, 1)
-                model_score = np.bincount(row, np.log10(p), m)
-                # base scores: frequent words here, the others where their counts are
-                k = np.minimum(np.searchsorted(hot_h, words), max(len(hot_h) - 1, 0))
-                is_hot = hot_h[k] == words if len(hot_h) else np.zeros(len(words), bool)
-                known = np.where(is_hot, hot_c[k] if len(hot_h) else 0, 0)[which]
-                part = np.bincount(row, np.where(is_hot[which], np.log10(known + 0.5), 0), m)
-                n_known = np.bincount(row, is_hot[which], m).astype(np.int64)
-                uid = task | step_of
+                ids, uid = batch.column(0).slice(lo, hi - lo), task | step_of
                 step_of += 1
-                yield message([0], [TEXTS], [uid.to_bytes(8, "little") + np.array(batch.column(0).slice(lo, m).fill_null(0), np.int64).tobytes() + np.array(batch.column(0).slice(lo, m).is_null()).astype(np.int64).tobytes()], [np.array(batch.column(2).slice(lo, m)).astype(np.int64).tobytes()], [np.diff(at).tobytes()], [np.concatenate([model_score, part, n_known.astype(float)]).tobytes()])
-                # (word, row, times) of rare words, in order of the word
-                change = new.copy()
-                change[1:] |= row[order][1:] != row[order][:-1]
-                group = np.flatnonzero(change)
-                times = np.diff(np.append(group, len(s)))
-                word_of = (np.cumsum(new) - 1)[group]
-                rare = ~is_hot[word_of]
-                group, times, word_of = group[rare], times[rare], word_of[rare]
-                rare_words = np.flatnonzero(~is_hot)
-                if not len(rare_words):
-                    continue
-                per_word = np.bincount(word_of, minlength=len(words))[rare_words]
-                b = bounds_of(words[rare_words], bits)
-                some = np.flatnonzero(np.diff(b))
-                b = np.concatenate([b[some], [len(rare_words)]])
-                ends = np.concatenate([[0], np.cumsum(per_word)])[b]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(some.astype(np.int32)), pa.array(np.full(len(some), OCCURRENCES, np.int32)), shared.binary(words[rare_words], b), shared.binary(per_word.astype(np.uint32), b),
-                        shared.binary(row[order][group].astype(np.uint32), ends),
-                        headed(uid, m, shared.binary(np.minimum(times, 0xFFFFFFFF).astype(np.uint32), ends)),
-                    ],
-                    schema=arrow_schema(),
-                )
+                about = np.concatenate([ids.fill_null(0).to_numpy(), np.array(ids.is_null()).astype(np.int64), np.array(batch.column(2).slice(lo, hi - lo)).astype(np.int64)])
+                yield message([0], [TEXTS], [uid.to_bytes(8, "little")], [about.astype(np.int64).tobytes()], [(offsets[lo : hi + 1] - offsets[lo]).tobytes()], [data[offsets[lo] : offsets[hi]].tobytes()])
 
-    scored = shared.written(rows.select("doc_id", "text", "held_out").mapInArrow(score, MESSAGE))
+    stepped = shared.written(rows.select("doc_id", "text", "held_out").mapInArrow(cut, MESSAGE))
+
+    def parts(offsets: bytes, text: bytes) -> tuple:
+        """A step's tokens with their rows' bounds, its distinct words and pairs in order, where each token's are, and the frequent words' places in the broadcast."""
+        h, at = tokens(np.frombuffer(text, np.uint8), np.frombuffer(offsets, np.int64))
+        words, which = np.unique(h, return_inverse=True)
+        pairs, both = np.unique(pair_hashes(h, at) >> np.uint64(16), return_inverse=True)
+        hot_h = model.value[0]
+        k = np.minimum(np.searchsorted(hot_h, words), max(len(hot_h) - 1, 0))
+        return at, words, which, pairs << np.uint64(16), both, hot_h[k] == words if len(hot_h) else np.zeros(len(words), bool), k
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for uid, offsets, text in zip(*(batch.column(x).to_pylist() for x in range(3)), strict=True):
+                _, words, _, pairs, _, is_hot, _ = parts(offsets, text)
+                words = words[~is_hot]
+                w, p = bounds_of(words, bits), bounds_of(pairs, bits)
+                some = np.flatnonzero((np.diff(w) > 0) | (np.diff(p) > 0))
+                w, p = np.append(w[some], len(words)), np.append(p[some], len(pairs))
+                low = pairs >> np.uint64(16)
+                gap = np.diff(low, prepend=np.uint64(0))  # within a bucket, gaps: their high parts are small
+                gap[p[:-1][np.diff(p) > 0]] = low[p[:-1][np.diff(p) > 0]]
+                yield message(some.astype(np.int32), np.full(len(some), ASKED, np.int32), [uid] * len(some), shared.binary(words, w), shared.binary((gap & np.uint64(0xFFFFFFFF)).astype(np.uint32), p), shared.binary((gap >> np.uint64(32)).astype(np.uint16), p))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sums of rare words for each step of texts, from a partition's buckets; partial, several for a step."""
-        have: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        asked = []
+        """Counts and levels of the words, and levels of the pairs, that each step asks for, from one bucket after another."""
+        here, h, n, lookup = None, None, None, None
         for batch in batches:
+            out = []
             for bucket, kind, a, b, c, d in zip(*(batch.column(x).to_pylist() for x in range(6)), strict=True):
+                if bucket != here:
+                    here, h, n, lookup = bucket, np.zeros(0, np.uint64), np.zeros(0, np.int64), None
                 if kind == COUNTS:
-                    have[bucket] = np.frombuffer(a, np.uint64), np.frombuffer(b, np.int64)
+                    h, n = np.frombuffer(a, np.uint64), np.frombuffer(b, np.int64)
+                elif kind == SEGMENT:
+                    lookup = Filter(np.frombuffer(a, np.uint8), 0)
                 else:
-                    asked.append((bucket, a, b, c, d))
-        sums: dict[int, list[np.ndarray]] = {}
-        for bucket, a, b, c, d in asked:
-            h, n = have.get(bucket, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
-            words, per_word, row = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint32), np.frombuffer(c, np.uint32)
-            uid, m = (int(x) for x in np.frombuffer(d[:16], np.int64))
-            times = np.frombuffer(d[16:], np.uint32)
-            count = np.zeros(len(words), np.int64)
-            if len(h):
-                k = np.minimum(np.searchsorted(h, words), len(h) - 1)
-                count = np.where(h[k] == words, n[k], 0)
-            count = np.repeat(count, per_word)
-            if uid not in sums:
-                sums[uid] = [np.zeros(m), np.zeros(m, np.int64)]
-            sums[uid][0] += np.bincount(row, np.log10(count + 0.5) * times, m)
-            sums[uid][1] += np.bincount(row, (count > 0) * times, m).astype(np.int64)
-        for uid, (part, known) in sums.items():
-            yield message([0], [OCCURRENCES], [uid.to_bytes(8, "little")], [part.tobytes()], [known.tobytes()], [None])
-
-    asked = scored.where(F.col("kind") == OCCURRENCES).unionByName(counts)
-    answers = asked.repartition(n, "bucket").mapInArrow(answer, MESSAGE)
-    step_key = F.substring("a", 1, 8)
+                    words = np.frombuffer(b, np.uint64)
+                    pairs = np.cumsum(np.frombuffer(c, np.uint32) | np.frombuffer(d, np.uint16).astype(np.uint64) << np.uint64(32)) << np.uint64(16)
+                    count = np.zeros(len(words), np.int64)
+                    if len(h):
+                        k = np.minimum(np.searchsorted(h, words), len(h) - 1)
+                        count = np.where(h[k] == words, n[k], 0)
+                    levels = [lookup.levels(x) if lookup else np.zeros(len(x), np.int64) for x in (word_keys(words, bits), pairs)]
+                    out.append((bucket, LEVELS, a, count.astype(narrow).tobytes(), *(x.astype(np.uint8).tobytes() for x in levels)))
+            if out:
+                yield message(*map(list, zip(*out, strict=True)))
+
+    model_rows = table.where(F.col("kind").isin(COUNTS, SEGMENT)).select("bucket", "kind", "a", "b", "c", "d")
+    asked = stepped.select("a", "c", "d").mapInArrow(ask, MESSAGE).unionByName(model_rows)
+    answers = asked.repartition(n, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(answer, MESSAGE)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        about: dict[bytes, tuple] = {}
-        sums: dict[bytes, list[np.ndarray]] = {}
+        _, hot_c, hot_level = model.value
+        got: list[tuple[bytes, bytes, bytes]] = []
         for batch in batches:
-            for kind, a, b, c, d in zip(*(batch.column(x).to_pylist() for x in ("kind", "a", "b", "c", "d")), strict=True):
-                if kind == TEXTS:
-                    about[a[:8]] = (np.frombuffer(a[8:], np.int64), b, c, d)
-                else:
-                    part, known = np.frombuffer(b), np.frombuffer(c, np.int64)
-                    if a in sums:
-                        sums[a][0] += part
-                        sums[a][1] += known
-                    else:
-                        sums[a] = [part.copy(), known.copy()]
-        for uid, (ids, held, number, rest) in about.items():
-            number = np.frombuffer(number, np.int64)
-            m = len(number)
-            model_score, part, known = np.frombuffer(rest).reshape(3, m)
-            more, also = sums.get(uid, (0.0, 0))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids[:m], pa.int64(), mask=ids[m:] > 0), pa.array(np.frombuffer(held, np.int64) > 0), pa.array(number), pa.array(known.astype(np.int64) + also), pa.array(np.full(m, total)),
-                    pa.array(part + more - number * np.log10(denominator)), pa.array(model_score),
-                ],
-                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-            )
-
-    every = scored.where(F.col("kind") == TEXTS).unionByName(answers).withColumn("step", step_key)
-    return every.repartition(n, "step").drop("step").mapInArrow(finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+            for kind, b, c, d in zip(*(batch.column(x).to_pylist() for x in ("kind", "b", "c", "d")), strict=True):
+                if kind == LEVELS:
+                    got.append((b, c, d))
+                    continue
+                at, words, which, pairs, both, is_hot, k = parts(c, d)
+                answered = [b"".join(x) for x in zip(*got, strict=True)] if got else [b""] * 3
+                got = []
+                known, level = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+                known[is_hot], level[is_hot] = hot_c[k[is_hot]], hot_level[k[is_hot]]
+                known[~is_hot], level[~is_hot] = np.frombuffer(answered[0], narrow), np.frombuffer(answered[1], np.uint8)
+                number = np.diff(at)
+                m = len(number)
+                row = np.repeat(np.arange(m), number)
+                # the model
+                estimate, pair = middle(level)[which], middle(np.frombuffer(answered[2], np.uint8).astype(np.int64))[both]
+                before = np.empty(len(which))
+                before[1:] = estimate[:-1]
+                before[at[:-1]] = texts
+                p = PAIRS * pair / np.maximum(np.maximum(before, pair), 1) + (1 - PAIRS) * np.minimum((estimate + 0.5) / denominator, 1)
+                known = known[which]
+                ids = np.frombuffer(b, np.int64).reshape(3, m)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(ids[0], pa.int64(), mask=ids[1] > 0), pa.array(ids[2] > 0), pa.array(number.astype(np.int64)), pa.array(np.bincount(row, known > 0, m).astype(np.int64)), pa.array(np.full(m, total)),
+                        pa.array(np.bincount(row, np.log10(known + 0.5), m) - number * np.log10(denominator)), pa.array(np.bincount(row, np.log10(p), m)),
+                    ],
+                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+                )
+
+    every = stepped.unionByName(answers)
+    return every.repartition(n, "a").sortWithinPartitions("a", "kind", "bucket").mapInArrow(finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def message(bucket, kind, a, b, c, d) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(kind, pa.int32()), *(pa.array(x, pa.binary()) for x in (a, b, c, d))], schema=arrow_schema())
 
 
-def headed(uid: int, rows: int, column: pa.Array) -> pa.Array:
-    """Each value after the step's number and its number of rows."""
-    head = np.array([uid, rows], np.int64).tobytes()
-    return pa.array([head + x for x in column.to_pylist()], pa.binary())
-
-
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(shared.table(spark, sf_dir, "documents"))

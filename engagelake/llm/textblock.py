@@ -19,7 +19,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i modulo 2**64 for i < n."""
-    if len(_tables.get("up", ())) < n:
+    if "up" not in _tables or len(_tables["up"]) < n:
         size = max(1 << 16, 1 << int(n - 1).bit_length())
         for name, base in (("up", BASE), ("down", INVERSE)):
             out = np.full(size, base, np.uint64)

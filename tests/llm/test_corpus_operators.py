@@ -427,6 +427,17 @@ def test_lm(documents, texts, awkward, nothing, monkeypatch):
     assert all(r.score < 0 for r in rows) and sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
+def test_lm_filter_grows_and_stays_in_buckets(spark, documents, monkeypatch):
+    assert [lm.filter_size(x << 30, 8) for x in (1, 24, 240)] == [1 << 30, 1 << 34, 1 << 38]
+    sent = []
+    kind = type(spark.sparkContext)
+    broadcast = kind.broadcast
+    monkeypatch.setattr(kind, "broadcast", lambda self, x: sent.append(sum(y.nbytes for y in x)) or broadcast(self, x))
+    monkeypatch.setattr(lm, "SHARE", 50)
+    rows = lm.lm_scores(documents).collect()
+    assert sent and max(sent) <= 50 * 3 * 8 and all(r.score < 0 for r in rows)
+
+
 def test_bloom_estimates():
     r = np.random.default_rng(0)
     h = r.integers(0, 1 << 63, 3000).astype(np.uint64) << np.uint64(1)
