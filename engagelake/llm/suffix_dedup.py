@@ -361,7 +361,7 @@ def suffix_dedup(documents: DataFrame) -> DataFrame:
     spans = decided.where(F.col("kind") == SPANS).unionByName(shard_spans(closer(texts, several, many, bits), buckets))
     packed = spans.select("bucket", "kind", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("int").alias("key"), "ord", "text_key", "at", "n", F.lit(None).cast("binary").alias("raw"))
     none = F.lit(None).cast("binary")
-    whole = rows.select((F.col("ord") % buckets).cast("int").alias("bucket"), F.lit(TEXT).alias("kind"), "doc_id", F.col("ord").alias("id"), F.col("text_key").alias("key"), none.alias("ord"), none.alias("text_key"), none.alias("at"), none.alias("n"), F.col("text").cast("binary").alias("raw"))
+    whole = rows.select(F.pmod("ord", F.lit(buckets)).cast("int").alias("bucket"), F.lit(TEXT).alias("kind"), "doc_id", F.col("ord").alias("id"), F.col("text_key").alias("key"), none.alias("ord"), none.alias("text_key"), none.alias("at"), none.alias("n"), F.col("text").cast("binary").alias("raw"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held, found = None, [], None

@@ -394,6 +394,12 @@ def test_suffix_dedup_awkward(awkward, nothing):
     assert suffix_dedup.suffix_dedup(nothing).count() == 0
 
 
+def test_suffix_dedup_negative_ids(spark):
+    df = spark.createDataFrame([(i, f"head {i} " + PASSAGE + f" tail {i}") for i in (-7, -5, -4, -2)], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.suffix_dedup(df).collect()}
+    assert got[-7] == 0 and all(got[i] >= len(PASSAGE) for i in (-5, -4, -2))
+
+
 def test_suffix_array():
     r = np.random.default_rng(6)
     for n in (*range(12), 50, 200):
