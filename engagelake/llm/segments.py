@@ -121,11 +121,8 @@ def repeated_hashes(texts: DataFrame, hashes: Callable[[np.ndarray, np.ndarray],
     step = filter_bits >> bits
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[np.ndarray]] = {}
-        for b in batches:
-            for bucket, high, low in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                held.setdefault(bucket, []).append((np.frombuffer(high, np.uint32).astype(np.uint64) << np.uint64(16) | np.frombuffer(low, np.uint16)) << np.uint64(16))
-        for bucket, parts in held.items():
+        for bucket, rows in shared.runs(batches, ["bucket", "high", "low"]):  # one bucket at a time
+            parts = [(np.frombuffer(high, np.uint32).astype(np.uint64) << np.uint64(16) | np.frombuffer(low, np.uint16)) << np.uint64(16) for _, high, low in rows]
             h = np.sort(np.concatenate(parts))
             again = np.zeros(len(h), bool)
             again[1:] = h[1:] == h[:-1]
@@ -135,7 +132,7 @@ def repeated_hashes(texts: DataFrame, hashes: Callable[[np.ndarray, np.ndarray],
             yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([np.packbits(out, bitorder="little").tobytes()], pa.binary())], ["bucket", "bits"])
 
     data = np.zeros(filter_bits >> 3, np.uint8)
-    parts = texts.select("text").mapInArrow(deal, "bucket int, high binary, low binary").repartition(n, "bucket").mapInArrow(gather, "bucket int, bits binary")
+    parts = texts.select("text").mapInArrow(deal, "bucket int, high binary, low binary").repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(gather, "bucket int, bits binary")
     for bucket, part in parts.collect():  # MAX_BITS bits in all
         data[bucket * (step >> 3) : (bucket + 1) * (step >> 3)] = np.frombuffer(part, np.uint8)
     return data, bits

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -108,3 +110,9 @@ def ragged_steps(starts: np.ndarray, counts: np.ndarray, step: int) -> np.ndarra
     total = int(counts.sum())
     first = np.repeat(np.cumsum(counts) - counts, counts)
     return np.repeat(starts, counts) + (np.arange(total, dtype=np.int64) - first) * step
+
+
+def runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[int, Iterator[tuple]]]:
+    """Rows (of these columns) of sorted batches, grouped by the first column; one group after another, none held whole."""
+    rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in columns), strict=True))
+    return itertools.groupby(rows, itemgetter(0))

@@ -185,14 +185,19 @@ def settled(rows: DataFrame, filter_: tuple[np.ndarray, int], buckets: int) -> D
             yield from settle()
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        for b in batches:
-            kind = b.column("kind").to_numpy()
-            if (kind == SPANS).any():
-                yield b.filter(pa.array(kind == SPANS))
-            for r in b.filter(pa.array(kind == QUESTIONS)).to_pylist():
-                held.append([np.frombuffer(r[c], t) for c, t in types.items()])
-        if held:
+        def asked() -> Iterator[pa.RecordBatch]:
+            """Questions; spans pass by."""
+            for b in batches:
+                kind = b.column("kind").to_numpy()
+                if (kind == SPANS).any():
+                    passing.append(b.filter(pa.array(kind == SPANS)))
+                yield b.filter(pa.array(kind == QUESTIONS))
+
+        passing: list[pa.RecordBatch] = []
+        for bucket, group in shared.runs(asked(), ["bucket", *types]):  # one bucket at a time
+            held = [[np.frombuffer(x, t) for x, t in zip(r[1:], types.values(), strict=True)] for r in group]
+            yield from passing
+            passing.clear()
             entries, least = least_ids(*(np.concatenate(x) for x in zip(*held, strict=True)))
             if not least.all():
                 yield spans(entries, ~least)
@@ -201,20 +206,18 @@ def settled(rows: DataFrame, filter_: tuple[np.ndarray, int], buckets: int) -> D
             new[1:] = content[1:] != content[:-1]
             anchor, texts = np.unique(anchor[new], return_counts=True)
             yield dealt((anchor >> np.uint64(64 - bits)).astype(np.int64), ANCHORS, anchor=anchor, n=texts.astype(np.int32))
+        yield from passing
 
     n = shared.partitions(spark)
-    return shared.written(rows.mapInArrow(ask, PACKED).repartition(n, "bucket").mapInArrow(decide, PACKED))
+    return shared.written(rows.mapInArrow(ask, PACKED).repartition(n, "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(decide, PACKED))
 
 
 def several_texts(decided: DataFrame, bits: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Filters (as bits of ``size`` for each bucket) of anchors with several texts, and of those with more than SHARD."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-        for b in batches:
-            for bucket, anchor, n in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                held.setdefault(bucket, []).append((np.frombuffer(anchor, np.uint64), np.frombuffer(n, np.int32).astype(np.int64)))
-        for bucket, parts in held.items():
+        for bucket, rows in shared.runs(batches, ["bucket", "anchor", "n"]):
+            parts = [(np.frombuffer(anchor, np.uint64), np.frombuffer(n, np.int32).astype(np.int64)) for _, anchor, n in rows]
             anchor, n = (np.concatenate(x) for x in zip(*parts, strict=True))
             anchor, which = np.unique(anchor >> np.uint64(16) << np.uint64(16), return_inverse=True)
             n = np.bincount(which, n)
@@ -227,7 +230,7 @@ def several_texts(decided: DataFrame, bits: int, size: int) -> tuple[np.ndarray,
             yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *(pa.array([x], pa.binary()) for x in out)], ["bucket", "several", "many"])
 
     n = shared.partitions(decided.sparkSession)
-    rows = decided.where(F.col("kind") == ANCHORS).select("bucket", "anchor", "n").repartition(n, "bucket").mapInArrow(gather, "bucket int, several binary, many binary")
+    rows = decided.where(F.col("kind") == ANCHORS).select("bucket", "anchor", "n").repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(gather, "bucket int, several binary, many binary")
     out = np.zeros((2, size << bits >> 3), np.uint8)
     for bucket, *parts in rows.collect():  # twice segments.MAX_BITS / 4 bits at most
         for k, part in enumerate(parts):

@@ -30,6 +30,47 @@ def test_components(spark):
     assert graph.components(edges.limit(0)).count() == 0
 
 
+def test_forest_spans():
+    r = np.random.default_rng(5)
+    for _ in range(100):
+        n = int(r.integers(1, 40))
+        forest, kept = graph.Forest(n), []
+        parent = list(range(n))
+
+        def root(x, parent=parent):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for _ in range(3):
+            a, b = r.integers(0, n, 25), r.integers(0, n, 25)
+            k = forest.links(a, b)
+            kept += [(a[i], b[i]) for i in k]
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                p, q = sorted((root(x), root(y)))
+                parent[q] = p
+        assert forest.label.tolist() == [root(x) for x in range(n)] and len(kept) == n - len(set(forest.label.tolist()))
+        again = graph.Forest(n)
+        again.links(np.array([x for x, _ in kept], int), np.array([y for _, y in kept], int))
+        assert again.label.tolist() == forest.label.tolist()
+
+
+def test_block_pairs_cover_and_grow_slowly(spark):
+    def placed(m):
+        members = spark.range(m).selectExpr("id % 2 as g", "id as rid").where("g = 0 or rid < 100")
+        return graph.block_pairs(members, ["g"], "rid").select("g", "i_", "j_", "own_", "rid").toPandas()
+
+    small = placed(1200)
+    for _, own in small.groupby("g"):
+        blocks = own.groupby(["i_", "j_"])["rid"].apply(set)
+        n = own["i_"].max() + 1
+        assert len(blocks) == n * (n + 1) // 2
+        of = own.drop_duplicates("rid").set_index("rid")["own_"]
+        assert all(s == {r for r, b in of.items() if b in key} for key, s in blocks.items())
+    # a pair of blocks of one group: payload rows grow as m ** 1.5
+    assert len(placed(40_000)) <= 2 * 20_000**1.5
+
+
 def test_words_and_hashes():
     texts = ["", " a\tbb \n", "x", "é y\x0bz", " "]
     column = pa.array([*texts, None])
