@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from . import shared, textblock
 
 SHARE = 50_000
-PROBES = 2
+PROBES = 3
 #: Weight of the pair estimate against the word estimate.
 PAIRS = 0.7
 #: Counts that a task merges in memory before it deals them out.
@@ -71,6 +71,19 @@ def summed(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[first], np.add.reduceat(n, first)
 
 
+def packed_gaps(h: np.ndarray, at: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """48-bit numbers (the top bits of hashes), ascending in each row at[i]:at[i+1], as the gaps between them: low four and high two bytes."""
+    low = h >> np.uint64(16)
+    gap = np.diff(low, prepend=np.uint64(0))
+    first = at[:-1][np.diff(at) > 0]
+    gap[first] = low[first]
+    return shared.binary((gap & np.uint64(0xFFFFFFFF)).astype(np.uint32), at), shared.binary((gap >> np.uint64(32)).astype(np.uint16), at)
+
+
+def from_gaps(low: bytes, high: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(low, np.uint32) | np.frombuffer(high, np.uint16).astype(np.uint64) << np.uint64(32)) << np.uint64(16)
+
+
 def bounds_of(h: np.ndarray, bits: int) -> np.ndarray:
     """Where each bucket (the top ``bits`` bits) begins among sorted hashes."""
     return np.searchsorted((h >> np.uint64(64 - bits)).astype(np.int64), np.arange((1 << bits) + 1))
@@ -83,25 +96,27 @@ class Filter:
         self.data, self.bits, self.size = data, bits, len(data) * 8 >> bits
 
     @staticmethod
-    def places(h: np.ndarray, level: np.ndarray | int, size: int) -> Iterator[np.ndarray]:
-        """Bits within a hash's segment."""
-        with np.errstate(over="ignore"):
-            x = textblock.mix(h ^ np.asarray(level, np.uint64) * np.uint64(0xA24BAED4963EE407))
-        for k in range(PROBES):
-            yield (x >> np.uint64(32 * k)) & np.uint64(size - 1)
+    def halves(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x = textblock.mix(h ^ np.uint64(0xA24BAED4963EE407))
+        return x & np.uint64(0xFFFFFFFF), x >> np.uint64(32) | np.uint64(1)
+
+    @staticmethod
+    def place(low: np.ndarray, step: np.ndarray, probe: int, size: int) -> np.ndarray:
+        """The bit of a hash's probe, of which each level has PROBES of its own, within its segment."""
+        return ((low + np.uint64(probe) * step) & np.uint64(0xFFFFFFFF)) * np.uint64(size) >> np.uint64(32)
 
     def levels(self, h: np.ndarray) -> np.ndarray:
         """The last level that is there, by repeated membership probes; 0 if none is."""
-        level, live = np.zeros(len(h), np.int64), np.arange(len(h))
+        level, live, (low, step) = np.zeros(len(h), np.int64), np.arange(len(h)), self.halves(h)
         base = (h >> np.uint64(64 - self.bits)) * np.uint64(self.size) if self.bits else np.zeros(len(h), np.uint64)
-        while len(live):
-            found = np.ones(len(live), bool)
-            for place in self.places(h[live], level[live] + 1, self.size):
-                at = base[live] + place
-                found &= (self.data[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
-            live = live[found]
-            level[live] += 1
-            live = live[level[live] < 48]
+        for probe in range(PROBES, 49 * PROBES):
+            at = base + self.place(low, step, probe, self.size)
+            found = (self.data[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+            live, low, step, base = live[found], low[found], step[found], base[found]
+            if probe % PROBES == PROBES - 1:
+                level[live] += 1
+            if not len(live):
+                break
         return level
 
     def estimates(self, h: np.ndarray) -> np.ndarray:
@@ -116,19 +131,19 @@ def middle(level: np.ndarray) -> np.ndarray:
 def segment(h: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
     """A bucket's segment of ``size`` bits, with every n-gram at levels 1 to 1 + floor(log2 n)."""
     out = np.zeros(size, bool)
-    top = 1 + np.floor(np.log2(n)).astype(np.int64)
+    top, (low, step) = 1 + np.floor(np.log2(n)).astype(np.int64), Filter.halves(h)
     level = 1
-    while len(h):
-        for place in Filter.places(h, level, size):
-            out[place.astype(np.int64)] = True
+    while len(low):
+        for k in range(PROBES):
+            out[Filter.place(low, step, level * PROBES + k, size).astype(np.int64)] = True
         level += 1
-        h, top = h[top >= level], top[top >= level]
+        low, step, top = low[top >= level], step[top >= level], top[top >= level]
     return np.packbits(out, bitorder="little")
 
 
 def filter_size(text_bytes: int, bits: int) -> int:
-    """Bits of the filter: the next power of two of 5/8 bit for each byte of training text, without a limit."""
-    return max(1 << (bits + 6), 1 << int(text_bytes * 5 // 8).bit_length())
+    """Bits of the filter: 5/4 bit for each byte of training text, without a limit, in equal segments of whole bytes."""
+    return max(1 << (bits + 10), -(-int(text_bytes) * 5 // (32 << bits)) << (bits + 3))
 
 
 def counted(documents: DataFrame, bits: int, filter_bits: int, partitions: int) -> DataFrame:
@@ -146,8 +161,7 @@ def counted(documents: DataFrame, bits: int, filter_bits: int, partitions: int)
             if kind == COUNTS:
                 a, b = shared.binary(h, at), shared.binary(n, at)
             else:  # 48 bits are enough for the filter, which is approximate anyway
-                h = h >> np.uint64(16)
-                a, b = shared.binary((h >> np.uint64(16)).astype(np.uint32), at), shared.binary((h & np.uint64(0xFFFF)).astype(np.uint16), at)
+                a, b = packed_gaps(h, at)
             c = shared.binary(n.astype(np.uint32), at)
             return pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(np.full(len(k), kind, np.int32)), a, b, c, pa.nulls(len(k), pa.binary())], ["bucket", "kind", "a", "b", "c", "d"])
 
@@ -166,23 +180,21 @@ def counted(documents: DataFrame, bits: int, filter_bits: int, partitions: int)
     size = filter_bits >> bits
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, dict[int, list]] = {}
-        for batch in batches:
-            for bucket, kind, a, b, c in zip(*(batch.column(x).to_pylist() for x in ("bucket", "kind", "a", "b", "c")), strict=True):
+        for bucket, rows in shared.runs(batches, ["bucket", "kind", "a", "b", "c"]):  # one bucket at a time
+            held = {COUNTS: [], PAIR_COUNTS: []}
+            for _, kind, a, b, c in rows:
                 if kind == COUNTS:
                     got = np.frombuffer(a, np.uint64), np.frombuffer(b, np.int64)
                 else:
-                    h = (np.frombuffer(a, np.uint32).astype(np.uint64) << np.uint64(16) | np.frombuffer(b, np.uint16)) << np.uint64(16)
-                    got = h, np.frombuffer(c, np.uint32).astype(np.int64)
-                held.setdefault(bucket, {COUNTS: [], PAIR_COUNTS: []})[kind].append(got)
-        for bucket in sorted(held):
-            x = {k: summed(*(np.concatenate(y) for y in zip(*v, strict=True))) if v else (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for k, v in held.pop(bucket).items()}
+                    got = from_gaps(a, b), np.frombuffer(c, np.uint32).astype(np.int64)
+                held[kind].append(got)
+            x = {k: summed(*(np.concatenate(y) for y in zip(*v, strict=True))) if v else (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for k, v in held.items()}
             bits_set = segment(np.concatenate([word_keys(x[COUNTS][0], bits), x[PAIR_COUNTS][0]]), np.concatenate([x[COUNTS][1], x[PAIR_COUNTS][1]]), size)
             level = Filter(bits_set, 0).levels(word_keys(x[COUNTS][0], bits)).astype(np.uint8)
             rows = [(bucket, COUNTS, x[COUNTS][0].tobytes(), x[COUNTS][1].tobytes(), level.tobytes(), None), (bucket, SEGMENT, bits_set.tobytes(), None, None, None)]
             yield pa.RecordBatch.from_pydict(dict(zip(("bucket", "kind", "a", "b", "c", "d"), map(list, zip(*rows, strict=True)), strict=True)), schema=arrow_schema())
 
-    return documents.select("text").mapInArrow(count, MESSAGE).repartition(partitions, "bucket").mapInArrow(gather, MESSAGE)
+    return documents.select("text").mapInArrow(count, MESSAGE).repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(gather, MESSAGE)
 
 
 def arrow_schema() -> pa.Schema:
@@ -240,17 +252,18 @@ def lm_scores(documents: DataFrame) -> DataFrame:
         task, step_of = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
             data, offsets = shared.utf8(batch.column(1))
-            for lo, hi in shared.steps(offsets, shared.STEP_BYTES // 2):
+            for lo, hi in shared.steps(offsets):
                 ids, uid = batch.column(0).slice(lo, hi - lo), task | step_of
                 step_of += 1
                 about = np.concatenate([ids.fill_null(0).to_numpy(), np.array(ids.is_null()).astype(np.int64), np.array(batch.column(2).slice(lo, hi - lo)).astype(np.int64)])
-                yield message([0], [TEXTS], [uid.to_bytes(8, "little")], [about.astype(np.int64).tobytes()], [(offsets[lo : hi + 1] - offsets[lo]).tobytes()], [data[offsets[lo] : offsets[hi]].tobytes()])
+                yield message([0], [TEXTS], [uid.to_bytes(8, "little")], [about.astype(np.int64).tobytes()], [(offsets[lo : hi + 1] - offsets[lo]).tobytes()], [pa.compress(data[offsets[lo] : offsets[hi]].tobytes(), "zstd", asbytes=True)])
 
     stepped = shared.written(rows.select("doc_id", "text", "held_out").mapInArrow(cut, MESSAGE))
 
     def parts(offsets: bytes, text: bytes) -> tuple:
         """A step's tokens with their rows' bounds, its distinct words and pairs in order, where each token's are, and the frequent words' places in the broadcast."""
-        h, at = tokens(np.frombuffer(text, np.uint8), np.frombuffer(offsets, np.int64))
+        at = np.frombuffer(offsets, np.int64)
+        h, at = tokens(np.frombuffer(pa.decompress(text, int(at[-1]), "zstd"), np.uint8), at)
         words, which = np.unique(h, return_inverse=True)
         pairs, both = np.unique(pair_hashes(h, at) >> np.uint64(16), return_inverse=True)
         hot_h = model.value[0]
@@ -265,10 +278,7 @@ def lm_scores(documents: DataFrame) -> DataFrame:
                 w, p = bounds_of(words, bits), bounds_of(pairs, bits)
                 some = np.flatnonzero((np.diff(w) > 0) | (np.diff(p) > 0))
                 w, p = np.append(w[some], len(words)), np.append(p[some], len(pairs))
-                low = pairs >> np.uint64(16)
-                gap = np.diff(low, prepend=np.uint64(0))  # within a bucket, gaps: their high parts are small
-                gap[p[:-1][np.diff(p) > 0]] = low[p[:-1][np.diff(p) > 0]]
-                yield message(some.astype(np.int32), np.full(len(some), ASKED, np.int32), [uid] * len(some), shared.binary(words, w), shared.binary((gap & np.uint64(0xFFFFFFFF)).astype(np.uint32), p), shared.binary((gap >> np.uint64(32)).astype(np.uint16), p))
+                yield message(some.astype(np.int32), np.full(len(some), ASKED, np.int32), [uid] * len(some), shared.binary(words, w), *packed_gaps(pairs, p))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Counts and levels of the words, and levels of the pairs, that each step asks for, from one bucket after another."""
@@ -284,7 +294,7 @@ def lm_scores(documents: DataFrame) -> DataFrame:
                     lookup = Filter(np.frombuffer(a, np.uint8), 0)
                 else:
                     words = np.frombuffer(b, np.uint64)
-                    pairs = np.cumsum(np.frombuffer(c, np.uint32) | np.frombuffer(d, np.uint16).astype(np.uint64) << np.uint64(32)) << np.uint64(16)
+                    pairs = from_gaps(c, d)
                     count = np.zeros(len(words), np.int64)
                     if len(h):
                         k = np.minimum(np.searchsorted(h, words), len(h) - 1)
