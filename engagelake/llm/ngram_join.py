@@ -135,7 +135,7 @@ def candidate_links(classes: DataFrame) -> DataFrame:
 
     needed = least_matches()
     members = classes.select("rid", "values").mapInArrow(bands, "band_key long, rid long")
-    groups = graph.block_pairs(members, ["band_key"], "rid", payload=classes.select("rid", "values"))
+    groups = graph.block_pairs(members, ["band_key"], "rid", payload=classes.select("rid", "values"), total=classes.count() * BANDS)
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole, at in graph.whole_groups(batches, ["band_key", "i_", "j_"]):
@@ -178,7 +178,7 @@ def near(sets: list[np.ndarray], threshold: float = THRESHOLD) -> np.ndarray:
     use = count[column] > 1  # what one set has alone is in no intersection
     number = np.cumsum(count > 1) - 1
     row, column = row[use], number[column[use]]
-    both = np.zeros((len(sets), len(sets)), np.float64)
+    both = np.zeros((len(sets), len(sets)), np.float32)  # exact to 16 million shingles
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
     width = 8192
@@ -195,28 +195,29 @@ def similar(documents: DataFrame) -> DataFrame:
 
     Rows of one class are joined by links of similarity 0.8 or more, also through others; class_id is its
     least doc_id. n_links counts the other rows that the row is linked with directly, copies
-    included. Null and empty texts have no shingles and link with nothing; a repeated row is a
-    copy; null ids name a class only if no other id can; an empty table gives an empty result;
+    included. Null and empty texts have no shingles and link with nothing; a very long text is one set, whole; a
+    repeated row is a copy; sets of one size that tie go by their ids; null ids name a class only if no other id can; an empty table gives an empty result;
     other columns are ignored. ``kept`` marks the rows with the class's id.
     """
     features = shared.written(set_features(documents))
-    classes = features.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.first("values").alias("values")).withColumnRenamed("k1", "rid")
-    classes = shared.written(classes)
+    classes = features.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.first("values").alias("values"))
+    classes = shared.written(classes.withColumn("rid", F.monotonically_increasing_id()))
     clusters = shared.written(graph.components(candidate_links(classes)))
-    chosen = clusters.join(classes.select("rid", "id", "copies"), clusters["id"] == classes["rid"]).select("component", "rid", classes["id"].alias("id"), "copies")
-    text = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    with_text = text.join(chosen, text["doc_id"].eqNullSafe(chosen["id"])).select("component", "rid", "copies", "text")
+    chosen = clusters.withColumnRenamed("id", "rid").join(classes.select("rid", "k1", "k2", "id", "copies"), "rid")
+    # texts of these classes: rows of their ids, each once, then of their keys
+    text = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("key"), "text")
+    of_ids = text.join(chosen.select(F.coalesce("id", F.lit(LAST)).alias("key")).distinct(), "key", "left_semi")
 
     def exact_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, offsets = shared.utf8(b.column(3))
+            data, offsets = shared.utf8(b.column(0))
             for lo, hi in shared.steps(offsets):
                 h, at = shingle_sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                own = set_keys(h, at)[0] == b.column(1).slice(lo, hi - lo).to_numpy()  # another text may share the id
-                out = pa.RecordBatch.from_arrays([*(b.column(k).slice(lo, hi - lo) for k in range(3)), shared.binary(h, at)], ["component", "rid", "copies", "shingles"])
-                yield out.filter(pa.array(own))
+                k1, k2 = set_keys(h, at)
+                yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), shared.binary(h, at)], ["k1", "k2", "shingles"])
 
-    sets = with_text.mapInArrow(exact_sets, "component long, rid long, copies long, shingles binary")
+    sets = of_ids.select("text").mapInArrow(exact_sets, "k1 long, k2 long, shingles binary").join(chosen.select("k1", "k2"), ["k1", "k2"], "left_semi")
+    sets = sets.groupBy("k1", "k2").agg(F.first("shingles").alias("shingles")).join(chosen, ["k1", "k2"]).select("component", "rid", "copies", "shingles")
     sets = shared.written(sets)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +227,6 @@ def similar(documents: DataFrame) -> DataFrame:
             out = []
             for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
                 rows = np.arange(lo, hi)
-                rows = rows[np.concatenate([[True], rid[rows[1:]] != rid[rows[:-1]]])]  # a repeated row of the least id
                 linked = near([np.frombuffer(shingles[int(k)].as_buffer(), np.uint64) for k in rows])
                 np.fill_diagonal(linked, False)
                 if i[lo] != j[lo]:
@@ -244,10 +244,10 @@ def similar(documents: DataFrame) -> DataFrame:
     verified = shared.written(pairs.select("component", "i_", "j_", "own_", "rid", "copies", "shingles").mapInArrow(verify, "a long, b long, n long"))
     links = verified.groupBy(F.col("a").alias("rid")).agg(F.sum("n").alias("n"))
     joined = graph.components(verified.where("n = 0").select("a", "b"))
-    about = classes.select("rid", "k2", "id", "copies").join(joined.select(F.col("id").alias("rid"), "component"), "rid", "left").join(links, "rid", "left")
-    about = about.select("rid", "k2", "id", F.coalesce("component", "rid").alias("component"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    about = classes.select("rid", "k1", "k2", "id", "copies").join(joined.select(F.col("id").alias("rid"), "component"), "rid", "left").join(links, "rid", "left")
+    about = about.select("k1", "k2", "id", F.coalesce("component", "rid").alias("component"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     names = about.groupBy("component").agg(F.min("id").alias("class_id"))
-    about = about.join(names, "component").select(F.col("rid").alias("k1"), "k2", "class_id", "n_links")
+    about = about.join(names, "component").select("k1", "k2", "class_id", "n_links")
     worded = features.where("n_shingles > 0").select("doc_id", "n_shingles", "k1", "k2").join(about, ["k1", "k2"])
     empty = features.where("n_shingles = 0").select("doc_id", "n_shingles", "k1", "k2", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     columns = ["doc_id", "n_shingles", "class_id", "n_links", "k1", "k2"]
@@ -263,24 +263,24 @@ def one_of_each(documents: DataFrame) -> DataFrame:
 
     Of repeated rows of that id and set one stays. Texts without words are all kept.
     """
-    names = documents.columns
     decisions = similar(documents)
-    chosen = decisions.where(F.col("kept") & (F.col("n_shingles") > 0)).select(F.coalesce("doc_id", F.lit(LAST)).alias("id_key_"), F.col("k1").alias("set_key_"), F.col("k2").alias("also_key_")).distinct()
-    schema = T.StructType([*documents.schema.fields, T.StructField("set_key_", T.LongType()), T.StructField("also_key_", T.LongType())])
+    chosen = decisions.where(F.col("kept") & (F.col("n_shingles") > 0)).select(F.coalesce("doc_id", F.lit(LAST)).alias("id"), "k1", "k2").distinct()
+    # a document travels as one value, whatever its columns are called
+    whole = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row"))
+    schema = T.StructType([*whole.schema.fields, T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, offsets = shared.utf8(b.column(names.index("text")))
+            data, offsets = shared.utf8(b.column(0).field("text"))
             keys = [set_keys(*shingle_sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])) for lo, hi in shared.steps(offsets)]
             one, two = (np.concatenate(x) for x in zip(*keys, strict=True)) if keys else (np.zeros(0, np.int64),) * 2
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(one), pa.array(two)], [*b.schema.names, "set_key_", "also_key_"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(one), pa.array(two)], ["row", "k1", "k2"])
 
-    rows = documents.mapInArrow(run, schema).withColumn("id_key_", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
-    empty = rows.where("set_key_ = 0 and also_key_ = 0")
-    worded = rows.where("set_key_ <> 0 or also_key_ <> 0")
-    key = ["id_key_", "set_key_", "also_key_"]
+    rows = whole.mapInArrow(run, schema).withColumn("id", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(LAST)))
+    empty = rows.where("k1 = 0 and k2 = 0")
+    worded = rows.where("k1 <> 0 or k2 <> 0")
+    key = ["id", "k1", "k2"]
     # a repeated row is a copy, too: the join has brought such rows together, numbering them moves none
     first = W.partitionBy(*key).orderBy(*key)
-    kept = worded.join(chosen, key, "left_semi").withColumn("nth_", F.row_number().over(first)).where("nth_ = 1")
-    columns = [F.col(f"`{c}`") for c in names]
-    return kept.select(*columns).unionByName(empty.select(*columns))
+    kept = worded.join(chosen, key, "left_semi").withColumn("nth", F.row_number().over(first)).where("nth = 1")
+    return kept.select("row").unionByName(empty.select("row")).select("row.*")
