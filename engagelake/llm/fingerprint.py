@@ -13,6 +13,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,40 +145,60 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float((best * weight).sum() / weight.sum())
 
 
-def bucketed(documents: DataFrame, buckets: int) -> DataFrame:
-    """Rows in ranges of descending id, with the first row of each following range as a guest at the end of the one before.
+def bucketed(documents: DataFrame) -> DataFrame:
+    """Rows in as many ranges as there are partitions, in descending order of the id, each in its own partition and in order.
 
-    Columns bucket, guest, doc_id, text. After the last range comes the first row of all.
+    Columns bucket, guest, doc_id, text. Ids come in the order of ``k``, equal ones in that of a hash of the text.
+    Behind the last row of each range stands, as a guest, the first row of the next one (of the first one, behind the
+    last), so that every row has the next one at hand. Ranges are cut by the ids and hashes alone. The first rows of the ranges, a
+    row for each, come to the driver. Rows with equal ids and texts are interchangeable; where they are more than a
+    range's share, they are dealt over several.
     """
-    rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    cuts = sorted({float(x) for x in rows.approxQuantile("key", [i / buckets for i in range(1, buckets)], 0.002)}, reverse=True) if buckets > 1 else []
-    # ids over the first cut are range 0, and so on; equal ids stay together
-    edges = F.array(*map(F.lit, cuts)) if cuts else None
-    number = F.size(F.filter(edges, lambda c: F.col("key").cast("double") <= c)) if cuts else F.lit(0)
-    rows = rows.withColumn("bucket", number)
-    heads = dict(map(tuple, rows.groupBy("bucket").agg(F.max("key")).collect()))  # a row for each range
-    present = sorted(heads)
-    if not present:
-        return rows.withColumn("guest", F.lit(False))
-    before = {heads[b]: present[i - 1] for i, b in enumerate(present)}  # present[-1] comes before the first
-    host = F.create_map(*[x for k, v in before.items() for x in (F.lit(k), F.lit(v))])
-    guests = rows.where(F.col("key").isin(list(before))).withColumn("bucket", host[F.col("key")]).withColumn("guest", F.lit(True))
-    return rows.withColumn("guest", F.lit(False)).unionByName(guests)
+    spark = documents.sparkSession
+    n = shared.partitions(spark)
+    text = F.coalesce("text", F.lit(""))
+    rows = documents.select(F.bitwise_not(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).alias("k"), F.xxhash64(text).alias("h"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    keys = shared.written(rows.select("k", "h"))
+    share = keys.count() // n + 1
+    many = [tuple(r) for r in keys.groupBy("k", "h").count().where(F.col("count") > share).collect()]  # fewer than partitions
+    parts = F.broadcast(spark.createDataFrame([(k, h, -(-c // share)) for k, h, c in many], "k long, h long, parts long"))
+
+    def dealt(df: DataFrame) -> DataFrame:
+        part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.coalesce("parts", F.lit(1)))
+        return df.join(parts, ["k", "h"], "left").withColumn("part", part).drop("parts")
+
+    order = ["k", "h", "part"]
+    ranges = dealt(keys).repartitionByRange(n, *order).groupBy(F.spark_partition_id().alias("range")).agg(F.min(F.struct(*order)).alias("head"))
+    heads = sorted(tuple(r.head) for r in ranges.collect())  # a row for each partition
+    cuts = np.array(heads, np.int64).reshape(-1, 3)
+
+    @F.pandas_udf("int")
+    def bucket(k: pd.Series, h: pd.Series, part: pd.Series) -> pd.Series:
+        """The last range whose first row is not after the row; rows before all are in the first."""
+        value = np.concatenate([cuts, np.stack([k, h, part], 1)])
+        seq = np.lexsort((np.arange(len(value)), value[:, 2], value[:, 1], value[:, 0]))  # a range's first row comes before its equals
+        out = np.empty(len(value), np.int32)
+        out[seq] = np.cumsum(seq < len(cuts)) - 1
+        return pd.Series(np.maximum(out[len(cuts) :], 0))
+
+    here = [(h[0], h[1], (i - 1) % len(heads)) for i, h in enumerate(heads)]
+    first = F.broadcast(spark.createDataFrame(here, "k long, h long, bucket int"))
+    guests = rows.join(F.broadcast(spark.createDataFrame(sorted({x[:2] for x in here}), "k long, h long")), ["k", "h"]).groupBy("k", "h").agg(F.first("text").alias("text"))
+    guests = guests.join(first, ["k", "h"]).select("bucket", F.lit(True).alias("guest"), "k", "h", F.lit(None).cast("long").alias("doc_id"), "text")
+    own = dealt(rows).select(bucket("k", "h", "part").alias("bucket"), F.lit(False).alias("guest"), "k", "h", "doc_id", "text")
+    return own.unionByName(guests).repartitionById(n, "bucket").sortWithinPartitions("bucket", "guest", "k", "h")
 
 
 def fingerprints(documents: DataFrame) -> DataFrame:
     """Per row of ``documents``: fingerprints of its text and its edited text, and likenesses.
 
-    The next document is that of the next lower id; equal ids go by text; null ids come last, and
+    The next document is that of the next lower id; equal ids go by a hash of the text; null ids come last, and
     after the last comes the first. Null and empty texts have the empty fingerprint, alike only to
-    another empty one. An only document follows itself. Repeated rows get a result each. An empty
-    table gives an empty result; other columns are ignored.
+    another empty one. An only document follows itself. Repeated rows get a result each. A very long text is read
+    whole and has as many filters as its features need. An empty table gives an empty result; other columns are ignored.
     """
-    spark = documents.sparkSession
     rank = rarity(documents)
-    n = shared.partitions(spark)
-    placed = bucketed(documents, 3 * n)  # several ranges for each partition even it out
-    ordered = placed.repartition(n, "bucket").sortWithinPartitions("bucket", F.col("guest"), F.col("key").desc(), "text")
+    ordered = bucketed(documents)
 
     def digest(texts: list[str]) -> list[np.ndarray]:
         raw = [t.encode() for t in texts]
