@@ -26,6 +26,10 @@ def untouched(run: Column, this_run: Column, nulls: bool) -> Column:
 
 # --- text ---
 
+# What is struck out of messages, and what stands instead.
+SECRETS = (r"(?i)(access_token|token|password)=([^&\s]+)", r"postgresql(?:\+asyncpg)?://[^\s]+")
+STRUCK = "[СКРЫТО]"
+
 
 def strip(text: Column) -> Column:
     """Without white space at both ends, any white space of Unicode."""
@@ -38,9 +42,10 @@ def keyword_identity(text: Column) -> Column:
 
 
 def masked(text: Column, limit: int = 2000) -> Column:
-    """Secrets after a key word are struck out, then the text is cut."""
-    out = F.regexp_replace(text, r"(?i)(access_token|token|password|secret)(\s*=\s*)(\"[^\"]*\"|[^&\s]+)", "$1$2***")
-    return F.left(F.regexp_replace(out, r"(?i)([a-z]+://[^:/\s]+:)[^@\s]+@", "$1***@"), F.lit(limit))
+    """Keys with their values, and whole database addresses, are struck out, then the text is cut."""
+    for pattern in SECRETS:
+        text = F.regexp_replace(text, pattern, STRUCK)
+    return F.left(text, F.lit(limit))
 
 
 def content_hash(text: Column, published: Column, edited: Column) -> Column:

@@ -20,10 +20,13 @@ def duplicates(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).count().where("count > 1").agg(F.count("*").alias("duplicates"))
 
 
-def fingerprint(df: DataFrame, value: Column, order: Column) -> DataFrame:
-    """One row: md5 of all values in order, and their number. For small control tables: the list is one string."""
-    listed = F.array_sort(F.collect_list(F.struct(order.alias("o"), value.alias("v"))))
-    return df.agg(F.md5(F.array_join(F.transform(listed, lambda x: x["v"]), ",")).alias("fingerprint"), F.count("*").alias("n"))
+def fingerprint(df: DataFrame, value: Column, order: Column, most: int = 100_000) -> DataFrame:
+    """One row: md5 of all values in order, and their number. For control tables of at most ``most`` rows, as the values are one string; more fail."""
+    rows = df.select(F.struct(order.alias("o"), value.alias("v")).alias("x")).limit(most + 1)
+    listed = F.array_sort(F.collect_list("x"))
+    n = F.count("*")
+    whole = F.when(n > most, F.raise_error(F.lit(f"a fingerprint takes {most} rows at most"))).otherwise(F.md5(F.array_join(F.transform(listed, lambda x: x["v"]), ",")))
+    return rows.agg(whole.alias("fingerprint"), n.alias("n"))
 
 
 def labelled_counts(spark, **tables: DataFrame) -> DataFrame:

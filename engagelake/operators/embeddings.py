@@ -7,12 +7,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
 
 
+#: Blocks that are added in one step, and steps: enough for a million tasks.
+FAN, LEVELS = 32, 4
+
+
 def norm_report(df: DataFrame, vector: str = "embedding") -> DataFrame:
     """One row: vectors, bad components, zero vectors, and whether all norms are 1 within 1e-3."""
     n = c.norm(F.col(vector))
@@ -21,7 +26,7 @@ def norm_report(df: DataFrame, vector: str = "embedding") -> DataFrame:
 
 
 def _moments(df: DataFrame, vector: str) -> tuple[int, np.ndarray, np.ndarray]:
-    """n, sum and sum of outer products: each task gives one d x d block."""
+    """n, sum and sum of outer products: each task gives one d x d block, and blocks are added FAN at a time, level by level."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n, s, ss = 0, None, None
@@ -30,10 +35,16 @@ def _moments(df: DataFrame, vector: str) -> tuple[int, np.ndarray, np.ndarray]:
             if len(x):
                 n, s, ss = n + len(x), x.sum(0) + (0 if s is None else s), x.T @ x + (0 if ss is None else ss)
         if n:
-            yield pd.DataFrame({"n": [n], "s": [s.tolist()], "ss": [ss.ravel().tolist()]})
+            yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "n": [n], "s": [s.tolist()], "ss": [ss.ravel().tolist()]})
+
+    def added(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": [rows["part"].iloc[0] // FAN], "n": [rows["n"].sum()], "s": [np.sum(np.stack(rows["s"]), 0).tolist()], "ss": [np.sum(np.stack(rows["ss"]), 0).tolist()]})
 
-    parts = df.select(F.col(vector).cast("array<double>").alias("v")).where("v is not null").mapInPandas(run, "n long, s array<double>, ss array<double>")
-    rows = parts.collect()  # a row for each task
+    schema = "part long, n long, s array<double>, ss array<double>"
+    parts = df.select(F.col(vector).cast("array<double>").alias("v")).where("v is not null").mapInPandas(run, schema)
+    for _ in range(LEVELS):
+        parts = parts.groupBy(F.floor(F.col("part") / FAN)).applyInPandas(added, schema)
+    rows = parts.collect()  # one row up to FAN ** LEVELS tasks
     if not rows:
         return 0, np.zeros(0), np.zeros((0, 0))
     d = len(rows[0].s)

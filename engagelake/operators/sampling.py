@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,27 +17,36 @@ def stratified(df: DataFrame, strata: list[str], rank: Column, seq: str, target:
 
     Extra rows go to strata by largest shortfall (rows less quota), then least quota, then first
     appearance (``seq``). Within a stratum rows go by ``rank``, then ``seq``. With no more rows than
-    the target, all stay. Only a row for each stratum meets in one place.
+    the target, all stay. Only a row for each stratum meets in one place, and no stratum is sorted beyond the
+    target: the literal bound limits it before and after the shuffle.
     """
-    total = df.count()
-    if total <= target:
-        return df
     sizes = df.groupBy(*strata).agg(F.count("*").alias("n_"), F.min(seq).alias("first_"))
-    sizes = sizes.withColumn("k_", F.least(F.col("n_"), F.floor(F.lit(float(target)) * (F.col("n_") / F.lit(float(total))))))
+    sizes = sizes.withColumn("total_", F.sum("n_").over(W.partitionBy(F.lit(1))))
+    share = F.floor(F.lit(float(target)) * (F.col("n_") / F.col("total_").cast("double")))
+    sizes = sizes.withColumn("k_", F.when(F.col("total_") <= target, F.col("n_")).otherwise(F.least(F.col("n_"), share)))
     spare = F.lit(target) - F.sum("k_").over(W.partitionBy(F.lit(1)))
     turn = F.row_number().over(W.partitionBy(F.lit(1)).orderBy(F.desc(F.col("n_") - F.col("k_")), F.asc("k_"), F.asc("first_")))
     quota = sizes.select(*strata, (F.col("k_") + F.when((turn <= spare) & (F.col("k_") < F.col("n_")), 1).otherwise(0)).alias("quota_"))
-    numbered = df.withColumn("rank_", F.row_number().over(W.partitionBy(*strata).orderBy(rank, seq)))
+    numbered = df.withColumn("rank_", F.row_number().over(W.partitionBy(*strata).orderBy(rank, seq))).where(F.col("rank_") <= target)
     return numbered.join(quota, strata).where("rank_ <= quota_").drop("rank_", "quota_")
 
 
-def ks_distance(population: DataFrame, sample: DataFrame, value: str) -> DataFrame:
-    """One row: d, n, m. Distances are taken where values occur: two running sums over distinct values."""
+def ks_distance(population: DataFrame, sample: DataFrame, value: str, ranges: int = 64) -> DataFrame:
+    """One row: d, n, m. Distances are taken where values occur: two running sums over distinct values.
+
+    The values are cut into ``ranges`` at approximate quantiles of the population; sums run within a range, each
+    range starts from the sums of those before it, and only a row for each range meets in one place.
+    """
     counts = population.groupBy(F.col(value).alias("x")).agg(F.count("*").alias("p"), F.lit(0).cast("long").alias("s")).unionByName(sample.groupBy(F.col(value).alias("x")).agg(F.lit(0).cast("long").alias("p"), F.count("*").alias("s")))
     each = counts.groupBy("x").agg(F.sum("p").alias("p"), F.sum("s").alias("s")).where("x is not null")
-    w = W.partitionBy(F.lit(1)).orderBy("x").rowsBetween(W.unboundedPreceding, 0)
-    run = each.select(F.sum("p").over(w).alias("cp"), F.sum("s").over(w).alias("cs"), "p", "s")
-    total = each.agg(F.sum("p").alias("n"), F.sum("s").alias("m"))
+    cuts = population.agg(F.percentile_approx(value, [i / ranges for i in range(1, ranges)], 100 * ranges).alias("cuts"))
+    each = each.crossJoin(F.broadcast(cuts)).select("x", "p", "s", F.size(F.filter("cuts", lambda c: c < F.col("x"))).alias("range"))  # one row of cuts
+    sums = each.groupBy("range").agg(F.sum("p").alias("rp"), F.sum("s").alias("rs"))
+    before = W.partitionBy(F.lit(1)).orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    starts = sums.select("range", F.coalesce(F.sum("rp").over(before), F.lit(0)).alias("bp"), F.coalesce(F.sum("rs").over(before), F.lit(0)).alias("bs"))
+    w = W.partitionBy("range").orderBy("x").rowsBetween(W.unboundedPreceding, 0)
+    run = each.join(F.broadcast(starts), "range").select((F.col("bp") + F.sum("p").over(w)).alias("cp"), (F.col("bs") + F.sum("s").over(w)).alias("cs"))  # a row for each range
+    total = sums.agg(F.sum("rp").alias("n"), F.sum("rs").alias("m"))
     gap = F.abs(F.try_divide(F.col("cp").cast("double"), F.col("n")) - F.try_divide(F.col("cs").cast("double"), F.col("m")))
     return run.crossJoin(F.broadcast(total)).groupBy("n", "m").agg(F.max(gap).alias("d")).select(F.coalesce("d", F.lit(0.0)).alias("d"), "n", "m")
 
@@ -64,13 +76,15 @@ def chi_square(population: DataFrame, sample: DataFrame, category: str) -> DataF
 
 
 def chi_square_pvalue(statistic: Column, df: Column) -> Column:
-    """Wilson-Hilferty: half of erfc(z / sqrt 2); erfc by the rational fit of Abramowitz and Stegun 7.1.26."""
+    """Wilson-Hilferty: half of erfc(z / sqrt 2), for reports of a row or few."""
+
+    @F.pandas_udf("double")
+    def erfc(x: pd.Series) -> pd.Series:
+        return x.map(math.erfc)
+
     k = F.lit(2.0) / (df * 9)
     z = (F.pow(statistic / df, 1 / 3) - (1 - k)) / F.sqrt(k)
-    x = F.abs(z) / F.sqrt(F.lit(2.0))
-    t = 1 / (1 + 0.3275911 * x)
-    tail = (((((1.061405429 * t - 1.453152027) * t) + 1.421413741) * t - 0.284496736) * t + 0.254829592) * t * F.exp(-x * x)
-    return F.when(statistic <= 0, 1.0).otherwise(F.when(z >= 0, tail).otherwise(2 - tail) / 2)
+    return F.when(statistic <= 0, 1.0).otherwise(erfc(z / F.sqrt(F.lit(2.0))) / 2)
 
 
 def synthetic_posts(spark, n: int, groups: int = 50) -> DataFrame:

@@ -143,8 +143,8 @@ def status_map(spark, sf_dir):
 
 
 def ordered_fingerprint(spark, sf_dir):
-    g = b.groups(spark, sf_dir).where("status = 'approved'")
-    return aggregates.fingerprint(g, F.concat_ws(":", F.col("group_id").cast("string"), "segment"), F.col("group_id"))
+    """Of a control table: the nations, whose number is fixed."""
+    return aggregates.fingerprint(b.table(spark, sf_dir, "nation"), F.concat_ws(":", F.col("n_nationkey").cast("string"), "n_name"), F.col("n_nationkey"))
 
 
 def coverage_percent(spark, sf_dir):
@@ -290,7 +290,7 @@ QUERIES = {
     "minmax_by_type": (minmax_by_type, f"WITH {J} SELECT run_id, " + ", ".join(f"min(entity_id) FILTER (WHERE job_type = '{t}') AS {t}_first, max(entity_id) FILTER (WHERE job_type = '{t}') AS {t}_last" for t in ("posts", "members", "profile")) + " FROM jobs WHERE status = 'pending' GROUP BY 1"),
     "ordered_collect": (ordered_collect, "SELECT conv_id, string_agg(role, ',' ORDER BY turn, role) AS roles, count(*) AS turns FROM conversations GROUP BY 1"),
     "status_map": (status_map, f"""WITH {J}, c AS (SELECT job_type, status, count(*) AS n FROM jobs GROUP BY 1, 2) SELECT job_type, '{{' || string_agg('"' || status || '":' || n, ',' ORDER BY status) || '}}' AS statuses FROM c GROUP BY 1"""),
-    "ordered_fingerprint": (ordered_fingerprint, f"WITH {G} SELECT md5(string_agg(group_id || ':' || segment, ',' ORDER BY group_id)) AS fingerprint, count(*) AS n FROM groups WHERE status = 'approved'"),
+    "ordered_fingerprint": (ordered_fingerprint, "SELECT md5(string_agg(n_nationkey || ':' || n_name, ',' ORDER BY n_nationkey)) AS fingerprint, count(*) AS n FROM nation"),
     "coverage_percent": (coverage_percent, f"WITH {J} SELECT run_id, round(count(*) FILTER (WHERE status = 'completed') * 100.0 / count(*), 4)::DOUBLE AS coverage, 100.0::DOUBLE AS empty_coverage FROM jobs GROUP BY 1"),
     "quantiles": (quantiles, "SELECT round(quantile_cont(n_chars, 0.33), 6) AS q33, round(quantile_cont(n_chars, 0.66), 6) AS q66 FROM documents"),
     "row_sizes": (row_sizes, f"WITH {G} SELECT round(avg(strlen(concat_ws('|', CAST(group_id AS VARCHAR), name, segment, status))), 6) AS bytes_per_row, count(*) AS n FROM groups"),

@@ -175,7 +175,8 @@ def audit_sample(spark, sf_dir):
     size = F.create_map(*map(F.lit, ("rejected", 20, "several", 10, "approved", 40, "long", 15, "undecided", 30)))
     rank = c.hash_rank(F.concat_ws(":", F.lit("20260730"), F.col("doc_id").cast("string")))
     numbered = d.withColumn("stratum", stratum).withColumn("rank", F.row_number().over(W.partitionBy("stratum").orderBy(rank, "doc_id")))
-    return numbered.where(F.col("rank") <= size[F.col("stratum")]).select("doc_id", "stratum")
+    # the literal bound, that of the largest stratum, limits the sort before and after the shuffle
+    return numbered.where("rank <= 40").where(F.col("rank") <= size[F.col("stratum")]).select("doc_id", "stratum")
 
 
 def pilot_selection(spark, sf_dir):

@@ -53,7 +53,9 @@ def text_normalise(spark, sf_dir):
 
 
 def secret_mask(spark, sf_dir):
-    return b.table(spark, sf_dir, "documents").select("doc_id", F.md5(c.masked(F.col("text"))).alias("digest"))
+    """Documents with a key and a database address put in, in forms that are masked and in others that are not."""
+    text = F.concat(F.replace("text", F.lit('token = "'), F.lit("Token=")), F.lit(" & PASSWORD=a&b postgresql+asyncpg://u:p@host/"), F.col("doc_id").cast("string"), F.lit(" mysql://u:p@host secret=1"))
+    return b.table(spark, sf_dir, "documents").select("doc_id", F.md5(c.masked(text)).alias("digest"), F.right(c.masked(text), F.lit(40)).alias("tail"))
 
 
 def content_hashes(spark, sf_dir):
@@ -145,7 +147,8 @@ QUERIES = {
     "keyset_page": (keyset_page, "SELECT c_custkey, c_name FROM customer WHERE c_custkey > 40 ORDER BY c_custkey LIMIT 25"),
     "text_normalise": (text_normalise, r"""WITH t AS (SELECT p_partkey, '  ' || upper(p_name) || ' ' || chr(9) || ' ' || p_brand || chr(10) AS x FROM part), s AS (SELECT p_partkey, regexp_replace(x, '^\s+|\s+$', '', 'g') AS x FROM t)
         SELECT p_partkey, regexp_replace(translate(lower(x), 'ё', 'е'), '\s+', ' ', 'g') AS identity, length(x) AS n, left(x, 5) AS head FROM s"""),
-    "secret_mask": (secret_mask, r"""SELECT doc_id, md5(left(regexp_replace(regexp_replace(text, '(access_token|token|password|secret)(\s*=\s*)("[^"]*"|[^&\s]+)', '\1\2***', 'gi'), '([a-z]+://[^:/\s]+:)[^@\s]+@', '\1***@', 'gi'), 2000)) AS digest FROM documents"""),
+    "secret_mask": (secret_mask, r"""WITH t AS (SELECT doc_id, replace(text, 'token = "', 'Token=') || ' & PASSWORD=a&b postgresql+asyncpg://u:p@host/' || doc_id || ' mysql://u:p@host secret=1' AS t FROM documents),
+        m AS (SELECT doc_id, left(regexp_replace(regexp_replace(t, '(access_token|token|password)=([^&\s]+)', '[СКРЫТО]', 'gi'), 'postgresql(\+asyncpg)?://[^\s]+', '[СКРЫТО]', 'g'), 2000) AS t FROM t) SELECT doc_id, md5(t) AS digest, right(t, 40) AS tail FROM m"""),
     "content_hashes": (content_hashes, f"WITH {b.POSTS_SQL} SELECT post_id, sha256(coalesce(label,'') || chr(0) || CAST(group_id AS VARCHAR) || chr(0) || CASE WHEN post_id % 3 = 0 THEN CAST(post_id AS VARCHAR) ELSE 'None' END) AS content_hash FROM posts"),
     "hash_rank_mod": (hash_rank_mod, f"""WITH {b.POSTS_SQL}, h AS (SELECT post_id, {_HASH} AS h FROM posts)
         SELECT post_id, list_reduce(list_prepend(0::BIGINT, list_transform(range(8), lambda i: ('0x' || substr(h, CAST(8*i+1 AS BIGINT), 8))::BIGINT)), lambda a, w: (a * 294967296 + w) % 1000000000) AS rank FROM h"""),

@@ -108,11 +108,35 @@ def trailing_24h(spark, sf_dir):
     return b.calls(spark, sf_dir).agg(F.count_if(recent).alias("calls"), F.count_if(recent & (F.col("method") == "error")).alias("errors"), F.count_if(recent & (F.col("code") == 9)).alias("rate_limited"), F.max("ts").alias("newest"))
 
 
-def alert_dedup(spark, sf_dir):
-    """Alerts that are sent: the first of a key, a change of severity, or a day after the last one of an unbroken run."""
-    a = b.calls(spark, sf_dir).where("code <> 0").withColumn("key", F.concat_ws(".", F.col("token").cast("string"), "method")).withColumn("severity", F.when(F.col("code") == 9, "critical").otherwise("warning"))
-    w = W.partitionBy("key").orderBy("ts", "event_id")
-    return a.withColumn("last", F.lag("severity").over(w)).withColumn("before", F.lag("ts").over(w)).where(F.col("last").isNull() | (F.col("last") != F.col("severity")) | (F.col("ts") - F.col("before") >= F.expr("INTERVAL 24 HOUR"))).select("event_id", "key", "severity")
+def alert_cycles(spark, sf_dir):
+    """Issues as hourly checks see them: a method's limited calls, critical with a long limit."""
+    hour = F.date_trunc("hour", F.col("ts").cast("timestamp")).cast("timestamp_ntz")
+    return b.calls(spark, sf_dir).where("code <> 0").groupBy(F.concat(F.lit("api."), "method").alias("key"), hour.alias("ts")).agg(F.when(F.max("code") == 9, "critical").otherwise("warning").alias("severity"))
+
+
+def alert_dedup(spark, sf_dir, repeat_hours: int = 3):
+    """Messages: an alert for a new key, a changed severity, or ``repeat_hours`` after the last one sent; a recovery in the first check without it.
+
+    A fold over each key's checks in order, of which there is one in an hour at most.
+    """
+    hour = F.expr("INTERVAL 1 HOUR")
+    checks = F.array_sort(F.collect_list(F.struct("ts", "severity")))
+    messages = "array<struct<at:timestamp_ntz,kind:string,severity:string>>"
+    state = f"struct<severity:string,sent:timestamp_ntz,seen:timestamp_ntz,out:{messages}>"
+    message = lambda at, kind, severity: F.struct(at.alias("at"), F.lit(kind).alias("kind"), severity.alias("severity"))
+
+    def step(acc, x):
+        gone = F.coalesce(x["ts"] > acc["seen"] + hour, F.lit(False))
+        due = acc["seen"].isNull() | gone | (acc["severity"] != x["severity"]) | (x["ts"] - acc["sent"] >= F.expr(f"INTERVAL {repeat_hours} HOUR"))
+        news = F.concat(F.when(gone, F.array(message(acc["seen"] + hour, "recovery", acc["severity"]))).otherwise(F.array()), F.when(due, F.array(message(x["ts"], "alert", x["severity"]))).otherwise(F.array()))
+        return F.struct(x["severity"].alias("severity"), F.when(due, x["ts"]).otherwise(acc["sent"]).alias("sent"), x["ts"].alias("seen"), F.concat(F.coalesce(acc["out"], F.array().cast(messages)), news).alias("out")).cast(state)
+
+    def finish(acc):
+        over = acc["seen"] + hour < b.moment(b.EVENTS_AS_OF)
+        return F.concat(acc["out"], F.when(over, F.array(message(acc["seen"] + hour, "recovery", acc["severity"]))).otherwise(F.array()))
+
+    folded = alert_cycles(spark, sf_dir).groupBy("key").agg(checks.alias("checks")).select("key", F.explode(F.aggregate("checks", F.lit(None).cast(state), step, finish)).alias("m"))
+    return folded.select("key", "m.*")
 
 
 def daily_once(spark, sf_dir):
@@ -151,7 +175,13 @@ QUERIES = {
     "stall_flags": (stall_flags, f"""WITH {C}, d AS (SELECT date_trunc('day', ts) AS day, count(*) FILTER (WHERE code = 0 AND token < 10) AS completed, count(*) FILTER (WHERE code = 9) AS retries, CAST(sum(k) AS BIGINT) AS bytes, count(*) FILTER (WHERE code = 6) AS pending FROM calls GROUP BY 1)
         SELECT CAST(day AS TIMESTAMP) AS day, coalesce(completed <= lag(completed) OVER w AND pending > 0, false) AS stalled, coalesce(retries - lag(retries) OVER w >= 5, false) AS retry_spike, coalesce(bytes - lag(bytes) OVER w > greatest(100, lag(bytes) OVER w // 20), false) AS growth FROM d WINDOW w AS (ORDER BY day)"""),
     "trailing_24h": (trailing_24h, f"WITH {C} SELECT count(*) FILTER (WHERE ts >= TIMESTAMP '{b.EVENTS_AS_OF}' - INTERVAL 24 HOUR) AS calls, count(*) FILTER (WHERE ts >= TIMESTAMP '{b.EVENTS_AS_OF}' - INTERVAL 24 HOUR AND method = 'error') AS errors, count(*) FILTER (WHERE ts >= TIMESTAMP '{b.EVENTS_AS_OF}' - INTERVAL 24 HOUR AND code = 9) AS rate_limited, max(ts) AS newest FROM calls"),
-    "alert_dedup": (alert_dedup, f"WITH {C}, a AS (SELECT event_id, ts, token || '.' || method AS key, CASE WHEN code = 9 THEN 'critical' ELSE 'warning' END AS severity FROM calls WHERE code <> 0), l AS (SELECT *, lag(severity) OVER w AS last, lag(ts) OVER w AS before FROM a WINDOW w AS (PARTITION BY key ORDER BY ts, event_id)) SELECT event_id, key, severity FROM l WHERE last IS NULL OR last <> severity OR ts - before >= INTERVAL 24 HOUR"),
+    # every check of a run is an hour after the one before: messages stand at each third row of a stretch of one severity
+    "alert_dedup": (alert_dedup, f"""WITH {C}, a AS (SELECT 'api.' || method AS key, date_trunc('hour', ts)::TIMESTAMP AS ts, CASE WHEN max(code) = 9 THEN 'critical' ELSE 'warning' END AS severity FROM calls WHERE code <> 0 GROUP BY 1, 2),
+        r AS (SELECT *, ts - INTERVAL 1 HOUR * row_number() OVER (PARTITION BY key ORDER BY ts) AS run, lag(severity) OVER (PARTITION BY key ORDER BY ts) AS before FROM a),
+        s AS (SELECT *, sum(CASE WHEN severity <> before THEN 1 ELSE 0 END) OVER (PARTITION BY key, run ORDER BY ts) AS stretch FROM r),
+        n AS (SELECT *, row_number() OVER (PARTITION BY key, run, stretch ORDER BY ts) AS nth FROM s)
+        SELECT key, ts AS at, 'alert' AS kind, severity FROM n WHERE nth % 3 = 1
+        UNION ALL SELECT key, max(ts) + INTERVAL 1 HOUR, 'recovery', max_by(severity, ts) FROM a JOIN r USING (key, ts, severity) GROUP BY key, run HAVING max(ts) + INTERVAL 1 HOUR < TIMESTAMP '{b.EVENTS_AS_OF}'"""),
     "daily_once": (daily_once, "SELECT DISTINCT ON (day) CAST(CAST(ts + INTERVAL 3 HOUR AS DATE) AS VARCHAR) AS day, event_id FROM events ORDER BY day, ts, event_id"),
     "page_walk": (page_walk, "WITH n AS (SELECT o_custkey AS group_id, count(*) AS total FROM orders GROUP BY 1), p AS (SELECT group_id, total, unnest(range((total + 3) // 4)) AS page FROM n) SELECT group_id, page, page * 4 AS offset, least(4, total - page * 4) AS rows, (page + 1) * 4 >= total AS complete FROM p"),
     "tumbling_counts": (tumbling_counts, "SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2024-01-01') AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2"),

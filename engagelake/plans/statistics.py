@@ -108,14 +108,17 @@ _POP = """p0 AS (SELECT *, CASE WHEN doc_id % 4 = 0 THEN 'image' ELSE 'text' END
  s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, modality, bin ORDER BY r, seq) AS nth FROM h) JOIN u USING (lang, modality, bin) WHERE nth <= quota)"""
 _KS = """x AS (SELECT n_chars AS v, count(*) AS cp FROM p GROUP BY 1), y AS (SELECT n_chars AS v, count(*) AS cs FROM s GROUP BY 1), g AS (SELECT v, sum(cp) OVER (ORDER BY v) / (SELECT count(*) FROM p)::DOUBLE AS fp, sum(coalesce(cs,0)) OVER (ORDER BY v) / (SELECT count(*) FROM s)::DOUBLE AS fs FROM x LEFT JOIN y USING (v)),
  d AS (SELECT max(abs(fp - fs)) AS d, (SELECT count(*) FROM p) AS n, (SELECT count(*) FROM s) AS m FROM g)"""
+_CHI = """a AS (SELECT lang, count(*) AS p FROM p GROUP BY 1), b AS (SELECT lang, count(*) AS s FROM s GROUP BY 1), e AS (SELECT coalesce(s, 0) AS s, p * (SELECT count(*) FROM s) / (SELECT count(*) FROM p)::DOUBLE AS e FROM a LEFT JOIN b USING (lang))"""
 _LAM = "((sqrt(n*m/(n+m)::DOUBLE) + 0.12 + 0.11/sqrt(n*m/(n+m)::DOUBLE)) * d)"
 QUERIES = {
     "stratified_sample": (stratified_sample, f"WITH {_POP} SELECT doc_id, lang, modality, bin FROM s"),
     "sampling_shares": (sampling_shares, f"WITH {_POP} SELECT lang, round(count(*) / (SELECT count(*) FROM p)::DOUBLE, 6) AS share, round((SELECT count(*) FROM s WHERE s.lang = p.lang) / (SELECT count(*) FROM s)::DOUBLE, 6) AS sample_share FROM p GROUP BY lang"),
     "ks_statistic": (ks_statistic, f"WITH {_POP}, {_KS} SELECT round(d, 9) AS d, n, m FROM d"),
     "ks_pvalue": (ks_pvalue, f"WITH {_POP}, {_KS} SELECT round(greatest(0, least(1, list_sum(list_transform(range(1, 101), lambda k: 2 * pow(-1, k - 1) * exp(-2.0 * k * k * {_LAM} * {_LAM}))))), 6) AS p FROM d"),
-    "chi2_statistic": (chi2_statistic, f"WITH {_POP}, a AS (SELECT lang, count(*) AS p FROM p GROUP BY 1), b AS (SELECT lang, count(*) AS s FROM s GROUP BY 1), e AS (SELECT coalesce(s, 0) AS s, p * (SELECT count(*) FROM s) / (SELECT count(*) FROM p)::DOUBLE AS e FROM a LEFT JOIN b USING (lang)) SELECT round(sum((s - e) * (s - e) / e), 6) AS statistic, greatest(count(*) - 1, 1) AS df FROM e"),
-    "chi2_pvalue": (chi2_pvalue, None),
+    "chi2_statistic": (chi2_statistic, f"WITH {_POP}, {_CHI} SELECT round(sum((s - e) * (s - e) / e), 6) AS statistic, greatest(count(*) - 1, 1) AS df FROM e"),
+    # the error function by its series, whose terms are all of one sign
+    "chi2_pvalue": (chi2_pvalue, f"""WITH {_POP}, {_CHI}, one AS (SELECT sum((s - e) * (s - e) / e) AS x2, greatest(count(*) - 1, 1)::DOUBLE AS df FROM e), score AS (SELECT x2, (pow(x2 / df, 1::DOUBLE / 3) - (1 - 2 / (9 * df))) / sqrt(2 / (9 * df)) / sqrt(2) AS x FROM one)
+        SELECT round(CASE WHEN x2 <= 0 THEN 1 ELSE (1 - exp(-x * x) * list_sum(list_transform(range(100), lambda n: pow(x, 2 * n + 1) / gamma(n + 1.5)))) / 2 END, 6) AS p FROM score"""),
     "synthetic_posts": (synthetic_posts, "SELECT i + 10000 AS post_id, i % 50 + 1 AS group_id, (['cafe','retail','beauty','sport'])[i % 4 + 1] AS subject, (['text_only','text_image','text_video','trimodal'])[i % 4 + 1] AS modality, (i * 37) % 800 + 20 AS text_length, CASE WHEN i % 4 >= 2 THEN i % 120 + 5 ELSE 0 END AS duration, i % 100 AS likes FROM range(500) t(i)"),
     "vector_norm_report": (vector_norm_report, "WITH v AS (SELECT embedding, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) AS n FROM embeddings) SELECT count(*) AS vectors, count(*) FILTER (WHERE len(list_filter(embedding, lambda x: isnan(x) OR isinf(x))) > 0) AS bad, count(*) FILTER (WHERE n < 1e-5) AS zero, bool_and(abs(n - 1) < 1e-3) AS unit_norms, round(avg(n), 6) AS mean_norm FROM v"),
     "anisotropy_all_pairs": (anisotropy_all_pairs, "WITH l AS (SELECT generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings), p AS (SELECT i, sum(x) AS s, sum(x * x) AS q, count(*) AS n FROM l GROUP BY 1) SELECT round((sum(s * s) - sum(q)) / (max(n) * (max(n) - 1)), 6) AS anisotropy, max(n) AS vectors FROM p"),

@@ -19,8 +19,9 @@ from ..sources import tables
 def breakers(calls: DataFrame, first: int = 30, most: int = 3600) -> DataFrame:
     """(event_id, hits, cooldown) for each limited call (token, method, ts, event_id, code) of a stream.
 
-    State for each token and method: hits of each code since the last success. Calls of a
-    micro-batch are taken in order of time.
+    State for each token and method: hits of each code since the last success; it goes with the success, so that
+    only pairs under a limit have any. Calls of a micro-batch are taken in order of time; across micro-batches the
+    source has to keep that order.
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -33,30 +34,47 @@ def breakers(calls: DataFrame, first: int = 30, most: int = 3600) -> DataFrame:
                 continue
             hits[r.code] = hits.get(r.code, 0) + 1
             out.append((r.event_id, hits[r.code], min(most, first * 2 ** min(hits[r.code] - 1, 20))))
-        state.update((list(hits), list(hits.values())))
+        if hits:
+            state.update((list(hits), list(hits.values())))
+        elif state.exists:
+            state.remove()
         yield pd.DataFrame(out, columns=["event_id", "hits", "cooldown"])
 
     return calls.groupBy("token", "method").applyInPandasWithState(step, "event_id long, hits int, cooldown long", "codes array<int>, hits array<int>", "append", GroupStateTimeout.NoTimeout)
 
 
-def alerts(issues: DataFrame, repeat_seconds: int = 86400) -> DataFrame:
-    """The alerts to send from a stream of issues (key, severity, ts, event_id).
+def alerts(issues: DataFrame, repeat_seconds: int = 86400, cycle_seconds: int = 3600, late: str = "0 seconds") -> DataFrame:
+    """The messages to send from a stream of issues (key, severity, ts; one for each key and cycle of checks in which it shows).
 
-    Sent: a new key, a changed severity, or an issue after a pause of ``repeat_seconds``.
+    An alert is sent for a new key, for a changed severity, and ``repeat_seconds`` after the last one
+    **sent**. A key that does not show in the next cycle has recovered: one message, then it is forgotten. State is a
+    key's severity, last message and last cycle, and goes with its recovery, by the watermark.
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        severity, last = state.get if state.exists else (None, None)
+        severity, sent, seen = state.get if state.exists else (None, None, None)
         out = []
-        for r in pd.concat(list(batches)).sort_values(["ts", "event_id"]).itertuples(index=False):
+        rows = [] if state.hasTimedOut else pd.concat(list(batches)).sort_values("ts").itertuples(index=False)
+        for r in rows:
             now = r.ts.timestamp()
-            if severity is None or severity != r.severity or now - last >= repeat_seconds:
-                out.append((r.event_id, key[0], r.severity))
-            severity, last = r.severity, now
-        state.update((severity, last))
-        yield pd.DataFrame(out, columns=["event_id", "key", "severity"])
-
-    return issues.groupBy("key").applyInPandasWithState(step, "event_id long, key string, severity string", "severity string, last double", "append", GroupStateTimeout.NoTimeout)
+            if seen is not None and now > seen + cycle_seconds:
+                out.append((key[0], seen + cycle_seconds, "recovery", severity))
+                severity = None
+            if severity is None or severity != r.severity or now - sent >= repeat_seconds:
+                out.append((key[0], now, "alert", r.severity))
+                sent = now
+            severity, seen = r.severity, now
+        if state.hasTimedOut:
+            out.append((key[0], seen + cycle_seconds, "recovery", severity))
+            state.remove()
+        else:
+            state.update((severity, sent, seen))
+            due = int((seen + cycle_seconds) * 1000)
+            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"key": [x[0] for x in out], "at": pd.to_datetime([x[1] for x in out], unit="s"), "kind": [x[2] for x in out], "severity": [x[3] for x in out]})
+
+    marked = issues.withWatermark("ts", late)
+    return marked.groupBy("key").applyInPandasWithState(step, "key string, at timestamp, kind string, severity string", "severity string, sent double, seen double", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def trailing_counts(calls: DataFrame, window: str = "24 hours", slide: str = "6 hours", late: str = "1 hour") -> DataFrame:
@@ -67,14 +85,16 @@ def trailing_counts(calls: DataFrame, window: str = "24 hours", slide: str = "6
 def ingest(stream: DataFrame, table: tables.VersionedTable, keys: list[str], order: list, policy: dict[str, str], checkpoint: str):
     """Merges each micro-batch into a versioned table by key; a batch that is run again changes nothing.
 
-    Runs over what is available and stops. The table remembers the last batch it has taken.
+    Runs over what is available and stops. The table (of these keys) remembers the last batch it has taken, in
+    the manifest that makes the batch's rows visible: a crash between leaves both as before.
     """
+    if table.keys != keys:
+        raise ValueError(f"the table's keys are {table.keys}")
 
     def sink(batch: DataFrame, number: int) -> None:
         if table.mark() is not None and table.mark() >= number:
             return
-        rows = keyed.last_wins(batch, keys, order)
-        table.write(keyed.merge(table.read(), rows, keys, policy) if table.exists() else rows, mark=number)
+        table.upsert(keyed.last_wins(batch, keys, order), policy, mark=number)
 
     query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
