@@ -11,23 +11,20 @@ pieces of equal length.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import public_tokenizers
-import regex
-import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from . import shared, textblock
 
 LETTER, DIGIT, OTHER, BLANK = 0, 1, 2, 3
-CONTRACTION = regex.compile(r"'(?:[sdmt]|ll|ve|re)")
+CONTRACTION = re.compile(r"'(?:[sdmt]|ll|ve|re)")
 
 
 class BlockTokenizer:
@@ -43,6 +40,12 @@ class BlockTokenizer:
     REMEMBER = 500_000
 
     def __init__(self, path: str, ranks_path: str):
+        # imported here, so that the other operators do without these packages
+        import public_tokenizers
+        import regex
+        import tiktoken
+        from tokenizers import Tokenizer
+
         self.exact = Tokenizer.from_file(path)
         self.special = [t.content for t in self.exact.get_added_tokens_decoder().values()]
         with open(ranks_path, "rb") as f:
@@ -233,8 +236,11 @@ def best_fit_pack(documents: DataFrame, path: str | None = None, ranks_path: str
     document longer than ``capacity`` is cut into full pieces of which the first may be shorter.
     """
     spark = documents.sparkSession
-    path = path or public_tokenizers.path("byte_bpe_50k.json")
-    ranks_path = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    if not (path and ranks_path):
+        import public_tokenizers
+
+        path = path or public_tokenizers.path("byte_bpe_50k.json")
+        ranks_path = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     cut = shared.written(pieces(documents, path, ranks_path, capacity, closing))
     by_task = cut.groupBy("length", "task").agg(F.count("*").alias("n"))
     # a row for each length and task: where the task's ranks of that length begin
