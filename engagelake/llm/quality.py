@@ -5,8 +5,8 @@ Bytes are embedded; learned filters run over overlapping chunks of ``WIDTH`` byt
 overlapping stretches of ``STRETCH`` chunks, max-pooled over the document and combined by a
 hidden layer into one probability.
 
-Training takes place on the driver over at most ``train_rows`` labelled documents (a documented
-bound); scoring runs in the tasks, without a shuffle, on every whole text.
+Training takes place on the driver over a bounded sample of labelled documents (``train``
+names the bounds); scoring runs in the tasks, without a shuffle, on every whole text.
 """
 
 from __future__ import annotations
@@ -150,11 +150,12 @@ class ByteConvNet:
         return np.round(np.concatenate(out).astype(np.float64), 5) if out else np.zeros(0)
 
 
-def train(documents: DataFrame, labels: DataFrame, train_rows: int = 1500, train_bytes: int = 4_000_000, seed: int = 7) -> ByteConvNet:
-    """Fit on at most ``train_rows`` labelled rows and ``train_bytes`` bytes, chosen by a hash of the id.
+def train(documents: DataFrame, labels: DataFrame, train_rows: int = 1500, train_bytes: int = 4_000_000, text_bytes: int = 100_000, seed: int = 7) -> ByteConvNet:
+    """Fit on at most ``train_rows`` labelled rows, of at most ``text_bytes`` bytes each and ``train_bytes`` in all, chosen by a hash of the id.
 
     Rows whose crc32 of the id modulo 4 is 2 are never read as labels; a document with several
-    labels counts as its lowest. Only whole texts are taken.
+    labels counts as its lowest, an id with several texts as one of them. Only whole texts are taken. The
+    driver sees sizes first, and only the texts that fit.
     """
     chosen = (
         labels.select("doc_id", "quality")
@@ -162,24 +163,30 @@ def train(documents: DataFrame, labels: DataFrame, train_rows: int = 1500, train
         .groupBy("doc_id").agg(F.min("quality").alias("quality"))
         .orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(train_rows)
     )
-    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("length(text) <= 40000").select("doc_id", "quality", "text").collect()
-    rows.sort(key=lambda x: (x[0], x[2]))
-    order = np.random.default_rng(seed).permutation(len(rows))
-    texts, y, size = [], [], 0
-    for i in order:
-        raw = rows[i][2].encode()
-        if size + len(raw) <= train_bytes:
-            size += len(raw)
-            texts.append(raw)
-            y.append(rows[i][1])
-    return ByteConvNet(seed).fit(texts, np.array(y, float), seed=seed)
+    text = documents.where("text is not null").select("doc_id", F.xxhash64("text").alias("h"), F.octet_length("text").alias("bytes"), "text")
+    sized = text.where(F.col("bytes") <= text_bytes).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min(F.struct("h", "bytes")).alias("t"))
+    rows = sorted((r.doc_id, r.quality, r.t.h, r.t.bytes) for r in sized.collect())  # train_rows at most
+    taken, size = {}, 0
+    for i in np.random.default_rng(seed).permutation(len(rows)).tolist():
+        doc_id, quality, h, n = rows[i]
+        if size + n <= train_bytes:
+            size += n
+            taken[doc_id] = quality, h
+    if not taken:
+        return ByteConvNet(seed).fit([], np.zeros(0), seed=seed)
+    picks = F.broadcast(documents.sparkSession.createDataFrame([(d, h) for d, (_, h) in taken.items()], "doc_id long, h long"))
+    found = text.join(picks, ["doc_id", "h"]).groupBy("doc_id").agg(F.first("text").alias("text")).collect()  # train_bytes at most
+    raw = {r.doc_id: r.text.encode() for r in found}
+    order = [d for d in taken if d in raw]
+    return ByteConvNet(seed).fit([raw[d] for d in order], np.array([taken[d][0] for d in order], float), seed=seed)
 
 
 def quality_scores(documents: DataFrame, model: ByteConvNet, threshold: float = 0.7) -> DataFrame:
     """doc_id, score, predicted for every row of ``documents``.
 
-    Null and empty texts get the model's score of no bytes; repeated rows get equal scores; an
-    empty table gives an empty result. Other columns are ignored, whatever their names.
+    Null and empty texts get the model's score of no bytes; repeated rows get equal scores; a very long text is
+    scored whole, in a step of its own; an empty table gives an empty result. Other columns are ignored,
+    whatever their names.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
