@@ -5,10 +5,8 @@ with the least hash, leftmost of equals. Equal windows have equal anchors at the
 only windows whose anchor occurs twice can be repeated. A segment is a maximal run of windows
 with one anchor. Anchors are counted in tasks and dealt out as packed arrays; those that
 occur twice go into a Bloom filter of at most ``MAX_BITS`` bits, whatever the corpus holds, which
-errs only towards keeping too much. Segments that pass are grouped by their text:
-
-* an occurrence of a text that is not its first is repeated as a whole;
-* the first occurrence needs a closer look only where its anchor has other texts, too.
+errs only towards keeping too much. Segments that pass are named by a hash of their text, so that equal
+ones are looked at once, where they stand first.
 """
 
 from __future__ import annotations
@@ -21,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import shared, textblock
+from . import graph, shared, textblock
 
 MAX_BITS = 1 << 29
 PROBES = 2
@@ -198,48 +196,48 @@ def occurrences(rows: DataFrame, w: Windows, within: bool) -> DataFrame:
                     ["anchor", "content", "ord", "text_key", "at", "at0", "n", "body"],
                 )
 
-    return rows.select("ord", "text_key", "text").mapInArrow(run, "anchor long, content long, ord long, text_key int, at binary, at0 int, n int, body binary")
+    return rows.select("ord", "text_key", "text").mapInArrow(run, "anchor long, content long, ord long, text_key long, at binary, at0 int, n int, body binary")
 
 
 def ordered_rows(documents: DataFrame) -> DataFrame:
-    """doc_id, ord (the id, null ids last), text_key, text (null: empty)."""
+    """doc_id, ord (the id, null ids last), text_key (a hash of the text, for rows that share an id), text (null: empty)."""
     text = F.coalesce("text", F.lit(""))
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"), F.hash(text).alias("text_key"), text.alias("text"))
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"), F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
-def repeated_windows(documents: DataFrame, w: Windows, masks: Callable[[DataFrame], DataFrame], within: bool) -> DataFrame:
+def repeated_windows(documents: DataFrame, w: Windows, judge: Callable[[DataFrame], DataFrame], within: bool) -> DataFrame:
     """ord, text_key, removed (a list of packed (first window, number) pairs) of every text with repeated windows.
 
-    ``masks`` looks closer: from the distinct segments whose anchor has several texts (anchor,
-    content, ord, at0, n, texts, body; a row may come several times) it gives (content, mask), a
-    byte for each window, 1 where the first occurrence's window is repeated, too. ``within``:
-    a text's later occurrences in one document are repeats of the first.
+    ``judge`` takes the distinct segments (anchor, content, ord, text_key, at0, n, body; where each stands first) and gives for each of
+    them (content, mask, again): a byte for each window, 1 where the window of the first occurrence stands
+    earlier, too (null: nowhere), and the number of windows that any later occurrence repeats. ``within``: a text's
+    later occurrences in one document are repeats of the first.
     """
     found = shared.written(occurrences(ordered_rows(documents), w, within))
-    texts = shared.written(found.groupBy("content").agg(F.min(F.struct("ord", "at0")).alias("first"), F.first("n").alias("n"), F.max("anchor").alias("anchor")).select("content", "anchor", F.col("first.ord").alias("first_ord"), "first.at0", "n"))
-    several = texts.groupBy("anchor").agg(F.count("*").alias("texts")).where("texts > 1")
-    closer = texts.join(several, "anchor").join(found.where("body is not null").select("content", "body"), "content")
-    mask = masks(closer.select("anchor", "content", F.col("first_ord").alias("ord"), "at0", "n", "texts", "body"))
-    decided = found.select("content", "ord", "text_key", "at").join(texts.select("content", "first_ord", "n"), "content").join(mask, "content", "left")
+    texts = found.groupBy("content").agg(F.min(F.struct("ord", "text_key", "at0")).alias("first"), F.first("n").alias("n"), F.max("anchor").alias("anchor"), F.max("body").alias("body"), F.count(F.lit(1)).alias("times"))
+    texts = shared.written(texts.select("content", "anchor", "first.*", "n", "times", "body"))
+    judged = judge(texts.select("anchor", "content", "ord", "text_key", "at0", "n", "body"))
+    known = texts.select("content", F.struct("ord", "text_key").alias("first"), "n", "times").join(judged, "content")
+    decided = graph.spread_join(found.select("content", "ord", "text_key", "at"), known, ["content"], "times", found.count())
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ords, firsts, places, counts, kinds = (b.column(c).to_pylist() for c in ("ord", "first_ord", "at", "n", "mask"))
             out = []
-            for o, f, at, n, m in zip(ords, firsts, places, counts, kinds, strict=True):
+            for is_first, at, n, m, again in zip(*(b.column(c).to_pylist() for c in ("is_first", "at", "n", "mask", "again")), strict=True):
                 at = np.frombuffer(at, np.int32)
-                whole = at if o != f else at[1:] if within else at[:0]
-                runs = [np.stack([whole, np.full(len(whole), n, np.int32)], 1)]
-                if o == f and m is not None:
+                later = at if not is_first else at[1:] if within else at[:0]
+                runs = [np.stack([later, np.full(len(later), again, np.int32)], 1)] if again == n else []
+                if is_first and m is not None:
                     edge = np.diff(np.concatenate([[0], np.frombuffer(m, np.uint8), [0]]).astype(np.int8))
                     lo, hi = np.flatnonzero(edge > 0), np.flatnonzero(edge < 0)
                     for a in (at[:1] if within else at).tolist():
                         runs.append(np.stack([a + lo, hi - lo], 1))
-                runs = np.concatenate(runs).astype(np.int32)
+                runs = np.concatenate(runs).astype(np.int32) if runs else np.zeros((0, 2), np.int32)
                 out.append(runs.tobytes() if len(runs) else None)
             yield pa.RecordBatch.from_arrays([b.column("ord"), b.column("text_key"), pa.array(out, pa.binary())], ["ord", "text_key", "removed"])
 
-    rows = decided.select("ord", "text_key", "at", "first_ord", "n", "mask").mapInArrow(pairs, "ord long, text_key int, removed binary")
+    is_first = (F.struct("ord", "text_key") == F.col("first")).alias("is_first")
+    rows = decided.select("ord", "text_key", "at", is_first, "n", "mask", "again").mapInArrow(pairs, "ord long, text_key long, removed binary")
     return rows.where("removed is not null").groupBy("ord", "text_key").agg(F.collect_list("removed").alias("removed"))
 
 

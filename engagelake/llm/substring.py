@@ -1,10 +1,14 @@
 """Operator 3: substring dedup by suffix automata of reference shards.
 
-The reference is the corpus itself. Its distinct segments around repeated anchors are dealt to shards
-by anchor (the reference grows with the corpus, so its automata are built where they are used and not
-broadcast whole); in each shard, segments are streamed in the order of the corpus through the
-automaton of those before them. Matching statistics of ``WIDTH`` words and more mark the windows
-that start earlier elsewhere; then the segment extends the automaton.
+The reference is the corpus itself: every distinct segment around a repeated anchor (``segments``). It is dealt to
+shards by anchor; in each shard, segments are streamed in the order of the corpus through the automaton of
+those before them. Matching statistics of ``WIDTH`` words and more mark the windows that start earlier
+elsewhere; then the segment extends the automaton, and is streamed through it once more, as any later occurrence of it would
+be. All that is removed is found by these statistics; maximal runs of marked windows are the spans.
+
+A shard is the texts of one anchor. An anchor with more than ``SHARD`` texts (a passage in very many contexts) is refined: each
+window is dealt by a longer run around the anchor, the one that reaches over the fuller half of its context, so that
+its texts part, and the same automata decide; after four steps the run is the window itself.
 """
 
 from __future__ import annotations
@@ -20,8 +24,7 @@ from pyspark.sql import functions as F
 from . import graph, segments, shared, textblock
 
 WIDTH, GRAM = 20, 8
-#: Texts of one anchor that an automaton takes in one task. An anchor with more (a passage in very many
-#: contexts) is split: its windows are grouped one by one instead, by partial aggregates.
+#: Texts that one automaton takes.
 SHARD = 64
 
 
@@ -82,68 +85,103 @@ class SuffixAutomaton:
         return out
 
 
-def automaton_masks(distinct: DataFrame) -> DataFrame:
-    """(content, mask) for ``segments.repeated_windows``."""
-    n = shared.partitions(distinct.sparkSession)
-    distinct = shared.written(distinct)
+def through_automata(texts: DataFrame) -> DataFrame:
+    """(key, sub, mask, again) for texts (key, sub, ord, text_key, at, body) of few to a key: one automaton for each key."""
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole, at in graph.whole_groups(batches, ["anchor"]):
-            contents, masks = [], []
-            bodies, names = whole.column("body").to_pylist(), whole.column("content").to_pylist()
+        for whole, at in graph.whole_groups(batches, ["key"]):
+            masks, again = [], []
+            bodies = whole.column("body").to_pylist()
             for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
                 automaton = SuffixAutomaton()
                 for k in range(lo, hi):
-                    if k > lo and names[k] == names[k - 1]:  # the same segment from another task
-                        continue
                     words = bodies[k].split()
-                    mask = np.array(automaton.matching(words)[WIDTH - 1 :]) >= WIDTH
-                    if mask.any():
-                        contents.append(names[k])
-                        masks.append(mask.astype(np.uint8).tobytes())
-                    if not mask.all():
+                    mask = [m >= WIDTH for m in automaton.matching(words)[WIDTH - 1 :]] if k > lo else [False]
+                    masks.append(bytes(mask) if any(mask) else None)
+                    if not all(mask):
                         automaton.add(words)
-            yield pa.RecordBatch.from_arrays([pa.array(contents, pa.int64()), pa.array(masks, pa.binary())], ["content", "mask"])
+                    again.append(sum(m >= WIDTH for m in automaton.matching(words)))
+            yield pa.RecordBatch.from_arrays([whole.column("key"), whole.column("sub"), pa.array(masks, pa.binary()), pa.array(again, pa.int32())], ["key", "sub", "mask", "again"])
 
-    few = distinct.where(F.col("texts") <= SHARD).repartition(n, "anchor").sortWithinPartitions("anchor", "ord", "at0", "content")
-    out = few.select("anchor", "content", "body").mapInArrow(shard, "content long, mask binary")
-    return out.unionByName(window_masks(distinct.where(F.col("texts") > SHARD)))
+    dealt = texts.repartition(shared.partitions(texts.sparkSession), "key").sortWithinPartitions("key", "ord", "text_key", "at", "sub")
+    return dealt.select("key", "sub", "body").mapInArrow(shard, "key long, sub long, mask binary, again int")
 
 
-def window_masks(distinct: DataFrame) -> DataFrame:
-    """The same for anchors with many texts: the first start of every window, by its two hashes."""
+PIECE = "content long, k0 int, n int, ord long, text_key long, at int, run int, key long, sub long, body binary"
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def refined(pieces: DataFrame, gram: int, half: int) -> DataFrame:
+    """Pieces (see PIECE) cut in two: windows with ``half`` words or more before their run, and the others, which have as many behind it.
+
+    ``run`` is where in the body the run of ``gram`` words begins that all windows share; it is made longer by ``half`` on that side,
+    and names the key of the part.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = shared.utf8(b.column("body"))
+            raw = data.tobytes()
             start, end, bounds = textblock.words(data, offsets)
-            words = textblock.word_hashes(data, start, end)
-            one, at = textblock.grams(words, bounds, WIDTH)
-            two, _ = textblock.grams(textblock.mix(words ^ np.uint64(0x3C6EF372FE94F82B)), bounds, WIDTH)
-            row = np.repeat(np.arange(b.num_rows), np.diff(at))
-            k = np.arange(len(row)) - at[row]
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("content").take(take), b.column("ord").take(take), pa.array(b.column("at0").to_numpy()[row] + k), pa.array(k.astype(np.int32)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))],
-                ["content", "ord", "start", "k", "one", "two"],
-            )
-
-    each = distinct.select("content", "ord", "at0", "body").mapInArrow(windows, "content long, ord long, start long, k int, one long, two long")
-    first = each.groupBy("one", "two").agg(F.min(F.struct("ord", "start")).alias("first"), F.count("*").alias("times")).where("times > 1")
-    later = each.join(first, ["one", "two"]).where(F.struct("ord", "start") > F.col("first"))
-    marked = later.groupBy("content").agg(F.collect_list("k").alias("ks"))
-    size = WIDTH - GRAM + 1  # windows of a segment at most
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            masks = []
-            for ks in b.column("ks").to_pylist():
-                m = np.zeros(size, np.uint8)
-                m[ks] = 1
-                masks.append(m.tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("content"), pa.array(masks, pa.binary())], ["content", "mask"])
+            sums = textblock.prefix(textblock.word_hashes(data, start, end))
+            rows = []
+            columns = (b.column(c).to_pylist() for c in ("content", "k0", "n", "ord", "text_key", "at", "run"))
+            for w0, (content, k0, n, o, text_key, at, run) in zip(bounds[:-1].tolist(), zip(*columns, strict=True), strict=True):
+                if run < 0:  # the anchor: the least run of the first window, leftmost of equals
+                    places = w0 + np.arange(WIDTH - gram + 1)
+                    run = int(np.argmin(textblock.run_hashes(sums, places, places + gram)))
+                left = min(n, max(0, run - half + 1))
+                for lo, hi, a, z in ((0, left, run - half, run + gram), (left, n, run, run + gram + half)):
+                    if hi > lo:
+                        x, y = w0 + lo, w0 + hi + WIDTH - 1
+                        key, sub = textblock.run_hashes(sums, np.array([w0 + a, x]), np.array([w0 + z, y])).view(np.int64).tolist()
+                        rows.append((content, k0 + lo, hi - lo, o, text_key, at + lo, a - lo, key ^ (a == run), sub, raw[start[x] : end[y - 1]]))
+            if rows:
+                types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], [c.split()[0] for c in PIECE.split(", ")])
+
+    return pieces.select("content", "k0", "n", "ord", "text_key", "at", "run", "body").mapInArrow(cut, PIECE)
+
+
+def put_together(parts: DataFrame) -> DataFrame:
+    """(content, mask, again) of segments from the parts (content, k0, n, first, mask, again) that they were cut in, thirteen at most."""
 
-    return marked.mapInArrow(pack, "content long, mask binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            masks, agains = [], []
+            for own in b.column("parts").to_pylist():
+                mask = np.zeros(sum(p["n"] for p in own), np.uint8)
+                for p in own:
+                    repeats = np.frombuffer(p["mask"], np.uint8) if p["mask"] else 0
+                    mask[p["k0"] : p["k0"] + p["n"]] = repeats if p["first"] else p["again"] == p["n"]
+                masks.append(mask.tobytes() if mask.any() else None)
+                agains.append(sum(p["again"] for p in own))
+            yield pa.RecordBatch.from_arrays([b.column("content"), pa.array(masks, pa.binary()), pa.array(agains, pa.int32())], ["content", "mask", "again"])
+
+    return parts.groupBy("content").agg(F.collect_list(F.struct("k0", "n", "first", "mask", "again")).alias("parts")).mapInArrow(run, "content long, mask binary, again int")
+
+
+def judged(distinct: DataFrame) -> DataFrame:
+    """(content, mask, again) for ``segments.repeated_windows``: all from matching statistics in automata of bounded size."""
+    pieces = distinct.select("content", F.lit(0).alias("k0"), "n", "ord", "text_key", F.col("at0").alias("at"), F.lit(-1).alias("run"), F.col("anchor").alias("key"), F.col("content").alias("sub"), "body")
+    texts, gram, out, parts = pieces, GRAM, None, None
+    while True:
+        half = (WIDTH - gram + 1) // 2
+        sizes = texts.groupBy("key").agg(F.count(F.lit(1)).alias("texts"))
+        wide = sizes.where(F.col("texts") > SHARD) if half else sizes.limit(0)  # a run of all words has one text
+        found = through_automata(texts.join(wide.select("key"), "key", "left_anti"))
+        if out is None:  # whole segments, each of them a text
+            out = found.select(F.col("sub").alias("content"), "mask", "again")
+        else:
+            found = found.join(texts.select("key", "sub", F.struct("ord", "text_key", "at").alias("of")), ["key", "sub"])
+            some = pieces.join(found, ["key", "sub"]).select("content", "k0", "n", (F.struct("ord", "text_key", "at") == F.col("of")).alias("first"), "mask", "again")
+            parts = some if parts is None else parts.unionByName(some)
+        if not half or not wide.take(1):
+            return out if parts is None else out.unionByName(put_together(parts))
+        many = graph.spread_join(pieces, wide, ["key"], "texts", pieces.count())
+        pieces = shared.written(refined(many, gram, half))
+        place = F.min(F.struct("ord", "text_key", "at"))
+        texts = shared.written(pieces.groupBy("key", "sub").agg(place.alias("first"), F.max("body").alias("body")).select("key", "sub", "first.*", "body"))
+        gram += half
 
 
 WORDS = segments.Windows(WIDTH, GRAM, segments.word_symbols)
@@ -153,11 +191,11 @@ def substring_dedup(documents: DataFrame) -> DataFrame:
     """Per row of ``documents``: doc_id, n_words, n_removed, kept_sha256, kept (the words that stay).
 
     A window of 20 words that also starts earlier (in a smaller id, or earlier in its document) is
-    removed. Null and empty texts have no words; rows that share an id are not earlier than one
-    another; null ids come after all others, as one id; an empty table gives an empty result;
-    other columns are ignored.
+    removed. Null and empty texts have no words; a very long text is one document, whole; rows that share an id
+    go in the order of a hash of their texts, equal rows are treated alike; null ids come after all
+    others, as one id; an empty table gives an empty result; other columns are ignored.
     """
-    removed = segments.repeated_windows(documents, WORDS, automaton_masks, within=True)
+    removed = segments.repeated_windows(documents, WORDS, judged, within=True)
     rows = segments.ordered_rows(documents).join(removed, ["ord", "text_key"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

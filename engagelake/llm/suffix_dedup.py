@@ -161,7 +161,7 @@ def settled(rows: DataFrame, filter_: tuple[np.ndarray, int], buckets: int) -> D
     """SPANS of whole segments that stand in a smaller id, too, and ANCHORS with the texts that are left, as packed rows."""
     spark = rows.sparkSession
     model, bits = spark.sparkContext.broadcast(filter_[0]), filter_[1]
-    types = {"content": np.uint64, "anchor": np.uint64, "ord": np.int64, "text_key": np.int32, "at": np.int32, "n": np.int32}
+    types = {"content": np.uint64, "anchor": np.uint64, "ord": np.int64, "text_key": np.int64, "at": np.int32, "n": np.int32}
 
     def spans(entries: list[np.ndarray], gone: np.ndarray) -> pa.RecordBatch:
         _, _, ids, keys, at, n = (x[gone] for x in entries)
@@ -265,7 +265,7 @@ def closer(rows: DataFrame, several: np.ndarray, many: np.ndarray, bits: int) ->
         if held:
             yield settle()
 
-    return rows.mapInArrow(run, "anchor long, content long, ord long, text_key int, at int, n int, many boolean, body binary")
+    return rows.mapInArrow(run, "anchor long, content long, ord long, text_key long, at int, n int, many boolean, body binary")
 
 
 def runs_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -301,7 +301,7 @@ def shard_spans(segments_: DataFrame, buckets: int) -> DataFrame:
                 mask = masks[number[i]]
                 if mask.any():
                     a, b = runs_of(mask)
-                    for x, y in zip(out, (np.full(len(a), ids[i]), np.full(len(a), keys[i], np.int32), (places[i] + a).astype(np.int32), (b - a).astype(np.int32)), strict=True):
+                    for x, y in zip(out, (np.full(len(a), ids[i]), np.full(len(a), keys[i]), (places[i] + a).astype(np.int32), (b - a).astype(np.int32)), strict=True):
                         x.append(y)
             if out[0]:
                 o, key, place, count = (np.concatenate(x) for x in out)
@@ -327,7 +327,7 @@ def window_spans(segments_: DataFrame, buckets: int) -> DataFrame:
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays([b.column("ord").take(take), b.column("text_key").take(take), pa.array((b.column("at").to_numpy()[row] + at - offsets[row]).astype(np.int32)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))], ["ord", "text_key", "start", "one", "two"])
 
-    each = rows.select("ord", "text_key", "at", "body").mapInArrow(windows, "ord long, text_key int, start int, one long, two long")
+    each = rows.select("ord", "text_key", "at", "body").mapInArrow(windows, "ord long, text_key long, start int, one long, two long")
     least = each.groupBy("one", "two").agg(F.min("ord").alias("least"))
     later = each.join(least, ["one", "two"]).where("ord > least").select("ord", "text_key", "start")
 
@@ -351,7 +351,7 @@ def suffix_dedup(documents: DataFrame) -> DataFrame:
     n, buckets = shared.partitions(spark), buckets_of(spark)
     rows = segments.ordered_rows(documents)
     if not documents.groupBy("doc_id").count().where("count > 1").take(1):
-        rows = rows.withColumn("text_key", F.lit(0))  # texts of one id need not be told apart
+        rows = rows.withColumn("text_key", F.lit(0).cast("long"))  # texts of one id need not be told apart
     texts = rows.select("ord", "text_key", "text")
 
     def anchors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -362,7 +362,7 @@ def suffix_dedup(documents: DataFrame) -> DataFrame:
     decided = settled(texts, (filter_, bits), buckets)
     several, many = several_texts(decided, bits, max(64, len(filter_) * 8 >> bits >> 2))
     spans = decided.where(F.col("kind") == SPANS).unionByName(shard_spans(closer(texts, several, many, bits), buckets))
-    packed = spans.select("bucket", "kind", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("int").alias("key"), "ord", "text_key", "at", "n", F.lit(None).cast("binary").alias("raw"))
+    packed = spans.select("bucket", "kind", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("key"), "ord", "text_key", "at", "n", F.lit(None).cast("binary").alias("raw"))
     none = F.lit(None).cast("binary")
     whole = rows.select(F.pmod("ord", F.lit(buckets)).cast("int").alias("bucket"), F.lit(TEXT).alias("kind"), "doc_id", F.col("ord").alias("id"), F.col("text_key").alias("key"), none.alias("ord"), none.alias("text_key"), none.alias("at"), none.alias("n"), F.col("text").cast("binary").alias("raw"))
 
@@ -374,7 +374,7 @@ def suffix_dedup(documents: DataFrame) -> DataFrame:
                 if r["bucket"] != bucket:
                     bucket, held, found = r["bucket"], [], None
                 if r["kind"] == SPANS:
-                    held.append((np.frombuffer(r["ord"], np.int64), np.frombuffer(r["text_key"], np.int32), np.frombuffer(r["at"], np.int32), np.frombuffer(r["n"], np.int32)))
+                    held.append((np.frombuffer(r["ord"], np.int64), np.frombuffer(r["text_key"], np.int64), np.frombuffer(r["at"], np.int32), np.frombuffer(r["n"], np.int32)))
                     continue
                 if found is None:
                     found = [np.concatenate(x) for x in zip(*held, strict=True)] if held else [np.zeros(0, np.int64)] * 4
