@@ -49,7 +49,9 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("size_"))
         small = spread_join(large, low, ["a"], "size_", 2 * state[0]).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        before = e
         e, now = measured(small.unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
+        shared.dropped(edges.sparkSession, before)
         if now == state:
             break
         state = now

@@ -212,8 +212,8 @@ def lm_scores(documents: DataFrame) -> DataFrame:
 
     Texts whose crc32 of the id modulo 5 is 1 are held out, all others (a null id, too) are counted.
     Null and empty texts are their end alone; a table without training texts knows no token
-    (probabilities are then those of none seen); repeated rows are scored each, and counted each; an
-    empty table gives an empty result; other columns are ignored.
+    (probabilities are then those of none seen); repeated rows are scored each, and counted each; a very long
+    text is a step of its own; an empty table gives an empty result; other columns are ignored.
     """
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(shared.id_hash_mod("doc_id", 5) == 1, F.lit(False)).alias("held_out"))

@@ -46,13 +46,39 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Tables that ``written`` has made and nobody has dropped, in order.
+_tables: list[str] = []
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     small_batches(spark)
     path = f"{shared_dir(spark).rstrip('/')}/engagelake-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _tables.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def dropped(spark: SparkSession, *tables: DataFrame | str) -> None:
+    """Deletes tables of ``written`` that nothing reads any more."""
+    for t in tables:
+        path = t if isinstance(t, str) else t.written_to
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        if path in _tables:
+            _tables.remove(path)
+
+
+def mark() -> int:
+    return len(_tables)
+
+
+def sweep(spark: SparkSession, since: int, keep: DataFrame) -> None:
+    """Drops what has been written since a ``mark``, but for ``keep``: once a result is a table itself, nothing reads them."""
+    dropped(spark, *(p for p in _tables[since:] if p != keep.written_to))
 
 
 def partitions(spark: SparkSession) -> int:

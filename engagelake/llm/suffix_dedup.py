@@ -344,8 +344,8 @@ def suffix_dedup(documents: DataFrame) -> DataFrame:
     """Per row of ``documents``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes that stay).
 
     Each byte covered by a string of 50 bytes that also starts in a smaller id is removed. Null and
-    empty texts have no bytes; rows that share an id do not count against one another; null ids
-    come after all others; an empty table gives an empty result; other columns are ignored.
+    empty texts have no bytes; a very long text is one document, whole; rows that share an id do not count
+    against one another; null ids come after all others; ties (equal strings in one id) stay; an empty table gives an empty result; other columns are ignored.
     """
     spark = documents.sparkSession
     n, buckets = shared.partitions(spark), buckets_of(spark)

@@ -218,6 +218,7 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.95, window: int = 2
             break
         round_, window = round_ + 1, window * 2
     found = shared.written(graph.components(edges))
+    shared.dropped(embeddings.sparkSession, points)
     members = found.withColumnRenamed("id", "rid").join(classes, "rid").select("component", "rid", "dim", "v", "copies")
     pairs = graph.block_pairs(members, ["component"], "rid")
 

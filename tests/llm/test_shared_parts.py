@@ -102,3 +102,16 @@ def test_segments_cover_all_windows_once():
     for p, k, a in zip(place.tolist(), n.tolist(), anchor.tolist(), strict=True):
         for i in range(p, p + k):
             assert by_window.setdefault(data[i : i + 10].tobytes(), a) == a
+
+
+def test_tables_are_swept(spark):
+    one = shared.written(spark.range(3).toDF("x"))
+    at = shared.mark()
+    two, three = shared.written(one), shared.written(one)
+    shared.sweep(spark, at, three)
+    assert three.count() == 3 and one.count() == 3 and shared.mark() == at + 1
+    try:
+        assert spark.read.schema("x long").parquet(two.written_to).count() == 0
+    except Exception as gone:
+        assert "PATH_NOT_FOUND" in str(gone)
+    shared.dropped(spark, one, three)
