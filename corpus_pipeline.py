@@ -54,5 +54,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = shared.table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = shared.written(stage(spark, docs, sf_dir))
+        before, since = docs, shared.mark()
+        docs = shared.written(stage(spark, before, sf_dir))
+        shared.sweep(spark, since, keep=docs)  # a stage's own tables, and its input, are not read again
+        if vars(before).get("written_to"):
+            shared.dropped(spark, before)
     return docs
