@@ -127,6 +127,18 @@ def mock_embeddings(df: DataFrame, key: str, text: str, subject: str, dim: int =
     return df.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(subject).alias("s")).mapInPandas(run, f"{key} long, embedding array<double>")
 
 
-def resumable(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    """The rows that are not completed yet."""
-    return df.join(done.select(key), key, "left_anti")
+def projection(df: DataFrame, key: str, vector: str = "embedding", components: int = 2) -> DataFrame:
+    """Coordinates of every vector along the first principal components; a component's largest entry is positive.
+
+    Only the covariance comes to the driver; vectors are multiplied where they are.
+    """
+    n, s, ss = _moments(df, vector)
+    d = len(s)
+    if n < 2 or not d:
+        return df.select(key, *(F.lit(0.0).alias(f"c{i + 1}") for i in range(components)))
+    _, axes = np.linalg.eigh((ss - np.outer(s, s) / n) / (n - 1))
+    axes = axes[:, ::-1][:, :components].T
+    axes = axes * np.sign(axes[np.arange(len(axes)), np.abs(axes).argmax(1)])[:, None]
+    centre = F.lit((s / n).tolist())
+    centred = F.zip_with(F.col(vector), centre, lambda x, m: x.cast("double") - m)
+    return df.where(F.col(vector).isNotNull()).select(key, *(F.round(c.dot(centred, F.lit(a.tolist())), 6).alias(f"c{i + 1}") for i, a in enumerate(axes)))
