@@ -9,7 +9,8 @@ repeated passages are found first (``segments``), and only what can be repeated
 2. Segments whose anchor has several texts are dealt to shards by anchor. In each shard, a suffix
    array is built by difference cover modulo 3 (sort sampled triples, recurse on their names, merge the
    remaining suffixes), adjacent suffixes are compared by their first ``WIDTH`` bytes, and of
-   equal ones all but those in the least id are removed.
+   equal ones all but those in the least id are removed. An anchor with more than ``SHARD`` texts is refined: each
+   window is dealt by a longer run around the anchor, until a shard takes the texts of each.
 3. Spans meet their texts by bucket of the id.
 
 Equal windows have equal anchors, so no pair of them is ever in two shards.
@@ -31,7 +32,7 @@ WIDTH, GRAM = 50, 20
 BYTES = segments.Windows(WIDTH, GRAM, segments.byte_symbols)
 #: Segments that a task holds before it settles them.
 HELD = 2_000_000
-#: Texts of one anchor that a shard takes; windows of anchors with more are grouped one by one.
+#: Texts of one anchor that a shard takes; anchors with more are refined.
 SHARD = 4096
 #: Bytes of segments that one suffix array covers.
 ARRAY_BYTES = 1 << 20
@@ -274,7 +275,10 @@ def runs_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shard_spans(segments_: DataFrame, buckets: int) -> DataFrame:
-    """SPANS of windows that suffix arrays find in a smaller id, too."""
+    """SPANS of windows that suffix arrays find in a smaller id, too.
+
+    An occurrence of a text in a greater id than its least is a span as a whole.
+    """
     n = shared.partitions(segments_.sparkSession)
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,8 +301,8 @@ def shard_spans(segments_: DataFrame, buckets: int) -> DataFrame:
                 masks += repeated_starts([bodies[int(x)].as_py() for x in k], windows[k], ids[k])
                 lo = hi
             out: list[list] = [[], [], [], []]
-            for i in np.flatnonzero(ids == ids[first][number]).tolist():
-                mask = masks[number[i]]
+            for i in range(len(ids)):
+                mask = masks[number[i]] if ids[i] == ids[first[number[i]]] else np.ones(windows[i], bool)
                 if mask.any():
                     a, b = runs_of(mask)
                     for x, y in zip(out, (np.full(len(a), ids[i]), np.full(len(a), keys[i]), (places[i] + a).astype(np.int32), (b - a).astype(np.int32)), strict=True):
@@ -307,37 +311,56 @@ def shard_spans(segments_: DataFrame, buckets: int) -> DataFrame:
                 o, key, place, count = (np.concatenate(x) for x in out)
                 yield dealt(o % buckets, SPANS, ord=o, text_key=key, at=place, n=count)
 
-    few = segments_.where(~F.col("many")).repartition(n, "anchor").sortWithinPartitions("anchor", "content", "ord", F.col("body").isNull())
-    return few.select("anchor", "content", "ord", "text_key", "at", "n", "body").mapInArrow(shard, PACKED).unionByName(window_spans(segments_.where("many"), buckets))
+    dealt_ = segments_.repartition(n, "anchor").sortWithinPartitions("anchor", "content", "ord", F.col("body").isNull())
+    return dealt_.select("anchor", "content", "ord", "text_key", "at", "n", "body").mapInArrow(shard, PACKED)
 
 
-def window_spans(segments_: DataFrame, buckets: int) -> DataFrame:
-    """The same for anchors with very many texts: the least id of each window by its two hashes, a partial aggregate."""
-    lead = segments_.where("body is not null").groupBy("content").agg(F.max("body").alias("body"))
-    rows = segments_.drop("body").join(lead, "content")
+PIECE = "anchor long, content long, ord long, text_key long, at int, n int, run int, body binary"
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def refined(rows: DataFrame, gram: int, half: int) -> DataFrame:
+    """Segments (see PIECE) cut in two: windows with ``half`` bytes or more before their run, and the others, which have as many behind it.
+
+    ``run`` is where in the body the run of ``gram`` bytes begins that all windows share (-1: the anchor, to be found); it is made
+    longer by ``half`` on that side, and is the anchor of the part.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = shared.utf8(b.column("body"))
-            count = np.maximum(np.diff(offsets) - WIDTH + 1, 0)
-            at = shared.ragged(offsets[:-1], count)
-            row = np.repeat(np.arange(b.num_rows), count)
-            one = textblock.run_hashes(textblock.prefix(data.astype(np.uint64) + np.uint64(1)), at, at + WIDTH)
-            two = textblock.run_hashes(textblock.prefix(textblock.mix(data.astype(np.uint64) + np.uint64(77))), at, at + WIDTH)
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays([b.column("ord").take(take), b.column("text_key").take(take), pa.array((b.column("at").to_numpy()[row] + at - offsets[row]).astype(np.int32)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))], ["ord", "text_key", "start", "one", "two"])
-
-    each = rows.select("ord", "text_key", "at", "body").mapInArrow(windows, "ord long, text_key long, start int, one long, two long")
-    least = each.groupBy("one", "two").agg(F.min("ord").alias("least"))
-    later = each.join(least, ["one", "two"]).where("ord > least").select("ord", "text_key", "start")
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            o = b.column("ord").to_numpy()
-            if len(o):
-                yield dealt(o % buckets, SPANS, ord=o, text_key=b.column("text_key").to_numpy(), at=b.column("start").to_numpy(), n=np.ones(len(o), np.int32))
-
-    return later.mapInArrow(pack, PACKED)
+            sums, raw, out = textblock.prefix(data.astype(np.uint64) + np.uint64(1)), data.tobytes(), []
+            columns = (b.column(c).to_pylist() for c in ("ord", "text_key", "at", "n", "run"))
+            for w0, (o, key, at, n, run) in zip(offsets[:-1].tolist(), zip(*columns, strict=True), strict=True):
+                if run < 0:
+                    places = w0 + np.arange(WIDTH - gram + 1)
+                    run = int(np.argmin(textblock.run_hashes(sums, places, places + gram)))
+                left = min(n, max(0, run - half + 1))
+                for lo, hi, a, z in ((0, left, run - half, run + gram), (left, n, run, run + gram + half)):
+                    if hi > lo:
+                        x, y = w0 + lo, w0 + hi + WIDTH - 1
+                        anchor, content = textblock.run_hashes(sums, np.array([w0 + a, x]), np.array([w0 + z, y])).view(np.int64).tolist()
+                        out.append((anchor ^ (a == run), content, o, key, at + lo, hi - lo, a - lo, raw[x:y]))
+            if out:
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], [c.split()[0] for c in PIECE.split(", ")])
+
+    return rows.select("ord", "text_key", "at", "n", "run", "body").mapInArrow(cut, PIECE)
+
+
+def many_spans(segments_: DataFrame, buckets: int) -> DataFrame:
+    """The same for anchors with very many texts: parts with longer and longer anchors, until a shard takes their texts; at last the anchor is the window."""
+    lead = segments_.where("body is not null").groupBy("content").agg(F.max("body").alias("body"))
+    rows, gram, out = segments_.drop("body").join(lead, "content").withColumn("run", F.lit(-1)), GRAM, None
+    while True:
+        half = (WIDTH - gram + 1) // 2
+        pieces, gram = shared.written(refined(rows, gram, half)), gram + half
+        sizes = pieces.groupBy("anchor").agg(F.countDistinct("content").alias("texts"), F.count(F.lit(1)).alias("rows"))
+        wide = sizes.where(F.col("texts") > SHARD) if gram < WIDTH else sizes.limit(0)
+        spans = shard_spans(pieces.join(wide.select("anchor"), "anchor", "left_anti"), buckets)
+        out = spans if out is None else out.unionByName(spans)
+        if gram == WIDTH or not wide.take(1):
+            return out
+        rows = graph.spread_join(pieces, wide, ["anchor"], "rows", pieces.count())
 
 
 def suffix_dedup(documents: DataFrame) -> DataFrame:
@@ -361,7 +384,12 @@ def suffix_dedup(documents: DataFrame) -> DataFrame:
     filter_, bits = segments.repeated_hashes(texts.select("text"), anchors, 16)
     decided = settled(texts, (filter_, bits), buckets)
     several, many = several_texts(decided, bits, max(64, len(filter_) * 8 >> bits >> 2))
-    spans = decided.where(F.col("kind") == SPANS).unionByName(shard_spans(closer(texts, several, many, bits), buckets))
+    near = closer(texts, several, many, bits)
+    if many.any():  # an anchor with more texts than a shard takes; the texts are read once for both
+        near = shared.written(near)
+    spans = decided.where(F.col("kind") == SPANS).unionByName(shard_spans(near.where("not many"), buckets))
+    if many.any():
+        spans = spans.unionByName(many_spans(near.where("many"), buckets))
     packed = spans.select("bucket", "kind", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("key"), "ord", "text_key", "at", "n", F.lit(None).cast("binary").alias("raw"))
     none = F.lit(None).cast("binary")
     whole = rows.select(F.pmod("ord", F.lit(buckets)).cast("int").alias("bucket"), F.lit(TEXT).alias("kind"), "doc_id", F.col("ord").alias("id"), F.col("text_key").alias("key"), none.alias("ord"), none.alias("text_key"), none.alias("at"), none.alias("n"), F.col("text").cast("binary").alias("raw"))
