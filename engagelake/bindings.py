@@ -26,37 +26,48 @@ def moment(text: str):
 def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     segment = F.col("c_mktsegment")
     return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("group_id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("balance"), segment.alias("segment"),
+        F.col("c_custkey").alias("group_id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"),
+        F.col("c_acctbal").alias("balance"), segment.alias("segment"),
         F.when(segment.isin("BUILDING", "MACHINERY"), "approved").when(segment == "FURNITURE", "rejected").otherwise("pending").alias("status"),
     )
 
 
 GROUPS_SQL = """groups AS (SELECT c_custkey AS group_id, c_name AS name, c_nationkey AS nation, c_acctbal AS balance, c_mktsegment AS segment,
-  CASE WHEN c_mktsegment IN ('BUILDING','MACHINERY') THEN 'approved' WHEN c_mktsegment = 'FURNITURE' THEN 'rejected' ELSE 'pending' END AS status FROM customer)"""
+  CASE WHEN c_mktsegment IN ('BUILDING','MACHINERY') THEN 'approved' WHEN c_mktsegment = 'FURNITURE' THEN 'rejected' ELSE 'pending' END AS status FROM
+    customer)"""
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("post_id"), F.col("o_custkey").alias("group_id"), F.col("o_orderdate").alias("published"), F.col("o_orderstatus").alias("kind"), F.col("o_totalprice").alias("reach"), F.col("o_orderpriority").alias("label")
+        F.col("o_orderkey").alias("post_id"), F.col("o_custkey").alias("group_id"), F.col("o_orderdate").alias("published"),
+        F.col("o_orderstatus").alias("kind"), F.col("o_totalprice").alias("reach"), F.col("o_orderpriority").alias("label")
     )
 
 
-POSTS_SQL = "posts AS (SELECT o_orderkey AS post_id, o_custkey AS group_id, o_orderdate AS published, o_orderstatus AS kind, o_totalprice AS reach, o_orderpriority AS label FROM orders)"
+POSTS_SQL = """posts AS (SELECT o_orderkey AS post_id, o_custkey AS group_id, o_orderdate AS published, o_orderstatus AS kind, o_totalprice AS reach,
+    o_orderpriority AS label FROM orders)"""
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Jobs: state by order status, attempts by the order key, priority by its label's digit."""
     status = F.col("o_orderstatus")
     return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("job_id"), (F.col("o_custkey") % 50).alias("run_id"), F.element_at(F.array(*map(F.lit, ("posts", "members", "profile"))), (F.col("o_orderkey") % 3 + 1).cast("int")).alias("job_type"), F.col("o_custkey").alias("entity_id"),
-        F.when(status == "F", "completed").when(status == "O", "pending").when(F.col("o_orderkey") % 5 == 0, "running").when(F.col("o_orderkey") % 7 == 0, "failed").otherwise("retry_wait").alias("status"),
-        (F.col("o_orderkey") % 9).cast("int").alias("attempts"), F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"), F.col("o_orderdate").alias("created"),
-        F.when(F.col("o_orderkey") % 4 == 0, F.col("o_orderdate") + F.expr("make_dt_interval(cast(o_orderkey % 30 as int), 0, 0, 0)")).alias("next_attempt"),
+        F.col("o_orderkey").alias("job_id"), (F.col("o_custkey") % 50).alias("run_id"),
+        F.element_at(F.array(*map(F.lit, ("posts", "members", "profile"))), (F.col("o_orderkey") % 3 + 1).cast("int")).alias("job_type"),
+        F.col("o_custkey").alias("entity_id"),
+        F.when(status == "F", "completed").when(status == "O", "pending").when(F.col("o_orderkey") % 5 == 0,
+        "running").when(F.col("o_orderkey") % 7 == 0, "failed").otherwise("retry_wait").alias("status"),
+        (F.col("o_orderkey") % 9).cast("int").alias("attempts"), F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
+        F.col("o_orderdate").alias("created"),
+        F.when(F.col("o_orderkey") % 4 == 0,
+        F.col("o_orderdate") + F.expr("make_dt_interval(cast(o_orderkey % 30 as int), 0, 0, 0)")).alias("next_attempt"),
     )
 
 
-JOBS_SQL = """jobs AS (SELECT o_orderkey AS job_id, o_custkey % 50 AS run_id, (['posts','members','profile'])[o_orderkey % 3 + 1] AS job_type, o_custkey AS entity_id,
-  CASE WHEN o_orderstatus = 'F' THEN 'completed' WHEN o_orderstatus = 'O' THEN 'pending' WHEN o_orderkey % 5 = 0 THEN 'running' WHEN o_orderkey % 7 = 0 THEN 'failed' ELSE 'retry_wait' END AS status,
+JOBS_SQL = """jobs AS (SELECT o_orderkey AS job_id, o_custkey % 50 AS run_id, (['posts','members','profile'])[o_orderkey % 3 + 1] AS job_type,
+    o_custkey AS entity_id,
+  CASE WHEN o_orderstatus = 'F' THEN 'completed' WHEN o_orderstatus = 'O' THEN 'pending' WHEN o_orderkey % 5 = 0 THEN 'running' WHEN o_orderkey % 7 =
+    0 THEN 'failed' ELSE 'retry_wait' END AS status,
   CAST(o_orderkey % 9 AS INT) AS attempts, CAST(substr(o_orderpriority,1,1) AS INT) AS priority, o_orderdate AS created,
   CASE WHEN o_orderkey % 4 = 0 THEN o_orderdate + to_days(CAST(o_orderkey % 30 AS INT)) END AS next_attempt FROM orders)"""
 
@@ -64,10 +75,12 @@ JOBS_SQL = """jobs AS (SELECT o_orderkey AS job_id, o_custkey % 50 AS run_id, ([
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """API calls: an event's user is the token, its type the method; its counter's last digit gives a code."""
     k = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("token"), F.col("event_type").alias("method"), "ts", F.when(k % 10 == 6, 6).when(k % 10 == 9, 9).otherwise(0).alias("code"), k.alias("k"))
+    return table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("token"), F.col("event_type").alias("method"), "ts",
+        F.when(k % 10 == 6, 6).when(k % 10 == 9, 9).otherwise(0).alias("code"), k.alias("k"))
 
 
-CALLS_SQL = """calls AS (SELECT event_id, user_id AS token, event_type AS method, ts, CASE WHEN k % 10 = 6 THEN 6 WHEN k % 10 = 9 THEN 9 ELSE 0 END AS code, k
+CALLS_SQL = """calls AS (SELECT event_id, user_id AS token, event_type AS method, ts, CASE WHEN k % 10 = 6 THEN 6 WHEN k % 10 = 9 THEN 9 ELSE 0 END AS
+    code, k
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events))"""
 
 
@@ -80,5 +93,6 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-EDGES_SQL = """edges AS (SELECT o_custkey AS user_id, l_suppkey AS community_id, min(l_shipdate) AS first_seen, max(l_shipdate) AS last_seen, max(o_orderkey) AS source_run
+EDGES_SQL = """edges AS (SELECT o_custkey AS user_id, l_suppkey AS community_id, min(l_shipdate) AS first_seen, max(l_shipdate) AS last_seen,
+    max(o_orderkey) AS source_run
   FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2)"""

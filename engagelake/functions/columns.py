@@ -51,7 +51,8 @@ def masked(text: Column, limit: int = 2000) -> Column:
 def content_hash(text: Column, published: Column, edited: Column) -> Column:
     """SHA-256 of text, date and edit date with NUL between; a missing one prints as None."""
     none = F.lit("None")
-    return F.sha2(F.concat_ws("\0", F.coalesce(text, F.lit("")), F.coalesce(published.cast("string"), none), F.coalesce(edited.cast("string"), none)), 256)
+    return F.sha2(F.concat_ws("\0", F.coalesce(text, F.lit("")), F.coalesce(published.cast("string"), none), F.coalesce(edited.cast("string"), none)),
+        256)
 
 
 def html_escape(text: Column) -> Column:
@@ -77,7 +78,8 @@ def uptime_text(seconds: Column) -> Column:
 
 
 def page_address(screen_name: Column, number: Column) -> Column:
-    return F.concat(F.lit("https://example.org/"), F.coalesce(F.nullif(strip(screen_name), F.lit("")), F.concat(F.lit("club"), number.cast("string"))))
+    return F.concat(F.lit("https://example.org/"), F.coalesce(F.nullif(strip(screen_name), F.lit("")),
+        F.concat(F.lit("club"), number.cast("string"))))
 
 
 # --- numbers ---

@@ -25,7 +25,8 @@ def fingerprint(df: DataFrame, value: Column, order: Column, most: int = 100_000
     rows = df.select(F.struct(order.alias("o"), value.alias("v")).alias("x")).limit(most + 1)
     listed = F.array_sort(F.collect_list("x"))
     n = F.count("*")
-    whole = F.when(n > most, F.raise_error(F.lit(f"a fingerprint takes {most} rows at most"))).otherwise(F.md5(F.array_join(F.transform(listed, lambda x: x["v"]), ",")))
+    whole = F.when(n > most, F.raise_error(F.lit(f"a fingerprint takes {most} rows at most"))).otherwise(F.md5(F.array_join(F.transform(listed,
+        lambda x: x["v"]), ",")))
     return rows.agg(whole.alias("fingerprint"), n.alias("n"))
 
 

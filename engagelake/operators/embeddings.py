@@ -22,7 +22,8 @@ def norm_report(df: DataFrame, vector: str = "embedding") -> DataFrame:
     """One row: vectors, bad components, zero vectors, and whether all norms are 1 within 1e-3."""
     n = c.norm(F.col(vector))
     bad = F.exists(vector, lambda x: F.isnan(x) | (F.abs(x) == float("inf")))
-    return df.agg(F.count("*").alias("vectors"), F.count_if(bad).alias("bad"), F.count_if(n < 1e-5).alias("zero"), F.min(F.abs(n - 1) < 1e-3).alias("unit_norms"), F.round(F.avg(n), 6).alias("mean_norm"))
+    return df.agg(F.count("*").alias("vectors"), F.count_if(bad).alias("bad"), F.count_if(n < 1e-5).alias("zero"),
+        F.min(F.abs(n - 1) < 1e-3).alias("unit_norms"), F.round(F.avg(n), 6).alias("mean_norm"))
 
 
 def _moments(df: DataFrame, vector: str) -> tuple[int, np.ndarray, np.ndarray]:
@@ -38,7 +39,8 @@ def _moments(df: DataFrame, vector: str) -> tuple[int, np.ndarray, np.ndarray]:
             yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "n": [n], "s": [s.tolist()], "ss": [ss.ravel().tolist()]})
 
     def added(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"part": [rows["part"].iloc[0] // FAN], "n": [rows["n"].sum()], "s": [np.sum(np.stack(rows["s"]), 0).tolist()], "ss": [np.sum(np.stack(rows["ss"]), 0).tolist()]})
+        return pd.DataFrame({"part": [rows["part"].iloc[0] // FAN], "n": [rows["n"].sum()], "s": [np.sum(np.stack(rows["s"]), 0).tolist()],
+            "ss": [np.sum(np.stack(rows["ss"]), 0).tolist()]})
 
     schema = "part long, n long, s array<double>, ss array<double>"
     parts = df.select(F.col(vector).cast("array<double>").alias("v")).where("v is not null").mapInPandas(run, schema)
@@ -75,7 +77,8 @@ def spectrum(df: DataFrame, vector: str = "embedding") -> DataFrame:
     cumulative = np.cumsum(ratio)
     k95 = min(len(ratio), int(np.searchsorted(cumulative, 0.95)) + 1)
     rank = float(np.exp(-(p * np.log(p)).sum()))
-    return spark.createDataFrame([(i + 1, float(a), float(b), k95, rank) for i, (a, b) in enumerate(zip(ratio[:50], cumulative[:50], strict=True))], schema)
+    return spark.createDataFrame([(i + 1, float(a), float(b), k95, rank) for i, (a, b) in enumerate(zip(ratio[:50], cumulative[:50], strict=True))],
+        schema)
 
 
 def hopkins(df: DataFrame, key: str = "vec_id", vector: str = "embedding", most: int = 500, seed: int = 42) -> DataFrame:
@@ -107,7 +110,8 @@ def hopkins(df: DataFrame, key: str = "vec_id", vector: str = "embedding", most:
         yield pd.DataFrame({"i": np.arange(m), "u": u, "w": w})
 
     least = rows.mapInPandas(nearest, "i int, u double, w double").groupBy("i").agg(F.min("u").alias("u"), F.min("w").alias("w"))
-    return least.agg(F.coalesce(F.try_divide(F.sum("u"), F.sum("u") + F.sum("w")), F.lit(0.5)).alias("hopkins")).withColumn("vectors", F.lit(n).cast("long"))
+    return least.agg(F.coalesce(F.try_divide(F.sum("u"), F.sum("u") + F.sum("w")), F.lit(0.5)).alias("hopkins")).withColumn("vectors",
+        F.lit(n).cast("long"))
 
 
 def mock_embeddings(df: DataFrame, key: str, text: str, subject: str, dim: int = 64) -> DataFrame:
@@ -124,7 +128,8 @@ def mock_embeddings(df: DataFrame, key: str, text: str, subject: str, dim: int =
                 out.append((v / max(np.linalg.norm(v), 1e-12)).tolist())
             yield pd.DataFrame({key: b["k"], "embedding": out})
 
-    return df.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(subject).alias("s")).mapInPandas(run, f"{key} long, embedding array<double>")
+    return df.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(subject).alias("s")).mapInPandas(run,
+        f"{key} long, embedding array<double>")
 
 
 def projection(df: DataFrame, key: str, vector: str = "embedding", components: int = 2) -> DataFrame:
@@ -141,4 +146,5 @@ def projection(df: DataFrame, key: str, vector: str = "embedding", components: i
     axes = axes * np.sign(axes[np.arange(len(axes)), np.abs(axes).argmax(1)])[:, None]
     centre = F.lit((s / n).tolist())
     centred = F.zip_with(F.col(vector), centre, lambda x, m: x.cast("double") - m)
-    return df.where(F.col(vector).isNotNull()).select(key, *(F.round(c.dot(centred, F.lit(a.tolist())), 6).alias(f"c{i + 1}") for i, a in enumerate(axes)))
+    return df.where(F.col(vector).isNotNull()).select(key, *(F.round(c.dot(centred, F.lit(a.tolist())), 6).alias(f"c{i + 1}") for i,
+        a in enumerate(axes)))

@@ -38,7 +38,8 @@ class Seeded:
         texts = batch["text"].fillna("")
         if self.fails and texts.str.contains(self.fails, regex=False).any():
             raise ValueError(f"cannot encode {self.fails}")
-        counts = np.array([np.bincount(np.frombuffer(t.encode(), np.uint8) % self.dim, minlength=self.dim) + 1.0 for t in texts]).reshape(-1, self.dim)
+        counts = np.array([np.bincount(np.frombuffer(t.encode(), np.uint8) % self.dim, minlength=self.dim) + 1.0 for t in texts]).reshape(-1,
+            self.dim)
         return counts / np.linalg.norm(counts, axis=1, keepdims=True)
 
     def memory_bytes(self) -> int:
@@ -76,7 +77,8 @@ def encoded(df: DataFrame, encoder: Encoder, key: str, size: int = 32) -> DataFr
                             vectors.append(None)
                             faults.append(fault)
                 yield pd.DataFrame({
-                    key: part[key].to_numpy(), "vector": [None if v is None else v.tolist() for v in vectors], "stage": [f and "encode_batch" for f in faults],
+                    key: part[key].to_numpy(), "vector": [None if v is None else v.tolist() for v in vectors],
+                    "stage": [f and "encode_batch" for f in faults],
                     "error_type": [f and type(f).__name__ for f in faults], "message": [f and str(f) for f in faults],
                 })
 
@@ -106,7 +108,8 @@ def run_encoder(df: DataFrame, encoder: Encoder, key: str, path: str, size: int
     encoded(todo, encoder, key, size).withColumn("run_", F.lit(time.time_ns())).write.mode("append").parquet(f"{path}/rows")
     rows = spark.read.parquet(f"{path}/rows")
     last = rows.agg(F.max("run_")).first()[0]
-    return rows.where("vector is not null").select(key, "vector"), rows.where((F.col("run_") == last) & F.col("vector").isNull()).select(key, "stage", "error_type", "message")
+    return rows.where("vector is not null").select(key, "vector"), rows.where((F.col("run_") == last) & F.col("vector").isNull()).select(key, "stage",
+        "error_type", "message")
 
 
 def benchmark(df: DataFrame, encoders: Sequence[Encoder], key: str, quota_bytes: int = 20 << 30) -> list[dict]:
@@ -116,11 +119,13 @@ def benchmark(df: DataFrame, encoders: Sequence[Encoder], key: str, quota_bytes:
         began = time.perf_counter()
         try:
             deviation = F.abs(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)) - 1)
-            x = encoded(df, e, key).agg(F.count("*").alias("n"), F.count("error_type").alias("failed"), F.max(deviation).alias("worst"), F.max("message").alias("message")).first()
+            x = encoded(df, e, key).agg(F.count("*").alias("n"), F.count("error_type").alias("failed"), F.max(deviation).alias("worst"),
+                F.max("message").alias("message")).first()
             if x.failed:
                 raise RuntimeError(x.message)
             seconds = time.perf_counter() - began
-            out.append({"model": e.name, "dim": e.dim, "status": "success", "rows": x.n, "seconds": seconds, "rows_a_second": x.n / max(1e-5, seconds), "quota_respected": within_quota(e, quota_bytes), "worst_norm": x.worst or 0.0})
+            out.append({"model": e.name, "dim": e.dim, "status": "success", "rows": x.n, "seconds": seconds,
+                "rows_a_second": x.n / max(1e-5, seconds), "quota_respected": within_quota(e, quota_bytes), "worst_norm": x.worst or 0.0})
         except Exception as fault:
             out.append({"model": e.name, "dim": e.dim, "status": "failed", "error": str(fault)})
     return out
@@ -138,7 +143,8 @@ def cached_media(spark: SparkSession, path: str) -> DataFrame:
     """(key, ending, path, length) of the files of a cache; empty ones are none. Contents are not read."""
     name = F.element_at(F.split("path", "/"), -1)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length").where("length > 0")
-    return files.select(F.regexp_extract(name, r"^(.*)\.([^.]+)$", 1).alias("key"), F.regexp_extract(name, r"\.([^.]+)$", 1).alias("ending"), "path", "length")
+    return files.select(F.regexp_extract(name, r"^(.*)\.([^.]+)$", 1).alias("key"), F.regexp_extract(name, r"\.([^.]+)$", 1).alias("ending"), "path",
+        "length")
 
 
 #: The ending that files of a kind have.
@@ -161,7 +167,8 @@ def image_kind(content):
 def dataset(posts: DataFrame, attachments: DataFrame, cache: DataFrame) -> DataFrame:
     """Posts with the paths of their images and videos in order of position; media that cannot be found are left out, posts never."""
     found = resolved(attachments, cache).where("path is not null")
-    listed = lambda kind: F.transform(F.array_sort(F.collect_list(F.when(F.col("type") == kind, F.struct("position", "path")))), lambda x: x["path"])
+    listed = lambda kind: F.transform(F.array_sort(F.collect_list(F.when(F.col("type") == kind, F.struct("position", "path")))),
+        lambda x: x["path"])
     media = found.groupBy("post_id").agg(listed("photo").alias("images"), listed("video").alias("videos"))
     none = F.array().cast("array<string>")
     return posts.join(media, "post_id", "left").withColumns({"images": F.coalesce("images", none), "videos": F.coalesce("videos", none)})
@@ -170,4 +177,5 @@ def dataset(posts: DataFrame, attachments: DataFrame, cache: DataFrame) -> DataF
 def provenance(df: DataFrame, key: str, **settings) -> DataFrame:
     """One row that says what a table came from: rows, least and largest key, a sum of row hashes that no order changes, and the settings as JSON."""
     made = F.to_json(F.struct(*(F.lit(v).alias(k) for k, v in sorted(settings.items())))) if settings else F.lit("{}")
-    return df.agg(F.count("*").alias("rows"), F.min(key).alias("first"), F.max(key).alias("last"), F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")).alias("content")).withColumn("settings", made)
+    return df.agg(F.count("*").alias("rows"), F.min(key).alias("first"), F.max(key).alias("last"),
+        F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")).alias("content")).withColumn("settings", made)

@@ -19,9 +19,11 @@ def key_frames(df: DataFrame, clip: list[str], order: list[Column], value: Colum
     If that is fewer than ``least``, the largest changes fill up.
     """
     w = W.partitionBy(*clip).orderBy(*order)
-    scored = df.withColumn("frame", F.row_number().over(w)).withColumn("score", F.when(F.col("frame") == 1, 1.0).otherwise(F.abs(value - F.lag(value).over(w))))
+    scored = df.withColumn("frame", F.row_number().over(w)).withColumn("score", F.when(F.col("frame") == 1,
+        1.0).otherwise(F.abs(value - F.lag(value).over(w))))
     rest = F.row_number().over(W.partitionBy(*clip).orderBy(F.asc(F.col("frame") != 1), F.desc("score"), F.asc("frame")))
-    return scored.withColumn("nth", rest).where((F.col("frame") == 1) | ((F.col("score") > threshold) & (F.col("nth") <= most)) | (F.col("nth") <= least)).drop("nth")
+    return scored.withColumn("nth",
+        rest).where((F.col("frame") == 1) | ((F.col("score") > threshold) & (F.col("nth") <= most)) | (F.col("nth") <= least)).drop("nth")
 
 
 def luma_change(a: np.ndarray, b: np.ndarray) -> float:

@@ -31,10 +31,12 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str], policy: Mapping
 
     def merged(c: str) -> Column:
         o, n = F.col(f"o.{c}"), F.col(f"n.{c}")
-        value = {"keep": o, "take": n, "greatest": F.greatest(o, n), "coalesce": F.coalesce(n, o), "increment": F.coalesce(o, F.lit(0)) + F.coalesce(n, F.lit(0))}[policy.get(c, "keep")]
+        value = {"keep": o, "take": n, "greatest": F.greatest(o, n), "coalesce": F.coalesce(n, o),
+            "increment": F.coalesce(o, F.lit(0)) + F.coalesce(n, F.lit(0))}[policy.get(c, "keep")]
         return F.when(F.col("n.in_new").isNull(), o).when(F.col("o.in_old").isNull(), n).otherwise(value).alias(c)
 
-    return joined.select(*(F.coalesce(F.col(f"o.{k}"), F.col(f"n.{k}")).alias(k) for k in keys), *(merged(c) for c in target.columns if c not in keys))
+    return joined.select(*(F.coalesce(F.col(f"o.{k}"), F.col(f"n.{k}")).alias(k) for k in keys),
+        *(merged(c) for c in target.columns if c not in keys))
 
 
 def insert_missing(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -47,7 +49,8 @@ def replace_sets(target: DataFrame, source: DataFrame, owner: list[str]) -> Data
     return target.join(source.select(*owner).distinct(), owner, "left_anti").unionByName(source)
 
 
-def close_snapshot(target: DataFrame, complete: DataFrame, owner: str, this_run: Column, current: str = "is_current", run: str = "source_run", nulls: bool = False) -> DataFrame:
+def close_snapshot(target: DataFrame, complete: DataFrame, owner: str, this_run: Column, current: str = "is_current", run: str = "source_run",
+    nulls: bool = False) -> DataFrame:
     """Rows of owners whose walk was complete, and that this run did not touch, are no longer current.
 
     ``complete`` has the owners (key ``owner``). Rows without a run are closed only if ``nulls``.

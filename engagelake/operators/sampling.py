@@ -37,15 +37,20 @@ def ks_distance(population: DataFrame, sample: DataFrame, value: str, ranges: in
     The values are cut into ``ranges`` at approximate quantiles of the population; sums run within a range, each
     range starts from the sums of those before it, and only a row for each range meets in one place.
     """
-    counts = population.groupBy(F.col(value).alias("x")).agg(F.count("*").alias("p"), F.lit(0).cast("long").alias("s")).unionByName(sample.groupBy(F.col(value).alias("x")).agg(F.lit(0).cast("long").alias("p"), F.count("*").alias("s")))
+    counts = population.groupBy(F.col(value).alias("x")).agg(F.count("*").alias("p"),
+        F.lit(0).cast("long").alias("s")).unionByName(sample.groupBy(F.col(value).alias("x")).agg(F.lit(0).cast("long").alias("p"),
+        F.count("*").alias("s")))
     each = counts.groupBy("x").agg(F.sum("p").alias("p"), F.sum("s").alias("s")).where("x is not null")
     cuts = population.agg(F.percentile_approx(value, [i / ranges for i in range(1, ranges)], 100 * ranges).alias("cuts"))
-    each = each.crossJoin(F.broadcast(cuts)).select("x", "p", "s", F.size(F.filter("cuts", lambda c: c < F.col("x"))).alias("range"))  # one row of cuts
+    each = each.crossJoin(F.broadcast(cuts)).select("x", "p", "s", F.size(F.filter("cuts",
+        lambda c: c < F.col("x"))).alias("range"))  # one row of cuts
     sums = each.groupBy("range").agg(F.sum("p").alias("rp"), F.sum("s").alias("rs"))
     before = W.partitionBy(F.lit(1)).orderBy("range").rowsBetween(W.unboundedPreceding, -1)
-    starts = sums.select("range", F.coalesce(F.sum("rp").over(before), F.lit(0)).alias("bp"), F.coalesce(F.sum("rs").over(before), F.lit(0)).alias("bs"))
+    starts = sums.select("range", F.coalesce(F.sum("rp").over(before), F.lit(0)).alias("bp"),
+        F.coalesce(F.sum("rs").over(before), F.lit(0)).alias("bs"))
     w = W.partitionBy("range").orderBy("x").rowsBetween(W.unboundedPreceding, 0)
-    run = each.join(F.broadcast(starts), "range").select((F.col("bp") + F.sum("p").over(w)).alias("cp"), (F.col("bs") + F.sum("s").over(w)).alias("cs"))  # a row for each range
+    run = each.join(F.broadcast(starts), "range").select((F.col("bp") + F.sum("p").over(w)).alias("cp"),
+        (F.col("bs") + F.sum("s").over(w)).alias("cs"))  # a row for each range
     total = sums.agg(F.sum("rp").alias("n"), F.sum("rs").alias("m"))
     gap = F.abs(F.try_divide(F.col("cp").cast("double"), F.col("n")) - F.try_divide(F.col("cs").cast("double"), F.col("m")))
     return run.crossJoin(F.broadcast(total)).groupBy("n", "m").agg(F.max(gap).alias("d")).select(F.coalesce("d", F.lit(0.0)).alias("d"), "n", "m")
@@ -72,7 +77,8 @@ def chi_square(population: DataFrame, sample: DataFrame, category: str) -> DataF
     total = population.agg(F.count("*").alias("n")).crossJoin(sample.agg(F.count("*").alias("m")))
     expected = F.col("p") * F.col("m") / F.col("n")
     each = p.join(s, category, "left").crossJoin(F.broadcast(total)).where(expected > 0)
-    return each.agg(F.coalesce(F.sum(F.pow(F.coalesce("s", F.lit(0)) - expected, 2) / expected), F.lit(0.0)).alias("statistic"), F.greatest(F.count("*") - 1, F.lit(1)).alias("df"))
+    return each.agg(F.coalesce(F.sum(F.pow(F.coalesce("s", F.lit(0)) - expected, 2) / expected), F.lit(0.0)).alias("statistic"),
+        F.greatest(F.count("*") - 1, F.lit(1)).alias("df"))
 
 
 def chi_square_pvalue(statistic: Column, df: Column) -> Column:
@@ -92,8 +98,10 @@ def synthetic_posts(spark, n: int, groups: int = 50) -> DataFrame:
     i = F.col("id")
     pick = lambda *x: F.element_at(F.array(*map(F.lit, x)), (i % len(x) + 1).cast("int"))
     return spark.range(n).select(
-        (i + 10000).alias("post_id"), (i % groups + 1).alias("group_id"), pick("cafe", "retail", "beauty", "sport").alias("subject"), pick("text_only", "text_image", "text_video", "trimodal").alias("modality"),
-        ((i * 37) % 800 + 20).alias("text_length"), F.when(i % 4 >= 2, i % 120 + 5).otherwise(0).alias("duration"), (i % 100).alias("likes"), i.alias("seq"),
+        (i + 10000).alias("post_id"), (i % groups + 1).alias("group_id"), pick("cafe", "retail", "beauty", "sport").alias("subject"),
+        pick("text_only", "text_image", "text_video", "trimodal").alias("modality"),
+        ((i * 37) % 800 + 20).alias("text_length"), F.when(i % 4 >= 2, i % 120 + 5).otherwise(0).alias("duration"), (i % 100).alias("likes"),
+        i.alias("seq"),
     )
 
 

@@ -24,4 +24,5 @@ def until(df: DataFrame, group: list[str], order: list[Column], stop: Column) ->
 
 def islands(df: DataFrame, group: list[str], order: list[Column], breaks: Column, name: str = "island") -> DataFrame:
     """Numbers runs of rows: a row where ``breaks`` holds begins a new one."""
-    return df.withColumn(name, F.sum(F.coalesce(breaks.cast("int"), F.lit(0))).over(W.partitionBy(*group).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)))
+    return df.withColumn(name, F.sum(F.coalesce(breaks.cast("int"),
+        F.lit(0))).over(W.partitionBy(*group).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)))

@@ -20,37 +20,54 @@ PROFILE_DAYS, METADATA_DAYS = 30, 60
 
 #: name -> (source table, condition, columns): rows of the domain, derived from ids.
 TABLES = {
-    "candidates": ("customer", "TRUE", {"group_id": "c_custkey", "status": "CASE c_custkey % 5 WHEN 0 THEN 'rejected' WHEN 1 THEN 'pending' ELSE 'approved' END"}),
+    "candidates": ("customer", "TRUE", {"group_id": "c_custkey",
+    "status": "CASE c_custkey % 5 WHEN 0 THEN 'rejected' WHEN 1 THEN 'pending' ELSE 'approved' END"}),
     "group_states": ("customer", "c_custkey % 7 <> 0", {
-        "group_id": "c_custkey", "group_ok": "CASE WHEN c_custkey % 3 <> 0 THEN c_custkey % 200 END", "posts_ok": "CASE WHEN c_custkey % 4 <> 0 THEN c_custkey % 150 END", "members_ok": "CASE WHEN c_custkey % 6 <> 0 THEN 1 END",
+        "group_id": "c_custkey", "group_ok": "CASE WHEN c_custkey % 3 <> 0 THEN c_custkey % 200 END",
+        "posts_ok": "CASE WHEN c_custkey % 4 <> 0 THEN c_custkey % 150 END", "members_ok": "CASE WHEN c_custkey % 6 <> 0 THEN 1 END",
         "unavailable": "CASE WHEN c_custkey % 13 = 0 THEN TRUE WHEN c_custkey % 2 = 0 THEN FALSE END",
     }),
     "users": ("customer", "TRUE", {
-        "user_id": "c_custkey", "deactivated": "CASE WHEN c_custkey % 11 = 0 THEN 'deleted' END", "is_closed": "CASE WHEN c_custkey % 17 <> 0 THEN c_custkey % 3 = 0 END", "can_access": "CASE WHEN c_custkey % 19 <> 0 THEN c_custkey % 2 = 0 END",
+        "user_id": "c_custkey", "deactivated": "CASE WHEN c_custkey % 11 = 0 THEN 'deleted' END",
+        "is_closed": "CASE WHEN c_custkey % 17 <> 0 THEN c_custkey % 3 = 0 END",
+        "can_access": "CASE WHEN c_custkey % 19 <> 0 THEN c_custkey % 2 = 0 END",
         "profile_day": "CASE WHEN c_custkey % 8 <> 0 THEN c_custkey % 200 END",
     }),
     "memberships": ("orders", "TRUE", {"user_id": "o_custkey", "group_id": "1 + o_orderkey % 150", "is_current": "o_orderkey % 4 <> 0"}),
     "subscription_states": ("customer", "c_custkey % 6 <> 0", {
-        "user_id": "c_custkey", "last_success": "CASE WHEN c_custkey % 5 < 2 THEN c_custkey % 200 END", "terminal": "CASE c_custkey % 9 WHEN 0 THEN 'privacy_or_access' WHEN 1 THEN 'deleted_or_unavailable' END",
+        "user_id": "c_custkey", "last_success": "CASE WHEN c_custkey % 5 < 2 THEN c_custkey % 200 END",
+        "terminal": "CASE c_custkey % 9 WHEN 0 THEN 'privacy_or_access' WHEN 1 THEN 'deleted_or_unavailable' END",
         "next_day": "CASE WHEN c_custkey % 4 <> 0 THEN 150 + c_custkey % 100 END", "truncated": "c_custkey % 10 = 0",
     }),
     "wall_states": ("customer", "c_custkey % 9 <> 0", {
-        "user_id": "c_custkey", "last_success": "CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 200 END", "wall_private": "c_custkey % 7 = 0", "unavailable": "c_custkey % 21 = 0", "next_day": "CASE WHEN c_custkey % 5 <> 0 THEN 170 + c_custkey % 60 END",
+        "user_id": "c_custkey", "last_success": "CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 200 END", "wall_private": "c_custkey % 7 = 0",
+        "unavailable": "c_custkey % 21 = 0", "next_day": "CASE WHEN c_custkey % 5 <> 0 THEN 170 + c_custkey % 60 END",
     }),
-    "communities": ("supplier", "TRUE", {"community_id": "s_suppkey", "metadata_day": "CASE WHEN s_suppkey % 4 <> 0 THEN 100 + s_suppkey % 100 END", "deactivated": "CASE WHEN s_suppkey % 7 = 0 THEN 'banned' END", "is_closed": "s_suppkey % 5 = 0"}),
-    "community_states": ("supplier", "s_suppkey % 3 <> 0", {"community_id": "s_suppkey", "last_success": "CASE WHEN s_suppkey % 2 = 0 THEN 1 END", "wall_private": "s_suppkey % 11 = 0", "unavailable": "s_suppkey % 13 = 0"}),
+    "communities": ("supplier", "TRUE", {"community_id": "s_suppkey", "metadata_day": "CASE WHEN s_suppkey % 4 <> 0 THEN 100 + s_suppkey % 100 END",
+    "deactivated": "CASE WHEN s_suppkey % 7 = 0 THEN 'banned' END", "is_closed": "s_suppkey % 5 = 0"}),
+    "community_states": ("supplier", "s_suppkey % 3 <> 0", {"community_id": "s_suppkey", "last_success": "CASE WHEN s_suppkey % 2 = 0 THEN 1 END",
+    "wall_private": "s_suppkey % 11 = 0", "unavailable": "s_suppkey % 13 = 0"}),
     "subscriptions": ("lineitem", "TRUE", {"user_id": "l_orderkey % 150", "community_id": "l_suppkey", "is_current": "l_linenumber < 4"}),
     "queue": ("orders", "TRUE", {
-        "job_id": "o_orderkey", "run_id": "o_custkey % 40", "job_type": "CASE o_orderkey % 3 WHEN 0 THEN 'posts' WHEN 1 THEN 'members' ELSE 'subscriptions' END", "entity_type": "CASE o_orderkey % 2 WHEN 0 THEN 'group' ELSE 'user' END", "entity_id": "o_custkey",
+        "job_id": "o_orderkey", "run_id": "o_custkey % 40",
+        "job_type": "CASE o_orderkey % 3 WHEN 0 THEN 'posts' WHEN 1 THEN 'members' ELSE 'subscriptions' END",
+        "entity_type": "CASE o_orderkey % 2 WHEN 0 THEN 'group' ELSE 'user' END", "entity_id": "o_custkey",
         "status": "CASE WHEN o_orderstatus = 'F' THEN 'completed' WHEN o_orderkey % 4 = 0 THEN 'running' WHEN o_orderkey % 5 = 0 THEN 'retry_wait' WHEN o_orderkey % 6 = 0 THEN 'failed' ELSE 'pending' END",
-        "locked_day": "CASE WHEN o_orderkey % 4 = 0 THEN o_orderkey % 220 END", "next_day": "CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey % 260 END", "requests": "o_orderkey % 9", "inserted": "o_orderkey % 50", "updated": "o_orderkey % 20",
+        "locked_day": "CASE WHEN o_orderkey % 4 = 0 THEN o_orderkey % 220 END", "next_day": "CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey % 260 END",
+        "requests": "o_orderkey % 9", "inserted": "o_orderkey % 50", "updated": "o_orderkey % 20",
     }),
     "runs": ("customer", "c_custkey <= 120", {
-        "run_id": "c_custkey", "scope": "CASE c_custkey % 4 WHEN 0 THEN 'groups' WHEN 1 THEN 'subscriptions' WHEN 2 THEN 'pilot_groups' ELSE 'user_posts_pilot' END",
-        "status": "CASE c_custkey % 6 WHEN 0 THEN 'completed' WHEN 1 THEN 'running' WHEN 2 THEN 'failed' WHEN 3 THEN 'planned' WHEN 4 THEN 'cancelled' ELSE 'completed_with_errors' END", "jobs": "c_custkey % 70", "failed_jobs": "c_custkey % 6", "config": "c_custkey % 3",
+        "run_id": "c_custkey",
+        "scope": "CASE c_custkey % 4 WHEN 0 THEN 'groups' WHEN 1 THEN 'subscriptions' WHEN 2 THEN 'pilot_groups' ELSE 'user_posts_pilot' END",
+        "status": "CASE c_custkey % 6 WHEN 0 THEN 'completed' WHEN 1 THEN 'running' WHEN 2 THEN 'failed' WHEN 3 THEN 'planned' WHEN 4 THEN 'cancelled' ELSE 'completed_with_errors' END",
+        "jobs": "c_custkey % 70", "failed_jobs": "c_custkey % 6", "config": "c_custkey % 3",
     }),
-    "campaigns": ("customer", "c_custkey <= 30", {"campaign_id": "c_custkey", "kind": "CASE c_custkey % 5 WHEN 0 THEN 'subscriptions' WHEN 1 THEN 'user_posts' ELSE 'k' || CAST(c_custkey AS VARCHAR(9)) END", "status": "CASE c_custkey % 3 WHEN 0 THEN 'completed' WHEN 1 THEN 'running' ELSE 'paused' END", "users": "c_custkey * 10"}),
-    "errors": ("events", "event_id % 3 = 0", {"endpoint": "event_type", "category": "CASE event_id % 4 WHEN 0 THEN 'access' WHEN 1 THEN 'rate' ELSE 'network' END", "code": "CASE WHEN event_id % 4 < 2 THEN 9 - event_id % 4 END", "number": "event_id", "run_id": "user_id"}),
+    "campaigns": ("customer", "c_custkey <= 30", {"campaign_id": "c_custkey",
+    "kind": "CASE c_custkey % 5 WHEN 0 THEN 'subscriptions' WHEN 1 THEN 'user_posts' ELSE 'k' || CAST(c_custkey AS VARCHAR(9)) END",
+    "status": "CASE c_custkey % 3 WHEN 0 THEN 'completed' WHEN 1 THEN 'running' ELSE 'paused' END", "users": "c_custkey * 10"}),
+    "errors": ("events", "event_id % 3 = 0", {"endpoint": "event_type",
+    "category": "CASE event_id % 4 WHEN 0 THEN 'access' WHEN 1 THEN 'rate' ELSE 'network' END",
+    "code": "CASE WHEN event_id % 4 < 2 THEN 9 - event_id % 4 END", "number": "event_id", "run_id": "user_id"}),
 }
 
 
@@ -80,18 +97,24 @@ def eligible_users(spark, sf_dir) -> DataFrame:
 
 
 def _group_counts(spark, sf_dir):
-    g = rows(spark, sf_dir, "candidates").where("status = 'approved'").join(rows(spark, sf_dir, "group_states").withColumn("known", F.lit(True)), "group_id", "left")
+    g = rows(spark, sf_dir, "candidates").where("status = 'approved'").join(rows(spark, sf_dir, "group_states").withColumn("known", F.lit(True)),
+        "group_id", "left")
     open_ = ~F.coalesce("unavailable", F.lit(False))
     return g.agg(
-        F.count("*").alias("groups"), F.count_if(F.col("known").isNull()).alias("groups_without_state"), F.count_if(F.col("group_ok").isNull() & open_).alias("groups_metadata_missing"),
-        F.count_if(F.col("posts_ok").isNull() & open_).alias("groups_posts_missing"), F.count_if(F.col("members_ok").isNull() & open_).alias("groups_members_missing"), F.count_if(~open_).alias("groups_unavailable"),
+        F.count("*").alias("groups"), F.count_if(F.col("known").isNull()).alias("groups_without_state"),
+        F.count_if(F.col("group_ok").isNull() & open_).alias("groups_metadata_missing"),
+        F.count_if(F.col("posts_ok").isNull() & open_).alias("groups_posts_missing"),
+        F.count_if(F.col("members_ok").isNull() & open_).alias("groups_members_missing"), F.count_if(~open_).alias("groups_unavailable"),
     )
 
 
 def _user_counts(spark, sf_dir):
     return rows(spark, sf_dir, "users").agg(
-        F.count("*").alias("users"), F.count_if(accessible()).alias("users_accessible"), F.count_if(F.col("profile_day").isNull()).alias("users_profile_missing"), F.count_if(F.col("profile_day") < TODAY - PROFILE_DAYS).alias("users_profile_stale"),
-        F.count_if(F.col("deactivated").isNotNull()).alias("users_deactivated"), F.count_if((F.col("is_closed") == F.lit(True)) & (F.col("can_access") == F.lit(False))).alias("users_closed"),
+        F.count("*").alias("users"), F.count_if(accessible()).alias("users_accessible"),
+        F.count_if(F.col("profile_day").isNull()).alias("users_profile_missing"),
+        F.count_if(F.col("profile_day") < TODAY - PROFILE_DAYS).alias("users_profile_stale"),
+        F.count_if(F.col("deactivated").isNotNull()).alias("users_deactivated"),
+        F.count_if((F.col("is_closed") == F.lit(True)) & (F.col("can_access") == F.lit(False))).alias("users_closed"),
     )
 
 
@@ -100,8 +123,11 @@ def _subscription_counts(spark, sf_dir):
     s = eligible_users(spark, sf_dir).select("user_id").join(rows(spark, sf_dir, "subscription_states"), "user_id", "left")
     not_yet, reason = F.col("last_success").isNull(), F.col("terminal")
     return s.agg(
-        F.count("*").alias("eligible"), F.count("last_success").alias("successful"), F.count_if(not_yet & (reason == "privacy_or_access")).alias("terminal_privacy"), F.count_if(not_yet & (reason == "deleted_or_unavailable")).alias("terminal_deleted"),
-        F.count_if(not_yet & reason.isNull() & (F.col("next_day") > TODAY)).alias("transient_deferred"), F.count_if(not_yet & reason.isNull() & (F.col("next_day") <= TODAY)).alias("transient_due"),
+        F.count("*").alias("eligible"), F.count("last_success").alias("successful"),
+        F.count_if(not_yet & (reason == "privacy_or_access")).alias("terminal_privacy"),
+        F.count_if(not_yet & (reason == "deleted_or_unavailable")).alias("terminal_deleted"),
+        F.count_if(not_yet & reason.isNull() & (F.col("next_day") > TODAY)).alias("transient_deferred"),
+        F.count_if(not_yet & reason.isNull() & (F.col("next_day") <= TODAY)).alias("transient_due"),
         F.count_if(F.col("truncated")).alias("truncated"), F.count_if(not_yet & reason.isNull()).alias("unresolved"),
     )
 
@@ -109,28 +135,35 @@ def _subscription_counts(spark, sf_dir):
 def _community_counts(spark, sf_dir):
     """Each community with a current subscription counts once: one grouping, no distinct counts."""
     current = rows(spark, sf_dir, "subscriptions").where("is_current").select("community_id").distinct()
-    c = rows(spark, sf_dir, "communities").join(current, "community_id", "left_semi").join(rows(spark, sf_dir, "community_states").withColumn("known", F.lit(True)), "community_id", "left")
+    c = rows(spark, sf_dir, "communities").join(current, "community_id", "left_semi").join(rows(spark, sf_dir, "community_states").withColumn("known",
+        F.lit(True)), "community_id", "left")
     there = F.col("deactivated").isNull()
     return c.agg(
-        F.count("*").alias("communities"), F.count_if(F.col("metadata_day").isNull()).alias("communities_metadata_missing"), F.count_if(F.col("metadata_day") < TODAY - METADATA_DAYS).alias("communities_metadata_stale"),
-        F.count("deactivated").alias("communities_deactivated"), F.count_if("is_closed").alias("communities_closed"), F.count_if(there).alias("walls"), F.count_if(there & F.col("known").isNull()).alias("walls_without_state"),
-        F.count_if(there & F.col("last_success").isNotNull()).alias("walls_collected"), F.count_if(there & F.col("wall_private")).alias("walls_private"), F.count_if(there & F.col("unavailable")).alias("walls_unavailable"),
+        F.count("*").alias("communities"), F.count_if(F.col("metadata_day").isNull()).alias("communities_metadata_missing"),
+        F.count_if(F.col("metadata_day") < TODAY - METADATA_DAYS).alias("communities_metadata_stale"),
+        F.count("deactivated").alias("communities_deactivated"), F.count_if("is_closed").alias("communities_closed"),
+        F.count_if(there).alias("walls"), F.count_if(there & F.col("known").isNull()).alias("walls_without_state"),
+        F.count_if(there & F.col("last_success").isNotNull()).alias("walls_collected"),
+        F.count_if(there & F.col("wall_private")).alias("walls_private"), F.count_if(there & F.col("unavailable")).alias("walls_unavailable"),
     )
 
 
 def _run_counts(spark, sf_dir):
     active = F.col("status").isin("running", "paused", "planned")
     runs = rows(spark, sf_dir, "runs").agg(
-        F.count_if(F.col("scope").like("%pilot%") & ~F.col("status").isin("completed", "completed_with_errors", "failed", "cancelled")).alias("unfinished_pilots"),
+        F.count_if(F.col("scope").like("%pilot%") & ~F.col("status").isin("completed", "completed_with_errors", "failed",
+        "cancelled")).alias("unfinished_pilots"),
         F.count_if(F.col("status").isin("planned", "running", "waiting_method_limit") & (F.col("config") != 1)).alias("configuration_mismatches"),
     )
     jobs = rows(spark, sf_dir, "queue").agg(
         F.count_if((F.col("status") == "running") & (F.col("locked_day") < TODAY)).alias("stale_leases"),
-        F.min(F.when((F.col("job_type") == "subscriptions") & (F.col("status") == "retry_wait") & (F.col("next_day") > TODAY), F.col("next_day"))).alias("nearest_retry"),
+        F.min(F.when((F.col("job_type") == "subscriptions") & (F.col("status") == "retry_wait") & (F.col("next_day") > TODAY),
+        F.col("next_day"))).alias("nearest_retry"),
     )
     campaigns = rows(spark, sf_dir, "campaigns").where(active)
     several = campaigns.groupBy("kind").count().where("count > 1").agg(F.count("*").alias("kinds_with_several"))
-    return runs.crossJoin(jobs).crossJoin(campaigns.agg(F.count("*").alias("campaigns"), F.coalesce(F.sum("users"), F.lit(0)).alias("campaign_users"))).crossJoin(several)  # a row each
+    return runs.crossJoin(jobs).crossJoin(campaigns.agg(F.count("*").alias("campaigns"),
+        F.coalesce(F.sum("users"), F.lit(0)).alias("campaign_users"))).crossJoin(several)  # a row each
 
 
 def canonical_backlog(spark, sf_dir):
@@ -138,13 +171,16 @@ def canonical_backlog(spark, sf_dir):
     parts = [f(spark, sf_dir) for f in (_group_counts, _user_counts, _subscription_counts, _community_counts, _run_counts)]
     one = reduce(DataFrame.crossJoin, parts)  # a row each
     resolved = F.col("successful") + F.col("terminal_privacy") + F.col("terminal_deleted")
-    light = F.when(F.col("groups_metadata_missing") > 0, "approved_group_metadata").when(F.col("users_profile_missing") + F.col("users_profile_stale") > 0, "user_profiles")
-    return one.select("*", F.when(F.col("eligible") == 0, 100.0).otherwise(F.round(resolved * 100.0 / F.col("eligible"), 2)).cast("double").alias("coverage"), light.alias("next_light_backlog"))
+    light = F.when(F.col("groups_metadata_missing") > 0,
+        "approved_group_metadata").when(F.col("users_profile_missing") + F.col("users_profile_stale") > 0, "user_profiles")
+    return one.select("*", F.when(F.col("eligible") == 0, 100.0).otherwise(F.round(resolved * 100.0 / F.col("eligible"),
+        2)).cast("double").alias("coverage"), light.alias("next_light_backlog"))
 
 
 def backlog_jobs(spark, sf_dir):
     """Jobs by type and status, with distinct entities: history, not backlog."""
-    return rows(spark, sf_dir, "queue").groupBy("job_type", "status").agg(F.count("*").alias("jobs"), F.countDistinct("entity_type", "entity_id").alias("entities"))
+    return rows(spark, sf_dir, "queue").groupBy("job_type", "status").agg(F.count("*").alias("jobs"),
+        F.countDistinct("entity_type", "entity_id").alias("entities"))
 
 
 # --- the operational report, a query for each kind of statement ---
@@ -154,17 +190,22 @@ def report_totals(spark, sf_dir):
     """Labelled counts of what has been collected."""
     users, walls, subs = rows(spark, sf_dir, "users"), rows(spark, sf_dir, "wall_states"), rows(spark, sf_dir, "subscription_states")
     return aggregates.labelled_counts(
-        spark, group_candidates=rows(spark, sf_dir, "candidates"), communities=rows(spark, sf_dir, "communities"), communities_with_metadata=rows(spark, sf_dir, "communities").where("metadata_day is not null"), group_posts=b.posts(spark, sf_dir),
-        post_attachments=b.table(spark, sf_dir, "lineitem"), user_post_states=walls, processed_user_posts=walls.where("last_success is not null"), private_user_walls=walls.where("wall_private"), users=users, accessible_users=users.where(accessible()),
-        memberships=rows(spark, sf_dir, "memberships"), current_memberships=rows(spark, sf_dir, "memberships").where("is_current"), subscriptions=rows(spark, sf_dir, "subscriptions"), current_subscriptions=rows(spark, sf_dir, "subscriptions").where("is_current"),
-        processed_subscription_users=subs.where("last_success is not null"), community_post_states=rows(spark, sf_dir, "community_states"), communities_with_posts=rows(spark, sf_dir, "community_states").where("last_success is not null"),
+        spark, group_candidates=rows(spark, sf_dir, "candidates"), communities=rows(spark, sf_dir, "communities"),
+        communities_with_metadata=rows(spark, sf_dir, "communities").where("metadata_day is not null"), group_posts=b.posts(spark, sf_dir),
+        post_attachments=b.table(spark, sf_dir, "lineitem"), user_post_states=walls, processed_user_posts=walls.where("last_success is not null"),
+        private_user_walls=walls.where("wall_private"), users=users, accessible_users=users.where(accessible()),
+        memberships=rows(spark, sf_dir, "memberships"), current_memberships=rows(spark, sf_dir, "memberships").where("is_current"),
+        subscriptions=rows(spark, sf_dir, "subscriptions"), current_subscriptions=rows(spark, sf_dir, "subscriptions").where("is_current"),
+        processed_subscription_users=subs.where("last_success is not null"), community_post_states=rows(spark, sf_dir, "community_states"),
+        communities_with_posts=rows(spark, sf_dir, "community_states").where("last_success is not null"),
     )
 
 
 def report_coverage(spark, sf_dir):
     """Of eligible users: due, fresh and finally refused, for subscriptions and for walls."""
     users = eligible_users(spark, sf_dir).select("user_id")
-    s, w = users.join(rows(spark, sf_dir, "subscription_states"), "user_id", "left"), users.join(rows(spark, sf_dir, "wall_states"), "user_id", "left")
+    s, w = users.join(rows(spark, sf_dir, "subscription_states"), "user_id", "left"), users.join(rows(spark, sf_dir, "wall_states"), "user_id",
+        "left")
     ahead = F.col("next_day") > TODAY
 
     def part(df, scope, done, refused):
@@ -172,15 +213,18 @@ def report_coverage(spark, sf_dir):
         return x.select(F.lit(scope).alias("scope"), "eligible", (F.col("eligible") - F.col("fresh")).alias("due"), "fresh", "terminal")
 
     success = F.col("last_success").isNotNull()
-    return part(s, "subscriptions", success, F.col("terminal").isNotNull()).unionByName(part(w, "user_posts", success, F.col("wall_private") | F.col("unavailable")))
+    return part(s, "subscriptions", success, F.col("terminal").isNotNull()).unionByName(part(w, "user_posts", success,
+        F.col("wall_private") | F.col("unavailable")))
 
 
 def report_runs(spark, sf_dir):
-    return rows(spark, sf_dir, "runs").groupBy("scope", "status").agg(F.count("*").alias("runs"), F.sum("jobs").alias("jobs"), F.sum("failed_jobs").alias("failed"))
+    return rows(spark, sf_dir, "runs").groupBy("scope", "status").agg(F.count("*").alias("runs"), F.sum("jobs").alias("jobs"),
+        F.sum("failed_jobs").alias("failed"))
 
 
 def report_queue(spark, sf_dir):
-    return rows(spark, sf_dir, "queue").groupBy("job_type", "status").agg(F.count("*").alias("jobs"), F.sum("requests").alias("requests"), F.sum("inserted").alias("inserted"), F.sum("updated").alias("updated"))
+    return rows(spark, sf_dir, "queue").groupBy("job_type", "status").agg(F.count("*").alias("jobs"), F.sum("requests").alias("requests"),
+        F.sum("inserted").alias("inserted"), F.sum("updated").alias("updated"))
 
 
 def report_errors(spark, sf_dir):
@@ -191,7 +235,8 @@ def report_errors(spark, sf_dir):
 
 def report_latest_errors(spark, sf_dir):
     """The latest error of each kind."""
-    return rows(spark, sf_dir, "errors").groupBy("endpoint", "category", F.coalesce("code", F.lit(0)).alias("code")).agg(F.max("number").alias("number"), F.max_by("run_id", "number").alias("run_id"))
+    return rows(spark, sf_dir, "errors").groupBy("endpoint", "category", F.coalesce("code",
+        F.lit(0)).alias("code")).agg(F.max("number").alias("number"), F.max_by("run_id", "number").alias("run_id"))
 
 
 def report_failed_jobs(spark, sf_dir):
@@ -212,38 +257,52 @@ def user_posts_capacity(df: DataFrame, warning_percent: int = 85, safe_bytes: in
     A missing or impossible input counts as 0 and is a reason, like a limit that would be passed; without reasons the plan passes.
     """
     ok = {
-        "snapshot_users": F.col("snapshot_users") >= 0, "due_users": (F.col("due_users") >= 0) & (F.col("due_users") <= F.greatest("snapshot_users", F.lit(0))), "measured_users": F.col("measured_users") > 0,
+        "snapshot_users": F.col("snapshot_users") >= 0, "due_users": (F.col("due_users") >= 0) & (F.col("due_users") <= F.greatest("snapshot_users",
+        F.lit(0))), "measured_users": F.col("measured_users") > 0,
         "growth_bytes": F.col("growth_bytes") >= 0, "posts": F.col("posts") >= 0, "attachments": F.col("attachments") >= 0,
     }
     v = {c: F.when(good, F.col(c)).otherwise(0) for c, good in ok.items()}
     per = lambda c: F.when(v["measured_users"] > 0, F.ceil(v[c] / v["measured_users"])).otherwise(0)
-    x = df.withColumns({"measured": per("growth_bytes"), "modeled": per("posts") * (POST_BYTES + INDEX_BYTES) + per("attachments") * ATTACHMENT_BYTES})
-    x = x.withColumn("payload_growth", F.ceil(v["due_users"] * (F.greatest("measured", "modeled") + STATE_BYTES + JOB_BYTES) * RESERVE)).withColumn("snapshot_growth", F.ceil(v["snapshot_users"] * SNAPSHOT_BYTES * RESERVE))
-    x = x.withColumn("growth", F.col("payload_growth") + F.col("snapshot_growth")).withColumn("final_bytes", F.col("database_bytes") + F.col("growth"))
-    used = F.when(F.col("disk_total") > 0, (F.col("disk_total") - F.col("disk_free") + F.col("growth")) * 100.0 / F.col("disk_total")).otherwise(100.0)
+    x = df.withColumns({"measured": per("growth_bytes"),
+        "modeled": per("posts") * (POST_BYTES + INDEX_BYTES) + per("attachments") * ATTACHMENT_BYTES})
+    x = x.withColumn("payload_growth", F.ceil(v["due_users"] * (F.greatest("measured",
+        "modeled") + STATE_BYTES + JOB_BYTES) * RESERVE)).withColumn("snapshot_growth", F.ceil(v["snapshot_users"] * SNAPSHOT_BYTES * RESERVE))
+    x = x.withColumn("growth", F.col("payload_growth") + F.col("snapshot_growth")).withColumn("final_bytes",
+        F.col("database_bytes") + F.col("growth"))
+    used = F.when(F.col("disk_total") > 0,
+        (F.col("disk_total") - F.col("disk_free") + F.col("growth")) * 100.0 / F.col("disk_total")).otherwise(100.0)
     free = F.greatest(F.lit(0), F.col("disk_free") - least_free)
-    x = x.withColumn("available", F.least(F.greatest(F.lit(0), F.lit(safe_bytes) - F.col("database_bytes")), free)).withColumn("used_percent", F.round(used, 6))
-    limits = {"database_limit": F.col("final_bytes") > safe_bytes, "disk_free": F.col("growth") > free, "disk_warning": F.col("disk_warning") | F.col("disk_stop") | (used >= warning_percent)}
+    x = x.withColumn("available", F.least(F.greatest(F.lit(0), F.lit(safe_bytes) - F.col("database_bytes")), free)).withColumn("used_percent",
+        F.round(used, 6))
+    limits = {"database_limit": F.col("final_bytes") > safe_bytes, "disk_free": F.col("growth") > free,
+        "disk_warning": F.col("disk_warning") | F.col("disk_stop") | (used >= warning_percent)}
     reasons = [F.when(~F.coalesce(good, F.lit(False)), c) for c, good in ok.items()] + [F.when(bad, c) for c, bad in limits.items()]
     listed = F.concat_ws(",", *reasons)
     return x.select(
-        *df.columns, "measured", "modeled", "payload_growth", "snapshot_growth", "growth", "final_bytes", "used_percent", "available", F.greatest(F.lit(0), F.col("growth") - F.col("available")).alias("additional"),
+        *df.columns, "measured", "modeled", "payload_growth", "snapshot_growth", "growth", "final_bytes", "used_percent", "available",
+        F.greatest(F.lit(0), F.col("growth") - F.col("available")).alias("additional"),
         listed.alias("reasons"), F.when(listed == "", "passed").otherwise("rejected").alias("decision"),
     )
 
 
 _PLANS = {
-    "id": "c_custkey", "snapshot_users": "c_custkey % 9 * 4000 - 4000", "due_users": "CASE WHEN c_custkey % 7 <> 0 THEN c_custkey % 5 * 3000 END", "measured_users": "c_custkey % 4 * 50", "growth_bytes": "c_custkey % 6 * 9000000 - 1000000", "posts": "c_custkey % 8 * 300",
-    "attachments": "c_custkey % 3 * 500", "database_bytes": "CAST(c_custkey % 10 AS BIGINT) * 900000000", "disk_total": "CASE WHEN c_custkey % 23 = 0 THEN 0 ELSE CAST(20000000000 AS BIGINT) END", "disk_free": "CAST(c_custkey % 12 AS BIGINT) * 1600000000", "disk_warning": "c_custkey % 15 = 0", "disk_stop": "c_custkey % 31 = 0",
+    "id": "c_custkey", "snapshot_users": "c_custkey % 9 * 4000 - 4000", "due_users": "CASE WHEN c_custkey % 7 <> 0 THEN c_custkey % 5 * 3000 END",
+    "measured_users": "c_custkey % 4 * 50", "growth_bytes": "c_custkey % 6 * 9000000 - 1000000", "posts": "c_custkey % 8 * 300",
+    "attachments": "c_custkey % 3 * 500", "database_bytes": "CAST(c_custkey % 10 AS BIGINT) * 900000000",
+    "disk_total": "CASE WHEN c_custkey % 23 = 0 THEN 0 ELSE CAST(20000000000 AS BIGINT) END",
+    "disk_free": "CAST(c_custkey % 12 AS BIGINT) * 1600000000", "disk_warning": "c_custkey % 15 = 0", "disk_stop": "c_custkey % 31 = 0",
 }
 
 
 def user_posts_projection(spark, sf_dir):
-    plans = b.table(spark, sf_dir, "customer").select(*(F.expr(e).cast("boolean" if "% 15" in e or "% 31" in e else "long").alias(c) for c, e in _PLANS.items()))
-    return user_posts_capacity(plans, least_free=1 << 30).select("id", "measured", "modeled", "payload_growth", "snapshot_growth", "growth", "final_bytes", "used_percent", "available", "additional", "reasons", "decision")
+    plans = b.table(spark, sf_dir, "customer").select(*(F.expr(e).cast("boolean" if "% 15" in e or "% 31" in e else "long").alias(c) for c,
+        e in _PLANS.items()))
+    return user_posts_capacity(plans, least_free=1 << 30).select("id", "measured", "modeled", "payload_growth", "snapshot_growth", "growth",
+        "final_bytes", "used_percent", "available", "additional", "reasons", "decision")
 
 
-_ELIGIBLE = "eligible_users AS (SELECT user_id FROM users u WHERE deactivated IS NULL AND (is_closed = FALSE OR can_access = TRUE) AND EXISTS (SELECT 1 FROM memberships m JOIN candidates g USING (group_id) WHERE m.user_id = u.user_id AND m.is_current AND g.status = 'approved'))"
+_ELIGIBLE = """eligible_users AS (SELECT user_id FROM users u WHERE deactivated IS NULL AND (is_closed = FALSE OR can_access = TRUE) AND EXISTS
+    (SELECT 1 FROM memberships m JOIN candidates g USING (group_id) WHERE m.user_id = u.user_id AND m.is_current AND g.status = 'approved'))"""
 _N = "count(*) FILTER (WHERE {}) AS {}"
 
 
@@ -251,50 +310,90 @@ def _counts(**conditions: str) -> str:
     return ", ".join(_N.format(c, name) for name, c in conditions.items())
 
 
-_BACKLOG = f"""WITH {sql("candidates", "group_states", "users", "memberships", "subscription_states", "communities", "community_states", "subscriptions", "queue", "runs", "campaigns")}, {_ELIGIBLE},
- g AS (SELECT {_counts(groups="TRUE", groups_without_state="s.group_id IS NULL", groups_metadata_missing="group_ok IS NULL AND NOT coalesce(unavailable, FALSE)", groups_posts_missing="posts_ok IS NULL AND NOT coalesce(unavailable, FALSE)",
-   groups_members_missing="members_ok IS NULL AND NOT coalesce(unavailable, FALSE)", groups_unavailable="coalesce(unavailable, FALSE)")} FROM candidates c LEFT JOIN group_states s ON s.group_id = c.group_id WHERE c.status = 'approved'),
- u AS (SELECT {_counts(users="TRUE", users_accessible="deactivated IS NULL AND (is_closed = FALSE OR can_access = TRUE)", users_profile_missing="profile_day IS NULL", users_profile_stale=f"profile_day < {TODAY - PROFILE_DAYS}",
+_BACKLOG = f"""WITH
+    {sql("candidates", "group_states", "users", "memberships", "subscription_states", "communities", "community_states", "subscriptions", "queue", "runs", "campaigns")},
+    {_ELIGIBLE},
+ g AS (SELECT
+    {_counts(groups="TRUE", groups_without_state="s.group_id IS NULL", groups_metadata_missing="group_ok IS NULL AND NOT coalesce(unavailable, FALSE)", groups_posts_missing="posts_ok IS NULL AND NOT coalesce(unavailable, FALSE)",
+   groups_members_missing="members_ok IS NULL AND NOT coalesce(unavailable, FALSE)", groups_unavailable="coalesce(unavailable, FALSE)")} FROM
+    candidates c LEFT JOIN group_states s ON s.group_id = c.group_id WHERE c.status = 'approved'),
+ u AS (SELECT
+    {_counts(users="TRUE", users_accessible="deactivated IS NULL AND (is_closed = FALSE OR can_access = TRUE)", users_profile_missing="profile_day IS NULL", users_profile_stale=f"profile_day < {TODAY - PROFILE_DAYS}",
    users_deactivated="deactivated IS NOT NULL", users_closed="is_closed AND NOT can_access")} FROM users),
- s AS (SELECT {_counts(eligible="TRUE", successful="last_success IS NOT NULL", terminal_privacy="last_success IS NULL AND terminal = 'privacy_or_access'", terminal_deleted="last_success IS NULL AND terminal = 'deleted_or_unavailable'",
+ s AS (SELECT
+    {_counts(eligible="TRUE", successful="last_success IS NOT NULL", terminal_privacy="last_success IS NULL AND terminal = 'privacy_or_access'", terminal_deleted="last_success IS NULL AND terminal = 'deleted_or_unavailable'",
    transient_deferred=f"last_success IS NULL AND terminal IS NULL AND next_day > {TODAY}", transient_due=f"last_success IS NULL AND terminal IS NULL AND next_day <= {TODAY}", truncated="truncated", unresolved="last_success IS NULL AND terminal IS NULL")}
    FROM eligible_users LEFT JOIN subscription_states USING (user_id)),
- j AS (SELECT c.*, t.community_id AS known, last_success, wall_private, unavailable FROM subscriptions b JOIN communities c USING (community_id) LEFT JOIN community_states t ON t.community_id = b.community_id WHERE b.is_current),
- c AS (SELECT {", ".join(f"count(DISTINCT community_id) FILTER (WHERE {x}) AS {n}" for n, x in dict(communities="TRUE", communities_metadata_missing="metadata_day IS NULL", communities_metadata_stale=f"metadata_day < {TODAY - METADATA_DAYS}",
+ j AS (SELECT c.*, t.community_id AS known, last_success, wall_private, unavailable FROM subscriptions b JOIN communities c USING (community_id) LEFT
+    JOIN community_states t ON t.community_id = b.community_id WHERE b.is_current),
+ c AS (SELECT
+    {", ".join(f"count(DISTINCT community_id) FILTER (WHERE {x}) AS {n}" for n, x in dict(communities="TRUE", communities_metadata_missing="metadata_day IS NULL", communities_metadata_stale=f"metadata_day < {TODAY - METADATA_DAYS}",
    communities_deactivated="deactivated IS NOT NULL", communities_closed="is_closed", walls="deactivated IS NULL", walls_without_state="deactivated IS NULL AND known IS NULL", walls_collected="deactivated IS NULL AND last_success IS NOT NULL",
    walls_private="deactivated IS NULL AND wall_private", walls_unavailable="deactivated IS NULL AND unavailable").items())} FROM j),
- r AS (SELECT {_counts(unfinished_pilots="scope LIKE '%pilot%' AND status NOT IN ('completed','completed_with_errors','failed','cancelled')", configuration_mismatches="status IN ('planned','running','waiting_method_limit') AND config <> 1")} FROM runs),
- q AS (SELECT {_counts(stale_leases=f"status = 'running' AND locked_day < {TODAY}")}, min(next_day) FILTER (WHERE job_type = 'subscriptions' AND status = 'retry_wait' AND next_day > {TODAY}) AS nearest_retry FROM queue),
- a AS (SELECT * FROM campaigns WHERE status IN ('running','paused','planned')), p AS (SELECT count(*) AS campaigns, CAST(coalesce(sum(users), 0) AS BIGINT) AS campaign_users FROM a),
+ r AS (SELECT
+    {_counts(unfinished_pilots="scope LIKE '%pilot%' AND status NOT IN ('completed','completed_with_errors','failed','cancelled')", configuration_mismatches="status IN ('planned','running','waiting_method_limit') AND config <> 1")}
+    FROM runs),
+ q AS (SELECT {_counts(stale_leases=f"status = 'running' AND locked_day < {TODAY}")}, min(next_day) FILTER (WHERE job_type = 'subscriptions' AND
+    status = 'retry_wait' AND next_day > {TODAY}) AS nearest_retry FROM queue),
+ a AS (SELECT * FROM campaigns WHERE status IN ('running','paused','planned')), p AS (SELECT count(*) AS campaigns, CAST(coalesce(sum(users), 0) AS
+    BIGINT) AS campaign_users FROM a),
  k AS (SELECT count(*) AS kinds_with_several FROM (SELECT 1 FROM a GROUP BY kind HAVING count(*) > 1))
- SELECT *, CASE WHEN eligible = 0 THEN 100.0 ELSE round((successful + terminal_privacy + terminal_deleted) * 100.0 / eligible, 2) END::DOUBLE AS coverage,
-   CASE WHEN groups_metadata_missing > 0 THEN 'approved_group_metadata' WHEN users_profile_missing + users_profile_stale > 0 THEN 'user_profiles' END AS next_light_backlog FROM g, u, s, c, r, q, p, k"""
+ SELECT *, CASE WHEN eligible = 0 THEN 100.0 ELSE round((successful + terminal_privacy + terminal_deleted) * 100.0 / eligible, 2) END::DOUBLE AS
+    coverage,
+   CASE WHEN groups_metadata_missing > 0 THEN 'approved_group_metadata' WHEN users_profile_missing + users_profile_stale > 0 THEN 'user_profiles' END
+    AS next_light_backlog FROM g, u, s, c, r, q, p, k"""
 _TOTALS = {
-    "group_candidates": "candidates", "communities": "communities", "communities_with_metadata": "communities WHERE metadata_day IS NOT NULL", "group_posts": "orders", "post_attachments": "lineitem", "user_post_states": "wall_states", "processed_user_posts": "wall_states WHERE last_success IS NOT NULL",
-    "private_user_walls": "wall_states WHERE wall_private", "users": "users", "accessible_users": "users WHERE deactivated IS NULL AND (NOT is_closed OR can_access)", "memberships": "memberships", "current_memberships": "memberships WHERE is_current", "subscriptions": "subscriptions",
-    "current_subscriptions": "subscriptions WHERE is_current", "processed_subscription_users": "subscription_states WHERE last_success IS NOT NULL", "community_post_states": "community_states", "communities_with_posts": "community_states WHERE last_success IS NOT NULL",
+    "group_candidates": "candidates", "communities": "communities", "communities_with_metadata": "communities WHERE metadata_day IS NOT NULL",
+    "group_posts": "orders", "post_attachments": "lineitem", "user_post_states": "wall_states",
+    "processed_user_posts": "wall_states WHERE last_success IS NOT NULL",
+    "private_user_walls": "wall_states WHERE wall_private", "users": "users",
+    "accessible_users": "users WHERE deactivated IS NULL AND (NOT is_closed OR can_access)", "memberships": "memberships",
+    "current_memberships": "memberships WHERE is_current", "subscriptions": "subscriptions",
+    "current_subscriptions": "subscriptions WHERE is_current", "processed_subscription_users": "subscription_states WHERE last_success IS NOT NULL",
+    "community_post_states": "community_states", "communities_with_posts": "community_states WHERE last_success IS NOT NULL",
 }
-_CAPACITY = f"""WITH p AS (SELECT {", ".join(f"{e} AS {c}" for c, e in _PLANS.items())} FROM customer), v AS (SELECT *, CASE WHEN snapshot_users >= 0 THEN snapshot_users ELSE 0 END AS su, CASE WHEN due_users BETWEEN 0 AND greatest(snapshot_users, 0) THEN due_users ELSE 0 END AS du,
+_CAPACITY = f"""WITH p AS (SELECT {", ".join(f"{e} AS {c}" for c, e in _PLANS.items())} FROM customer), v AS (SELECT *, CASE WHEN snapshot_users >= 0
+    THEN snapshot_users ELSE 0 END AS su, CASE WHEN due_users BETWEEN 0 AND greatest(snapshot_users, 0) THEN due_users ELSE 0 END AS du,
   CASE WHEN measured_users > 0 THEN measured_users ELSE 0 END AS mu, greatest(growth_bytes, 0) AS gb FROM p),
- m AS (SELECT *, CASE WHEN mu > 0 THEN (gb + mu - 1) // mu ELSE 0 END AS measured, CASE WHEN mu > 0 THEN (posts + mu - 1) // mu * 1184 + (attachments + mu - 1) // mu * 384 ELSE 0 END AS modeled FROM v),
- g AS (SELECT *, CAST(ceil(du * (greatest(measured, modeled) + 1024) * 1.3::DOUBLE) AS BIGINT) AS payload_growth, CAST(ceil(su * 112 * 1.3::DOUBLE) AS BIGINT) AS snapshot_growth FROM m),
- t AS (SELECT *, payload_growth + snapshot_growth AS growth, database_bytes + payload_growth + snapshot_growth AS final_bytes, greatest(0, disk_free - 1073741824) AS free FROM g),
- x AS (SELECT *, CASE WHEN disk_total > 0 THEN (disk_total - disk_free + growth) * 100.0::DOUBLE / disk_total ELSE 100 END AS used, least(greatest(0, {SAFE_BYTES} - database_bytes), free) AS available FROM t),
- y AS (SELECT *, concat_ws(',', CASE WHEN snapshot_users < 0 THEN 'snapshot_users' END, CASE WHEN due_users IS NULL OR due_users > greatest(snapshot_users, 0) THEN 'due_users' END, CASE WHEN measured_users <= 0 THEN 'measured_users' END, CASE WHEN growth_bytes < 0 THEN 'growth_bytes' END,
-   CASE WHEN final_bytes > {SAFE_BYTES} THEN 'database_limit' END, CASE WHEN growth > free THEN 'disk_free' END, CASE WHEN disk_warning OR disk_stop OR used >= 85 THEN 'disk_warning' END) AS reasons FROM x)
- SELECT id, CAST(measured AS BIGINT) AS measured, CAST(modeled AS BIGINT) AS modeled, payload_growth, snapshot_growth, growth, final_bytes, round(used, 6) AS used_percent, available, greatest(0, growth - available) AS additional, reasons, CASE WHEN reasons = '' THEN 'passed' ELSE 'rejected' END AS decision FROM y"""
+ m AS (SELECT *, CASE WHEN mu > 0 THEN (gb + mu - 1) // mu ELSE 0 END AS measured, CASE WHEN mu > 0 THEN (posts + mu - 1) // mu * 1184 + (attachments
+    + mu - 1) // mu * 384 ELSE 0 END AS modeled FROM v),
+ g AS (SELECT *, CAST(ceil(du * (greatest(measured, modeled) + 1024) * 1.3::DOUBLE) AS BIGINT) AS payload_growth, CAST(ceil(su * 112 * 1.3::DOUBLE) AS
+    BIGINT) AS snapshot_growth FROM m),
+ t AS (SELECT *, payload_growth + snapshot_growth AS growth, database_bytes + payload_growth + snapshot_growth AS final_bytes, greatest(0, disk_free -
+    1073741824) AS free FROM g),
+ x AS (SELECT *, CASE WHEN disk_total > 0 THEN (disk_total - disk_free + growth) * 100.0::DOUBLE / disk_total ELSE 100 END AS used, least(greatest(0,
+    {SAFE_BYTES} - database_bytes), free) AS available FROM t),
+ y AS (SELECT *, concat_ws(',', CASE WHEN snapshot_users < 0 THEN 'snapshot_users' END, CASE WHEN due_users IS NULL OR due_users >
+    greatest(snapshot_users, 0) THEN 'due_users' END, CASE WHEN measured_users <= 0 THEN 'measured_users' END, CASE WHEN growth_bytes < 0 THEN
+    'growth_bytes' END,
+   CASE WHEN final_bytes > {SAFE_BYTES} THEN 'database_limit' END, CASE WHEN growth > free THEN 'disk_free' END, CASE WHEN disk_warning OR disk_stop
+    OR used >= 85 THEN 'disk_warning' END) AS reasons FROM x)
+ SELECT id, CAST(measured AS BIGINT) AS measured, CAST(modeled AS BIGINT) AS modeled, payload_growth, snapshot_growth, growth, final_bytes,
+    round(used, 6) AS used_percent, available, greatest(0, growth - available) AS additional, reasons, CASE WHEN reasons = '' THEN 'passed' ELSE
+    'rejected' END AS decision FROM y"""
 QUERIES = {
     "canonical_backlog": (canonical_backlog, _BACKLOG),
-    "backlog_jobs": (backlog_jobs, f"WITH {sql('queue')} SELECT job_type, status, count(*) AS jobs, count(DISTINCT (entity_type, entity_id)) AS entities FROM queue GROUP BY 1, 2"),
-    "report_totals": (report_totals, f"WITH {sql('candidates', 'communities', 'wall_states', 'users', 'memberships', 'subscriptions', 'subscription_states', 'community_states')} " + " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS n FROM {t}" for n, t in _TOTALS.items())),
+    "backlog_jobs": (backlog_jobs, f"""WITH {sql('queue')} SELECT job_type, status, count(*) AS jobs, count(DISTINCT (entity_type, entity_id)) AS
+        entities FROM queue GROUP BY 1, 2"""),
+    "report_totals": (report_totals, f"""WITH
+        {sql('candidates', 'communities', 'wall_states', 'users', 'memberships', 'subscriptions', 'subscription_states', 'community_states')} """ + " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS n FROM {t}" for n,
+        t in _TOTALS.items())),
     "report_coverage": (report_coverage, f"""WITH {sql('candidates', 'users', 'memberships', 'subscription_states', 'wall_states')}, {_ELIGIBLE},
-        s AS (SELECT count(*) AS e, count(*) FILTER (WHERE next_day > {TODAY} AND (last_success IS NOT NULL OR terminal IS NOT NULL)) AS f, count(*) FILTER (WHERE next_day > {TODAY} AND terminal IS NOT NULL) AS t FROM eligible_users LEFT JOIN subscription_states USING (user_id)),
-        w AS (SELECT count(*) AS e, count(*) FILTER (WHERE next_day > {TODAY} AND (last_success IS NOT NULL OR wall_private OR unavailable)) AS f, count(*) FILTER (WHERE next_day > {TODAY} AND (wall_private OR unavailable)) AS t FROM eligible_users LEFT JOIN wall_states USING (user_id))
-        SELECT 'subscriptions' AS scope, e AS eligible, e - f AS due, f AS fresh, t AS terminal FROM s UNION ALL SELECT 'user_posts', e, e - f, f, t FROM w"""),
-    "report_runs": (report_runs, f"WITH {sql('runs')} SELECT scope, status, count(*) AS runs, CAST(sum(jobs) AS BIGINT) AS jobs, CAST(sum(failed_jobs) AS BIGINT) AS failed FROM runs GROUP BY 1, 2"),
-    "report_queue": (report_queue, f"WITH {sql('queue')} SELECT job_type, status, count(*) AS jobs, CAST(sum(requests) AS BIGINT) AS requests, CAST(sum(inserted) AS BIGINT) AS inserted, CAST(sum(updated) AS BIGINT) AS updated FROM queue GROUP BY 1, 2"),
-    "report_errors": (report_errors, f"WITH {sql('errors')} SELECT endpoint, category, coalesce(code, 0) AS code, count(*) AS errors FROM errors GROUP BY 1, 2, 3 ORDER BY errors DESC, 1, 2, 3 LIMIT 30"),
-    "report_latest_errors": (report_latest_errors, f"WITH {sql('errors')} SELECT DISTINCT ON (endpoint, category, coalesce(code, 0)) endpoint, category, coalesce(code, 0) AS code, number, run_id FROM errors ORDER BY endpoint, category, coalesce(code, 0), number DESC"),
-    "report_failed_jobs": (report_failed_jobs, f"WITH {sql('queue', 'runs')} SELECT scope, job_type, entity_type, entity_id, job_id FROM queue JOIN runs USING (run_id) WHERE queue.status = 'failed' ORDER BY job_id DESC LIMIT 30"),
+        s AS (SELECT count(*) AS e, count(*) FILTER (WHERE next_day > {TODAY} AND (last_success IS NOT NULL OR terminal IS NOT NULL)) AS f, count(*)
+        FILTER (WHERE next_day > {TODAY} AND terminal IS NOT NULL) AS t FROM eligible_users LEFT JOIN subscription_states USING (user_id)),
+        w AS (SELECT count(*) AS e, count(*) FILTER (WHERE next_day > {TODAY} AND (last_success IS NOT NULL OR wall_private OR unavailable)) AS f,
+        count(*) FILTER (WHERE next_day > {TODAY} AND (wall_private OR unavailable)) AS t FROM eligible_users LEFT JOIN wall_states USING (user_id))
+        SELECT 'subscriptions' AS scope, e AS eligible, e - f AS due, f AS fresh, t AS terminal FROM s UNION ALL SELECT 'user_posts', e, e - f, f, t
+        FROM w"""),
+    "report_runs": (report_runs, f"""WITH {sql('runs')} SELECT scope, status, count(*) AS runs, CAST(sum(jobs) AS BIGINT) AS jobs,
+        CAST(sum(failed_jobs) AS BIGINT) AS failed FROM runs GROUP BY 1, 2"""),
+    "report_queue": (report_queue, f"""WITH {sql('queue')} SELECT job_type, status, count(*) AS jobs, CAST(sum(requests) AS BIGINT) AS requests,
+        CAST(sum(inserted) AS BIGINT) AS inserted, CAST(sum(updated) AS BIGINT) AS updated FROM queue GROUP BY 1, 2"""),
+    "report_errors": (report_errors, f"""WITH {sql('errors')} SELECT endpoint, category, coalesce(code, 0) AS code, count(*) AS errors FROM errors
+        GROUP BY 1, 2, 3 ORDER BY errors DESC, 1, 2, 3 LIMIT 30"""),
+    "report_latest_errors": (report_latest_errors, f"""WITH {sql('errors')} SELECT DISTINCT ON (endpoint, category, coalesce(code, 0)) endpoint,
+        category, coalesce(code, 0) AS code, number, run_id FROM errors ORDER BY endpoint, category, coalesce(code, 0), number DESC"""),
+    "report_failed_jobs": (report_failed_jobs, f"""WITH {sql('queue', 'runs')} SELECT scope, job_type, entity_type, entity_id, job_id FROM queue JOIN
+        runs USING (run_id) WHERE queue.status = 'failed' ORDER BY job_id DESC LIMIT 30"""),
     "user_posts_projection": (user_posts_projection, _CAPACITY),
 }

@@ -14,8 +14,10 @@ from .. import bindings as b
 
 # Limits of the rules.
 LIMITS = {
-    "stall_minutes": 30, "disk_critical_percent": 95, "disk_warning_percent": 85, "disk_min_free_bytes": 1024**3, "ram_warning_bytes": 100 * 1024**2, "swap_warning_percent": 90,
-    "growth_bytes": 512 * 1024**2, "retry_growth": 25, "auth_errors": 5, "auth_errors_critical": 20, "rate_limits": 50, "errors": 100, "restarts": 3, "restarts_critical": 5, "constraints": 3,
+    "stall_minutes": 30, "disk_critical_percent": 95, "disk_warning_percent": 85, "disk_min_free_bytes": 1024**3, "ram_warning_bytes": 100 * 1024**2,
+    "swap_warning_percent": 90,
+    "growth_bytes": 512 * 1024**2, "retry_growth": 25, "auth_errors": 5, "auth_errors_critical": 20, "rate_limits": 50, "errors": 100, "restarts": 3,
+    "restarts_critical": 5, "constraints": 3,
 }
 
 
@@ -28,7 +30,8 @@ def service_rules(key: str, p: str, when: str) -> list[tuple[str, str, str, str]
         (f"{key}.unhealthy", "critical", f"{there} AND {p}_status = 'running' AND {p}_health NOT IN ('', 'healthy')", f"{p}_health"),
         (f"{key}.oom", "critical", f"{there} AND {p}_oom", "'oom'"),
         (f"{key}.restarts", "critical", f"{there} AND {p}_restarts >= {LIMITS['restarts_critical']}", f"{p}_restarts"),
-        (f"{key}.restarts", "warning", f"{there} AND {p}_restarts >= {LIMITS['restarts']} AND {p}_restarts < {LIMITS['restarts_critical']}", f"{p}_restarts"),
+        (f"{key}.restarts", "warning", f"{there} AND {p}_restarts >= {LIMITS['restarts']} AND {p}_restarts < {LIMITS['restarts_critical']}",
+        f"{p}_restarts"),
     ]
 
 
@@ -63,30 +66,36 @@ RULES = [
     ("collection.errors", "warning", f"{_UP} AND errors_24h >= {LIMITS['errors']}", "errors_24h"),
     (
         "database.growth", "warning",
-        f"{_UP} AND previous_age_hours BETWEEN 20 AND 72 AND database_bytes - previous_bytes > greatest({LIMITS['growth_bytes']}, floor(previous_bytes / 4))", "database_bytes - previous_bytes",
+        f"{_UP} AND previous_age_hours BETWEEN 20 AND 72 AND database_bytes - previous_bytes > greatest({LIMITS['growth_bytes']}, floor(previous_bytes / 4))",
+        "database_bytes - previous_bytes",
     ),
     (
         "collection.stalled", "critical",
         f"{_UP} AND run_status = 'running' AND pending > 0 AND worker_status = 'running' AND worker_health IN ('', 'healthy') AND {_IDLE}"
         f" AND NOT (retry_wait > 0 AND coalesce(retry_in_seconds, 0) > 0) AND stalled_minutes >= {LIMITS['stall_minutes']}", "stalled_minutes",
     ),
-    ("collection.retry_spike", "warning", f"{_UP} AND NOT run_changed AND retries - coalesce(previous_retries, retries) >= {LIMITS['retry_growth']}", "retries - previous_retries"),
+    ("collection.retry_spike", "warning", f"{_UP} AND NOT run_changed AND retries - coalesce(previous_retries, retries) >= {LIMITS['retry_growth']}",
+    "retries - previous_retries"),
     *token_rules("telegram.token", "tg", "missing"),
     *token_rules("vk.tokens", "vk", "missing"),
     ("resources.disk", "critical", f"disk_percent >= {LIMITS['disk_critical_percent']}", "disk_percent"),
     (
         "resources.disk", "warning",
-        f"disk_percent < {LIMITS['disk_critical_percent']} AND (disk_percent >= {LIMITS['disk_warning_percent']} OR (disk_free <> 0 AND disk_free < {LIMITS['disk_min_free_bytes']}))", "disk_percent",
+        f"disk_percent < {LIMITS['disk_critical_percent']} AND (disk_percent >= {LIMITS['disk_warning_percent']} OR (disk_free <> 0 AND disk_free < {LIMITS['disk_min_free_bytes']}))",
+        "disk_percent",
     ),
     ("resources.ram", "critical", f"memory_available <> 0 AND memory_available < {LIMITS['ram_warning_bytes'] // 2}", "memory_available"),
-    ("resources.ram", "warning", f"memory_available >= {LIMITS['ram_warning_bytes'] // 2} AND memory_available < {LIMITS['ram_warning_bytes']}", "memory_available"),
+    ("resources.ram", "warning", f"memory_available >= {LIMITS['ram_warning_bytes'] // 2} AND memory_available < {LIMITS['ram_warning_bytes']}",
+    "memory_available"),
     ("resources.swap", "warning", f"swap_percent >= {LIMITS['swap_warning_percent']}", "swap_percent"),
     ("runner.inactive", "critical", "NOT runner_active", "'inactive'"),
     ("runner.disabled", "critical", "NOT runner_enabled", "'disabled'"),
     ("runner.not_listening", "critical", "runner_active AND runner_pid <= 0", "runner_pid"),
     ("deployment.failed", "critical", f"{_IDLE} AND deploy_status NOT IN ('', 'success')", "deploy_status"),
-    ("deployment.revision_mismatch", "critical", f"{_IDLE} AND git_sha <> '' AND worker_revision <> '' AND git_sha <> worker_revision", "worker_revision"),
-    ("deployment.report_mismatch", "critical", f"{_IDLE} AND deploy_sha <> '' AND worker_revision <> '' AND deploy_sha <> worker_revision", "deploy_sha"),
+    ("deployment.revision_mismatch", "critical", f"{_IDLE} AND git_sha <> '' AND worker_revision <> '' AND git_sha <> worker_revision",
+    "worker_revision"),
+    ("deployment.report_mismatch", "critical", f"{_IDLE} AND deploy_sha <> '' AND worker_revision <> '' AND deploy_sha <> worker_revision",
+    "deploy_sha"),
     ("backup.unverified", "warning", f"{_IDLE} AND NOT backup_verified", "'unverified'"),
     ("monitor.state_corrupt", "warning", "state_corrupt", "'corrupt'"),
 ]
@@ -94,23 +103,35 @@ RULES = [
 
 def evaluated(snapshots: DataFrame, rules: list[tuple[str, str, str, str]] = RULES) -> DataFrame:
     """(id, key, severity, detail, rank): every rule that holds for a snapshot, the most severe first, then by key. One pass, no shuffle."""
-    held = [F.when(F.expr(condition), F.struct(F.lit(int(severity != "critical")).alias("o"), F.lit(key).alias("key"), F.lit(severity).alias("severity"), F.expr(detail).cast("string").alias("detail"))) for key, severity, condition, detail in rules]
+    held = [F.when(F.expr(condition), F.struct(F.lit(int(severity != "critical")).alias("o"), F.lit(key).alias("key"),
+        F.lit(severity).alias("severity"), F.expr(detail).cast("string").alias("detail"))) for key, severity, condition, detail in rules]
     found = F.array_sort(F.filter(F.array(*held), lambda x: x.isNotNull()))
     return snapshots.select("id", F.posexplode(found).alias("rank", "i")).select("id", "i.key", "i.severity", "i.detail", "rank")
 
 
 #: Columns of made snapshots, one for each customer: most are well, each is off for some ids.
 SNAPSHOT = {
-    "pg_present": "i % 41 <> 0", "pg_status": "CASE WHEN i % 29 = 0 THEN 'exited' ELSE 'running' END", "pg_health": "CASE WHEN i % 31 = 0 THEN 'starting' WHEN i % 5 = 0 THEN '' ELSE 'healthy' END", "pg_oom": "i % 37 = 1", "pg_restarts": "i % 7 - i % 3",
-    "worker_present": "i % 43 <> 0", "worker_status": "CASE WHEN i % 23 = 0 THEN 'paused' ELSE 'running' END", "worker_health": "CASE WHEN i % 19 = 0 THEN 'unhealthy' ELSE 'healthy' END", "worker_oom": "i % 47 = 2", "worker_restarts": "i % 6",
-    "deploying": "i % 11 = 0", "available": "i % 53 <> 0", "run_error": "CASE WHEN i % 17 = 0 THEN 'lost' ELSE '' END", "active_runs": "i % 4", "subscriptions_enabled": "i % 2 = 0", "stale_running": "CASE WHEN i % 13 = 0 THEN i % 5 ELSE 0 END",
+    "pg_present": "i % 41 <> 0", "pg_status": "CASE WHEN i % 29 = 0 THEN 'exited' ELSE 'running' END",
+    "pg_health": "CASE WHEN i % 31 = 0 THEN 'starting' WHEN i % 5 = 0 THEN '' ELSE 'healthy' END", "pg_oom": "i % 37 = 1",
+    "pg_restarts": "i % 7 - i % 3",
+    "worker_present": "i % 43 <> 0", "worker_status": "CASE WHEN i % 23 = 0 THEN 'paused' ELSE 'running' END",
+    "worker_health": "CASE WHEN i % 19 = 0 THEN 'unhealthy' ELSE 'healthy' END", "worker_oom": "i % 47 = 2", "worker_restarts": "i % 6",
+    "deploying": "i % 11 = 0", "available": "i % 53 <> 0", "run_error": "CASE WHEN i % 17 = 0 THEN 'lost' ELSE '' END", "active_runs": "i % 4",
+    "subscriptions_enabled": "i % 2 = 0", "stale_running": "CASE WHEN i % 13 = 0 THEN i % 5 ELSE 0 END",
     "run_status": "CASE i % 9 WHEN 0 THEN 'failed' WHEN 1 THEN 'cancelled' WHEN 2 THEN 'paused_no_tokens' WHEN 3 THEN 'paused' WHEN 4 THEN 'waiting_method_limit' ELSE 'running' END",
-    "rejected_jobs": "CASE WHEN i % 59 = 0 THEN 3 ELSE 0 END", "constraints_found": "CASE WHEN i % 61 = 0 THEN 2 ELSE 3 END", "schema_head": "CASE WHEN i % 6 = 0 THEN '' ELSE 'r9' END", "schema_revision": "CASE WHEN i % 10 = 0 THEN 'r8' ELSE 'r9' END",
-    "auth_24h": "i % 25", "rate_24h": "i % 60", "errors_24h": "i % 110", "previous_age_hours": "CASE WHEN i % 8 <> 0 THEN i % 90 END", "previous_bytes": "1000000000 + i % 5 * 1000000000", "database_bytes": "2000000000 + i % 7 * 1000000000",
-    "pending": "i % 3", "retry_wait": "i % 2", "retry_in_seconds": "CASE WHEN i % 3 = 0 THEN i % 50 END", "stalled_minutes": "i % 45", "run_changed": "i % 12 = 0", "retries": "i % 80", "previous_retries": "CASE WHEN i % 14 <> 0 THEN i % 33 END",
-    "tg_present": "i % 67 <> 0", "tg_readable": "i % 22 <> 0", "tg_count": "i % 18", "vk_present": "i % 71 <> 0", "vk_readable": "i % 21 <> 0", "vk_count": "i % 16", "disk_percent": "i % 100", "disk_free": "i % 15 * 200000000",
-    "memory_available": "i % 40 * 5000000", "swap_percent": "i % 97", "runner_active": "i % 27 <> 0", "runner_enabled": "i % 26 <> 0", "runner_pid": "i % 24 - 1", "deploy_status": "CASE i % 10 WHEN 0 THEN '' WHEN 1 THEN 'failed' ELSE 'success' END",
-    "git_sha": "CASE WHEN i % 20 = 0 THEN '' ELSE 'a1' END", "worker_revision": "CASE WHEN i % 28 = 0 THEN '' WHEN i % 32 = 0 THEN 'b2' ELSE 'a1' END", "deploy_sha": "CASE WHEN i % 34 = 0 THEN 'c3' ELSE 'a1' END", "backup_verified": "i % 33 <> 0", "state_corrupt": "i % 73 = 0",
+    "rejected_jobs": "CASE WHEN i % 59 = 0 THEN 3 ELSE 0 END", "constraints_found": "CASE WHEN i % 61 = 0 THEN 2 ELSE 3 END",
+    "schema_head": "CASE WHEN i % 6 = 0 THEN '' ELSE 'r9' END", "schema_revision": "CASE WHEN i % 10 = 0 THEN 'r8' ELSE 'r9' END",
+    "auth_24h": "i % 25", "rate_24h": "i % 60", "errors_24h": "i % 110", "previous_age_hours": "CASE WHEN i % 8 <> 0 THEN i % 90 END",
+    "previous_bytes": "1000000000 + i % 5 * 1000000000", "database_bytes": "2000000000 + i % 7 * 1000000000",
+    "pending": "i % 3", "retry_wait": "i % 2", "retry_in_seconds": "CASE WHEN i % 3 = 0 THEN i % 50 END", "stalled_minutes": "i % 45",
+    "run_changed": "i % 12 = 0", "retries": "i % 80", "previous_retries": "CASE WHEN i % 14 <> 0 THEN i % 33 END",
+    "tg_present": "i % 67 <> 0", "tg_readable": "i % 22 <> 0", "tg_count": "i % 18", "vk_present": "i % 71 <> 0", "vk_readable": "i % 21 <> 0",
+    "vk_count": "i % 16", "disk_percent": "i % 100", "disk_free": "i % 15 * 200000000",
+    "memory_available": "i % 40 * 5000000", "swap_percent": "i % 97", "runner_active": "i % 27 <> 0", "runner_enabled": "i % 26 <> 0",
+    "runner_pid": "i % 24 - 1", "deploy_status": "CASE i % 10 WHEN 0 THEN '' WHEN 1 THEN 'failed' ELSE 'success' END",
+    "git_sha": "CASE WHEN i % 20 = 0 THEN '' ELSE 'a1' END",
+    "worker_revision": "CASE WHEN i % 28 = 0 THEN '' WHEN i % 32 = 0 THEN 'b2' ELSE 'a1' END",
+    "deploy_sha": "CASE WHEN i % 34 = 0 THEN 'c3' ELSE 'a1' END", "backup_verified": "i % 33 <> 0", "state_corrupt": "i % 73 = 0",
 }
 
 
@@ -134,19 +155,28 @@ def progress_clock(spark, sf_dir):
     The clock advances when finished work or requests have grown since the check before, or when the run has changed.
     """
     hour = F.date_trunc("hour", F.col("ts").cast("timestamp")).cast("timestamp_ntz")
-    checks = b.calls(spark, sf_dir).groupBy((F.col("token") % 10).alias("worker"), hour.alias("at")).agg(F.count_if((F.col("code") == 0) & (F.col("method") == "purchase")).alias("done"), F.max(F.floor(F.col("token") / 75)).alias("run"))
+    checks = b.calls(spark, sf_dir).groupBy((F.col("token") % 10).alias("worker"),
+        hour.alias("at")).agg(F.count_if((F.col("code") == 0) & (F.col("method") == "purchase")).alias("done"),
+        F.max(F.floor(F.col("token") / 75)).alias("run"))
     w = W.partitionBy("worker").orderBy("at")
-    moved = checks.select("worker", "at", "run", "done", (F.lag("run").over(w).isNull() | (F.lag("run").over(w) != F.col("run")) | (F.col("done") > 0)).alias("moved"))
+    moved = checks.select("worker", "at", "run", "done",
+        (F.lag("run").over(w).isNull() | (F.lag("run").over(w) != F.col("run")) | (F.col("done") > 0)).alias("moved"))
     clock = moved.withColumn("progress_at", F.max(F.when(F.col("moved"), F.col("at"))).over(w))
-    return clock.select("worker", "at", "progress_at", F.floor((F.unix_seconds(F.col("at").cast("timestamp")) - F.unix_seconds(F.col("progress_at").cast("timestamp"))) / 60).alias("stalled_minutes"))
+    return clock.select("worker", "at", "progress_at",
+        F.floor((F.unix_seconds(F.col("at").cast("timestamp")) - F.unix_seconds(F.col("progress_at").cast("timestamp"))) / 60).alias("stalled_minutes"))
 
 
 _SNAPSHOTS = "snapshots AS (SELECT i AS id, " + ", ".join(f"{e} AS {c}" for c, e in SNAPSHOT.items()) + " FROM (SELECT c_custkey AS i FROM customer))"
-_HELD = " UNION ALL ".join(f"SELECT id, '{key}' AS key, '{severity}' AS severity, CAST({detail} AS VARCHAR) AS detail FROM snapshots WHERE {condition}" for key, severity, condition, detail in RULES)
+_HELD = " UNION ALL ".join(f"""SELECT id, '{key}' AS key, '{severity}' AS severity, CAST({detail} AS VARCHAR) AS detail FROM snapshots WHERE
+    {condition}""" for key, severity, condition, detail in RULES)
 QUERIES = {
-    "monitor_issues": (monitor_issues, f"WITH {_SNAPSHOTS}, held AS ({_HELD}) SELECT *, CAST(row_number() OVER (PARTITION BY id ORDER BY severity, key) - 1 AS INT) AS rank FROM held"),
-    "monitor_issue_counts": (monitor_issue_counts, f"WITH {_SNAPSHOTS}, held AS ({_HELD}) SELECT key, severity, count(*) AS snapshots FROM held GROUP BY 1, 2"),
-    "progress_clock": (progress_clock, f"""WITH {b.CALLS_SQL}, c AS (SELECT token % 10 AS worker, date_trunc('hour', ts)::TIMESTAMP AS "at", count(*) FILTER (WHERE code = 0 AND method = 'purchase') AS done, max(token // 75) AS run FROM calls GROUP BY 1, 2),
+    "monitor_issues": (monitor_issues, f"""WITH {_SNAPSHOTS}, held AS ({_HELD}) SELECT *, CAST(row_number() OVER (PARTITION BY id ORDER BY severity,
+        key) - 1 AS INT) AS rank FROM held"""),
+    "monitor_issue_counts": (monitor_issue_counts, f"""WITH {_SNAPSHOTS}, held AS ({_HELD}) SELECT key, severity, count(*) AS snapshots FROM held
+        GROUP BY 1, 2"""),
+    "progress_clock": (progress_clock, f"""WITH {b.CALLS_SQL}, c AS (SELECT token % 10 AS worker, date_trunc('hour', ts)::TIMESTAMP AS "at", count(*)
+        FILTER (WHERE code = 0 AND method = 'purchase') AS done, max(token // 75) AS run FROM calls GROUP BY 1, 2),
         m AS (SELECT *, lag(run) OVER w IS DISTINCT FROM run OR done > 0 AS moved FROM c WINDOW w AS (PARTITION BY worker ORDER BY "at")),
-        p AS (SELECT worker, "at", max("at") FILTER (WHERE moved) OVER (PARTITION BY worker ORDER BY "at") AS progress_at FROM m) SELECT *, CAST(floor(epoch("at" - progress_at) / 60) AS BIGINT) AS stalled_minutes FROM p"""),
+        p AS (SELECT worker, "at", max("at") FILTER (WHERE moved) OVER (PARTITION BY worker ORDER BY "at") AS progress_at FROM m) SELECT *,
+        CAST(floor(epoch("at" - progress_at) / 60) AS BIGINT) AS stalled_minutes FROM p"""),
 }

@@ -32,7 +32,8 @@ def decisions(documents: DataFrame, column: str = "document") -> DataFrame:
     """
     d = documents.select(F.from_json(column, DECISION).alias("d")).select("d.*")
     valid = F.col("approved_group_ids").isNotNull() != F.col("results").isNotNull()
-    listed = F.transform("approved_group_ids", lambda g: F.struct(g.alias("group_id"), F.lit("approved").alias("status"), F.array().cast("array<string>").alias("labels"), F.lit(1.0).alias("confidence")))
+    listed = F.transform("approved_group_ids", lambda g: F.struct(g.alias("group_id"), F.lit("approved").alias("status"),
+        F.array().cast("array<string>").alias("labels"), F.lit(1.0).alias("confidence")))
     return d.select("batch_id", valid.alias("valid"), F.explode_outer(F.coalesce("results", listed)).alias("r")).select("batch_id", "r.*", "valid")
 
 
@@ -42,13 +43,16 @@ def normalised_attachments(raw: DataFrame, column: str = "raw") -> DataFrame:
     a = raw.withColumn("a", F.from_json(column, schema))
     widest = F.array_max(F.transform("a.photo.sizes", lambda s: F.struct(s["width"].alias("width"), s["height"].alias("height"))))
     kind = F.col("a.type")
-    return a.select(*raw.columns, kind.alias("type"), widest["width"].alias("width"), widest["height"].alias("height"), F.when(kind == "link", F.col("a.link.url")).when(kind == "doc", F.col("a.doc.url")).alias("url"), F.when(kind == "link", F.col("a.link.caption")).alias("caption"))
+    return a.select(*raw.columns, kind.alias("type"), widest["width"].alias("width"), widest["height"].alias("height"),
+        F.when(kind == "link", F.col("a.link.url")).when(kind == "doc", F.col("a.doc.url")).alias("url"),
+        F.when(kind == "link", F.col("a.link.caption")).alias("caption"))
 
 
 def search_page(items: DataFrame) -> DataFrame:
     """One row: raw, private, deleted and open groups of a page (is_closed, deactivated)."""
     gone, closed = F.col("deactivated").isNotNull(), F.coalesce(F.col("is_closed"), F.lit(False))
-    return items.agg(F.count("*").alias("raw"), F.count_if(closed & ~gone).alias("private"), F.count_if(gone).alias("deleted"), F.count_if(~closed & ~gone).alias("items"))
+    return items.agg(F.count("*").alias("raw"), F.count_if(closed & ~gone).alias("private"), F.count_if(gone).alias("deleted"),
+        F.count_if(~closed & ~gone).alias("items"))
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:

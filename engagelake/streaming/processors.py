@@ -40,7 +40,8 @@ def breakers(calls: DataFrame, first: int = 30, most: int = 3600) -> DataFrame:
             state.remove()
         yield pd.DataFrame(out, columns=["event_id", "hits", "cooldown"])
 
-    return calls.groupBy("token", "method").applyInPandasWithState(step, "event_id long, hits int, cooldown long", "codes array<int>, hits array<int>", "append", GroupStateTimeout.NoTimeout)
+    return calls.groupBy("token", "method").applyInPandasWithState(step, "event_id long, hits int, cooldown long",
+        "codes array<int>, hits array<int>", "append", GroupStateTimeout.NoTimeout)
 
 
 def alerts(issues: DataFrame, repeat_seconds: int = 86400, cycle_seconds: int = 3600, late: str = "0 seconds") -> DataFrame:
@@ -71,15 +72,18 @@ def alerts(issues: DataFrame, repeat_seconds: int = 86400, cycle_seconds: int =
             state.update((severity, sent, seen))
             due = int((seen + cycle_seconds) * 1000)
             state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"key": [x[0] for x in out], "at": pd.to_datetime([x[1] for x in out], unit="s"), "kind": [x[2] for x in out], "severity": [x[3] for x in out]})
+        yield pd.DataFrame({"key": [x[0] for x in out], "at": pd.to_datetime([x[1] for x in out], unit="s"), "kind": [x[2] for x in out],
+            "severity": [x[3] for x in out]})
 
     marked = issues.withWatermark("ts", late)
-    return marked.groupBy("key").applyInPandasWithState(step, "key string, at timestamp, kind string, severity string", "severity string, sent double, seen double", "append", GroupStateTimeout.EventTimeTimeout)
+    return marked.groupBy("key").applyInPandasWithState(step, "key string, at timestamp, kind string, severity string",
+        "severity string, sent double, seen double", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def trailing_counts(calls: DataFrame, window: str = "24 hours", slide: str = "6 hours", late: str = "1 hour") -> DataFrame:
     """Calls and limited calls in sliding windows, with a bound for late rows (``ts`` is a timestamp)."""
-    return calls.withWatermark("ts", late).groupBy(F.window("ts", window, slide)).agg(F.count("*").alias("calls"), F.count_if(F.col("code") != 0).alias("limited"))
+    return calls.withWatermark("ts", late).groupBy(F.window("ts", window, slide)).agg(F.count("*").alias("calls"),
+        F.count_if(F.col("code") != 0).alias("limited"))
 
 
 def ingest(stream: DataFrame, table: tables.VersionedTable, keys: list[str], order: list, policy: dict[str, str], checkpoint: str):

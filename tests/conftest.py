@@ -13,8 +13,10 @@ os.environ.setdefault("OMP_NUM_THREADS", "1")
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "3").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "3g").config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "3").config("spark.ui.enabled",
+        "false").config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "3g").config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir",
+        str(tmp_path_factory.mktemp("shared")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))).getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

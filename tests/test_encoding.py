@@ -17,7 +17,8 @@ def posts(spark):
 def test_a_bad_row_costs_no_other(posts):
     got = encoding.encoded(posts.coalesce(1), encoding.Seeded(8, fails="bad"), "post_id", size=16).collect()
     assert len(got) == 100 and {r.post_id for r in got if r.vector is None} == {i for i in range(1, 101) if i % 10 == 0}
-    assert all(abs(np.linalg.norm(r.vector) - 1) < 1e-9 for r in got if r.vector) and {(r.stage, r.error_type) for r in got if r.vector is None} == {("encode_batch", "ValueError")}
+    assert all(abs(np.linalg.norm(r.vector) - 1) < 1e-9 for r in got if r.vector) and {(r.stage,
+        r.error_type) for r in got if r.vector is None} == {("encode_batch", "ValueError")}
     whole = encoding.Seeded(8).encode(pd.DataFrame({"text": [f"text {i}" for i in (1, 2)]}))
     assert np.allclose([r.vector for r in sorted(got)[:2]], whole)
 
@@ -40,23 +41,28 @@ def test_benchmark(posts):
 
 
 def test_media(spark, posts, tmp_path):
-    for name, raw in (("photo_5_7_0.jpg", JPEG), ("photo_5_8_1.png", PNG), ("video_5_9_0.mp4", b"v"), ("photo_5_10_0.jpg", b""), ("photo_5_11_2.jpg", b"no picture")):
+    for name, raw in (("photo_5_7_0.jpg", JPEG), ("photo_5_8_1.png", PNG), ("video_5_9_0.mp4", b"v"), ("photo_5_10_0.jpg", b""),
+        ("photo_5_11_2.jpg", b"no picture")):
         (tmp_path / name).write_bytes(raw)
     cache = encoding.cached_media(spark, str(tmp_path))
-    assert {(r.key, r.ending) for r in cache.collect()} == {("photo_5_7_0", "jpg"), ("photo_5_8_1", "png"), ("video_5_9_0", "mp4"), ("photo_5_11_2", "jpg")}
-    attachments = spark.createDataFrame([(1, 0, "photo", 5, 7), (1, 1, "photo", 5, 8), (2, 0, "video", 5, 9), (2, 2, "photo", 5, 11), (3, 0, "photo", 5, 10), (3, 1, "audio", 5, 7)], "post_id long, position int, type string, owner long, number long")
+    assert {(r.key, r.ending) for r in cache.collect()} == {("photo_5_7_0", "jpg"), ("photo_5_8_1", "png"), ("video_5_9_0", "mp4"),
+        ("photo_5_11_2", "jpg")}
+    attachments = spark.createDataFrame([(1, 0, "photo", 5, 7), (1, 1, "photo", 5, 8), (2, 0, "video", 5, 9), (2, 2, "photo", 5, 11),
+        (3, 0, "photo", 5, 10), (3, 1, "audio", 5, 7)], "post_id long, position int, type string, owner long, number long")
     found = {(r.post_id, r.position): r.path and r.path.split("/")[-1] for r in encoding.resolved(attachments, cache).collect()}
     assert found == {(1, 0): "photo_5_7_0.jpg", (1, 1): None, (2, 0): "video_5_9_0.mp4", (2, 2): "photo_5_11_2.jpg", (3, 0): None, (3, 1): None}
     data = {r.post_id: (len(r.images), len(r.videos)) for r in encoding.dataset(posts.where("post_id < 5"), attachments, cache).collect()}
     assert data == {1: (1, 0), 2: (1, 1), 3: (0, 0), 4: (0, 0)}
-    kinds = spark.read.format("binaryFile").load(str(tmp_path)).select(F.element_at(F.split("path", "/"), -1).alias("name"), encoding.image_kind(F.col("content")).alias("kind"))
+    kinds = spark.read.format("binaryFile").load(str(tmp_path)).select(F.element_at(F.split("path", "/"), -1).alias("name"),
+        encoding.image_kind(F.col("content")).alias("kind"))
     assert {r.name: r.kind for r in kinds.collect() if r.kind} == {"photo_5_7_0.jpg": "jpeg", "photo_5_8_1.png": "png"}
 
 
 def test_provenance(posts):
     one = encoding.provenance(posts, "post_id", seed=42, mode="dev").first()
     assert (one["rows"], one["first"], one["last"], one["settings"]) == (100, 1, 100, '{"mode":"dev","seed":42}')
-    assert encoding.provenance(posts.repartition(7), "post_id").first().content == one.content != encoding.provenance(posts.where("post_id > 1"), "post_id").first().content
+    assert encoding.provenance(posts.repartition(7), "post_id").first().content == one.content != encoding.provenance(posts.where("post_id > 1"),
+        "post_id").first().content
 
 
 def test_plane_of_components(spark):

@@ -21,13 +21,15 @@ def test_batches_and_decisions(spark):
     items = spark.createDataFrame([(1, 11, "b", ["y", "x"]), (0, 10, "a", [])], "position int, group_id long, name string, keywords array<string>")
     doc = json.loads(records.batch_document(items, "B1").first()[0])
     assert [g["group_id"] for g in doc["groups"]] == [10, 11] and doc["groups"][1]["keywords"] == ["x", "y"]
-    docs = spark.createDataFrame([('{"batch_id":"a","approved_group_ids":[1,2]}',), ('{"batch_id":"b","results":[{"group_id":3,"status":"rejected","labels":[],"confidence":0.5}]}',), ('{"batch_id":"c"}',)], "document string")
+    docs = spark.createDataFrame([('{"batch_id":"a","approved_group_ids":[1,2]}',),
+        ('{"batch_id":"b","results":[{"group_id":3,"status":"rejected","labels":[],"confidence":0.5}]}',), ('{"batch_id":"c"}',)], "document string")
     got = {(r.batch_id, r.group_id, r.status, r.valid) for r in records.decisions(docs).collect()}
     assert got == {("a", 1, "approved", True), ("a", 2, "approved", True), ("b", 3, "rejected", True), ("c", None, None, False)}
 
 
 def test_attachments_and_pages(spark):
-    raw = spark.createDataFrame([(1, '{"type":"photo","photo":{"sizes":[{"width":1,"height":9},{"width":5,"height":2}]}}'), (2, '{"type":"link","link":{"url":"u","caption":"c"}}'), (3, '{"type":"doc","doc":{"url":"d"}}')], "id int, raw string")
+    raw = spark.createDataFrame([(1, '{"type":"photo","photo":{"sizes":[{"width":1,"height":9},{"width":5,"height":2}]}}'),
+        (2, '{"type":"link","link":{"url":"u","caption":"c"}}'), (3, '{"type":"doc","doc":{"url":"d"}}')], "id int, raw string")
     got = {r.id: (r.type, r.width, r.height, r.url, r.caption) for r in records.normalised_attachments(raw).collect()}
     assert got == {1: ("photo", 5, 2, None, None), 2: ("link", None, None, "u", "c"), 3: ("doc", None, None, "d", None)}
     page = spark.createDataFrame([(True, None), (False, None), (None, None), (True, "deleted")], "is_closed boolean, deactivated string")
@@ -38,8 +40,10 @@ def test_files_and_bundles(spark, tmp_path):
     (tmp_path / "m").mkdir()
     (tmp_path / "m" / "a.jpg").write_bytes(b"x")
     (tmp_path / "m" / "b.jpg").write_bytes(b"")
-    assert [(r.path[-5:], r.sha256) for r in records.file_digests(spark, str(tmp_path / "m")).collect()] == [("a.jpg", hashlib.sha256(b"x").hexdigest())]
+    assert [(r.path[-5:], r.sha256) for r in records.file_digests(spark, str(tmp_path / "m")).collect()] == [("a.jpg",
+        hashlib.sha256(b"x").hexdigest())]
     v = spark.createDataFrame([(2, [1.0]), (1, [0.0])], "post_id long, embedding array<double>")
     m = spark.createDataFrame([(1, "a"), (2, "b")], "post_id long, subject string")
     records.write_bundle(v, m, spark.createDataFrame([(3, "text", "empty")], "post_id long, stage string, message string"), str(tmp_path / "bundle"))
-    assert {(r.post_id, r.subject, r.embedding[0]) for r in records.read_bundle(spark, str(tmp_path / "bundle")).collect()} == {(1, "a", 0.0), (2, "b", 1.0)}
+    assert {(r.post_id, r.subject, r.embedding[0]) for r in records.read_bundle(spark, str(tmp_path / "bundle")).collect()} == {(1, "a", 0.0),
+        (2, "b", 1.0)}

@@ -30,7 +30,8 @@ def test_breakers_equal_batch(spark, sf_dir, tmp_path):
 
 def test_alerts_equal_batch(spark, sf_dir, tmp_path):
     checks = stateful.alert_cycles(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")).withColumn("event_id", F.unix_seconds("ts"))
-    last = spark.createDataFrame([("end", "none")], "key string, severity string").select("key", F.lit(b.EVENTS_AS_OF).cast("timestamp").alias("ts"), "severity", F.lit(1 << 50).alias("event_id"))  # the watermark goes on
+    last = spark.createDataFrame([("end", "none")], "key string, severity string").select("key", F.lit(b.EVENTS_AS_OF).cast("timestamp").alias("ts"),
+        "severity", F.lit(1 << 50).alias("event_id"))  # the watermark goes on
     stream = streamed(spark, checks.unionByName(last), str(tmp_path / "a"), files=4).drop("event_id")
     got = run(spark, processors.alerts(stream, repeat_seconds=3 * 3600), "alerts").where("key <> 'end'")
     want = stateful.alert_dedup(spark, sf_dir).withColumn("at", F.col("at").cast("timestamp")).select("key", "at", "kind", "severity")
@@ -39,7 +40,8 @@ def test_alerts_equal_batch(spark, sf_dir, tmp_path):
 
 def test_alerts_repeat_from_the_last_message(spark, tmp_path):
     """An alarm in every check of a day is sent every three hours, not once."""
-    hours = spark.range(24).select(F.lit("k").alias("key"), F.lit("warning").alias("severity"), F.timestamp_seconds(F.col("id") * 3600 + 1_700_000_000).alias("ts"), F.col("id").alias("event_id"))
+    hours = spark.range(24).select(F.lit("k").alias("key"), F.lit("warning").alias("severity"),
+        F.timestamp_seconds(F.col("id") * 3600 + 1_700_000_000).alias("ts"), F.col("id").alias("event_id"))
     got = run(spark, processors.alerts(streamed(spark, hours, str(tmp_path / "h")), repeat_seconds=3 * 3600), "hourly")
     assert [r.kind for r in got.collect()].count("alert") == 8
 
