@@ -157,7 +157,8 @@ def bucketed(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     n = shared.partitions(spark)
     text = F.coalesce("text", F.lit(""))
-    rows = documents.select(F.bitwise_not(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).alias("k"), F.xxhash64(text).alias("h"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    rows = documents.select(F.bitwise_not(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).alias("k"), F.xxhash64(text).alias("h"),
+        F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     keys = shared.written(rows.select("k", "h"))
     share = keys.count() // n + 1
     many = [tuple(r) for r in keys.groupBy("k", "h").count().where(F.col("count") > share).collect()]  # fewer than partitions
@@ -183,7 +184,8 @@ def bucketed(documents: DataFrame) -> DataFrame:
 
     here = [(h[0], h[1], (i - 1) % len(heads)) for i, h in enumerate(heads)]
     first = F.broadcast(spark.createDataFrame(here, "k long, h long, bucket int"))
-    guests = rows.join(F.broadcast(spark.createDataFrame(sorted({x[:2] for x in here}), "k long, h long")), ["k", "h"]).groupBy("k", "h").agg(F.first("text").alias("text"))
+    guests = rows.join(F.broadcast(spark.createDataFrame(sorted({x[:2] for x in here}), "k long, h long")), ["k", "h"]).groupBy("k",
+        "h").agg(F.first("text").alias("text"))
     guests = guests.join(first, ["k", "h"]).select("bucket", F.lit(True).alias("guest"), "k", "h", F.lit(None).cast("long").alias("doc_id"), "text")
     own = dealt(rows).select(bucket("k", "h", "part").alias("bucket"), F.lit(False).alias("guest"), "k", "h", "doc_id", "text")
     return own.unionByName(guests).repartitionById(n, "bucket").sortWithinPartitions("bucket", "guest", "k", "h")
@@ -226,9 +228,11 @@ def fingerprints(documents: DataFrame) -> DataFrame:
             a, e, f = ([print_of[t] for t in x] for x in (texts, edited, following))
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
+                    pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
+                    pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
                     pa.array([x.tobytes().hex() for x in a], pa.string()), pa.array([x.tobytes().hex() for x in e], pa.string()),
-                    pa.array([likeness(x, y) for x, y in zip(a, e, strict=True)], pa.float64()), pa.array([likeness(x, y) for x, y in zip(a, f, strict=True)], pa.float64()),
+                    pa.array([likeness(x, y) for x, y in zip(a, e, strict=True)], pa.float64()),
+                    pa.array([likeness(x, y) for x, y in zip(a, f, strict=True)], pa.float64()),
                 ],
                 ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
             )
@@ -243,7 +247,8 @@ def fingerprints(documents: DataFrame) -> DataFrame:
         if block:
             yield result(block)
 
-    return ordered.select("bucket", "guest", "doc_id", "text").mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return ordered.select("bucket", "guest", "doc_id", "text").mapInArrow(run,
+        "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,13 +55,15 @@ def components(edges: DataFrame) -> DataFrame:
         if now == state:
             break
         state = now
-    return e.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+    return e.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(e.select(F.col("b").alias("id"),
+        F.col("b").alias("component")).distinct())
 
 
 def measured(e: DataFrame) -> tuple[DataFrame, tuple]:
     """``e`` written, and its number of edges and sum of their hashes, counted as it is written."""
     seen = Observation()
-    out = shared.written(e.observe(seen, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0)).alias("sum")))
+    out = shared.written(e.observe(seen, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")),
+        F.lit(0)).alias("sum")))
     return out, (seen.get["n"], seen.get["sum"])
 
 
@@ -76,10 +78,12 @@ def block_pairs(members: DataFrame, group: list[str], member: str, payload: Data
     """
     sizes = members.groupBy(*group).agg(F.count("*").alias("size_")).where("size_ > 1")
     n = F.ceil(F.col("size_") / F.greatest(F.lit(float(BLOCK)), F.lit(BLOCK_GROWTH) * F.sqrt("size_"))).cast("int")
-    placed = spread_join(members, sizes, group, "size_", members.count() if total is None else total).withColumn("own_", F.pmod(F.xxhash64(member, F.lit(5)), n).cast("int"))
+    placed = spread_join(members, sizes, group, "size_", members.count() if total is None else total).withColumn("own_",
+        F.pmod(F.xxhash64(member, F.lit(5)), n).cast("int"))
     if payload is not None:
         placed = placed.join(payload, member)
-    pairs = placed.withColumn("other_", F.explode(F.sequence(F.lit(0), n - 1))).withColumns({"i_": F.least("own_", "other_"), "j_": F.greatest("own_", "other_")}).drop("size_", "other_")
+    pairs = placed.withColumn("other_", F.explode(F.sequence(F.lit(0), n - 1))).withColumns({"i_": F.least("own_", "other_"),
+        "j_": F.greatest("own_", "other_")}).drop("size_", "other_")
     keys = [*group, "i_", "j_"]
     return pairs.repartition(shared.partitions(members.sparkSession), *keys).sortWithinPartitions(*keys, member)
 

@@ -163,7 +163,8 @@ def counted(documents: DataFrame, bits: int, filter_bits: int, partitions: int)
             else:  # 48 bits are enough for the filter, which is approximate anyway
                 a, b = packed_gaps(h, at)
             c = shared.binary(n.astype(np.uint32), at)
-            return pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(np.full(len(k), kind, np.int32)), a, b, c, pa.nulls(len(k), pa.binary())], ["bucket", "kind", "a", "b", "c", "d"])
+            return pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(np.full(len(k), kind, np.int32)), a, b, c,
+                pa.nulls(len(k), pa.binary())], ["bucket", "kind", "a", "b", "c", "d"])
 
         for batch in batches:
             data, offsets = shared.utf8(batch.column(0))
@@ -188,13 +189,18 @@ def counted(documents: DataFrame, bits: int, filter_bits: int, partitions: int)
                 else:
                     got = from_gaps(a, b), np.frombuffer(c, np.uint32).astype(np.int64)
                 held[kind].append(got)
-            x = {k: summed(*(np.concatenate(y) for y in zip(*v, strict=True))) if v else (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for k, v in held.items()}
-            bits_set = segment(np.concatenate([word_keys(x[COUNTS][0], bits), x[PAIR_COUNTS][0]]), np.concatenate([x[COUNTS][1], x[PAIR_COUNTS][1]]), size)
+            x = {k: summed(*(np.concatenate(y) for y in zip(*v, strict=True))) if v else (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for k,
+                v in held.items()}
+            bits_set = segment(np.concatenate([word_keys(x[COUNTS][0], bits), x[PAIR_COUNTS][0]]), np.concatenate([x[COUNTS][1], x[PAIR_COUNTS][1]]),
+                size)
             level = Filter(bits_set, 0).levels(word_keys(x[COUNTS][0], bits)).astype(np.uint8)
-            rows = [(bucket, COUNTS, x[COUNTS][0].tobytes(), x[COUNTS][1].tobytes(), level.tobytes(), None), (bucket, SEGMENT, bits_set.tobytes(), None, None, None)]
-            yield pa.RecordBatch.from_pydict(dict(zip(("bucket", "kind", "a", "b", "c", "d"), map(list, zip(*rows, strict=True)), strict=True)), schema=arrow_schema())
+            rows = [(bucket, COUNTS, x[COUNTS][0].tobytes(), x[COUNTS][1].tobytes(), level.tobytes(), None),
+                (bucket, SEGMENT, bits_set.tobytes(), None, None, None)]
+            yield pa.RecordBatch.from_pydict(dict(zip(("bucket", "kind", "a", "b", "c", "d"), map(list, zip(*rows, strict=True)), strict=True)),
+                schema=arrow_schema())
 
-    return documents.select("text").mapInArrow(count, MESSAGE).repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(gather, MESSAGE)
+    return documents.select("text").mapInArrow(count, MESSAGE).repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(gather,
+        MESSAGE)
 
 
 def arrow_schema() -> pa.Schema:
@@ -216,7 +222,8 @@ def lm_scores(documents: DataFrame) -> DataFrame:
     text is a step of its own; an empty table gives an empty result; other columns are ignored.
     """
     spark = documents.sparkSession
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(shared.id_hash_mod("doc_id", 5) == 1, F.lit(False)).alias("held_out"))
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+        F.coalesce(shared.id_hash_mod("doc_id", 5) == 1, F.lit(False)).alias("held_out"))
     training = rows.where(~F.col("held_out"))
     texts, size = training.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
     n = shared.partitions(spark)
@@ -239,12 +246,14 @@ def lm_scores(documents: DataFrame) -> DataFrame:
         for b in batches:
             for x, y, z in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 h, c, level = np.frombuffer(x, np.uint64), np.frombuffer(y, np.int64), np.frombuffer(z, np.uint8)
-                yield pa.RecordBatch.from_arrays([pa.array(h[c >= least].view(np.int64)), pa.array(c[c >= least]), pa.array(level[c >= least].astype(np.int64))], ["h", "c", "level"])
+                yield pa.RecordBatch.from_arrays([pa.array(h[c >= least].view(np.int64)), pa.array(c[c >= least]),
+                    pa.array(level[c >= least].astype(np.int64))], ["h", "c", "level"])
 
     hot = counts.select("a", "b", "c").mapInArrow(frequent, "h long, c long, level long").collect()  # at most SHARE rows
     hot_h = np.array([x[0] for x in hot], np.int64).view(np.uint64)
     by_hash = np.argsort(hot_h)
-    model = spark.sparkContext.broadcast((hot_h[by_hash], np.array([x[1] for x in hot], np.int64)[by_hash], np.array([x[2] for x in hot], np.int64)[by_hash]))
+    model = spark.sparkContext.broadcast((hot_h[by_hash], np.array([x[1] for x in hot], np.int64)[by_hash],
+        np.array([x[2] for x in hot], np.int64)[by_hash]))
     denominator = total + 0.5 * (distinct + 1)
     narrow = np.min_scalar_type(int(least))  # rare words' counts are less than that
 
@@ -255,8 +264,10 @@ def lm_scores(documents: DataFrame) -> DataFrame:
             for lo, hi in shared.steps(offsets):
                 ids, uid = batch.column(0).slice(lo, hi - lo), task | step_of
                 step_of += 1
-                about = np.concatenate([ids.fill_null(0).to_numpy(), np.array(ids.is_null()).astype(np.int64), np.array(batch.column(2).slice(lo, hi - lo)).astype(np.int64)])
-                yield message([0], [TEXTS], [uid.to_bytes(8, "little")], [about.astype(np.int64).tobytes()], [(offsets[lo : hi + 1] - offsets[lo]).tobytes()], [pa.compress(data[offsets[lo] : offsets[hi]].tobytes(), "zstd", asbytes=True)])
+                about = np.concatenate([ids.fill_null(0).to_numpy(), np.array(ids.is_null()).astype(np.int64),
+                    np.array(batch.column(2).slice(lo, hi - lo)).astype(np.int64)])
+                yield message([0], [TEXTS], [uid.to_bytes(8, "little")], [about.astype(np.int64).tobytes()],
+                    [(offsets[lo : hi + 1] - offsets[lo]).tobytes()], [pa.compress(data[offsets[lo] : offsets[hi]].tobytes(), "zstd", asbytes=True)])
 
     stepped = shared.written(rows.select("doc_id", "text", "held_out").mapInArrow(cut, MESSAGE))
 
@@ -278,7 +289,8 @@ def lm_scores(documents: DataFrame) -> DataFrame:
                 w, p = bounds_of(words, bits), bounds_of(pairs, bits)
                 some = np.flatnonzero((np.diff(w) > 0) | (np.diff(p) > 0))
                 w, p = np.append(w[some], len(words)), np.append(p[some], len(pairs))
-                yield message(some.astype(np.int32), np.full(len(some), ASKED, np.int32), [uid] * len(some), shared.binary(words, w), *packed_gaps(pairs, p))
+                yield message(some.astype(np.int32), np.full(len(some), ASKED, np.int32), [uid] * len(some), shared.binary(words, w),
+                    *packed_gaps(pairs, p))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Counts and levels of the words, and levels of the pairs, that each step asks for, from one bucket after another."""
@@ -335,18 +347,22 @@ def lm_scores(documents: DataFrame) -> DataFrame:
                 ids = np.frombuffer(b, np.int64).reshape(3, m)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(ids[0], pa.int64(), mask=ids[1] > 0), pa.array(ids[2] > 0), pa.array(number.astype(np.int64)), pa.array(np.bincount(row, known > 0, m).astype(np.int64)), pa.array(np.full(m, total)),
-                        pa.array(np.bincount(row, np.log10(known + 0.5), m) - number * np.log10(denominator)), pa.array(np.bincount(row, np.log10(p), m)),
+                        pa.array(ids[0], pa.int64(), mask=ids[1] > 0), pa.array(ids[2] > 0), pa.array(number.astype(np.int64)),
+                        pa.array(np.bincount(row, known > 0, m).astype(np.int64)), pa.array(np.full(m, total)),
+                        pa.array(np.bincount(row, np.log10(known + 0.5), m) - number * np.log10(denominator)),
+                        pa.array(np.bincount(row, np.log10(p), m)),
                     ],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
     every = stepped.unionByName(answers)
-    return every.repartition(n, "a").sortWithinPartitions("a", "kind", "bucket").mapInArrow(finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return every.repartition(n, "a").sortWithinPartitions("a", "kind", "bucket").mapInArrow(finish,
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def message(bucket, kind, a, b, c, d) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(kind, pa.int32()), *(pa.array(x, pa.binary()) for x in (a, b, c, d))], schema=arrow_schema())
+    return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(kind, pa.int32()), *(pa.array(x, pa.binary()) for x in (a, b, c, d))],
+        schema=arrow_schema())
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -116,9 +116,11 @@ def set_features(documents: DataFrame) -> DataFrame:
                 h, at = shingle_sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 k1, k2 = set_keys(h, at)
                 values = shared.binary(signatures(h, at).reshape(-1), np.arange(hi - lo + 1) * VALUES)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(k1), pa.array(k2), pa.array(np.diff(at)), values], ["doc_id", "k1", "k2", "n_shingles", "values"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(k1), pa.array(k2), pa.array(np.diff(at)), values],
+                    ["doc_id", "k1", "k2", "n_shingles", "values"])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, k1 long, k2 long, n_shingles long, values binary")
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run,
+        "doc_id long, k1 long, k2 long, n_shingles long, values binary")
 
 
 def candidate_links(classes: DataFrame) -> DataFrame:
@@ -131,7 +133,8 @@ def candidate_links(classes: DataFrame) -> DataFrame:
             for k in range(ROWS):
                 sums = textblock.mix(sums + values[:, k::ROWS][:, :BANDS].astype(np.uint64) + np.uint64(k))
             keys = textblock.mix(sums + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), b.column(0).take(pa.array(np.repeat(np.arange(len(values)), BANDS)))], ["band_key", "rid"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), b.column(0).take(pa.array(np.repeat(np.arange(len(values)), BANDS)))],
+                ["band_key", "rid"])
 
     needed = least_matches()
     members = classes.select("rid", "values").mapInArrow(bands, "band_key long, rid long")
@@ -200,7 +203,8 @@ def similar(documents: DataFrame) -> DataFrame:
     other columns are ignored. ``kept`` marks the rows with the class's id.
     """
     features = shared.written(set_features(documents))
-    classes = features.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.first("values").alias("values"))
+    classes = features.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"),
+        F.first("values").alias("values"))
     classes = shared.written(classes.withColumn("rid", F.monotonically_increasing_id()))
     clusters = shared.written(graph.components(candidate_links(classes)))
     chosen = clusters.withColumnRenamed("id", "rid").join(classes.select("rid", "k1", "k2", "id", "copies"), "rid")
@@ -216,8 +220,10 @@ def similar(documents: DataFrame) -> DataFrame:
                 k1, k2 = set_keys(h, at)
                 yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), shared.binary(h, at)], ["k1", "k2", "shingles"])
 
-    sets = of_ids.select("text").mapInArrow(exact_sets, "k1 long, k2 long, shingles binary").join(chosen.select("k1", "k2"), ["k1", "k2"], "left_semi")
-    sets = sets.groupBy("k1", "k2").agg(F.first("shingles").alias("shingles")).join(chosen, ["k1", "k2"]).select("component", "rid", "copies", "shingles")
+    sets = of_ids.select("text").mapInArrow(exact_sets, "k1 long, k2 long, shingles binary").join(chosen.select("k1", "k2"), ["k1", "k2"],
+        "left_semi")
+    sets = sets.groupBy("k1", "k2").agg(F.first("shingles").alias("shingles")).join(chosen, ["k1", "k2"]).select("component", "rid", "copies",
+        "shingles")
     sets = shared.written(sets)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,12 +250,15 @@ def similar(documents: DataFrame) -> DataFrame:
     verified = shared.written(pairs.select("component", "i_", "j_", "own_", "rid", "copies", "shingles").mapInArrow(verify, "a long, b long, n long"))
     links = verified.groupBy(F.col("a").alias("rid")).agg(F.sum("n").alias("n"))
     joined = graph.components(verified.where("n = 0").select("a", "b"))
-    about = classes.select("rid", "k1", "k2", "id", "copies").join(joined.select(F.col("id").alias("rid"), "component"), "rid", "left").join(links, "rid", "left")
-    about = about.select("k1", "k2", "id", F.coalesce("component", "rid").alias("component"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    about = classes.select("rid", "k1", "k2", "id", "copies").join(joined.select(F.col("id").alias("rid"), "component"), "rid", "left").join(links,
+        "rid", "left")
+    about = about.select("k1", "k2", "id", F.coalesce("component", "rid").alias("component"),
+        (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     names = about.groupBy("component").agg(F.min("id").alias("class_id"))
     about = about.join(names, "component").select("k1", "k2", "class_id", "n_links")
     worded = features.where("n_shingles > 0").select("doc_id", "n_shingles", "k1", "k2").join(about, ["k1", "k2"])
-    empty = features.where("n_shingles = 0").select("doc_id", "n_shingles", "k1", "k2", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    empty = features.where("n_shingles = 0").select("doc_id", "n_shingles", "k1", "k2", F.col("doc_id").alias("class_id"),
+        F.lit(0).cast("long").alias("n_links"))
     columns = ["doc_id", "n_shingles", "class_id", "n_links", "k1", "k2"]
     return worded.select(*columns).unionByName(empty.select(*columns)).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 

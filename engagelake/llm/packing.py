@@ -117,7 +117,8 @@ class BlockTokenizer:
         if len(self.known) > self.REMEMBER:
             self.forget()
         k = np.searchsorted(self.known, distinct)
-        new = np.flatnonzero(k == len(self.known)) if not len(self.known) else np.flatnonzero(self.known[np.minimum(k, len(self.known) - 1)] != distinct)
+        new = np.flatnonzero(k == len(self.known)) if not len(self.known) else np.flatnonzero(self.known[np.minimum(k,
+            len(self.known) - 1)] != distinct)
         if len(new):
             encode = self.pieces.encode_ordinary
             text = codes.tobytes().decode("utf-32-le")
@@ -163,18 +164,21 @@ def pieces(documents: DataFrame, path: str, ranks_path: str, capacity: int = 102
                 full = np.insert(ids, at[1:], closing).astype("<u4")
                 first = at[:-1][row] + row + start
                 raw = full.tobytes()
-                crc = np.fromiter((zlib.crc32(raw[4 * a : 4 * (a + m)]) for a, m in zip(first.tolist(), length.tolist(), strict=True)), np.int64, len(row))
+                crc = np.fromiter((zlib.crc32(raw[4 * a : 4 * (a + m)]) for a, m in zip(first.tolist(), length.tolist(), strict=True)), np.int64,
+                    len(row))
                 order = np.argsort(length, kind="stable")
                 sizes, begin, number = np.unique(length[order], return_index=True, return_counts=True)
                 rank = np.empty(len(row), np.int64)
                 rank[order] = np.arange(len(row)) - np.repeat(begin, number) + np.repeat(seen[sizes], number)
                 seen[sizes] += number
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo).take(pa.array(row)), pa.array(k.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc), b.column(2).slice(lo, hi - lo).take(pa.array(row)), pa.array(rank)],
+                    [b.column(0).slice(lo, hi - lo).take(pa.array(row)), pa.array(k.astype(np.int32)), pa.array(start), pa.array(length),
+                    pa.array(crc), b.column(2).slice(lo, hi - lo).take(pa.array(row)), pa.array(rank)],
                     ["doc_id", "piece", "start", "length", "ids_crc32", "task", "rank"],
                 )
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", spread).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, task int, rank long")
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", spread).mapInArrow(run,
+        "doc_id long, piece int, start long, length long, ids_crc32 long, task int, rank long")
 
 
 def fullest(counts: np.ndarray, capacity: int) -> dict[int, int]:
@@ -244,7 +248,8 @@ def best_fit_pack(documents: DataFrame, path: str | None = None, ranks_path: str
     cut = shared.written(pieces(documents, path, ranks_path, capacity, closing))
     by_task = cut.groupBy("length", "task").agg(F.count("*").alias("n"))
     # a row for each length and task: where the task's ranks of that length begin
-    before = by_task.withColumn("before", F.sum("n").over(W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1))).select("length", "task", F.coalesce("before", F.lit(0)).alias("before"))
+    before = by_task.withColumn("before", F.sum("n").over(W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding,
+        -1))).select("length", "task", F.coalesce("before", F.lit(0)).alias("before"))
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in by_task.groupBy("length").agg(F.sum("n")).collect():  # at most ``capacity`` rows
         counts[length] = n
@@ -260,9 +265,11 @@ def best_fit_pack(documents: DataFrame, path: str | None = None, ranks_path: str
             row = t[np.searchsorted(key, (length << 44) + rank, "right") - 1]
             i = rank - row[:, 1]
             sequence, offset = row[:, 4] + i // row[:, 3], row[:, 5] + i % row[:, 3] * length
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")), pa.array(sequence), pa.array(offset)], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")), pa.array(sequence),
+                pa.array(offset)], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    ranked = cut.join(before, ["length", "task"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank"))
+    ranked = cut.join(before, ["length", "task"]).select("doc_id", "piece", "start", "length", "ids_crc32",
+        (F.col("rank") + F.col("before")).alias("rank"))
     return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 

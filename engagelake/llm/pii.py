@@ -127,7 +127,8 @@ WORDS_AROUND = (
     ("ssn", "social", "tax", "insurance", "id", "dni", "nie", "nir", "steuer", "sécurité"),
     ("iban", "account", "bank", "transfer", "payee", "konto", "compte", "cuenta"),
     ("mail", "write", "reach", "contact", "correo", "courriel", "schreib"),
-    ("version", "isbn", "order", "invoice", "part", "sku", "page", "date", "build", "chapter", "http", "www", "file", "rechnung", "facture", "pedido"),
+    ("version", "isbn", "order", "invoice", "part", "sku", "page", "date", "build", "chapter", "http", "www", "file", "rechnung", "facture",
+    "pedido"),
 )
 #: How far around a span its context is read.
 REACH = 32
@@ -260,7 +261,8 @@ def made_examples(n: int, seed: int, prose: Sequence[str] = ()) -> tuple[list[tu
         pair, sep = (lambda: number(2)), r.choice((" ", ".", "-", ""))
         return r.choice((
             f"({number(3)}) {number(3)}-{number(4)}", f"{number(3)}-{number(3)}-{number(4)}", f"{number(3)}.{number(3)}.{number(4)}",
-            f"0{r.randint(1, 9)}{sep}" + sep.join(pair() for _ in range(4)), f"0{r.randint(1, 9)}{number(r.randint(1, 3))}{r.choice(' /-')}{number(r.randint(6, 8))}",
+            f"0{r.randint(1, 9)}{sep}" + sep.join(pair() for _ in range(4)),
+            f"0{r.randint(1, 9)}{number(r.randint(1, 3))}{r.choice(' /-')}{number(r.randint(6, 8))}",
             f"{r.choice('679')}{number(2)} {pair()} {pair()} {pair()}", f"{r.choice('679')}{number(2)} {number(3)} {number(3)}",
         ))
 
@@ -270,23 +272,29 @@ def made_examples(n: int, seed: int, prose: Sequence[str] = ()) -> tuple[list[tu
         key = f"{97 - int(thirteen) % 97:02d}"
         first = r.choice("XYZ")
         return r.choice((
-            f"{r.randint(1, 665):03d}-{r.randint(1, 99):02d}-{r.randint(1, 9999):04d}", f"{eight}{r.choice(('', '-'))}{CHECK_LETTERS[int(eight) % 23]}",
-            f"{first}{seven}{CHECK_LETTERS[int(str('XYZ'.index(first)) + seven) % 23]}", thirteen + key, " ".join((thirteen[:1], thirteen[1:3], thirteen[3:5], thirteen[5:7], thirteen[7:10], thirteen[10:], key)),
+            f"{r.randint(1, 665):03d}-{r.randint(1, 99):02d}-{r.randint(1, 9999):04d}",
+            f"{eight}{r.choice(('', '-'))}{CHECK_LETTERS[int(eight) % 23]}",
+            f"{first}{seven}{CHECK_LETTERS[int(str('XYZ'.index(first)) + seven) % 23]}", thirteen + key,
+            " ".join((thirteen[:1], thirteen[1:3], thirteen[3:5], thirteen[5:7], thirteen[7:10], thirteen[10:], key)),
             f"{number(2)} {number(3)} {number(3)} {number(3)}",
         ))
 
     spell = lambda name: r.choice((f" {name} ", f" [{name}] ", f" ({name}) ", f" {name.upper()} ", f"[{name}]", f"({name})"))
     personal = {
         "secret": lambda: r.choice((
-            lambda: (f'{r.choice(("token", "secret", "api_key", "key", "password", "auth"))} {r.choice("=:")} "', pick(hexes, r.choice((32, 40, 64))), '"'),
+            lambda: (f'{r.choice(("token", "secret", "api_key", "key", "password", "auth"))} {r.choice("=:")} "', pick(hexes, r.choice((32, 40, 64))),
+            '"'),
             lambda: (f'{r.choice(("key", "token", "secret", "apikey"))}=', pick(mixed + "_-", r.randint(20, 48)), " "),
-            lambda: (f'{r.choice(("password", "passwd", "pwd", "secret", "token"))}{r.choice(("=", ": "))}', pick(r.choice((hexes, mixed)), r.randint(14, 28)) + "7", r.choice((" ", ".", "\n"))),
+            lambda: (f'{r.choice(("password", "passwd", "pwd", "secret", "token"))}{r.choice(("=", ": "))}',
+            pick(r.choice((hexes, mixed)), r.randint(14, 28)) + "7", r.choice((" ", ".", "\n"))),
             lambda: (f'{r.choice(("token", "key", "bearer"))} ', pick(mixed + "_-", r.randint(120, 900)), r.choice((" ", ".", "\n"))),
             lambda: (" ", r.choice(("AKIA", "ASIA")) + pick(upper, 16), " "),
             lambda: (" ", r.choice(("ghp_", "sk_live_", "xoxb-", "AIza")) + pick(mixed, r.randint(24, 40)), " "),
             lambda: (" ", pick(hexes, r.choice((32, 40, 64))), " "),
         ))(),
-        "written_email": lambda: (r.choice((" ", "write to ", "mail ")), f"{word()}{r.choice(('', '.' + word(), number(2)))}{spell('at')}{word()}{''.join(spell('dot') + x for x in ([word()] if r.random() < 0.2 else []))}{spell('dot')}{r.choice(('com', 'org', 'net', 'de', 'fr', 'es'))}", " "),
+        "written_email": lambda: (r.choice((" ", "write to ", "mail ")),
+        f"{word()}{r.choice(('', '.' + word(), number(2)))}{spell('at')}{word()}{''.join(spell('dot') + x for x in ([word()] if r.random() < 0.2 else []))}{spell('dot')}{r.choice(('com', 'org', 'net', 'de', 'fr', 'es'))}",
+        " "),
         "local_phone": lambda: (r.choice((" call ", " phone: ", " tel ", " tél. ", " mobile ", " móvil ", " ")), local_phone(), " "),
         "iban": lambda: (r.choice((" iban ", " account ", " konto ", " ")), iban(), " "),
         "national_id": lambda: (r.choice((" ssn ", " social security ", " dni ", " steuer-id ", " nir ", " id ")), national_id(), " "),
@@ -302,11 +310,15 @@ def made_examples(n: int, seed: int, prose: Sequence[str] = ()) -> tuple[list[tu
             lambda: (" ", word() * 3 + number(1), " "),
         ))(),
         "written_email": lambda: (" ", f"{word()} at {word()} dot {word()[:8]}ing", " "),
-        "local_phone": lambda: (r.choice((" order ", " invoice ", " part ", " isbn ", " rechnung ", " facture ", " pedido ")), r.choice((f"{number(3)} {number(3)} {number(4)}", local_phone())), " "),
-        "iban": lambda: (r.choice((" sku ", " part ", " ")), f"{pick('ABCDEFGH', 2)}{number(2)}{pick(upper, 4)}{pick(upper, 4)}{pick(upper, 4)}", " "),
+        "local_phone": lambda: (r.choice((" order ", " invoice ", " part ", " isbn ", " rechnung ", " facture ", " pedido ")),
+        r.choice((f"{number(3)} {number(3)} {number(4)}", local_phone())), " "),
+        "iban": lambda: (r.choice((" sku ", " part ", " ")), f"{pick('ABCDEFGH', 2)}{number(2)}{pick(upper, 4)}{pick(upper, 4)}{pick(upper, 4)}",
+        " "),
         "national_id": lambda: r.choice((
-            lambda: (r.choice((" part ", " page ", " order ", " sku ")), r.choice((f"{number(3)}-{number(2)}-{number(4)}", f"{number(2)} {number(3)} {number(3)} {number(3)}")), " "),
-            lambda: (r.choice((" part ", " order ", " ")), r.choice((f"{number(8)}{r.choice('ABCDEFGH')}", r.choice("12") + number(2) + "07" + number(10))), " "),
+            lambda: (r.choice((" part ", " page ", " order ", " sku ")), r.choice((f"{number(3)}-{number(2)}-{number(4)}",
+            f"{number(2)} {number(3)} {number(3)} {number(3)}")), " "),
+            lambda: (r.choice((" part ", " order ", " ")), r.choice((f"{number(8)}{r.choice('ABCDEFGH')}",
+            r.choice("12") + number(2) + "07" + number(10))), " "),
         ))(),
     }
     prose = [x for x in prose if " " in x.strip()]
@@ -389,7 +401,8 @@ class Detector:
         found = [c for c in candidates(text) if not taken.touches(c[0], c[1])]
         chosen = Intervals()
         if found:
-            p = np.concatenate([self.trees.probability(np.array([features(text, *c) for c in found[i : i + 4096]])) for i in range(0, len(found), 4096)])
+            p = np.concatenate([self.trees.probability(np.array([features(text, *c) for c in found[i : i + 4096]])) for i in range(0, len(found),
+                4096)])
             for q, c in sorted(zip(p.tolist(), found, strict=True), key=lambda z: (-z[0], z[1])):
                 if q >= self.threshold[c[2]] and not chosen.touches(c[0], c[1]):
                     chosen.add(c)
@@ -433,9 +446,11 @@ def personal_data(documents: DataFrame, detector: Detector | None = None) -> Dat
                 for _, _, k in base:
                     counts[ORDER[k], i] += 1
                 hashes[i], spans[i] = hashlib.sha256(joined(base).encode()).hexdigest(), joined(every)
-            yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, counts), pa.array(hashes, pa.string()), pa.array(spans, pa.string())], ["doc_id", *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, counts), pa.array(hashes, pa.string()), pa.array(spans, pa.string())],
+                ["doc_id", *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans"])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run,
+        "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
 def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
@@ -470,7 +485,8 @@ def redacted(documents: DataFrame, detector: Detector | None = None) -> DataFram
             yield b
 
     out = documents.mapInArrow(run, documents.schema)
-    return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(documents.schema["n_chars"].dataType))) if "n_chars" in names else out
+    return out.withColumn("n_chars", F.when(F.col("text").isNull(),
+        F.col("n_chars")).otherwise(F.length("text").cast(documents.schema["n_chars"].dataType))) if "n_chars" in names else out
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -136,7 +136,8 @@ class ByteConvNet:
             for i in range(0, len(order), batch):
                 rows = order[i : i + batch]
                 raw = [texts[j] for j in rows]
-                g = self.gradients(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])]), labels[rows].astype(np.float32))
+                g = self.gradients(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])]),
+                    labels[rows].astype(np.float32))
                 t += 1
                 for k, d in g.items():
                     m[k] = 0.9 * m.get(k, 0) + 0.1 * d
@@ -150,7 +151,8 @@ class ByteConvNet:
         return np.round(np.concatenate(out).astype(np.float64), 5) if out else np.zeros(0)
 
 
-def train(documents: DataFrame, labels: DataFrame, train_rows: int = 1500, train_bytes: int = 4_000_000, text_bytes: int = 100_000, seed: int = 7) -> ByteConvNet:
+def train(documents: DataFrame, labels: DataFrame, train_rows: int = 1500, train_bytes: int = 4_000_000, text_bytes: int = 100_000,
+    seed: int = 7) -> ByteConvNet:
     """Fit on at most ``train_rows`` labelled rows, of at most ``text_bytes`` bytes each and ``train_bytes`` in all, chosen by a hash of the id.
 
     Rows whose crc32 of the id modulo 4 is 2 are never read as labels; a document with several
@@ -164,7 +166,8 @@ def train(documents: DataFrame, labels: DataFrame, train_rows: int = 1500, train
         .orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(train_rows)
     )
     text = documents.where("text is not null").select("doc_id", F.xxhash64("text").alias("h"), F.octet_length("text").alias("bytes"), "text")
-    sized = text.where(F.col("bytes") <= text_bytes).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min(F.struct("h", "bytes")).alias("t"))
+    sized = text.where(F.col("bytes") <= text_bytes).join(F.broadcast(chosen), "doc_id").groupBy("doc_id",
+        "quality").agg(F.min(F.struct("h", "bytes")).alias("t"))
     rows = sorted((r.doc_id, r.quality, r.t.h, r.t.bytes) for r in sized.collect())  # train_rows at most
     taken, size = {}, 0
     for i in np.random.default_rng(seed).permutation(len(rows)).tolist():
@@ -192,7 +195,8 @@ def quality_scores(documents: DataFrame, model: ByteConvNet, threshold: float =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             s = model.score(*shared.utf8(b.column(1))).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32))],
+                ["doc_id", "score", "predicted"])
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
 

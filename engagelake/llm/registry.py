@@ -17,7 +17,8 @@ from .substring import op3_substring_dedup
 from .suffix_dedup import op7_suffix_array_dedup
 from .vectors import op10_embedding_near_dedup
 
-QUERIES = (op1_quality_classifier, op2_mixing, op3_substring_dedup, op4_ngram_jaccard_join, op5_pii, op6_best_fit_packing, op7_suffix_array_dedup, op8_lm_scoring, op9_fingerprints, op10_embedding_near_dedup)
+QUERIES = (op1_quality_classifier, op2_mixing, op3_substring_dedup, op4_ngram_jaccard_join, op5_pii, op6_best_fit_packing, op7_suffix_array_dedup,
+    op8_lm_scoring, op9_fingerprints, op10_embedding_near_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

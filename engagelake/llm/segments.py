@@ -104,7 +104,8 @@ def repeated_hashes(texts: DataFrame, hashes: Callable[[np.ndarray, np.ndarray],
             at = np.searchsorted((h >> np.uint64(64 - bits)).astype(np.int64), np.arange((1 << bits) + 1))
             k = np.flatnonzero(np.diff(at))
             at = np.concatenate([at[k], [len(h)]])
-            return pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), shared.binary((h >> np.uint64(32)).astype(np.uint32), at), shared.binary((h >> np.uint64(16)).astype(np.uint16), at)], ["bucket", "high", "low"])
+            return pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), shared.binary((h >> np.uint64(32)).astype(np.uint32), at),
+                shared.binary((h >> np.uint64(16)).astype(np.uint16), at)], ["bucket", "high", "low"])
 
         for b in batches:
             data, offsets = shared.utf8(b.column(0))
@@ -120,17 +121,20 @@ def repeated_hashes(texts: DataFrame, hashes: Callable[[np.ndarray, np.ndarray],
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in shared.runs(batches, ["bucket", "high", "low"]):  # one bucket at a time
-            parts = [(np.frombuffer(high, np.uint32).astype(np.uint64) << np.uint64(16) | np.frombuffer(low, np.uint16)) << np.uint64(16) for _, high, low in rows]
+            parts = [(np.frombuffer(high, np.uint32).astype(np.uint64) << np.uint64(16) | np.frombuffer(low, np.uint16)) << np.uint64(16) for _, high,
+                low in rows]
             h = np.sort(np.concatenate(parts))
             again = np.zeros(len(h), bool)
             again[1:] = h[1:] == h[:-1]
             out = np.zeros(step, bool)
             for place in bloom_places(h[again], step):
                 out[place.astype(np.int64)] = True
-            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([np.packbits(out, bitorder="little").tobytes()], pa.binary())], ["bucket", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([np.packbits(out, bitorder="little").tobytes()], pa.binary())],
+                ["bucket", "bits"])
 
     data = np.zeros(filter_bits >> 3, np.uint8)
-    parts = texts.select("text").mapInArrow(deal, "bucket int, high binary, low binary").repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(gather, "bucket int, bits binary")
+    parts = texts.select("text").mapInArrow(deal, "bucket int, high binary, low binary").repartition(n,
+        "bucket").sortWithinPartitions("bucket").mapInArrow(gather, "bucket int, bits binary")
     for bucket, part in parts.collect():  # MAX_BITS bits in all
         data[bucket * (step >> 3) : (bucket + 1) * (step >> 3)] = np.frombuffer(part, np.uint8)
     return data, bits
@@ -192,17 +196,21 @@ def occurrences(rows: DataFrame, w: Windows, within: bool) -> DataFrame:
                     seen.add(c)
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor.view(np.int64), mask=~np.array(new)), pa.array(content.view(np.int64)), b.column(0).slice(lo, hi - lo).take(take), b.column(1).slice(lo, hi - lo).take(take), places, pa.array((place - bounds[row]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(body, pa.binary())],
+                    [pa.array(anchor.view(np.int64), mask=~np.array(new)), pa.array(content.view(np.int64)),
+                    b.column(0).slice(lo, hi - lo).take(take), b.column(1).slice(lo, hi - lo).take(take), places,
+                    pa.array((place - bounds[row]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(body, pa.binary())],
                     ["anchor", "content", "ord", "text_key", "at", "at0", "n", "body"],
                 )
 
-    return rows.select("ord", "text_key", "text").mapInArrow(run, "anchor long, content long, ord long, text_key long, at binary, at0 int, n int, body binary")
+    return rows.select("ord", "text_key", "text").mapInArrow(run,
+        "anchor long, content long, ord long, text_key long, at binary, at0 int, n int, body binary")
 
 
 def ordered_rows(documents: DataFrame) -> DataFrame:
     """doc_id, ord (the id, null ids last), text_key (a hash of the text, for rows that share an id), text (null: empty)."""
     text = F.coalesce("text", F.lit(""))
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"),
+        F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
 def repeated_windows(documents: DataFrame, w: Windows, judge: Callable[[DataFrame], DataFrame], within: bool) -> DataFrame:
@@ -214,7 +222,8 @@ def repeated_windows(documents: DataFrame, w: Windows, judge: Callable[[DataFram
     later occurrences in one document are repeats of the first.
     """
     found = shared.written(occurrences(ordered_rows(documents), w, within))
-    texts = found.groupBy("content").agg(F.min(F.struct("ord", "text_key", "at0")).alias("first"), F.first("n").alias("n"), F.max("anchor").alias("anchor"), F.max("body").alias("body"), F.count(F.lit(1)).alias("times"))
+    texts = found.groupBy("content").agg(F.min(F.struct("ord", "text_key", "at0")).alias("first"), F.first("n").alias("n"),
+        F.max("anchor").alias("anchor"), F.max("body").alias("body"), F.count(F.lit(1)).alias("times"))
     texts = shared.written(texts.select("content", "anchor", "first.*", "n", "times", "body"))
     judged = judge(texts.select("anchor", "content", "ord", "text_key", "at0", "n", "body"))
     known = texts.select("content", F.struct("ord", "text_key").alias("first"), "n", "times").join(judged, "content")

@@ -101,7 +101,8 @@ def through_automata(texts: DataFrame) -> DataFrame:
                     if not all(mask):
                         automaton.add(words)
                     again.append(sum(m >= WIDTH for m in automaton.matching(words)))
-            yield pa.RecordBatch.from_arrays([whole.column("key"), whole.column("sub"), pa.array(masks, pa.binary()), pa.array(again, pa.int32())], ["key", "sub", "mask", "again"])
+            yield pa.RecordBatch.from_arrays([whole.column("key"), whole.column("sub"), pa.array(masks, pa.binary()), pa.array(again, pa.int32())],
+                ["key", "sub", "mask", "again"])
 
     dealt = texts.repartition(shared.partitions(texts.sparkSession), "key").sortWithinPartitions("key", "ord", "text_key", "at", "sub")
     return dealt.select("key", "sub", "body").mapInArrow(shard, "key long, sub long, mask binary, again int")
@@ -137,7 +138,8 @@ def refined(pieces: DataFrame, gram: int, half: int) -> DataFrame:
                         rows.append((content, k0 + lo, hi - lo, o, text_key, at + lo, a - lo, key ^ (a == run), sub, raw[start[x] : end[y - 1]]))
             if rows:
                 types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], [c.split()[0] for c in PIECE.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)],
+                    [c.split()[0] for c in PIECE.split(", ")])
 
     return pieces.select("content", "k0", "n", "ord", "text_key", "at", "run", "body").mapInArrow(cut, PIECE)
 
@@ -155,14 +157,17 @@ def put_together(parts: DataFrame) -> DataFrame:
                     mask[p["k0"] : p["k0"] + p["n"]] = repeats if p["first"] else p["again"] == p["n"]
                 masks.append(mask.tobytes() if mask.any() else None)
                 agains.append(sum(p["again"] for p in own))
-            yield pa.RecordBatch.from_arrays([b.column("content"), pa.array(masks, pa.binary()), pa.array(agains, pa.int32())], ["content", "mask", "again"])
+            yield pa.RecordBatch.from_arrays([b.column("content"), pa.array(masks, pa.binary()), pa.array(agains, pa.int32())],
+                ["content", "mask", "again"])
 
-    return parts.groupBy("content").agg(F.collect_list(F.struct("k0", "n", "first", "mask", "again")).alias("parts")).mapInArrow(run, "content long, mask binary, again int")
+    return parts.groupBy("content").agg(F.collect_list(F.struct("k0", "n", "first", "mask", "again")).alias("parts")).mapInArrow(run,
+        "content long, mask binary, again int")
 
 
 def judged(distinct: DataFrame) -> DataFrame:
     """(content, mask, again) for ``segments.repeated_windows``: all from matching statistics in automata of bounded size."""
-    pieces = distinct.select("content", F.lit(0).alias("k0"), "n", "ord", "text_key", F.col("at0").alias("at"), F.lit(-1).alias("run"), F.col("anchor").alias("key"), F.col("content").alias("sub"), "body")
+    pieces = distinct.select("content", F.lit(0).alias("k0"), "n", "ord", "text_key", F.col("at0").alias("at"), F.lit(-1).alias("run"),
+        F.col("anchor").alias("key"), F.col("content").alias("sub"), "body")
     texts, gram, out, parts = pieces, GRAM, None, None
     while True:
         half = (WIDTH - gram + 1) // 2
@@ -173,14 +178,16 @@ def judged(distinct: DataFrame) -> DataFrame:
             out = found.select(F.col("sub").alias("content"), "mask", "again")
         else:
             found = found.join(texts.select("key", "sub", F.struct("ord", "text_key", "at").alias("of")), ["key", "sub"])
-            some = pieces.join(found, ["key", "sub"]).select("content", "k0", "n", (F.struct("ord", "text_key", "at") == F.col("of")).alias("first"), "mask", "again")
+            some = pieces.join(found, ["key", "sub"]).select("content", "k0", "n", (F.struct("ord", "text_key", "at") == F.col("of")).alias("first"),
+                "mask", "again")
             parts = some if parts is None else parts.unionByName(some)
         if not half or not wide.take(1):
             return out if parts is None else out.unionByName(put_together(parts))
         many = graph.spread_join(pieces, wide, ["key"], "texts", pieces.count())
         pieces = shared.written(refined(many, gram, half))
         place = F.min(F.struct("ord", "text_key", "at"))
-        texts = shared.written(pieces.groupBy("key", "sub").agg(place.alias("first"), F.max("body").alias("body")).select("key", "sub", "first.*", "body"))
+        texts = shared.written(pieces.groupBy("key", "sub").agg(place.alias("first"), F.max("body").alias("body")).select("key", "sub", "first.*",
+            "body"))
         gram += half
 
 
@@ -213,7 +220,8 @@ def substring_dedup(documents: DataFrame) -> DataFrame:
                 whole = b" ".join(words)
                 hashes.append(hashlib.sha256(whole).hexdigest())
                 kept.append(whole.decode())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(number, pa.int64()), pa.array(gone, pa.int64()), pa.array(hashes, pa.string()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(number, pa.int64()), pa.array(gone, pa.int64()),
+                pa.array(hashes, pa.string()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
 
     return rows.select("doc_id", "text", "removed").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
 

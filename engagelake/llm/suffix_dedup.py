@@ -155,7 +155,8 @@ def segment_batches(batches: Iterator[pa.RecordBatch], keep) -> Iterator[list[np
             take = keep(anchor)
             row, place, n, anchor = row[take], place[take], n[take], anchor[take]
             end = place + n + WIDTH - 1
-            yield [textblock.run_hashes(sums, place, end), anchor, ids[lo:hi][row], keys[lo:hi][row], (place - bounds[row]).astype(np.int32), n.astype(np.int32), place, end, part]
+            yield [textblock.run_hashes(sums, place, end), anchor, ids[lo:hi][row], keys[lo:hi][row], (place - bounds[row]).astype(np.int32),
+                n.astype(np.int32), place, end, part]
 
 
 def settled(rows: DataFrame, filter_: tuple[np.ndarray, int], buckets: int) -> DataFrame:
@@ -175,7 +176,8 @@ def settled(rows: DataFrame, filter_: tuple[np.ndarray, int], buckets: int) -> D
             entries, least = least_ids(*(np.concatenate(x) for x in zip(*held, strict=True)))
             yield spans(entries, ~least)
             content, anchor, ids, keys, at, n = (x[least] for x in entries)
-            yield dealt((content >> np.uint64(64 - bits)).astype(np.int64), QUESTIONS, content=content, anchor=anchor, ord=ids, text_key=keys, at=at, n=n)
+            yield dealt((content >> np.uint64(64 - bits)).astype(np.int64), QUESTIONS, content=content, anchor=anchor, ord=ids, text_key=keys, at=at,
+                n=n)
 
         for block in segment_batches(batches, lambda h: segments.passes(model.value, bits, h)):
             held.append(block[:6])
@@ -228,10 +230,12 @@ def several_texts(decided: DataFrame, bits: int, size: int) -> tuple[np.ndarray,
                 for place in segments.bloom_places(anchor[n > least], size):
                     marks[place.astype(np.int64)] = True
                 out.append(np.packbits(marks, bitorder="little").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *(pa.array([x], pa.binary()) for x in out)], ["bucket", "several", "many"])
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *(pa.array([x], pa.binary()) for x in out)],
+                ["bucket", "several", "many"])
 
     n = shared.partitions(decided.sparkSession)
-    rows = decided.where(F.col("kind") == ANCHORS).select("bucket", "anchor", "n").repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(gather, "bucket int, several binary, many binary")
+    rows = decided.where(F.col("kind") == ANCHORS).select("bucket", "anchor", "n").repartition(n,
+        "bucket").sortWithinPartitions("bucket").mapInArrow(gather, "bucket int, several binary, many binary")
     out = np.zeros((2, size << bits >> 3), np.uint8)
     for bucket, *parts in rows.collect():  # twice segments.MAX_BITS / 4 bits at most
         for k, part in enumerate(parts):
@@ -254,7 +258,8 @@ def closer(rows: DataFrame, several: np.ndarray, many: np.ndarray, bits: int) ->
             new[1:] = content[1:] != content[:-1]
             body = [bodies[k] if x else None for k, x in zip(number.tolist(), new.tolist(), strict=True)]
             hot = segments.passes(model.value[1], bits, anchor)
-            return pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), *map(pa.array, (ids, keys, at, n)), pa.array(hot), pa.array(body, pa.binary())], ["anchor", "content", "ord", "text_key", "at", "n", "many", "body"])
+            return pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), *map(pa.array, (ids, keys, at, n)),
+                pa.array(hot), pa.array(body, pa.binary())], ["anchor", "content", "ord", "text_key", "at", "n", "many", "body"])
 
         for *block, begin, end, part in segment_batches(batches, lambda h: segments.passes(model.value[0], bits, h)):
             held.append(block)
@@ -305,7 +310,8 @@ def shard_spans(segments_: DataFrame, buckets: int) -> DataFrame:
                 mask = masks[number[i]] if ids[i] == ids[first[number[i]]] else np.ones(windows[i], bool)
                 if mask.any():
                     a, b = runs_of(mask)
-                    for x, y in zip(out, (np.full(len(a), ids[i]), np.full(len(a), keys[i]), (places[i] + a).astype(np.int32), (b - a).astype(np.int32)), strict=True):
+                    for x, y in zip(out, (np.full(len(a), ids[i]), np.full(len(a), keys[i]), (places[i] + a).astype(np.int32),
+                        (b - a).astype(np.int32)), strict=True):
                         x.append(y)
             if out[0]:
                 o, key, place, count = (np.concatenate(x) for x in out)
@@ -342,7 +348,8 @@ def refined(rows: DataFrame, gram: int, half: int) -> DataFrame:
                         out.append((anchor ^ (a == run), content, o, key, at + lo, hi - lo, a - lo, raw[x:y]))
             if out:
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], [c.split()[0] for c in PIECE.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)],
+                    [c.split()[0] for c in PIECE.split(", ")])
 
     return rows.select("ord", "text_key", "at", "n", "run", "body").mapInArrow(cut, PIECE)
 
@@ -390,9 +397,12 @@ def suffix_dedup(documents: DataFrame) -> DataFrame:
     spans = decided.where(F.col("kind") == SPANS).unionByName(shard_spans(near.where("not many"), buckets))
     if many.any():
         spans = spans.unionByName(many_spans(near.where("many"), buckets))
-    packed = spans.select("bucket", "kind", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("key"), "ord", "text_key", "at", "n", F.lit(None).cast("binary").alias("raw"))
+    packed = spans.select("bucket", "kind", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("id"),
+        F.lit(None).cast("long").alias("key"), "ord", "text_key", "at", "n", F.lit(None).cast("binary").alias("raw"))
     none = F.lit(None).cast("binary")
-    whole = rows.select(F.pmod("ord", F.lit(buckets)).cast("int").alias("bucket"), F.lit(TEXT).alias("kind"), "doc_id", F.col("ord").alias("id"), F.col("text_key").alias("key"), none.alias("ord"), none.alias("text_key"), none.alias("at"), none.alias("n"), F.col("text").cast("binary").alias("raw"))
+    whole = rows.select(F.pmod("ord", F.lit(buckets)).cast("int").alias("bucket"), F.lit(TEXT).alias("kind"), "doc_id", F.col("ord").alias("id"),
+        F.col("text_key").alias("key"), none.alias("ord"), none.alias("text_key"), none.alias("at"), none.alias("n"),
+        F.col("text").cast("binary").alias("raw"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held, found = None, [], None
@@ -402,14 +412,16 @@ def suffix_dedup(documents: DataFrame) -> DataFrame:
                 if r["bucket"] != bucket:
                     bucket, held, found = r["bucket"], [], None
                 if r["kind"] == SPANS:
-                    held.append((np.frombuffer(r["ord"], np.int64), np.frombuffer(r["text_key"], np.int64), np.frombuffer(r["at"], np.int32), np.frombuffer(r["n"], np.int32)))
+                    held.append((np.frombuffer(r["ord"], np.int64), np.frombuffer(r["text_key"], np.int64), np.frombuffer(r["at"], np.int32),
+                        np.frombuffer(r["n"], np.int32)))
                     continue
                 if found is None:
                     found = [np.concatenate(x) for x in zip(*held, strict=True)] if held else [np.zeros(0, np.int64)] * 4
                     order = np.argsort(found[0], kind="stable")
                     found, held = [x[order] for x in found], []
                 raw = r["raw"]
-                lo, hi = np.searchsorted(found[0], [r["id"], r["id"] + 1]) if r["id"] < segments.LAST else (np.searchsorted(found[0], r["id"]), len(found[0]))
+                lo, hi = np.searchsorted(found[0], [r["id"], r["id"] + 1]) if r["id"] < segments.LAST else (np.searchsorted(found[0], r["id"]),
+                    len(found[0]))
                 own = np.flatnonzero(found[1][lo:hi] == r["key"]) + lo
                 removed = spans_ = 0
                 if len(own):
@@ -420,7 +432,8 @@ def suffix_dedup(documents: DataFrame) -> DataFrame:
                 for x, y in zip(out, (r["doc_id"], len(r["raw"]), removed, spans_, hashlib.sha256(raw).hexdigest(), raw), strict=True):
                     x.append(y)
             types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types, strict=True)],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     both = packed.unionByName(whole).repartition(n, "bucket").sortWithinPartitions("bucket", "kind")
     return both.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

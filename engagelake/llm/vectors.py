@@ -114,7 +114,8 @@ def pass_links(points: DataFrame, pivots: dict[int, np.ndarray], passes: int, wi
                 sketch = shared.binary(packed.reshape(-1), np.arange(len(x) + 1) * packed.shape[1])
                 for p, bits in enumerate(chosen):
                     key = side[:, bits] @ (1 << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64))
-                    yield pa.RecordBatch.from_arrays([own.column(0), pa.array(np.full(len(x), p, np.int32)), pa.array(np.full(len(x), d, np.int32)), pa.array(key), sketch], ["rid", "pass", "dim", "key", "sketch"])
+                    yield pa.RecordBatch.from_arrays([own.column(0), pa.array(np.full(len(x), p, np.int32)), pa.array(np.full(len(x), d, np.int32)),
+                        pa.array(key), sketch], ["rid", "pass", "dim", "key", "sketch"])
 
     def compared(rid: np.ndarray, q: np.ndarray, error: np.ndarray, fresh: int) -> Iterator[pa.RecordBatch]:
         """Links of rows in order; those among the first ``fresh`` rows are known."""
@@ -141,7 +142,8 @@ def pass_links(points: DataFrame, pivots: dict[int, np.ndarray], passes: int, wi
         if len(probe := np.concatenate(met)):
             yield pa.RecordBatch.from_arrays([pa.array(probe), pa.array(-1 - probe), pa.array(np.ones(len(probe), bool))], ["a", "b", "sure"])
         if len(a) + len(c):
-            yield pa.RecordBatch.from_arrays([pa.array(rid[np.append(a, c)]), pa.array(rid[np.append(b, d)]), pa.array(np.arange(len(a) + len(c)) < len(a))], ["a", "b", "sure"])
+            yield pa.RecordBatch.from_arrays([pa.array(rid[np.append(a, c)]), pa.array(rid[np.append(b, d)]),
+                pa.array(np.arange(len(a) + len(c)) < len(a))], ["a", "b", "sure"])
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, rid, q, error = None, None, None, None  # the last ``window`` rows of a pass
@@ -164,7 +166,8 @@ def pass_links(points: DataFrame, pivots: dict[int, np.ndarray], passes: int, wi
                 here, rid, q, error = of[lo], own_rid[-window:], own_q[-window:], own_error[-window:]
 
     order = ["pass", "dim", "key", "rid"]
-    ordered = points.select("rid", "v", "dim").mapInArrow(keys, "rid long, pass int, dim int, key long, sketch binary").repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ordered = points.select("rid", "v", "dim").mapInArrow(keys, "rid long, pass int, dim int, key long, sketch binary").repartitionByRange(n,
+        *order).sortWithinPartitions(*order)
     return ordered.select("pass", "dim", "rid", "sketch").mapInArrow(neighbours, "a long, b long, sure boolean")
 
 
@@ -185,11 +188,13 @@ def verified(links: DataFrame, classes: DataFrame, threshold: float) -> DataFram
 
     links = links.where("a >= 0")
     unsure = links.where(~F.col("sure")).select("a", "b").distinct()
-    both = unsure.join(classes.select(F.col("rid").alias("a"), F.col("v").alias("x")), "a").join(classes.select(F.col("rid").alias("b"), F.col("v").alias("y")), "b")
+    both = unsure.join(classes.select(F.col("rid").alias("a"), F.col("v").alias("x")),
+        "a").join(classes.select(F.col("rid").alias("b"), F.col("v").alias("y")), "b")
     return links.where("sure").select("a", "b").unionByName(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
 
 
-def near_vectors(embeddings: DataFrame, threshold: float = 0.95, window: int = 256, miss: float = 0.005, recall: float = 0.995, seed: int = 23) -> DataFrame:
+def near_vectors(embeddings: DataFrame, threshold: float = 0.95, window: int = 256, miss: float = 0.005, recall: float = 0.995,
+    seed: int = 23) -> DataFrame:
     """Per row of ``embeddings``: vec_id, n_links, component_id, kept.
 
     Vectors that are null, empty, zero or hold a null or non-finite component link with nothing, nor do
@@ -197,7 +202,8 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.95, window: int = 2
     vector. Equal keys go by a number of the vector, so that ties are always ordered alike. A null id takes
     part but never names a component. An empty table gives an empty result; other columns are ignored.
     """
-    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(F.col("embedding").cast("array<double>"), lambda x: x + F.lit(0.0)).alias("v"))
+    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(F.col("embedding").cast("array<double>"),
+        lambda x: x + F.lit(0.0)).alias("v"))
     sound = F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf")))) & F.exists("v", lambda x: x != 0)
     # two hashes of 64 bits name a vector
     named = rows.where(F.coalesce(sound, F.lit(False))).select("vec_id", F.xxhash64("v").alias("one"), F.xxhash64(F.lit(seed), "v").alias("two"), "v")
@@ -241,11 +247,13 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.95, window: int = 2
 
     linked = pairs.mapInArrow(counted, "rid long, n long").groupBy("rid").agg(F.sum("n").alias("n"))
     about = classes.select("rid", "one", "two", "id", "copies").join(linked, "rid", "left").join(found.withColumnRenamed("id", "rid"), "rid", "left")
-    about = about.select("one", "two", "id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rid").alias("component"))
+    about = about.select("one", "two", "id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        F.coalesce("component", "rid").alias("component"))
     names = about.groupBy("component").agg(F.min("id").alias("component_id"))
     about = about.join(names, "component").select("one", "two", "n_links", "component_id")
     sound_rows = named.drop("v").join(about, ["one", "two"]).select("vec_id", "n_links", "component_id")
-    alone = rows.where(~F.coalesce(sound, F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    alone = rows.where(~F.coalesce(sound, F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"),
+        F.col("vec_id").alias("component_id"))
     return sound_rows.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 

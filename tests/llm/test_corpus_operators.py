@@ -19,11 +19,15 @@ LONG = " ".join(f"word{i % 997}" for i in range(30_000))
 PASSAGE = " ".join(f"p{i}" for i in range(60))
 #: Null columns, empty and blank texts, exact copies, a repeated row, a very long text, shared passages, clashing extra columns.
 AWKWARD = [
-    (5, "a b c d e f g h", "en", "s1", 15, "x", "y"), (3, "a b c d e f g h", "en", "s1", 15, None, None), (3, "a b c d e f g h", "en", "s1", 15, None, None),
-    (None, None, None, None, None, None, None), (7, "", "en", None, 0, "x", None), (8, " \t\n", None, "s2", 3, "x", None), (9, None, "de", "s2", None, "x", None),
+    (5, "a b c d e f g h", "en", "s1", 15, "x", "y"), (3, "a b c d e f g h", "en", "s1", 15, None, None),
+    (3, "a b c d e f g h", "en", "s1", 15, None, None),
+    (None, None, None, None, None, None, None), (7, "", "en", None, 0, "x", None), (8, " \t\n", None, "s2", 3, "x", None),
+    (9, None, "de", "s2", None, "x", None),
     (10, LONG, "en", "s1", len(LONG), "x", None), (11, "é漢😀 don't <|endoftext|> x's", "fr", "s3", 24, "x", None),
-    (12, "head one " + PASSAGE + " tail one", "en", "s1", 1, None, None), (13, "other " + PASSAGE + " end", "en", "s2", 1, None, None), (14, PASSAGE + " " + PASSAGE, "en", "s2", 1, None, None),
-    (15, "one", "en", "s1", 3, None, None), (16, "one", "en", "s1", 3, None, None), (17, "mail a.b@c.de. call +1 (555) 123-4567, card 4111 1111 1111 1111; 1.2.3.4 and 1.2.3.400", "en", "s1", 1, None, None),
+    (12, "head one " + PASSAGE + " tail one", "en", "s1", 1, None, None), (13, "other " + PASSAGE + " end", "en", "s2", 1, None, None),
+    (14, PASSAGE + " " + PASSAGE, "en", "s2", 1, None, None),
+    (15, "one", "en", "s1", 3, None, None), (16, "one", "en", "s1", 3, None, None),
+    (17, "mail a.b@c.de. call +1 (555) 123-4567, card 4111 1111 1111 1111; 1.2.3.4 and 1.2.3.400", "en", "s1", 1, None, None),
 ]
 
 
@@ -62,7 +66,8 @@ def test_quality_held_out_accuracy(spark, sf_dir):
     from engagelake.llm.quality import op1_quality_classifier
 
     got = {r.doc_id: r for r in op1_quality_classifier(spark, "/root/testdata/sf0.01").collect()}
-    assert len(got) == 1000 and all(r.held_out == (zlib.crc32(str(k).encode()) % 4 == 2) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for k, r in got.items())
+    assert len(got) == 1000 and all(r.held_out == (zlib.crc32(str(k).encode()) % 4 == 2) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for k,
+        r in got.items())
     held = [(got[r.doc_id].predicted, r.quality) for r in shared.table(spark, "/root/testdata/sf0.01", "labels").collect() if got[r.doc_id].held_out]
     assert np.mean([a == b for a, b in held]) > 0.95
 
@@ -70,7 +75,8 @@ def test_quality_held_out_accuracy(spark, sf_dir):
 def test_quality_awkward(spark, awkward, nothing):
     model = quality.ByteConvNet().fit([b"abc def " * 9, b"$$$ *** " * 9] * 20, np.array([1, 0] * 20, float))
     rows = quality.quality_scores(awkward, model).collect()
-    assert len(rows) == len(AWKWARD) and len({r.score for r in rows if r.doc_id in (7, 9, None)}) == 1 and len({r.score for r in rows if r.doc_id == 3}) == 1
+    assert len(rows) == len(AWKWARD) and len({r.score for r in rows if r.doc_id in (7, 9,
+        None)}) == 1 and len({r.score for r in rows if r.doc_id == 3}) == 1
     assert quality.quality_scores(nothing, model).count() == 0 and quality.kept_by_quality(nothing, model).count() == 0
     all_, some = quality.kept_by_quality(awkward, model, 0.0), quality.kept_by_quality(awkward, model, 0.7).collect()
     assert all_.columns == awkward.columns and all_.count() == len(AWKWARD)
@@ -267,7 +273,8 @@ def test_ngram_join_awkward(awkward, nothing):
     got = Counter((r.doc_id, r.class_id, r.n_links) for r in ngram_join.similar(awkward).collect() if r.doc_id is not None)
     assert got == brute_similar(sorted((r[0], r[1] or "") for r in AWKWARD if r[0] is not None))
     kept = ngram_join.one_of_each(awkward)
-    assert kept.columns == awkward.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(["3", "None", "7", "8", "9", "10", "11", "12", "15", "17"])
+    assert kept.columns == awkward.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(["3", "None", "7", "8", "9", "10", "11", "12",
+        "15", "17"])
     assert ngram_join.similar(nothing).count() == 0 and ngram_join.one_of_each(nothing).count() == 0
 
 
@@ -276,7 +283,8 @@ def test_ngram_join_awkward(awkward, nothing):
 
 def base_by_rule(t):
     out = [(m.start(), m.end(), "email") for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
-    out += [(m.start(), m.end(), "ip") for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))]
+    out += [(m.start(), m.end(), "ip") for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        t) if all(int(x) <= 255 for x in m[0].split("."))]
     for kind, pattern, lo, hi in (("card", r"[0-9]([\x20-]?[0-9])+", 12, 19), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 9, 15)):
         for m in re.finditer(pattern, t):
             d = re.sub(r"[^0-9]", "", m[0])
@@ -315,12 +323,15 @@ def test_pii_added_and_redaction(awkward):
 def test_pii_detects_each_added_kind():
     d = pii.Detector()
     personal = {
-        "secret": 'api_key = "24be64439e3e49cf46b2d7c90f3602a3"', "written_email": "write to anna at firma dot de please", "local_phone": "please call (555) 123-4567 today",
+        "secret": 'api_key = "24be64439e3e49cf46b2d7c90f3602a3"', "written_email": "write to anna at firma dot de please",
+        "local_phone": "please call (555) 123-4567 today",
         "iban": "iban DE89 3704 0044 0532 0130 00 thanks", "national_id": "my ssn 123-45-6789 is",
     }
-    alike = {"secret": "a well-known-word-12 here", "written_email": "look at things dot testing now", "local_phone": "your order 555 123 4567 shipped", "iban": "the sku DE89 37AB CD44 X532 is", "national_id": "see part 123-45-6789 there"}
+    alike = {"secret": "a well-known-word-12 here", "written_email": "look at things dot testing now",
+        "local_phone": "your order 555 123 4567 shipped", "iban": "the sku DE89 37AB CD44 X532 is", "national_id": "see part 123-45-6789 there"}
     for kind in pii.ADDED_KINDS:
-        assert [k for *_, k in d.spans(personal[kind])[1]] == [kind] and kind in [k for *_, k in pii.candidates(alike[kind])] and d.spans(alike[kind])[1] == [], kind
+        assert [k for *_, k in d.spans(personal[kind])[1]] == [kind] and kind in [k for *_,
+            k in pii.candidates(alike[kind])] and d.spans(alike[kind])[1] == [], kind
     rows, y = pii.made_examples(2000, 99)  # spans that the detector has not seen
     found = d.trees.probability(np.array([pii.features(*r) for r in rows])) >= np.array([d.threshold[r[3]] for r in rows])
     for kind in pii.ADDED_KINDS:
@@ -344,7 +355,8 @@ def test_pii_on_planted_spans_of_documents(documents):
 def test_pii_shapes_of_other_languages():
     d = pii.Detector()
     for text, kind in (
-        ("tél. 06 12 34 56 78 merci", "local_phone"), ("tel 0171 1234567 bitte", "local_phone"), ("móvil 612 345 678 gracias", "local_phone"), ("mi dni 12345678Z es", "national_id"),
+        ("tél. 06 12 34 56 78 merci", "local_phone"), ("tel 0171 1234567 bitte", "local_phone"), ("móvil 612 345 678 gracias", "local_phone"),
+        ("mi dni 12345678Z es", "national_id"),
         ("key=" + "aB3-x9" * 80 + " end", "secret"), ("mail anna.berg at mail dot firma dot de please", "written_email"),
     ):
         assert [k for *_, k in d.spans(text)[1]] == [kind], text
@@ -507,7 +519,8 @@ def brute_base(rows):
     held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 1
     count = Counter(w for d, x in tokens if not held(d) for w in x)
     n, v = sum(count.values()), len(count)
-    return [(d, held(d), len(x), sum(count[w] > 0 for w in x), n, sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in x)) for d, x in tokens]
+    return [(d, held(d), len(x), sum(count[w] > 0 for w in x), n, sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in x)) for d,
+        x in tokens]
 
 
 def test_lm(documents, texts, awkward, nothing, monkeypatch):
@@ -515,9 +528,11 @@ def test_lm(documents, texts, awkward, nothing, monkeypatch):
         monkeypatch.setattr(lm, "SHARE", share)
         for df in (documents, awkward):
             key = lambda x: (str(x[0]), x[2], x[5])
-            got = sorted(map(tuple, lm.lm_scores(df).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score").collect()), key=key)
+            got = sorted(map(tuple, lm.lm_scores(df).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score").collect()),
+                key=key)
             want = sorted(brute_base([(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]), key=key)
-            assert [x[:5] for x in got] == [x[:5] for x in want] and all(math.isclose(a[5], b[5], rel_tol=1e-9) for a, b in zip(got, want, strict=True))
+            assert [x[:5] for x in got] == [x[:5] for x in want] and all(math.isclose(a[5], b[5], rel_tol=1e-9) for a,
+                b in zip(got, want, strict=True))
     assert lm.lm_scores(nothing).count() == 0
     rows = lm.lm_scores(documents).where("held_out").collect()
     assert all(r.score < 0 for r in rows) and sum(r.score for r in rows) > sum(r.base_score for r in rows)
@@ -550,7 +565,8 @@ def test_lm_score(documents, awkward, monkeypatch):
             m.setattr(lm, "filter_size", lambda size, bits: 1 << 30)
             exact = sorted(((r.doc_id, r.n_tokens, r.score) for r in lm.lm_scores(df).collect()), key=str)
         key = lambda x: (str(x[0]), x[1], x[2])
-        assert all(a[:2] == b[:2] and math.isclose(a[2], b[2], rel_tol=1e-9, abs_tol=1e-12) for a, b in zip(sorted(exact, key=key), sorted(want, key=key), strict=True))
+        assert all(a[:2] == b[:2] and math.isclose(a[2], b[2], rel_tol=1e-9, abs_tol=1e-12) for a,
+            b in zip(sorted(exact, key=key), sorted(want, key=key), strict=True))
         off = [abs(a[2] - b[2]) / b[1] for a, b in zip(sorted(as_built, key=key), sorted(want, key=key), strict=True)]
         assert np.mean(off) < 0.08  # false hits, a token
 
@@ -680,7 +696,8 @@ def test_fingerprints_against_brute_force(spark, texts):
 
 def test_fingerprint_ranges(spark, monkeypatch):
     """As many ranges as partitions, balanced, whatever the ids and however often a row repeats."""
-    ids = spark.range(60_000).selectExpr("case when id % 3 = 0 then 7 when id % 3 = 1 then id * id else null end as doc_id", "case when id % 3 = 0 then 'same' else cast(id as string) end as text")
+    ids = spark.range(60_000).selectExpr("case when id % 3 = 0 then 7 when id % 3 = 1 then id * id else null end as doc_id",
+        "case when id % 3 = 0 then 'same' else cast(id as string) end as text")
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "300")
     try:
@@ -718,7 +735,8 @@ def test_vectors(spark):
     r = np.random.default_rng(3)
     base = r.normal(size=(40, 16))
     rows = [(i, (base[i % 40] + r.normal(size=16) * (0.02 if i % 3 else 0.6)).tolist()) for i in range(400)]
-    rows += [(400, rows[0][1]), (401, rows[0][1]), (402, [2 * x for x in rows[0][1]]), (403, None), (404, [0.0] * 16), (405, [1.0, None] + [0.0] * 14), (406, [float("nan")] * 16), (407, []), (408, [1.0, 2.0]), (409, [2.0, 4.0]), (409, [2.0, 4.0])]
+    rows += [(400, rows[0][1]), (401, rows[0][1]), (402, [2 * x for x in rows[0][1]]), (403, None), (404, [0.0] * 16),
+        (405, [1.0, None] + [0.0] * 14), (406, [float("nan")] * 16), (407, []), (408, [1.0, 2.0]), (409, [2.0, 4.0]), (409, [2.0, 4.0])]
     hot = base[0] / np.linalg.norm(base[0])
     rows += [(1000 + i, (hot + r.normal(size=16) * 0.01).tolist()) for i in range(300)]
     df = spark.createDataFrame([(*x, 1, "extra") for x in rows], "vec_id long, embedding array<double>, label int, component_id string")
@@ -769,7 +787,8 @@ def test_vectors_recall(spark, kind):
     x = {
         "cone": lambda: with_partners(r, cone(r, 6000, d, 0.87), 600, 0.957),
         "crowd beside even ones": lambda: with_partners(r, np.concatenate([cone(r, 2500, d, 0.85), unit(r.normal(size=(5000, d)))]), 600, 0.957),
-        "clusters": lambda: np.concatenate([unit(c + 0.03 * r.normal(size=(k, d))) for c, k in zip(unit(r.normal(size=(80, d))), r.integers(1, 100, 80), strict=True)]),
+        "clusters": lambda: np.concatenate([unit(c + 0.03 * r.normal(size=(k, d))) for c,
+        k in zip(unit(r.normal(size=(80, d))), r.integers(1, 100, 80), strict=True)]),
         "even": lambda: with_partners(r, unit(r.normal(size=(6000, d))), 600, 0.957),
     }[kind]()
     x = x[r.permutation(len(x))]
@@ -793,23 +812,29 @@ def test_sketch_errors():
 
 
 CLASHING = (
-    "row", "cell", "topic", "tokens", "probability", "ratio", "weight", "sampled", "topic_", "tokens_", "cell_", "probability_", "source_of_cell_", "h", "counts", "id", "key", "k1", "k2", "nth", "set_key_", "also_key_", "id_key_", "nth_",
-    "rid", "copies", "shingles", "component", "size_", "own_", "i_", "j_", "heavy_", "score", "predicted", "ord", "text_key", "removed", "bucket", "kind", "content", "guest", "held_out", "raw", "spans", "a", "b", "values", "n_shingles", "class_id", "kept",
+    "row", "cell", "topic", "tokens", "probability", "ratio", "weight", "sampled", "topic_", "tokens_", "cell_", "probability_", "source_of_cell_",
+    "h", "counts", "id", "key", "k1", "k2", "nth", "set_key_", "also_key_", "id_key_", "nth_",
+    "rid", "copies", "shingles", "component", "size_", "own_", "i_", "j_", "heavy_", "score", "predicted", "ord", "text_key", "removed", "bucket",
+    "kind", "content", "guest", "held_out", "raw", "spans", "a", "b", "values", "n_shingles", "class_id", "kept",
 )
 
 
 def test_clashing_columns(spark):
     """Columns of any name go through the stages unchanged and disturb no operator."""
-    df = spark.createDataFrame([(*r[:5], *range(len(CLASHING))) for r in AWKWARD], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} long" for c in CLASHING))
+    df = spark.createDataFrame([(*r[:5], *range(len(CLASHING))) for r in AWKWARD],
+        "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} long" for c in CLASHING))
     plain = df.select("doc_id", "text", "lang", "source", "n_chars")
     model = quality.ByteConvNet().fit([b"abc def " * 9, b"$$$ *** " * 9] * 20, np.array([1, 0] * 20, float))
     detector = pii.Detector()
-    for stage in (lambda d: quality.kept_by_quality(d, model, 0.0), ngram_join.one_of_each, lambda d: pii.redacted(d, detector), lambda d: mixing.sampled(d, token_share=0.8)):
+    for stage in (lambda d: quality.kept_by_quality(d, model, 0.0), ngram_join.one_of_each, lambda d: pii.redacted(d, detector),
+        lambda d: mixing.sampled(d, token_share=0.8)):
         got, want = stage(df), stage(plain)
         assert got.columns == df.columns and got.schema == df.schema
         rows = got.collect()
-        assert sorted((tuple(r[:5]) for r in rows), key=str) == sorted(map(tuple, want.collect()), key=str) and all(tuple(r[5:]) == tuple(range(len(CLASHING))) for r in rows)
-    for operator in (lambda d: quality.quality_scores(d, model), mixing.mixed, substring.substring_dedup, ngram_join.similar, lambda d: pii.personal_data(d, detector), packing.best_fit_pack, suffix_dedup.suffix_dedup, lm.lm_scores, fingerprint.fingerprints):
+        assert sorted((tuple(r[:5]) for r in rows), key=str) == sorted(map(tuple, want.collect()),
+            key=str) and all(tuple(r[5:]) == tuple(range(len(CLASHING))) for r in rows)
+    for operator in (lambda d: quality.quality_scores(d, model), mixing.mixed, substring.substring_dedup, ngram_join.similar,
+        lambda d: pii.personal_data(d, detector), packing.best_fit_pack, suffix_dedup.suffix_dedup, lm.lm_scores, fingerprint.fingerprints):
         got, want = operator(df), operator(plain)
         assert got.columns == want.columns
         if operator is not packing.best_fit_pack:  # sequence numbers are any numbers
