@@ -354,10 +354,9 @@ def made_examples(n: int, seed: int, prose: Sequence[str] = ()) -> tuple[list[tu
 
 def prose(documents: DataFrame, texts: int = 400, chars: int = 1000, seed: int = 11) -> list[str]:
     """At most ``texts`` stretches of ``chars`` characters of ``documents``, chosen and placed by a hash of the id; for training only."""
-    h = F.xxhash64("doc_id", F.lit(seed))
-    at = F.pmod(h, F.greatest(F.length("text") - chars, F.lit(0)) + 1).cast("int") + 1
-    rows = documents.where("text is not null and doc_id is not null").select(h.alias("h"), F.substring(F.col("text"), at, F.lit(chars)).alias("part"))
-    return [r.part for r in rows.orderBy("h", "part").limit(texts).collect()]
+    at = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.greatest(F.length("text") - chars, F.lit(0)) + 1).cast("int") + 1
+    rows = documents.select("doc_id", F.xxhash64("text").alias("h"), F.substring(F.col("text"), at, F.lit(chars)).alias("part"))
+    return [r.part for r in shared.drawn(rows, texts, seed, "doc_id", "h").collect() if r.part]
 
 
 def held_out(kinds: np.ndarray, labels: np.ndarray, seed: int) -> np.ndarray:

@@ -159,12 +159,12 @@ def train(documents: DataFrame, labels: DataFrame, train_rows: int = 1500, train
     labels counts as its lowest, an id with several texts as one of them. Only whole texts are taken. The
     driver sees sizes first, and only the texts that fit.
     """
-    chosen = (
+    chosen = shared.drawn(
         labels.select("doc_id", "quality")
         .where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & (shared.id_hash_mod("doc_id", 4) != 2))
-        .groupBy("doc_id").agg(F.min("quality").alias("quality"))
-        .orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(train_rows)
-    )
+        .groupBy("doc_id").agg(F.min("quality").alias("quality")),
+        train_rows, seed, "doc_id",
+    )
     text = documents.where("text is not null").select("doc_id", F.xxhash64("text").alias("h"), F.octet_length("text").alias("bytes"), "text")
     sized = text.where(F.col("bytes") <= text_bytes).join(F.broadcast(chosen), "doc_id").groupBy("doc_id",
         "quality").agg(F.min(F.struct("h", "bytes")).alias("t"))

@@ -85,6 +85,20 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def cut(df: DataFrame, rows: int, seed: int, *keys: str) -> DataFrame:
+    """A little more than ``rows`` rows of ``df``, those with the least hashes of ``keys``, in a column r_.
+
+    Cut at a hash, by the table's size: what leaves the tasks does not grow with their number.
+    """
+    share = min(1.0, (1.5 * rows + 100) / max(df.count(), 1))
+    return df.withColumn("r_", F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1 << 40))).where(F.col("r_") < int(share * (1 << 40)))
+
+
+def drawn(df: DataFrame, rows: int, seed: int, *keys: str) -> DataFrame:
+    """At most ``rows`` rows of ``df``, those of the least hashes of ``keys``."""
+    return cut(df, rows, seed, *keys).orderBy("r_", *keys).limit(rows).drop("r_")
+
+
 def id_hash_mod(column: str, n: int):
     """crc32 of the id as text, modulo n."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % n

@@ -67,7 +67,7 @@ def sketches(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def sample(classes: DataFrame, seed: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """rid and unit vectors of at most PROBES classes, by length of vector."""
-    rows = classes.orderBy(F.xxhash64("rid", F.lit(seed)), "rid").limit(PROBES).select("rid", "dim", "v").toArrow().combine_chunks()
+    rows = shared.drawn(classes.select("rid", "dim", "v"), PROBES, seed, "rid").toArrow().combine_chunks()
     dims = rows.column("dim").to_numpy()
     out = {}
     for d in np.unique(dims).tolist():

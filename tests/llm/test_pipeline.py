@@ -78,3 +78,14 @@ def test_mixing(steps):
 
 def test_packing(steps):
     assert {r.doc_id for r in steps[5].collect()} == set(rows(steps[4]))
+
+
+def test_run_leaves_only_its_result(spark):
+    sf_dir, at = "/root/testdata/sf0.001", shared.mark()
+    out = corpus_pipeline.run(spark, sf_dir)
+    assert shared.mark() == at + 1 and out.count() > 0
+    docs = shared.table(spark, sf_dir, "documents")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = shared.written(stage(spark, docs, sf_dir))
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert sorted(map(tuple, out.select(*columns).collect())) == sorted(map(tuple, docs.select(*columns).collect()))
