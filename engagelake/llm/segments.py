@@ -225,7 +225,7 @@ def repeated_windows(documents: DataFrame, w: Windows, judge: Callable[[DataFram
     texts = found.groupBy("content").agg(F.min(F.struct("ord", "text_key", "at0")).alias("first"), F.first("n").alias("n"),
         F.max("anchor").alias("anchor"), F.max("body").alias("body"), F.count(F.lit(1)).alias("times"))
     texts = shared.written(texts.select("content", "anchor", "first.*", "n", "times", "body"))
-    judged = judge(texts.select("anchor", "content", "ord", "text_key", "at0", "n", "body"))
+    judged = shared.written(judge(texts.select("anchor", "content", "ord", "text_key", "at0", "n", "body")))
     known = texts.select("content", F.struct("ord", "text_key").alias("first"), "n", "times").join(judged, "content")
     decided = graph.spread_join(found.select("content", "ord", "text_key", "at"), known, ["content"], "times", found.count())
 
