@@ -67,17 +67,18 @@ def measured(e: DataFrame) -> tuple[DataFrame, tuple]:
     return out, (seen.get["n"], seen.get["sum"])
 
 
-def block_pairs(members: DataFrame, group: list[str], member: str, payload: DataFrame | None = None, total: int | None = None) -> DataFrame:
+def block_pairs(members: DataFrame, group: list[str], member: str, payload: DataFrame | None = None, total: int | None = None,
+    least: int = BLOCK) -> DataFrame:
     """Rows of ``members`` for every pair of blocks of their group that they belong to.
 
     Adds i_ and j_ (the blocks, i_ <= j_) and own_ (the row's block). Members are dealt to blocks by a hash
     of ``member``; groups of one are left out. Rows with equal
     (group, i_, j_) are in one partition, sorted by these: no task holds more than two blocks of a group at a time.
     ``payload`` (a row for each member) is joined to the members that are left. ``total``: an upper bound of
-    the members' number, counted if not given.
+    the members' number, counted if not given. ``least``: members of a block, at least; small payloads go in larger blocks.
     """
     sizes = members.groupBy(*group).agg(F.count("*").alias("size_")).where("size_ > 1")
-    n = F.ceil(F.col("size_") / F.greatest(F.lit(float(BLOCK)), F.lit(BLOCK_GROWTH) * F.sqrt("size_"))).cast("int")
+    n = F.ceil(F.col("size_") / F.greatest(F.lit(float(least)), F.lit(BLOCK_GROWTH) * F.sqrt("size_"))).cast("int")
     placed = spread_join(members, sizes, group, "size_", members.count() if total is None else total).withColumn("own_",
         F.pmod(F.xxhash64(member, F.lit(5)), n).cast("int"))
     if payload is not None:

@@ -138,7 +138,7 @@ def candidate_links(classes: DataFrame) -> DataFrame:
 
     needed = least_matches()
     members = classes.select("rid", "values").mapInArrow(bands, "band_key long, rid long")
-    groups = graph.block_pairs(members, ["band_key"], "rid", payload=classes.select("rid", "values"), total=classes.count() * BANDS)
+    groups = graph.block_pairs(members, ["band_key"], "rid", payload=classes.select("rid", "values"), total=classes.count() * BANDS, least=512)
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole, at in graph.whole_groups(batches, ["band_key", "i_", "j_"]):
