@@ -197,19 +197,35 @@ def settled(rows: DataFrame, filter_: tuple[np.ndarray, int], buckets: int) -> D
                 yield b.filter(pa.array(kind == QUESTIONS))
 
         passing: list[pa.RecordBatch] = []
-        for bucket, group in shared.runs(asked(), ["bucket", *types]):  # one bucket at a time
+        gone: list[list[np.ndarray]] = []
+        counted: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def decided() -> Iterator[pa.RecordBatch]:
+            """What is held, of many buckets, in one go: rows are packed by where they go to."""
+            if gone:
+                entries = [np.concatenate(x) for x in zip(*gone, strict=True)]
+                yield spans(entries, np.ones(len(entries[0]), bool))
+            if counted:
+                anchor, texts = (np.concatenate(x) for x in zip(*counted, strict=True))
+                yield dealt((anchor >> np.uint64(64 - bits)).astype(np.int64), ANCHORS, anchor=anchor, n=texts.astype(np.int32))
+            gone.clear()
+            counted.clear()
+
+        for _, group in shared.runs(asked(), ["bucket", *types]):  # one bucket at a time
             held = [[np.frombuffer(x, t) for x, t in zip(r[1:], types.values(), strict=True)] for r in group]
             yield from passing
             passing.clear()
             entries, least = least_ids(*(np.concatenate(x) for x in zip(*held, strict=True)))
             if not least.all():
-                yield spans(entries, ~least)
+                gone.append([x[~least] for x in entries])
             content, anchor = entries[0][least], entries[1][least]
             new = np.ones(len(content), bool)
             new[1:] = content[1:] != content[:-1]
-            anchor, texts = np.unique(anchor[new], return_counts=True)
-            yield dealt((anchor >> np.uint64(64 - bits)).astype(np.int64), ANCHORS, anchor=anchor, n=texts.astype(np.int32))
+            counted.append(np.unique(anchor[new], return_counts=True))
+            if sum(len(x[0]) for x in [*gone, *counted]) > HELD:
+                yield from decided()
         yield from passing
+        yield from decided()
 
     n = shared.partitions(spark)
     return shared.written(rows.mapInArrow(ask, PACKED).repartition(n, "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(decide, PACKED))

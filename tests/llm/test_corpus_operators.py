@@ -785,15 +785,15 @@ def test_vectors_recall(spark, kind):
     """Links of all rows, and of those with ids divisible by 20 (a few dozen), against brute force."""
     r, d = np.random.default_rng(8), 48
     x = {
-        "cone": lambda: with_partners(r, cone(r, 6000, d, 0.87), 600, 0.957),
-        "crowd beside even ones": lambda: with_partners(r, np.concatenate([cone(r, 2500, d, 0.85), unit(r.normal(size=(5000, d)))]), 600, 0.957),
+        "cone": lambda: with_partners(r, cone(r, 3000, d, 0.87), 700, 0.957),
+        "crowd beside even ones": lambda: with_partners(r, np.concatenate([cone(r, 1300, d, 0.85), unit(r.normal(size=(2600, d)))]), 700, 0.957),
         "clusters": lambda: np.concatenate([unit(c + 0.03 * r.normal(size=(k, d))) for c,
         k in zip(unit(r.normal(size=(80, d))), r.integers(1, 100, 80), strict=True)]),
-        "even": lambda: with_partners(r, unit(r.normal(size=(6000, d))), 600, 0.957),
+        "even": lambda: with_partners(r, unit(r.normal(size=(3000, d))), 700, 0.957),
     }[kind]()
     x = x[r.permutation(len(x))]
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
-    got = {row.vec_id: row.n_links for row in vectors.near_vectors(df, window=128).collect()}
+    got = {row.vec_id: row.n_links for row in vectors.near_vectors(df, window=64).collect()}
     found = np.array([got[i] for i in range(len(x))])
     want = np.concatenate([(x[i : i + 1000] @ x.T >= 0.95).sum(1) - 1 for i in range(0, len(x), 1000)])
     assert want[::20].sum() > 40 and (found <= want).all() and found.sum() >= 0.98 * want.sum() and found[::20].sum() >= 0.95 * want[::20].sum()
