@@ -1,4 +1,4 @@
-"""The ten corpus operators against brute force, on whole small tables and on awkward rows."""
+"""The first ten corpus operators against brute force, on whole small tables and on awkward rows."""
 
 import hashlib
 import math
@@ -56,7 +56,7 @@ def words(text):
 
 
 def test_registry_names_all():
-    assert sorted(int(k[2:].split("_")[0]) for k in registry.queries()) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in registry.queries()) == list(range(1, 14))
 
 
 # --- 1 ---
