@@ -22,6 +22,8 @@ from . import shared
 
 WIDTH, STRIDE, STRETCH, HOP = 16, 4, 64, 32
 EMBED, FILTERS, HIDDEN = 6, 24, 16
+#: Bytes of text in a vectorised step, which takes some 160 bytes for each; stretches of a block of a longer text.
+STEP, BLOCK = 1 << 18, 2048
 
 
 class ByteConvNet:
@@ -77,8 +79,8 @@ class ByteConvNet:
         np.maximum(z, 0, out=z)
         return z[starts // STRIDE]
 
-    def forward(self, data: np.ndarray, offsets: np.ndarray, keep: bool = False):
-        p = self.p
+    def pooled(self, data: np.ndarray, offsets: np.ndarray):
+        """The largest mean response of each filter for each document, and what it came from."""
         codes, starts, bounds = self.layout(data, offsets)
         z = self.responses(codes, starts)
         lo, hi, at = self.stretches(bounds)
@@ -90,14 +92,30 @@ class ByteConvNet:
         k = base[:-1].repeat(np.diff(at)) + (lo - bounds[:-1].repeat(np.diff(at))) // HOP
         two = k + 1 < base[1:].repeat(np.diff(at))
         mean = (sums[k] + np.where(two[:, None], sums[np.minimum(k + 1, len(sums) - 1)], 0)) / (hi - lo)[:, None].astype(np.float32)
-        pooled = np.maximum.reduceat(mean, at[:-1], 0)
+        return np.maximum.reduceat(mean, at[:-1], 0), mean, at, lo, hi, z, codes, starts
+
+    def pooled_in_blocks(self, data: np.ndarray) -> np.ndarray:
+        """``pooled`` of one document of any length: a running maximum over blocks of whole stretches, each a document of its own."""
+        out, hop = None, HOP * STRIDE
+        for lo in range(0, max(len(data) - STRETCH * STRIDE, 1), BLOCK * hop):
+            part = data[lo : lo + (BLOCK - 1) * hop + (STRETCH - 1) * STRIDE + WIDTH] if lo + BLOCK * hop < len(data) - STRETCH * STRIDE else data[lo:]
+            own = self.pooled(part, np.array([0, len(part)]))[0]
+            out = own if out is None else np.maximum(out, own)
+        return out
+
+    def head(self, pooled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities, and the hidden layer."""
+        p = self.p
         h = np.maximum(pooled @ p["hidden"] + p["hidden_bias"], 0)
-        y = 1 / (1 + np.exp(-np.clip(h @ p["out"] + p["out_bias"][0], -30, 30)))
-        return y if not keep else (y, h, pooled, mean, at, lo, hi, z, codes, starts)
+        return 1 / (1 + np.exp(-np.clip(h @ p["out"] + p["out_bias"][0], -30, 30))), h
+
+    def forward(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return self.head(self.pooled(data, offsets)[0])[0]
 
     def gradients(self, data: np.ndarray, offsets: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
         p = self.p
-        y, h, pooled, mean, at, lo, hi, z, codes, starts = self.forward(data, offsets, True)
+        pooled, mean, at, lo, hi, z, codes, starts = self.pooled(data, offsets)
+        y, h = self.head(pooled)
         dy = ((y - labels) / len(labels)).astype(np.float32)
         g = {"out": h.T @ dy, "out_bias": dy.sum(keepdims=True)}
         dh = np.outer(dy, p["out"]) * (h > 0)
@@ -136,8 +154,12 @@ class ByteConvNet:
             for i in range(0, len(order), batch):
                 rows = order[i : i + batch]
                 raw = [texts[j] for j in rows]
-                g = self.gradients(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])]),
-                    labels[rows].astype(np.float32))
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in raw])])
+                whole, g = np.frombuffer(b"".join(raw), np.uint8), {}
+                for lo, hi in shared.steps(ends, STEP):  # the gradient of a batch is the mean of its parts'
+                    part = self.gradients(whole[ends[lo] : ends[hi]], ends[lo : hi + 1] - ends[lo], labels[rows[lo:hi]].astype(np.float32))
+                    for k, d in part.items():
+                        g[k] = g.get(k, 0) + d * np.float32((hi - lo) / len(rows))
                 t += 1
                 for k, d in g.items():
                     m[k] = 0.9 * m.get(k, 0) + 0.1 * d
@@ -147,7 +169,10 @@ class ByteConvNet:
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Scores to five places: beyond, single precision depends on where in a block a text stands."""
-        out = [self.forward(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]) for lo, hi in shared.steps(offsets, 1 << 18)]
+        out = []
+        for lo, hi in shared.steps(offsets, STEP):
+            own = data[offsets[lo] : offsets[hi]]
+            out.append(self.head(self.pooled_in_blocks(own))[0] if hi == lo + 1 else self.forward(own, offsets[lo : hi + 1] - offsets[lo]))
         return np.round(np.concatenate(out).astype(np.float64), 5) if out else np.zeros(0)
 
 
@@ -188,7 +213,7 @@ def quality_scores(documents: DataFrame, model: ByteConvNet, threshold: float =
     """doc_id, score, predicted for every row of ``documents``.
 
     Null and empty texts get the model's score of no bytes; repeated rows get equal scores; a very long text is
-    scored whole, in a step of its own; an empty table gives an empty result. Other columns are ignored,
+    scored whole, in blocks that a running maximum joins; an empty table gives an empty result. Other columns are ignored,
     whatever their names.
     """
 

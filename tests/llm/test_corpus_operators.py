@@ -72,6 +72,52 @@ def test_quality_held_out_accuracy(spark, sf_dir):
     assert np.mean([a == b for a, b in held]) > 0.95
 
 
+def plain_forward(p, text: bytes) -> float:
+    """The network byte by byte and chunk by chunk."""
+    w, stride, stretch, hop = quality.WIDTH, quality.STRIDE, quality.STRETCH, quality.HOP
+    chunks = max(1, -(-(len(text) - w) // stride) + 1)
+    codes = list(text) + [256] * ((chunks - 1) * stride + w - len(text))
+    filters = p["filters"].reshape(w, -1, p["filters"].shape[1]).astype(float)
+    z = []
+    for c in range(chunks):
+        total = p["bias"].astype(float)
+        for k, code in enumerate(codes[c * stride : c * stride + w]):
+            total = total + p["embed"][code].astype(float) @ filters[k]
+        z.append(np.maximum(total, 0))
+    best, lo = None, 0
+    while True:
+        mean = np.mean(z[lo : lo + stretch], axis=0)
+        best = mean if best is None else np.maximum(best, mean)
+        if lo + stretch >= chunks:
+            break
+        lo += hop
+    h = np.maximum(best @ p["hidden"].astype(float) + p["hidden_bias"], 0)
+    return float(1 / (1 + np.exp(-(h @ p["out"].astype(float) + p["out_bias"][0]))))
+
+
+def test_quality_against_a_plain_forward_pass(monkeypatch):
+    model = quality.ByteConvNet().fit([b"abc def " * 90, b"$$$ *** " * 90] * 20, np.array([1, 0] * 20, float), epochs=2)
+    r = np.random.default_rng(2)
+    texts = [r.integers(0, 256, n, np.uint8).tobytes() for n in (0, 1, 15, 16, 17, 255, 268, 269, 400, 2000, 5003)] + [b"abc def " * 400]
+    ends = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    want = [plain_forward(model.p, t) for t in texts]
+    for step, block in ((1 << 18, 2048), (64, 1), (64, 3), (300, 2)):
+        monkeypatch.setattr(quality, "STEP", step)
+        monkeypatch.setattr(quality, "BLOCK", block)
+        assert np.abs(model.score(np.frombuffer(b"".join(texts), np.uint8), ends) - want).max() < 2e-5
+
+
+def test_quality_of_a_very_long_text_in_bounded_memory():
+    import tracemalloc
+
+    model = quality.ByteConvNet()
+    text = np.tile(np.frombuffer(b"some words of a very long text ", np.uint8), 1_700_000)  # 50 MB
+    tracemalloc.start()
+    score = model.score(text, np.array([0, len(text)]))
+    assert tracemalloc.get_traced_memory()[1] < 200e6 and 0 <= score[0] <= 1
+    tracemalloc.stop()
+
+
 def test_quality_awkward(spark, awkward, nothing):
     model = quality.ByteConvNet().fit([b"abc def " * 9, b"$$$ *** " * 9] * 20, np.array([1, 0] * 20, float))
     rows = quality.quality_scores(awkward, model).collect()
