@@ -171,7 +171,7 @@ def test_monitoring_rules_one_by_one(spark):
     for r in monitoring.evaluated(ids).orderBy("id", "rank").collect():
         got.setdefault(r.id, []).append(r.key + "!" * (r.severity == "critical"))
     assert [got.get(i, []) for i in range(len(changes))] == [want for _, want in changes]
-    assert len({(k, s) for k, s, *_ in monitoring.RULES}) == len(monitoring.RULES)
+    assert len({(k, s) for k, s, *_ in monitoring.rules()}) == len(monitoring.rules())
 
 
 def test_hopkins_tells_clusters(spark):
