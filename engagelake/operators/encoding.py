@@ -10,6 +10,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..sources import files
 
 
 class Encoder(Protocol):
@@ -90,28 +93,50 @@ def resumable(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return df.join(done.select(key), key, "left_anti")
 
 
-def run_encoder(df: DataFrame, encoder: Encoder, key: str, path: str, size: int = 32) -> tuple[DataFrame, DataFrame]:
+def run_encoder(df: DataFrame, encoder: Encoder, key: str, path: str, size: int = 32, chunk_rows: int = 10_000,
+    together: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Encodes what ``path`` has not yet, adds it there, and gives all (vectors, failures of this run).
 
-    Each run appends the rows it has completed, vectors and ids together in one table, so that a run that breaks off never leaves an
-    id without its vector; failures are tried again.
+    A run first writes what is to be done as files of ``chunk_rows`` rows at most. A stream over these files encodes ``together`` of
+    them at a time (as many as there are cores) and commits each such chunk by itself: a chunk's rows are a folder of their own, written whole,
+    before the stream's checkpoint moves on. A run that is killed has lost the chunk that it was at; the next call goes on with exactly
+    the rest of it, then takes up what else ``df`` has. A chunk that is written again replaces itself, so that no row is there twice. Rows that failed
+    are tried again by the next run.
     """
     spark = df.sparkSession
-    schema = f"{key} {df.schema[key].dataType.simpleString()}, {ENCODED}"
-    try:
-        done = spark.read.schema(schema).parquet(f"{path}/rows").where("vector is not null")
-        todo = resumable(df, done, key)
-    except Exception as absent:
-        if "PATH_NOT_FOUND" not in str(absent):
-            raise
-        todo = df
-    encoded(todo, encoder, key, size).withColumn("run_", F.lit(time.time_ns())).write.mode("append").parquet(f"{path}/rows")
-    rows = spark.read.parquet(f"{path}/rows")
-    last = rows.agg(F.max("run_")).first()[0]
-    return rows.where("vector is not null").select(key, "vector"), rows.where((F.col("run_") == last) & F.col("vector").isNull()).select(key, "stage",
+    runs, schema = f"{path}/runs", f"{key} {df.schema[key].dataType.simpleString()}, {ENCODED}"
+    known = [int(n) for n in files.names(spark, runs)]
+    broken = [n for n in known if files.exists(spark, f"{runs}/{n}/todo/_SUCCESS") and not files.exists(spark, f"{runs}/{n}/finished")]
+    for run in broken:
+        _finish(spark, encoder, key, path, run, df.schema, size, together)
+    run = max(known, default=-1) + 1
+    todo = resumable(df, _rows(spark, path, schema).where("vector is not null"), key)
+    todo.write.option("maxRecordsPerFile", chunk_rows).parquet(f"{runs}/{run}/todo")
+    _finish(spark, encoder, key, path, run, df.schema, size, together)
+    rows = _rows(spark, path, schema)
+    return rows.where("vector is not null").select(key, "vector"), rows.where((F.col("run") == run) & F.col("vector").isNull()).select(key, "stage",
         "error_type", "message")
 
 
+def _rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All committed rows, with their run and chunk."""
+    whole = f"{schema}, run long, chunk long"
+    return spark.read.schema(whole).parquet(f"{path}/rows") if files.exists(spark, f"{path}/rows") else spark.createDataFrame([], whole)
+
+
+def _finish(spark: SparkSession, encoder: Encoder, key: str, path: str, run: int, schema: StructType, size: int, together: int | None) -> None:
+    """Encodes the chunks of a run that are not committed yet."""
+    home = f"{path}/runs/{run}"
+
+    def commit(batch: DataFrame, chunk: int) -> None:
+        encoded(batch, encoder, key, size).write.mode("overwrite").parquet(f"{path}/rows/run={run}/chunk={chunk}")
+
+    chunks = spark.readStream.schema(schema).option("maxFilesPerTrigger", together or spark.sparkContext.defaultParallelism).parquet(f"{home}/todo")
+    query = chunks.writeStream.foreachBatch(commit).option("checkpointLocation", f"{home}/progress").trigger(availableNow=True).start()
+    query.awaitTermination()
+    files.put_new(spark, f"{home}/finished", "")
+
+
 def benchmark(df: DataFrame, encoders: Sequence[Encoder], key: str, quota_bytes: int = 20 << 30) -> list[dict]:
     """For each encoder: status, rows, seconds, rows a second, whether it keeps to its memory, and the largest deviation of a norm from 1; a fault is recorded."""
     out = []

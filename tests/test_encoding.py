@@ -34,6 +34,66 @@ def test_a_run_resumes(posts, tmp_path):
     assert third.count() == 100
 
 
+def test_a_killed_run_keeps_its_chunks(spark, posts, tmp_path):
+    class Breaks(encoding.Seeded):
+        """Its task dies at one text, as if the machine had gone."""
+
+        def encode(self, batch):
+            if batch["text"].str.fullmatch("text 61").any():
+                raise SystemExit("gone")
+            return super().encode(batch)
+
+    path, whole = str(tmp_path / "run"), str(tmp_path / "whole")
+    ordered = posts.orderBy("post_id").coalesce(1)
+    with pytest.raises(Exception):  # noqa: B017  whatever Spark says when a task is lost
+        encoding.run_encoder(ordered, Breaks(8, fails="bad"), "post_id", path, chunk_rows=10, together=1)
+    kept = {p: p.stat().st_mtime_ns for p in (tmp_path / "run/rows").rglob("part-*") if "_temporary" not in str(p)}
+    done = {r.post_id for r in spark.read.parquet(*{str(p.parent) for p in kept}).collect()}
+    assert 0 < len(done) < 100 and len(done) % 10 == 0
+
+    seen = []
+
+    class Counts(encoding.Seeded):
+        def encode(self, batch):
+            (tmp_path / "seen" / f"{batch['post_id'].min()}-{len(batch)}").write_text(",".join(map(str, batch["post_id"])))
+            return super().encode(batch)
+
+    (tmp_path / "seen").mkdir()
+    vectors, _ = encoding.run_encoder(ordered, Counts(8), "post_id", path, chunk_rows=10, together=1)
+    seen = {int(x) for p in (tmp_path / "seen").iterdir() for x in p.read_text().split(",")}
+    assert seen == {i for i in range(1, 101)} - {i for i in done if i % 10}  # the rest, and the failures of the broken run
+    assert all(p.stat().st_mtime_ns == t for p, t in kept.items())
+    unbroken, _ = encoding.run_encoder(ordered, encoding.Seeded(8), "post_id", whole, chunk_rows=10)
+    assert sorted(map(tuple, vectors.collect())) == sorted(map(tuple, unbroken.collect())) and vectors.count() == 100
+
+
+def test_a_chunk_written_twice_is_there_once(spark, posts, tmp_path):
+    """A run that dies between a chunk's rows and its commit writes the chunk again."""
+    import shutil
+
+    path = str(tmp_path / "run")
+    encoding.run_encoder(posts.coalesce(1), encoding.Seeded(8), "post_id", path, chunk_rows=20, together=1)
+    commits = sorted((tmp_path / "run/runs/0/progress/commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last = commits[-1].name
+    for p in (tmp_path / "run/runs/0/progress/commits").glob(f"*{last}*"):
+        p.unlink()
+    (tmp_path / "run/runs/0/finished").unlink()
+    vectors, _ = encoding.run_encoder(posts, encoding.Seeded(8), "post_id", path)
+    assert vectors.count() == 100 == vectors.select("post_id").distinct().count()
+    shutil.rmtree(tmp_path / "run")
+
+
+def test_of_several_writers_one_wins(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from engagelake.sources import files
+
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: files.put_new(spark, f"{tmp_path}/a/one", str(i)), range(8)))
+    assert sum(won) == 1 and files.text_of(spark, f"{tmp_path}/a/one") == str(won.index(True)) and files.names(spark, f"{tmp_path}/a") == ["one"]
+    assert files.names(spark, f"{tmp_path}/none") == []
+
+
 def test_benchmark(posts):
     good, bad = encoding.benchmark(posts, [encoding.Seeded(8), encoding.Seeded(4, fails="text 7")], "post_id")
     assert good["status"] == "success" and good["rows"] == 100 and good["worst_norm"] < 1e-9 and good["quota_respected"] and good["rows_a_second"] > 0
