@@ -96,3 +96,19 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 EDGES_SQL = """edges AS (SELECT o_custkey AS user_id, l_suppkey AS community_id, min(l_shipdate) AS first_seen, max(l_shipdate) AS last_seen,
     max(o_orderkey) AS source_run
   FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2)"""
+
+
+def merkle_sql(rows: str, leaf_rows: int, by: str = "") -> str:
+    """CTEs that end in root (by, digest, rows): the tree over the column text of ``rows``, written out for depths of up to five."""
+    g = f"{by}, " if by else ""
+    depth = " ".join(f"WHEN n <= {leaf_rows * 16**d} THEN {d}" for d in range(5))
+    out = f"""r AS ({rows}), sizes AS (SELECT count(*) AS n FROM r {"GROUP BY " + by if by else ""}), deep AS (SELECT CASE {depth} ELSE 5 END AS d FROM
+        (SELECT max(n) AS n FROM sizes)),
+        h AS (SELECT {g}sha256(text) AS h, count(*) AS n FROM r GROUP BY {g}sha256(text)),
+        level5 AS (SELECT {g}left(h, (SELECT d FROM deep)) AS prefix, sha256(string_agg(h || '*' || n, ',' ORDER BY h)) AS digest, sum(n) AS rows
+            FROM h GROUP BY ALL)"""
+    for k in range(4, -1, -1):
+        out += f""", level{k} AS (SELECT {g}left(prefix, greatest(length(prefix) - 1, 0)) AS prefix, CASE WHEN max(length(prefix)) = 0 THEN max(digest)
+            ELSE sha256(string_agg(prefix || ':' || digest, ',' ORDER BY prefix)) END AS digest, sum(rows) AS rows FROM level{k + 1}
+            GROUP BY {g}left(prefix, greatest(length(prefix) - 1, 0)))"""
+    return out + f", root AS (SELECT {g}digest, CAST(rows AS BIGINT) AS rows FROM level0)"

@@ -93,11 +93,11 @@ def chi_square_pvalue(statistic: Column, df: Column) -> Column:
     return F.when(statistic <= 0, 1.0).otherwise(erfc(z / F.sqrt(F.lit(2.0))) / 2)
 
 
-def synthetic_posts(spark, n: int, groups: int = 50) -> DataFrame:
-    """A made population with closed-form columns."""
+def synthetic_posts(ids: DataFrame, groups: int = 50) -> DataFrame:
+    """A made population with closed-form columns: a post for each row of ``ids`` (id)."""
     i = F.col("id")
     pick = lambda *x: F.element_at(F.array(*map(F.lit, x)), (i % len(x) + 1).cast("int"))
-    return spark.range(n).select(
+    return ids.select(
         (i + 10000).alias("post_id"), (i % groups + 1).alias("group_id"), pick("cafe", "retail", "beauty", "sport").alias("subject"),
         pick("text_only", "text_image", "text_video", "trimodal").alias("modality"),
         ((i * 37) % 800 + 20).alias("text_length"), F.when(i % 4 >= 2, i % 120 + 5).otherwise(0).alias("duration"), (i % 100).alias("likes"),

@@ -9,7 +9,7 @@ from .. import bindings as b
 from ..functions import columns as c
 from ..operators import embeddings as e
 from ..operators import merge as m
-from ..operators import sampling, windows
+from ..operators import merkle, quantiles, sampling, windows
 
 # The seed, strata and sizes of an audit, its words and gates.
 SEED = 20260730
@@ -117,12 +117,12 @@ def decision_invariants(spark, sf_dir):
 
 
 def decision_snapshot(spark, sf_dir):
-    """Drafts of all decisions, as canonical JSON with their context, and how far the work has come: one row for each state."""
+    """Drafts of all decisions, as canonical JSON with their context, and how far the work has come: one row for each state, with the root of its tree."""
     d = decided(spark, sf_dir).withColumn("state", F.when(F.col("id") % 3 == 0, "draft").when(F.col("confidence") < 85,
         "borderline").otherwise("final"))
     draft = F.to_json(F.struct("approved", "id", "was_approved"))
-    return d.groupBy("state").agg(F.count("*").alias("decisions"), F.count_if("approved").alias("approved"),
-        F.md5(F.concat_ws("", F.sum(F.conv(F.substring(F.md5(draft), 1, 8), 16, 10).cast("long")).cast("string"))).alias("digest"))
+    counts = d.groupBy("state").agg(F.count("*").alias("decisions"), F.count_if("approved").alias("approved"))
+    return counts.join(merkle.root(d, draft, by=["state"], leaf_rows=64).drop("rows"), "state")
 
 
 # --- state tables and registries ---
@@ -241,43 +241,54 @@ def daily_with_retry(spark, sf_dir):
 TARGET = 100
 
 
-def _posts(spark) -> DataFrame:
-    return sampling.synthetic_posts(spark, 1500)
+def _posts(spark, sf_dir) -> DataFrame:
+    """Posts with subject, text, pictures and videos: orders, their documents and lines; a video's length is its line's quantity."""
+    video = F.col("l_partkey") % 3 == 0
+    media = b.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("post_id")).agg(F.max(~video & (F.col("l_partkey") % 3 == 1)).alias("photo"),
+        F.max(video).alias("video"), F.max(F.when(video, F.col("l_quantity"))).alias("duration"))
+    texts = b.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("post_id"), F.length("text").alias("text_length"))
+    posts = b.posts(spark, sf_dir).select("post_id", "group_id", F.substring("label", 3, 20).alias("subject"), F.col("post_id").alias("seq"))
+    x = posts.join(media, "post_id", "left").join(texts, "post_id", "left")
+    flag = lambda n: F.coalesce(n, F.lit(False))
+    return x.select("post_id", "group_id", "subject", "seq", F.coalesce("text_length", F.lit(0)).alias("text_length"),
+        F.coalesce("duration", F.lit(0.0)).alias("duration"), c.modality(F.coalesce("text_length", F.lit(0)) > 0, flag("photo"), flag("video")).alias("modality"))
+
+
+def _quantiles(p: DataFrame) -> tuple[tuple[float, float], tuple[float, float]]:
+    """Of text lengths, and of the durations of posts with a video."""
+    return quantiles.terciles(p, F.col("text_length")), quantiles.terciles(p, F.when(F.col("duration") > 0, F.col("duration")))
 
 
 def binned(p: DataFrame) -> DataFrame:
     """Posts with the bins of text length and of duration; quantiles of durations are those of videos, posts without one have none."""
-    q = p.agg(F.percentile("text_length", F.array(F.lit(0.33), F.lit(0.66))).alias("t"),
-        F.percentile(F.when(F.col("duration") > 0, F.col("duration")), F.array(F.lit(0.33), F.lit(0.66))).alias("v"))
-    x = p.crossJoin(F.broadcast(q))  # a row of quantiles
-    return x.select(*p.columns, c.three_bins(F.col("text_length"), F.col("t")[0], F.col("t")[1]).alias("t_bin"),
-        F.when(F.col("duration") > 0, c.three_bins(F.col("duration"), F.col("v")[0], F.col("v")[1])).otherwise("none").alias("v_bin"))
+    (t1, t2), (v1, v2) = _quantiles(p)
+    return p.select(*p.columns, c.three_bins(F.col("text_length"), F.lit(t1), F.lit(t2)).alias("t_bin"),
+        F.when(F.col("duration") > 0, c.three_bins(F.col("duration"), F.lit(v1), F.lit(v2))).otherwise("none").alias("v_bin"))
 
 
 def full_sample_of(p: DataFrame, target: int = TARGET, seed: int = 42) -> DataFrame:
-    return sampling.stratified(binned(p), ["subject", "modality", "t_bin", "v_bin"], sampling.hash_sample_rank(seed, "post_id", "group_id"), "seq",
+    """Of posts with their bins."""
+    return sampling.stratified(p, ["subject", "modality", "t_bin", "v_bin"], sampling.hash_sample_rank(seed, "post_id", "group_id"), "seq",
         target)
 
 
 def full_sample(spark, sf_dir):
-    return full_sample_of(_posts(spark)).select("post_id", "subject", "modality", "t_bin", "v_bin")
+    return full_sample_of(binned(_posts(spark, sf_dir))).select("post_id", "subject", "modality", "t_bin", "v_bin")
 
 
 def sampling_report(spark, sf_dir):
     """(measure, value): sizes, strata covered, quantiles, shares and how far they are off, and the two tests of distribution."""
-    p = binned(_posts(spark))
-    s = full_sample_of(_posts(spark))
+    p = binned(_posts(spark, sf_dir))
+    s = full_sample_of(p)
     strata = ["subject", "modality", "t_bin", "v_bin"]
     coverage = p.select(*strata).distinct().join(s.select(*strata).distinct().withColumn("in", F.lit(1)), strata,
         "left").agg(F.lit("strata_coverage").alias("measure"), (F.count("in") / F.count("*")).alias("value"))
-    quantiles = p.agg(F.percentile("text_length", F.array(F.lit(0.33), F.lit(0.66))).alias("t"),
-        F.percentile(F.when(F.col("duration") > 0, F.col("duration")), F.array(F.lit(0.33), F.lit(0.66))).alias("v"))
-    quantiles = quantiles.select(F.explode(F.create_map(*[x for n, k in (("text", "t"), ("video", "v")) for i,
-        q in enumerate(("q33", "q66")) for x in (F.lit(f"{n}_{q}"), F.col(k)[i].cast("double"))])).alias("measure", "value"))
+    named = [(f"{kind}_{q}", float(v)) for kind, pair in zip(("text", "video"), _quantiles(p), strict=True) for q, v in zip(("q33", "q66"), pair, strict=True)]
+    cuts = spark.createDataFrame(named, "measure string, value double")
     size = s.agg(F.lit("actual_size").alias("measure"),
         F.count("*").cast("double").alias("value")).unionByName(p.agg(F.lit("population_size").alias("measure"),
         F.count("*").cast("double").alias("value")))
-    out = coverage.unionByName(quantiles).unionByName(size)
+    out = coverage.unionByName(cuts).unionByName(size)
     for margin in ("modality", "subject"):
         a = p.groupBy(margin).agg(F.count("*").alias("n")).crossJoin(p.agg(F.count("*").alias("total")))  # a row each
         d = s.groupBy(margin).agg(F.count("*").alias("k")).crossJoin(s.agg(F.count("*").alias("sampled")))
@@ -315,9 +326,13 @@ _S = ", ".join(
     (name, size) in enumerate(STRATA)
 )
 _ALL = " UNION ALL ".join(f"SELECT * FROM s{i}" for i in range(len(STRATA)))
-_SYN = """y AS (SELECT i + 10000 AS post_id, i % 50 + 1 AS group_id, (['cafe','retail','beauty','sport'])[i % 4 + 1] AS subject,
-    (['text_only','text_image','text_video','trimodal'])[i % 4 + 1] AS modality, (i * 37) % 800 + 20 AS text_length, CASE WHEN i % 4 >= 2 THEN i % 120
-    + 5 ELSE 0 END AS duration, i AS seq FROM range(1500) r(i)),
+_SYN = """l AS (SELECT l_orderkey AS k, bool_or(l_partkey % 3 = 1) AS photo, bool_or(l_partkey % 3 = 0) AS video, max(l_quantity) FILTER (WHERE
+    l_partkey % 3 = 0) AS duration FROM lineitem GROUP BY 1),
+ y0 AS (SELECT o_orderkey AS post_id, o_custkey AS group_id, substr(o_orderpriority, 3, 20) AS subject, o_orderkey AS seq, coalesce(length(text), 0) AS
+    text_length, coalesce(duration, 0) AS duration, coalesce(photo, false) AS photo, coalesce(video, false) AS video FROM orders LEFT JOIN l ON k =
+    o_orderkey LEFT JOIN documents ON doc_id = o_orderkey),
+ y AS (SELECT *, CASE WHEN photo AND video THEN 'trimodal' WHEN text_length > 0 AND video THEN 'text_video' WHEN text_length > 0 AND photo THEN
+    'text_image' WHEN video THEN 'video_only' WHEN photo THEN 'image_only' WHEN text_length > 0 THEN 'text_only' ELSE 'empty' END AS modality FROM y0),
  q AS (SELECT quantile_cont(text_length, 0.33) AS t1, quantile_cont(text_length, 0.66) AS t2, quantile_cont(duration, 0.33) FILTER (WHERE duration >
     0) AS v1, quantile_cont(duration, 0.66) FILTER (WHERE duration > 0) AS v2 FROM y),
  p AS (SELECT y.*, CASE WHEN text_length <= t1 THEN 'low' WHEN text_length <= t2 THEN 'mid' ELSE 'high' END AS t_bin, CASE WHEN duration = 0 THEN
@@ -325,11 +340,30 @@ _SYN = """y AS (SELECT i + 10000 AS post_id, i % 50 + 1 AS group_id, (['cafe','r
  h AS (SELECT *, list_reduce(list_prepend(0::BIGINT, list_transform(range(8), lambda i: ('0x' || substr(sha256('42:' || post_id || ':' || group_id),
     CAST(8*i+1 AS BIGINT), 8))::BIGINT)), lambda x, w: (x * 294967296 + w) % 1000000000) AS r FROM p),
  z AS (SELECT subject, modality, t_bin, v_bin, count(*) AS n, min(seq) AS first FROM p GROUP BY 1, 2, 3, 4), k AS (SELECT *, least(n,
-    CAST(floor(100::DOUBLE * (n / 1500::DOUBLE)) AS BIGINT)) AS k FROM z),
+    CAST(floor(100::DOUBLE * (n / (SELECT count(*) FROM p)::DOUBLE)) AS BIGINT)) AS k FROM z),
  t AS (SELECT *, row_number() OVER (ORDER BY n - k DESC, k, first) AS turn, 100 - sum(k) OVER () AS spare FROM k), u AS (SELECT subject, modality,
     t_bin, v_bin, k + CASE WHEN turn <= spare AND k < n THEN 1 ELSE 0 END AS quota FROM t),
  s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subject, modality, t_bin, v_bin ORDER BY r, seq) AS nth FROM h) JOIN u USING (subject,
     modality, t_bin, v_bin) WHERE nth <= quota)"""
+_SHARES = """m{0} AS (SELECT {0} AS name, count(*) / (SELECT count(*) FROM p)::DOUBLE AS was, (SELECT count(*) FROM s WHERE s.{0} = p.{0}) / (SELECT
+    count(*) FROM s)::DOUBLE AS now FROM p GROUP BY 1)"""
+_ROWS = """SELECT '{0}_' || name, was FROM m{0} UNION ALL SELECT 'sample_{0}_' || name, now FROM m{0} UNION ALL SELECT 'delta_{0}_' || name, abs(now -
+    was) FROM m{0}"""
+_REPORT = f"""{_SHARES.format("modality")}, {_SHARES.format("subject")},
+ g AS (SELECT text_length AS v, count(*) AS a, 0 AS b FROM p GROUP BY 1 UNION ALL SELECT text_length, 0, count(*) FROM s GROUP BY 1),
+ f AS (SELECT v, sum(sum(a)) OVER (ORDER BY v) / (SELECT count(*) FROM p)::DOUBLE AS fp, sum(sum(b)) OVER (ORDER BY v) / (SELECT count(*) FROM
+    s)::DOUBLE AS fs FROM g GROUP BY v),
+ d AS (SELECT max(abs(fp - fs)) AS d, (SELECT count(*) FROM p) * (SELECT count(*) FROM s) / ((SELECT count(*) FROM p) + (SELECT count(*) FROM s))::DOUBLE AS nm
+    FROM f), lam AS (SELECT d, (sqrt(nm) + 0.12 + 0.11 / sqrt(nm)) * d AS l FROM d),
+ x2 AS (SELECT sum(pow(now - was, 2) / was) * (SELECT count(*) FROM s) AS x2, greatest(count(*) - 1, 1)::DOUBLE AS df FROM mmodality),
+ wh AS (SELECT x2, (pow(x2 / df, 1::DOUBLE / 3) - (1 - 2 / (9 * df))) / sqrt(2 / (9 * df)) / sqrt(2) AS x FROM x2),
+ erf AS (SELECT x2, sign(x) * exp(-x * x) * list_sum(list_transform(range(100), lambda n: pow(abs(x), 2 * n + 1) / gamma(n + 1.5))) AS e FROM wh)
+ SELECT measure, round(value, 6) AS value FROM (SELECT 'strata_coverage' AS measure, (SELECT count(*) FROM (SELECT DISTINCT subject, modality, t_bin, v_bin FROM
+    s)) / count(*)::DOUBLE AS value FROM z UNION ALL SELECT 'text_q33', t1 FROM q UNION ALL SELECT 'text_q66', t2 FROM q UNION ALL SELECT 'video_q33', v1
+    FROM q UNION ALL SELECT 'video_q66', v2 FROM q UNION ALL SELECT 'actual_size', count(*) FROM s UNION ALL SELECT 'population_size', count(*) FROM p
+    UNION ALL {_ROWS.format("modality")} UNION ALL {_ROWS.format("subject")} UNION ALL SELECT 'ks', d FROM d UNION ALL SELECT 'ks_p', CASE WHEN l <= 0
+    THEN 1 ELSE greatest(0, least(1, list_sum(list_transform(range(1, 101), lambda k: 2 * pow(-1, k - 1) * exp(-2.0 * k * k * l * l))))) END FROM lam
+    UNION ALL SELECT 'chi2', x2 FROM x2 UNION ALL SELECT 'chi2_p', CASE WHEN x2 <= 0 THEN 1 ELSE (1 - e) / 2 END FROM erf)"""
 E = b.EDGES_SQL
 QUERIES = {
     "sequential_audit": (sequential_audit, f"WITH {_D}, {_S} {_ALL}"),
@@ -357,9 +391,9 @@ QUERIES = {
         UNION ALL SELECT id, 'flag' FROM x WHERE flag <> food UNION ALL SELECT id, 'refusal' FROM x WHERE NOT flag AND (approved <> was_approved OR
         food <> had_food OR nb = 0)"""),
     "decision_snapshot": (decision_snapshot, f"""WITH {_D}, x AS (SELECT *, CASE WHEN id % 3 = 0 THEN 'draft' WHEN confidence < 85 THEN 'borderline'
-        ELSE 'final' END AS state, md5('{{"approved":' || approved || ',"id":' || id || ',"was_approved":' || was_approved || '}}') AS m FROM d)
-        SELECT state, count(*) AS decisions, count(*) FILTER (WHERE approved) AS approved, md5(CAST(CAST(sum(('0x' || substr(m, 1, 8))::BIGINT) AS
-        BIGINT) AS VARCHAR)) AS digest FROM x GROUP BY 1"""),
+        ELSE 'final' END AS state FROM d), {b.merkle_sql("SELECT state, '{\"approved\":' || approved || ',\"id\":' || id || ',\"was_approved\":' || was_approved || '}' AS text FROM x", 64, "state")},
+        c AS (SELECT state, count(*) AS decisions, count(*) FILTER (WHERE approved) AS approved FROM x GROUP BY 1)
+        SELECT state, decisions, approved, digest FROM c JOIN root USING (state)"""),
     "state_merge": (state_merge, """WITH o AS (SELECT c_custkey AS u, CASE WHEN c_custkey % 2 = 0 THEN 1 END AS s FROM customer WHERE c_custkey % 3 <>
         0), n AS (SELECT c_custkey AS u, c_custkey % 3 AS k, CASE WHEN c_custkey % 8 = 1 THEN 15 ELSE 18 END AS err FROM customer WHERE c_custkey % 4
         <> 0),
@@ -400,7 +434,7 @@ QUERIES = {
         before FROM t) SELECT day, count(*) AS tries, max(event_id) FILTER (WHERE ok) AS event_id, max(event_id) FILTER (WHERE ok) IS NULL AS pending
         FROM n WHERE before = 0 GROUP BY 1"""),
     "full_sample": (full_sample, f"WITH {_SYN} SELECT post_id, subject, modality, t_bin, v_bin FROM s"),
-    "sampling_report": (sampling_report, None),
+    "sampling_report": (sampling_report, f"WITH {_SYN}, {_REPORT}"),
     "pca_plane": (pca_plane, None),
     "label_top_words": (label_top_words, """WITH w AS (SELECT lang, unnest(regexp_extract_all(lower(text), '[a-z]{6,}')) AS word FROM documents WHERE
         text IS NOT NULL), c AS (SELECT lang, word, count(*) AS n FROM w GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY

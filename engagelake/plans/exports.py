@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import bindings as b
 from ..functions import columns as c
 from ..operators import merge as m
+from ..operators import merkle
 from ..operators import windows
 
 POSTS_FROM, EDGES_FROM = "2001-03-01", "2001-06-01"
@@ -165,33 +166,32 @@ def outdated_decisions(spark, sf_dir):
     return missing.unionByName(reimport_check(stored, said))
 
 
-def canonical_rows(df: DataFrame, key: str) -> Column:
-    """A row as compact JSON with its columns in alphabetical order, nulls included."""
-    return F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"})
-
-
-def tamper_hash(df: DataFrame, key: str, ranges: int = 64) -> DataFrame:
-    """One row: hash and number of rows of a snapshot of any size.
-
-    Rows are hashed by themselves, then in order of key within ranges of a hash of the key, then the ranges in order: each
-    change of a row, and each row more or less, changes the result.
-    """
-    rows = df.select(F.pmod(F.xxhash64(key), F.lit(ranges)).alias("range"), F.col(key).alias("key"), F.sha2(canonical_rows(df, key), 256).alias("h"))
-    parts = rows.groupBy("range").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("key", "h"))), lambda x: x["h"]), ""),
-        256).alias("h"), F.count("*").alias("n"))
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("range", "h"))), lambda x: x["h"])  # a row for each range
-    return parts.agg(F.sha2(F.array_join(listed, ""), 256).alias("snapshot"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+def _snapshots(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """A snapshot of the groups, and one that has been tampered with: some statuses altered, some groups gone."""
+    g = b.groups(spark, sf_dir).select("group_id", "name", "status")
+    altered = g.withColumn("status", F.when(F.col("group_id") % 97 == 7, "altered").otherwise(F.col("status"))).where("group_id % 101 <> 3")
+    return g, altered
 
 
 def tamper_check(spark, sf_dir):
-    """A snapshot, the same in another order, and one with a changed row: which hashes agree."""
-    g = b.groups(spark, sf_dir).select("group_id", "name", "status")
-    first = tamper_hash(g, "group_id")
-    again = tamper_hash(g.repartition(5, "name"), "group_id").select(F.col("snapshot").alias("again"))
-    other = tamper_hash(g.withColumn("status", F.when(F.col("group_id") == 7, "altered").otherwise(F.col("status"))),
-        "group_id").select(F.col("snapshot").alias("other"))
-    return first.crossJoin(again).crossJoin(other).select("rows", (F.col("snapshot") == F.col("again")).alias("same"),
-        (F.col("snapshot") == F.col("other")).alias("altered_same"))  # a row each
+    """A snapshot, the same in another order, and one with altered rows: its root, and which roots agree."""
+    g, altered = _snapshots(spark, sf_dir)
+    rows = F.concat_ws(":", F.col("group_id").cast("string"), "name", "status")
+    first = merkle.root(g, rows, leaf_rows=64)
+    again = merkle.root(g.repartition(5, "name"), rows, leaf_rows=64).select(F.col("digest").alias("again"))
+    other = merkle.root(altered, rows, leaf_rows=64).select(F.col("digest").alias("other"))
+    return first.crossJoin(again).crossJoin(other).select("rows", "digest", (F.col("digest") == F.col("again")).alias("same"),
+        (F.col("digest") == F.col("other")).alias("altered_same"))  # a row each
+
+
+def tampered_rows(spark, sf_dir):
+    """The rows that two snapshots do not share, found by going down their trees: only leaves that differ are read again."""
+    g, altered = _snapshots(spark, sf_dir)
+    depth = merkle.depth_for(g.count(), 64)
+    nodes = [merkle.leaves(merkle.row_digests(x, merkle.canonical(x)), depth).select("prefix", F.col("digest").alias(n)) for x, n in ((g, "a"),
+        (altered, "b"))]
+    changed = nodes[0].join(nodes[1], "prefix", "full").where("not (a <=> b)").select("prefix")
+    return merkle.differences(g, altered, changed, depth)
 
 
 def fixed_snapshot(spark, sf_dir):
@@ -304,7 +304,11 @@ QUERIES = {
         = 0), x AS (SELECT id, CASE WHEN d.approved IS NULL THEN 'unknown' WHEN d.approved <> t.approved THEN 'status' WHEN d.n <> t.n THEN 'labels'
         END AS fault FROM t LEFT JOIN d USING (id))
         SELECT id, 'missing' AS fault FROM d WHERE id NOT IN (SELECT id FROM t) UNION ALL SELECT * FROM x WHERE fault IS NOT NULL"""),
-    "tamper_check": (tamper_check, "SELECT count(*) AS rows, true AS same, false AS altered_same FROM customer"),
+    "tamper_check": (tamper_check, f"""WITH {G}, {b.merkle_sql("SELECT concat_ws(':', CAST(group_id AS VARCHAR), name, status) AS text FROM groups", 64)}
+        SELECT rows, digest, true AS same, false AS altered_same FROM root"""),
+    "tampered_rows": (tampered_rows, f"""WITH {G}, a AS (SELECT group_id, name, status, CASE WHEN group_id % 97 = 7 THEN 'altered' ELSE status END AS
+        later, group_id % 101 = 3 AS gone FROM groups) SELECT group_id, name, status, CAST(1 AS BIGINT) AS surplus FROM a WHERE gone OR later <> status
+        UNION ALL SELECT group_id, name, later, -1 FROM a WHERE NOT gone AND later <> status"""),
     "fixed_snapshot": (fixed_snapshot, f"""WITH {G}, x AS (SELECT status = 'approved' AND balance > 0 AS old, (status = 'approved' AND balance > 500)
         OR group_id % 50 = 0 AS new FROM groups)
         SELECT count(*) FILTER (WHERE old) AS before, count(*) FILTER (WHERE new) AS after, count(*) FILTER (WHERE old AND NOT new) AS gone, count(*)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from .. import bindings as b
 from ..functions import columns as c
-from ..operators import aggregates, windows
+from ..operators import aggregates, merkle, windows
+from ..operators import quantiles as exact_quantiles
 
 # --- joins ---
 
@@ -156,9 +157,10 @@ def status_map(spark, sf_dir):
 
 
 def ordered_fingerprint(spark, sf_dir):
-    """Of a control table: the nations, whose number is fixed."""
-    return aggregates.fingerprint(b.table(spark, sf_dir, "nation"), F.concat_ws(":", F.col("n_nationkey").cast("string"), "n_name"),
-        F.col("n_nationkey"))
+    """Of the groups, by the root of their tree: one digest that no order of rows changes."""
+    g = b.groups(spark, sf_dir)
+    return merkle.root(g, F.concat_ws(":", F.col("group_id").cast("string"), "name", "status"), leaf_rows=64).select(F.col("digest").alias("fingerprint"),
+        F.col("rows").alias("n"))
 
 
 def coverage_percent(spark, sf_dir):
@@ -169,8 +171,8 @@ def coverage_percent(spark, sf_dir):
 
 
 def quantiles(spark, sf_dir):
-    q = F.percentile("n_chars", F.array(F.lit(0.33), F.lit(0.66)))
-    return b.table(spark, sf_dir, "documents").agg(F.round(q[0], 6).alias("q33"), F.round(q[1], 6).alias("q66"))
+    q33, q66 = exact_quantiles.terciles(b.table(spark, sf_dir, "documents"), F.col("n_chars"))
+    return spark.createDataFrame([(round(q33, 6), round(q66, 6))], "q33 double, q66 double")
 
 
 def row_sizes(spark, sf_dir):
@@ -347,8 +349,8 @@ QUERIES = {
         GROUP BY 1"""),
     "status_map": (status_map, f"""WITH {J}, c AS (SELECT job_type, status, count(*) AS n FROM jobs GROUP BY 1, 2) SELECT job_type,
         '{{' || string_agg('"' || status || '":' || n, ',' ORDER BY status) || '}}' AS statuses FROM c GROUP BY 1"""),
-    "ordered_fingerprint": (ordered_fingerprint, """SELECT md5(string_agg(n_nationkey || ':' || n_name, ',' ORDER BY n_nationkey)) AS fingerprint,
-        count(*) AS n FROM nation"""),
+    "ordered_fingerprint": (ordered_fingerprint, "WITH " + G + ", " + b.merkle_sql("SELECT concat_ws(':', CAST(group_id AS VARCHAR), name, status) AS text FROM groups",
+        64) + " SELECT digest AS fingerprint, rows AS n FROM root"),
     "coverage_percent": (coverage_percent, f"""WITH {J} SELECT run_id, round(count(*) FILTER (WHERE status = 'completed') * 100.0 / count(*),
         4)::DOUBLE AS coverage, 100.0::DOUBLE AS empty_coverage FROM jobs GROUP BY 1"""),
     "quantiles": (quantiles, "SELECT round(quantile_cont(n_chars, 0.33), 6) AS q33, round(quantile_cont(n_chars, 0.66), 6) AS q66 FROM documents"),

@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 from .. import bindings as b
 from ..functions import columns as c
 from ..operators import embeddings as e
-from ..operators import media, sampling
+from ..operators import media, quantiles, sampling
 
 TARGET = 100
 
 
 def _population(spark, sf_dir):
     d = b.table(spark, sf_dir, "documents")
-    q = d.agg(F.percentile("n_chars", F.array(F.lit(0.33), F.lit(0.66))).alias("q"))
-    binned = d.crossJoin(F.broadcast(q)).withColumn("bin", c.three_bins(F.col("n_chars"), F.col("q")[0], F.col("q")[1]))  # a row of quantiles
+    q33, q66 = quantiles.terciles(d, F.col("n_chars"))
+    binned = d.withColumn("bin", c.three_bins(F.col("n_chars"), F.lit(q33), F.lit(q66)))
     return binned.select("doc_id", "lang", F.when(F.col("doc_id") % 4 == 0, "image").otherwise("text").alias("modality"), "bin", "n_chars",
         F.col("doc_id").alias("seq"), "source")
 
@@ -56,7 +56,9 @@ def chi2_pvalue(spark, sf_dir):
 
 
 def synthetic_posts(spark, sf_dir):
-    return sampling.synthetic_posts(spark, 500).select("post_id", "group_id", "subject", "modality", "text_length", "duration", "likes")
+    """As many made posts as there are orders, by their keys."""
+    ids = b.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    return sampling.synthetic_posts(ids).select("post_id", "group_id", "subject", "modality", "text_length", "duration", "likes")
 
 
 def vector_norm_report(spark, sf_dir):
@@ -139,7 +141,7 @@ QUERIES = {
         1.5)))) / 2 END, 6) AS p FROM score"""),
     "synthetic_posts": (synthetic_posts, """SELECT i + 10000 AS post_id, i % 50 + 1 AS group_id, (['cafe','retail','beauty','sport'])[i % 4 + 1] AS
         subject, (['text_only','text_image','text_video','trimodal'])[i % 4 + 1] AS modality, (i * 37) % 800 + 20 AS text_length, CASE WHEN i % 4 >= 2
-        THEN i % 120 + 5 ELSE 0 END AS duration, i % 100 AS likes FROM range(500) t(i)"""),
+        THEN i % 120 + 5 ELSE 0 END AS duration, i % 100 AS likes FROM (SELECT o_orderkey AS i FROM orders)"""),
     "vector_norm_report": (vector_norm_report, """WITH v AS (SELECT embedding, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE *
         x::DOUBLE))) AS n FROM embeddings) SELECT count(*) AS vectors, count(*) FILTER (WHERE len(list_filter(embedding, lambda x: isnan(x) OR
         isinf(x))) > 0) AS bad, count(*) FILTER (WHERE n < 1e-5) AS zero, bool_and(abs(n - 1) < 1e-3) AS unit_norms, round(avg(n), 6) AS mean_norm

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from engagelake.functions import columns as c
-from engagelake.operators import aggregates, embeddings, media, merge, sampling
+from engagelake.operators import aggregates, embeddings, media, merge, merkle, quantiles, sampling
 from engagelake.plans import canonical, monitoring
 
 
@@ -62,7 +62,7 @@ def test_mask(spark):
 
 
 def test_stratified_is_complete_and_deterministic(spark):
-    p = sampling.synthetic_posts(spark, 700)
+    p = sampling.synthetic_posts(spark.range(700))
     take = lambda: sampling.stratified(p, ["subject", "modality"], sampling.hash_sample_rank(42, "post_id"), "seq", 100)
     a, b = ({r.post_id for r in take().collect()} for _ in range(2))
     assert a == b and len(a) == 100
@@ -106,6 +106,41 @@ def test_moments_are_added_in_levels(spark, monkeypatch):
     assert n == 90 and np.allclose(s, x.sum(0)) and np.allclose(ss, x.T @ x)
 
 
+def test_exact_quantiles(spark):
+    r = np.random.default_rng(4)
+    cases = [r.normal(size=3000), np.repeat([1.0, 2.0, 5.0], [900, 1200, 700]), np.concatenate([np.zeros(2500), r.normal(size=400)]), np.array([7.0]),
+        np.array([1.0, 4.0]), np.arange(2000)[::-1].astype(float), np.concatenate([r.integers(0, 40, 1500), r.normal(20, 1e-9, 900)])]
+    probs = [0, 0.1, 0.33, 0.5, 0.66, 0.999, 1]
+    for x in cases:
+        df = spark.createDataFrame([(float(v),) for v in x] + [(None,)] * 3, "v double").repartition(5)
+        got = quantiles.exact(df, F.col("v"), probs, most=50, ranges=8)
+        assert np.allclose(got, np.quantile(x, probs), rtol=0, atol=1e-12), (got, np.quantile(x, probs))
+        assert got == quantiles.exact(df, F.col("v"), probs)
+    assert quantiles.exact(df.where("v is null"), F.col("v"), [0.5]) == [None] and quantiles.terciles(df.limit(0), F.col("v")) == (0.0, 0.0)
+
+
+def test_merkle_trees(spark, tmp_path):
+    df = spark.range(3000).selectExpr("id", "id % 7 as k", "if(id % 5 = 0, null, concat('v', id)) as v")
+    df = df.unionByName(df.where("id < 40")).unionByName(spark.range(500).selectExpr("cast(1 as bigint) id", "cast(1 as bigint) k", "'x' v"))
+    whole = merkle.root(df, leaf_rows=8).first()
+    assert whole.rows == 3540 and merkle.depth_for(3540, 8) == 3 and whole == merkle.root(df.repartition(7, "k"), leaf_rows=8).first()
+    for other in (df.where("id <> 77"), df.unionByName(df.where("id = 3")), df.withColumn("v", F.expr("if(id = 5, 'y', v)")),
+        df.withColumn("v", F.expr("if(id = 5, '', v)"))):
+        assert merkle.root(other, depth=3).first().digest != whole.digest
+    assert merkle.root(df.limit(0)).first().asDict() == {"digest": hashlib.sha256().hexdigest(), "rows": 0}
+    parts = {r.k: r.digest for r in merkle.root(df, by=["k"], leaf_rows=8).collect()}
+    assert len(parts) == 7 and parts[2] == merkle.root(df.where("k = 2"), depth=merkle.depth_for(433 + 500, 8)).first().digest
+    # going down: one changed row, one gone, one more of a row that was there already
+    other = df.where("id <> 99").withColumn("v", F.expr("if(id = 500, 'changed', v)")).unionByName(df.where("id = 2000"))
+    for name, x in (("a", df), ("b", other)):
+        merkle.save(x, str(tmp_path / name), 3)
+    assert spark.read.parquet(str(tmp_path / "a" / "level=0")).first().digest == whole.digest
+    leaves = merkle.changed_leaves(spark, str(tmp_path / "a"), str(tmp_path / "b"), 3)
+    assert 3 <= leaves.count() <= 4
+    got = {(r.id, r.v, r.surplus) for r in merkle.differences(df, other, leaves, 3).collect()}
+    assert got == {(99, "v99", 1), (500, None, 1), (500, "changed", -1), (2000, None, -1)}
+
+
 def test_fingerprint_is_bounded(spark):
     df = spark.range(30).selectExpr("id", "cast(id as string) as v")
     out = aggregates.fingerprint(df, F.col("v"), F.col("id"), most=30).first()
