@@ -11,8 +11,10 @@ of its error: pairs that the sketches leave open are decided on the vectors them
 
 How many passes are enough depends on how the vectors lie. Recall is therefore measured: beside a bounded sample of
 vectors (``PROBES``) probes are sorted in, each turned away from its vector just to the threshold, the
-hardest case. While fewer than a share of ``recall`` of them have met their vectors in a window, another round of passes
-follows with new hashes and twice the window, so that it ends at the latest when the window is the table.
+hardest case. In a crowd of more vectors than a window has, a probe cannot meet its own, and need not: components are compared whole, so that what
+counts there is whether all that its vector links with is in its component. That is tested on the vector's real links, against all vectors.
+While fewer than a share of ``recall`` of the probes pass, another round of passes follows with new hashes and twice the window,
+so that it ends at the latest when the window is the table.
 
 Vectors of one component are then compared block by block on the vectors themselves, so that every link within
 a component is counted, however large it is. Equal vectors are one throughout and count by their number.
@@ -193,7 +195,41 @@ def verified(links: DataFrame, classes: DataFrame, threshold: float) -> DataFram
     return links.where("sure").select("a", "b").unionByName(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
 
 
-def near_vectors(embeddings: DataFrame, threshold: float = 0.95, window: int = 256, miss: float = 0.005, recall: float = 0.995,
+def whole_in_crowds(classes: DataFrame, found: DataFrame, drawn: dict[int, tuple[np.ndarray, np.ndarray]], met: set[int], window: int,
+    threshold: float, recall: float) -> int:
+    """Of the sampled vectors whose probes have not met them, how many are in a component of over ``window`` vectors that holds a share of
+    ``recall`` of all vectors they link with."""
+    spark = classes.sparkSession
+    left = [int(r) for rid, _ in drawn.values() for r in rid if int(-1 - r) not in met]
+    sizes = found.groupBy("component").count().where(F.col("count") > window)
+    rows = found.join(F.broadcast(spark.createDataFrame([(r,) for r in left], "id long")), "id").join(sizes, "component").select("id",
+        "component").collect()  # PROBES at most
+    component = {r.id: r.component for r in rows}
+    asked = {d: (rid[keep], x[keep], np.array([component[r] for r in rid[keep].tolist()])) for d, (rid, x) in drawn.items() if (keep := np.array([r in
+        component for r in rid.tolist()])).any()}
+    if not asked:
+        return 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        linked, inside = ({d: np.zeros(len(rid), np.int64) for d, (rid, _, _) in asked.items()} for _ in range(2))
+        for b in batches:
+            dims = b.column("dim").to_numpy()
+            for d in asked.keys() & set(dims.tolist()):
+                own = b.filter(pa.array(dims == d))
+                x, of = matrix(own.column("v")), own.column("component").to_numpy()
+                for lo in range(0, len(x), 1024):
+                    near = x[lo : lo + 1024] @ asked[d][1].T >= threshold
+                    linked[d] += near.sum(0)
+                    inside[d] += (near & (of[lo : lo + 1024, None] == asked[d][2][None])).sum(0)
+        for d, (rid, _, _) in asked.items():
+            yield pa.RecordBatch.from_arrays([pa.array(rid), pa.array(linked[d]), pa.array(inside[d])], ["rid", "linked", "inside"])
+
+    placed = classes.join(found.withColumnRenamed("id", "rid"), "rid", "left").select("dim", "v", F.coalesce("component", F.lit(-1)).alias("component"))
+    sums = placed.mapInArrow(run, "rid long, linked long, inside long").groupBy("rid").agg(F.sum("linked").alias("linked"), F.sum("inside").alias("inside"))
+    return sums.where(F.col("inside") - 1 >= recall * (F.col("linked") - 1)).count()  # itself is no link
+
+
+def near_vectors(embeddings: DataFrame, threshold: float = 0.95, window: int = 256, miss: float = 0.002, recall: float = 0.995,
     seed: int = 23) -> DataFrame:
     """Per row of ``embeddings``: vec_id, n_links, component_id, kept.
 
@@ -214,7 +250,7 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.95, window: int = 2
     pivots = {d: x[:PIVOTS] for d, (_, x) in drawn.items()}
     points = shared.written(with_probes(classes, drawn, threshold, seed))
     probes, met = sum(len(rid) for d, (rid, _) in drawn.items() if d > 1), set()
-    passes, round_, edges = passes_for(vectors, window, threshold, miss), 0, None
+    passes, round_, edges, found = passes_for(vectors, window, threshold, miss), 0, None, None
     while True:
         links = shared.written(pass_links(points, pivots, passes, window, vectors, threshold, seed + round_))
         new = verified(links, classes, threshold)
@@ -222,8 +258,13 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.95, window: int = 2
         met |= {r.a for r in links.where("a < 0").select("a").distinct().collect()}  # PROBES at most
         if window >= vectors or len(met) >= recall * probes:
             break
-        round_, window = round_ + 1, window * 2
-    found = shared.written(graph.components(edges))
+        found = shared.written(graph.components(edges))
+        if len(met) + whole_in_crowds(classes, found, drawn, met, window, threshold, recall) >= recall * probes:
+            break
+        shared.dropped(embeddings.sparkSession, found)
+        found, round_, window = None, round_ + 1, window * 2
+    if found is None:
+        found = shared.written(graph.components(edges))
     shared.dropped(embeddings.sparkSession, points)
     members = found.withColumnRenamed("id", "rid").join(classes, "rid").select("component", "rid", "dim", "v", "copies")
     pairs = graph.block_pairs(members, ["component"], "rid")

@@ -845,6 +845,26 @@ def test_vectors_recall(spark, kind):
     assert want[::20].sum() > 40 and (found <= want).all() and found.sum() >= 0.98 * want.sum() and found[::20].sum() >= 0.95 * want[::20].sum()
 
 
+@pytest.mark.parametrize("partners", [0, 300])
+def test_a_crowd_takes_one_round(spark, monkeypatch, partners):
+    """A tight crowd of a quarter of all vectors, far more than a window, and vectors just within the threshold of some of them."""
+    r = np.random.default_rng(9)
+    crowd = unit(unit(r.normal(size=(1, 48))) + 0.011 * r.normal(size=(1500, 48)))
+    x = np.concatenate([unit(r.normal(size=(4500, 48))), crowd])
+    if partners:
+        x = np.concatenate([x, with_partners(r, crowd, partners, 0.957)[len(crowd) :], with_partners(r, x[:4500], partners, 0.957)[4500:]])
+    x = x[r.permutation(len(x))]
+    calls, before = [], vectors.pass_links
+    monkeypatch.setattr(vectors, "pass_links", lambda *a: (calls.append(a[3:5]), before(*a))[1])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {row.vec_id: row.n_links for row in vectors.near_vectors(df, window=64).collect()}
+    want = np.concatenate([(x[i : i + 1000] @ x.T >= 0.95).sum(1) - 1 for i in range(0, len(x), 1000)])
+    found = np.array([got[i] for i in range(len(x))])
+    assert len(calls) == 1, calls
+    assert (found <= want).all() and found.sum() >= 0.99 * want.sum()
+    assert (found[want > 0] > 0).mean() > 0.97
+
+
 def test_sketch_errors():
     r = np.random.default_rng(4)
     for d in (2, 3, 16, 300):
