@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..sources import files
+from . import media
 
 
 class Encoder(Protocol):
@@ -199,6 +200,20 @@ def dataset(posts: DataFrame, attachments: DataFrame, cache: DataFrame) -> DataF
     return posts.join(media, "post_id", "left").withColumns({"images": F.coalesce("images", none), "videos": F.coalesce("videos", none)})
 
 
+def decoded_dataset(posts: DataFrame, attachments: DataFrame, cache: DataFrame, files: DataFrame, most: int = 8) -> DataFrame:
+    """(post_id, kind, position, frame, height, width, pixels): the images and the key frames of the videos of posts, decoded and resized.
+
+    Media that cannot be found or decoded are left out, as ``dataset`` does; ``media.images`` and ``media.videos`` tell why. ``files`` are those of
+    ``media.opened``. Each file is decoded once, however many posts show it.
+    """
+    found = resolved(attachments, cache).where("path is not null").join(posts.select("post_id"), "post_id", "left_semi")
+    shown = found.select("path", F.col("type").alias("kind")).distinct()
+    of = lambda kind: files.join(shown.where(F.col("kind") == kind), "path", "left_semi")
+    keys = media.video_key_frames(of("video"), most=most).select("path", "frame")
+    frames = media.images(of("photo")).unionByName(media.videos(of("video")).join(keys, ["path", "frame"], "left_semi")).where("reason is null")
+    return found.join(frames, "path").select("post_id", F.col("type").alias("kind"), "position", "frame", "height", "width", "pixels")
+
+
 def provenance(df: DataFrame, key: str, **settings) -> DataFrame:
     """One row that says what a table came from: rows, least and largest key, a sum of row hashes that no order changes, and the settings as JSON."""
     made = F.to_json(F.struct(*(F.lit(v).alias(k) for k, v in sorted(settings.items())))) if settings else F.lit("{}")
