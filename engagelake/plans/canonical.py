@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import bindings as b
+from ..functions import columns as c
 from ..operators import aggregates
 
 TODAY = 200
@@ -54,20 +55,31 @@ TABLES = {
         "entity_type": "CASE o_orderkey % 2 WHEN 0 THEN 'group' ELSE 'user' END", "entity_id": "o_custkey",
         "status": "CASE WHEN o_orderstatus = 'F' THEN 'completed' WHEN o_orderkey % 4 = 0 THEN 'running' WHEN o_orderkey % 5 = 0 THEN 'retry_wait' WHEN o_orderkey % 6 = 0 THEN 'failed' ELSE 'pending' END",
         "locked_day": "CASE WHEN o_orderkey % 4 = 0 THEN o_orderkey % 220 END", "next_day": "CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey % 260 END",
-        "requests": "o_orderkey % 9", "inserted": "o_orderkey % 50", "updated": "o_orderkey % 20",
+        "requests": "o_orderkey % 9", "inserted": "o_orderkey % 50", "updated": "o_orderkey % 20", "attempts": "o_orderkey % 5",
+        "finished_day": "CASE WHEN o_orderstatus = 'F' OR o_orderkey % 6 = 0 THEN o_orderkey % 201 END",
+        "heartbeat_day": "CASE WHEN o_orderkey % 8 = 0 THEN o_orderkey % 210 END", "updated_day": "o_orderkey % 199",
     }),
     "runs": ("customer", "c_custkey <= 120", {
         "run_id": "c_custkey",
         "scope": "CASE c_custkey % 4 WHEN 0 THEN 'groups' WHEN 1 THEN 'subscriptions' WHEN 2 THEN 'pilot_groups' ELSE 'user_posts_pilot' END",
         "status": "CASE c_custkey % 6 WHEN 0 THEN 'completed' WHEN 1 THEN 'running' WHEN 2 THEN 'failed' WHEN 3 THEN 'planned' WHEN 4 THEN 'cancelled' ELSE 'completed_with_errors' END",
         "jobs": "c_custkey % 70", "failed_jobs": "c_custkey % 6", "config": "c_custkey % 3",
+        "created_day": "CASE WHEN c_custkey < 40 THEN 130 ELSE 0 END + c_custkey * 37 % 61",
+        "started_day": "CASE WHEN c_custkey % 6 <> 3 THEN 1 + c_custkey * 37 % 61 END",
+        "wakeup_day": "CASE WHEN c_custkey % 4 = 1 THEN 190 + c_custkey % 20 END",
+        "error": "CASE WHEN c_custkey % 6 = 2 THEN repeat('lost ', CAST(c_custkey AS INT)) END",
     }),
     "campaigns": ("customer", "c_custkey <= 30", {"campaign_id": "c_custkey",
     "kind": "CASE c_custkey % 5 WHEN 0 THEN 'subscriptions' WHEN 1 THEN 'user_posts' ELSE 'k' || CAST(c_custkey AS VARCHAR(9)) END",
-    "status": "CASE c_custkey % 3 WHEN 0 THEN 'completed' WHEN 1 THEN 'running' ELSE 'paused' END", "users": "c_custkey * 10"}),
+    "status": "CASE c_custkey % 3 WHEN 0 THEN 'completed' WHEN 1 THEN 'running' ELSE 'paused' END", "users": "c_custkey * 10",
+    "phase": "CASE c_custkey % 4 WHEN 0 THEN 'discovery' WHEN 1 THEN 'metadata' ELSE 'completed' END", "created_day": "c_custkey * 17 % 31",
+    "error": "CASE WHEN c_custkey % 7 = 0 THEN repeat('x', CAST(c_custkey * 30 AS INT)) END"}),
+    "method_states": ("customer", "TRUE", {"token": "c_custkey % 40", "method": "'m' || CAST(c_custkey % 7 AS VARCHAR(9))",
+    "blocked_day": "CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 260 END"}),
     "errors": ("events", "event_id % 3 = 0", {"endpoint": "event_type",
-    "category": "CASE event_id % 4 WHEN 0 THEN 'access' WHEN 1 THEN 'rate' ELSE 'network' END",
-    "code": "CASE WHEN event_id % 4 < 2 THEN 9 - event_id % 4 END", "number": "event_id", "run_id": "user_id"}),
+    "category": "CASE event_id % 4 WHEN 0 THEN 'access' WHEN 1 THEN 'rate' WHEN 2 THEN 'network' ELSE 'VK_Token' END",
+    "code": "CASE WHEN event_id % 4 < 2 THEN 9 - event_id % 4 END", "number": "event_id", "run_id": "user_id",
+    "created_day": "event_id % 201"}),
 }
 
 
@@ -245,6 +257,92 @@ def report_failed_jobs(spark, sf_dir):
     return j.select("scope", "job_type", "entity_type", "entity_id", "job_id").orderBy(F.desc("job_id")).limit(30)
 
 
+def report_latest_runs(spark, sf_dir):
+    """The ten latest runs, with the beginning of their error."""
+    r = rows(spark, sf_dir, "runs").orderBy(F.desc("created_day"), "run_id").limit(10)
+    return r.select("run_id", "scope", "status", "created_day", "started_day", "jobs", "failed_jobs", "wakeup_day",
+        F.left(F.coalesce("error", F.lit("")), F.lit(180)).alias("error"))
+
+
+def report_latest_campaigns(spark, sf_dir):
+    """The ten latest campaigns, with the beginning of their error."""
+    r = rows(spark, sf_dir, "campaigns").orderBy(F.desc("created_day"), "campaign_id").limit(10)
+    return r.select("campaign_id", "kind", "status", "phase", "created_day", F.left(F.coalesce("error", F.lit("")), F.lit(180)).alias("error"))
+
+
+def table_sizes(spark, sf_dir, most: int = 15) -> DataFrame:
+    """(relation, bytes, size, rows): the largest tables of a folder by the sizes of their files, which are not read but for their rows."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(sf_dir).select("path", "length")
+    relation = F.regexp_extract("path", r"/([^/]+)\.parquet(?:/[^/]+)?$", 1)
+    sizes = files.groupBy(relation.alias("relation")).agg(F.sum("length").alias("bytes")).where("relation <> ''")
+    names = [r.relation for r in sizes.orderBy(F.desc("bytes"), "relation").limit(most).select("relation").collect()]
+    counted = aggregates.labelled_counts(spark, **{n: b.table(spark, sf_dir, n) for n in names}).withColumnRenamed("name", "relation")
+    return sizes.join(counted.withColumnRenamed("n", "rows"), "relation").select("relation", "bytes", c.bytes_text(F.col("bytes")).alias("size"), "rows")
+
+
+def report_table_sizes(spark, sf_dir):
+    return table_sizes(spark, sf_dir)
+
+
+def report_database_size(spark, sf_dir):
+    """One row: bytes of all tables' files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(sf_dir).where("path like '%.parquet%'")
+    return files.agg(F.sum("length").alias("bytes")).select("bytes", c.bytes_text(F.col("bytes")).alias("size"))
+
+
+def chosen_run(runs: DataFrame, queue: DataFrame, explicit: int | None = None) -> DataFrame:
+    """One row: the run asked for, else a running one, else one with jobs to do, else any; of several the latest."""
+    open_ = queue.where("status in ('pending', 'retry_wait')").select("run_id").distinct().withColumn("open", F.lit(True))
+    first = F.when(F.col("run_id") == explicit, 0) if explicit is not None else F.when(F.lit(False), 0)
+    place = first.when(F.col("status") == "running", 1).when(F.col("open"), 2).otherwise(3)
+    return runs.join(open_, "run_id", "left").orderBy(place, F.desc("created_day"), "run_id").limit(1)
+
+
+def database_snapshot(spark, sf_dir, explicit: int | None = None, lease_days: int = 1):
+    """One row: the chosen run, its jobs by status, sums and clocks, its errors of a day, checks, and what is blocked and collected everywhere."""
+    runs, queue = rows(spark, sf_dir, "runs"), rows(spark, sf_dir, "queue")
+    run = chosen_run(runs, queue, explicit).select("run_id", F.col("status").alias("run_status"), F.col("error").alias("run_error"),
+        F.col("created_day").alias("run_created"))
+    own = queue.join(F.broadcast(run.select("run_id")), "run_id")  # of one row
+    s, day = F.col("status"), F.col("finished_day") >= TODAY - 1
+    at = lambda holds, x: F.coalesce(F.sum(F.when(holds, F.col(x))), F.lit(0)).cast("long")
+    counts = own.groupBy("status").count().agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "count"))))).alias("counts"))
+    totals = own.agg(*(at(F.lit(True), x).alias(n) for n, x in (("api_requests", "requests"), ("rows_inserted", "inserted"), ("rows_updated", "updated"))),
+        F.coalesce(F.sum(F.greatest(F.col("attempts") - 1, F.lit(0))), F.lit(0)).cast("long").alias("retries"),
+        F.max(F.when(s == "completed", F.col("finished_day"))).alias("last_completed"), F.max(F.when(F.col("requests") > 0,
+        F.col("updated_day"))).alias("last_api"), F.min(F.when(s == "retry_wait", F.col("next_day"))).alias("next_retry"),
+        F.count_if((s == "running") & (F.coalesce("heartbeat_day", "locked_day", "updated_day") < TODAY - lease_days)).alias("stale_running"),
+        F.count_if(day & (s == "completed")).alias("completed_24h"), at(day, "requests").alias("api_24h"), at(day, "inserted").alias("inserted_24h"),
+        at(day, "updated").alias("updated_24h"))
+    late = F.col("created_day") >= TODAY - 1
+    errors = rows(spark, sf_dir, "errors").join(F.broadcast(run.select("run_id")), "run_id").agg(F.count_if(late).alias("errors_24h"),
+        F.count_if(late & F.col("category").rlike("(?i)(auth|token)")).alias("auth_24h"),
+        F.count_if(late & F.col("category").rlike("(?i)(rate|limit|flood)")).alias("rate_24h"))
+    unique = None
+    for table, keys in ((b.posts(spark, sf_dir), ["post_id"]), (rows(spark, sf_dir, "memberships"), ["user_id", "group_id"]),
+        (rows(spark, sf_dir, "subscriptions"), ["user_id", "community_id"])):
+        one = aggregates.duplicates(table, *keys).select((F.col("duplicates") == 0).cast("long").alias("u"))
+        unique = one if unique is None else unique.unionByName(one)
+    rejected = own.where("entity_type = 'group'").join(rows(spark, sf_dir, "candidates").where("status = 'rejected'").select(F.col("group_id").alias("entity_id")),
+        "entity_id", "left_semi").agg(F.count("*").alias("rejected_jobs"))
+    active = runs.agg(F.count_if(s.isin("planned", "running", "waiting_method_limit")).alias("active_runs"))
+    blocked = F.col("blocked_day") > TODAY
+    methods = rows(spark, sf_dir, "method_states").agg(F.count_if(blocked).alias("blocked_token_methods"),
+        F.min(F.when(blocked, F.col("blocked_day"))).alias("next_method_retry"))
+    people = rows(spark, sf_dir, "subscription_states").agg(F.count_if(F.col("terminal") == "privacy_or_access").alias("private_subscriptions"),
+        F.count("last_success").alias("subscription_users"))
+    links = rows(spark, sf_dir, "subscriptions").agg(F.count("*").alias("subscription_links"))
+    communities = rows(spark, sf_dir, "communities").agg(F.count("*").alias("communities"))
+    posted = b.posts(spark, sf_dir).agg(F.count_distinct("group_id").alias("communities_with_posts"))
+    jobs = queue.where("job_type = 'posts'").agg(F.count_if(s.isin("pending", "retry_wait")).alias("post_jobs_pending"), F.count_if(s == "completed").alias(
+        "post_jobs_completed"), F.count_if(s == "failed").alias("post_jobs_failed"))
+    out = run
+    for part in (counts, totals, errors, unique.agg(F.sum("u").alias("uniqueness_constraints")), rejected, active, methods, people, links, communities,
+        posted, jobs):
+        out = out.crossJoin(part)  # a row each
+    return out
+
+
 # --- capacity of user posts ---
 
 # Bytes of rows, the reserve, and the limit of the database.
@@ -395,5 +493,42 @@ QUERIES = {
         category, coalesce(code, 0) AS code, number, run_id FROM errors ORDER BY endpoint, category, coalesce(code, 0), number DESC"""),
     "report_failed_jobs": (report_failed_jobs, f"""WITH {sql('queue', 'runs')} SELECT scope, job_type, entity_type, entity_id, job_id FROM queue JOIN
         runs USING (run_id) WHERE queue.status = 'failed' ORDER BY job_id DESC LIMIT 30"""),
+    "report_latest_runs": (report_latest_runs, f"""WITH {sql('runs')} SELECT run_id, scope, status, created_day, started_day, jobs, failed_jobs, wakeup_day,
+        substr(coalesce(error, ''), 1, 180) AS error FROM runs ORDER BY created_day DESC, run_id LIMIT 10"""),
+    "report_latest_campaigns": (report_latest_campaigns, f"""WITH {sql('campaigns')} SELECT campaign_id, kind, status, phase, created_day,
+        substr(coalesce(error, ''), 1, 180) AS error FROM campaigns ORDER BY created_day DESC, campaign_id LIMIT 10"""),
+    "report_table_sizes": (report_table_sizes, None),
+    "report_database_size": (report_database_size, None),
+    "database_snapshot": (database_snapshot, f"""WITH {sql('runs', 'queue', 'errors', 'memberships', 'subscriptions', 'candidates', 'method_states', 'subscription_states', 'communities')},
+        chosen AS (SELECT * FROM runs r ORDER BY CASE WHEN status = 'running' THEN 1 WHEN EXISTS (SELECT 1 FROM queue j WHERE j.run_id = r.run_id AND
+        j.status IN ('pending', 'retry_wait')) THEN 2 ELSE 3 END, created_day DESC, run_id LIMIT 1),
+        own AS (SELECT j.* FROM queue j, chosen r WHERE j.run_id = r.run_id), counts AS (SELECT status, count(*) AS n FROM own GROUP BY 1),
+        dup(n) AS (SELECT count(*) - count(DISTINCT o_orderkey) FROM orders UNION ALL SELECT count(*) - count(DISTINCT (user_id, group_id)) FROM memberships
+        UNION ALL SELECT count(*) - count(DISTINCT (user_id, community_id)) FROM subscriptions)
+        SELECT r.run_id, r.status AS run_status, r.error AS run_error, r.created_day AS run_created,
+        (SELECT '{{' || coalesce(string_agg('"' || status || '":' || n, ',' ORDER BY status), '') || '}}' FROM counts) AS counts,
+        t.*, e.*, (SELECT count(*) FROM dup WHERE n = 0) AS uniqueness_constraints,
+        (SELECT count(*) FROM own WHERE entity_type = 'group' AND entity_id IN (SELECT group_id FROM candidates WHERE status = 'rejected')) AS rejected_jobs,
+        (SELECT count(*) FROM runs WHERE status IN ('planned', 'running', 'waiting_method_limit')) AS active_runs,
+        (SELECT count(*) FROM method_states WHERE blocked_day > {TODAY}) AS blocked_token_methods,
+        (SELECT min(blocked_day) FROM method_states WHERE blocked_day > {TODAY}) AS next_method_retry,
+        (SELECT count(*) FROM subscription_states WHERE terminal = 'privacy_or_access') AS private_subscriptions,
+        (SELECT count(*) FROM subscription_states WHERE last_success IS NOT NULL) AS subscription_users,
+        (SELECT count(*) FROM subscriptions) AS subscription_links, (SELECT count(*) FROM communities) AS communities,
+        (SELECT count(DISTINCT o_custkey) FROM orders) AS communities_with_posts,
+        (SELECT count(*) FROM queue WHERE job_type = 'posts' AND status IN ('pending', 'retry_wait')) AS post_jobs_pending,
+        (SELECT count(*) FROM queue WHERE job_type = 'posts' AND status = 'completed') AS post_jobs_completed,
+        (SELECT count(*) FROM queue WHERE job_type = 'posts' AND status = 'failed') AS post_jobs_failed
+        FROM chosen r, (SELECT CAST(coalesce(sum(requests), 0) AS BIGINT) AS api_requests, CAST(coalesce(sum(inserted), 0) AS BIGINT) AS rows_inserted,
+        CAST(coalesce(sum(updated), 0) AS BIGINT) AS rows_updated, CAST(coalesce(sum(greatest(attempts - 1, 0)), 0) AS BIGINT) AS retries,
+        max(finished_day) FILTER (WHERE status = 'completed') AS last_completed, max(updated_day) FILTER (WHERE requests > 0) AS last_api,
+        min(next_day) FILTER (WHERE status = 'retry_wait') AS next_retry, count(*) FILTER (WHERE status = 'running' AND coalesce(heartbeat_day, locked_day,
+        updated_day) < {TODAY - 1}) AS stale_running, count(*) FILTER (WHERE finished_day >= {TODAY - 1} AND status = 'completed') AS completed_24h,
+        CAST(coalesce(sum(requests) FILTER (WHERE finished_day >= {TODAY - 1}), 0) AS BIGINT) AS api_24h, CAST(coalesce(sum(inserted) FILTER (WHERE
+        finished_day >= {TODAY - 1}), 0) AS BIGINT) AS inserted_24h, CAST(coalesce(sum(updated) FILTER (WHERE finished_day >= {TODAY - 1}), 0) AS BIGINT)
+        AS updated_24h FROM own) t,
+        (SELECT count(*) FILTER (WHERE x.created_day >= {TODAY - 1}) AS errors_24h, count(*) FILTER (WHERE x.created_day >= {TODAY - 1} AND category ~*
+        '.*(auth|token).*') AS auth_24h, count(*) FILTER (WHERE x.created_day >= {TODAY - 1} AND category ~* '.*(rate|limit|flood).*') AS rate_24h
+        FROM errors x, chosen c WHERE x.run_id = c.run_id) e"""),
     "user_posts_projection": (user_posts_projection, _CAPACITY),
 }

@@ -47,3 +47,26 @@ def test_files_and_bundles(spark, tmp_path):
     records.write_bundle(v, m, spark.createDataFrame([(3, "text", "empty")], "post_id long, stage string, message string"), str(tmp_path / "bundle"))
     assert {(r.post_id, r.subject, r.embedding[0]) for r in records.read_bundle(spark, str(tmp_path / "bundle")).collect()} == {(1, "a", 0.0),
         (2, "b", 1.0)}
+
+
+def test_sizes_of_tables_are_those_of_their_files(spark, sf_dir):
+    import os
+
+    from engagelake.plans import canonical
+
+    want = {f[:-8]: os.path.getsize(f"{sf_dir}/{f}") for f in os.listdir(sf_dir) if f.endswith(".parquet") and os.path.isfile(f"{sf_dir}/{f}")}
+    got = {r.relation: (r.bytes, r.rows, r.size) for r in canonical.table_sizes(spark, sf_dir).collect()}
+    if want:
+        assert {k: v[0] for k, v in got.items()} == want
+        assert canonical.report_database_size(spark, sf_dir).first().bytes == sum(want.values())
+    assert got["nation"][1] == 25 and got["orders"][1] == 1500 and all(v[2] for v in got.values())
+
+
+def test_the_chosen_run(spark):
+    from engagelake.plans import canonical
+
+    runs = spark.createDataFrame([(1, "completed", 9), (2, "running", 1), (3, "paused", 5), (4, "running", 3)], "run_id long, status string, created_day long")
+    queue = spark.createDataFrame([(3, "pending"), (1, "completed")], "run_id long, status string")
+    pick = lambda r, **k: canonical.chosen_run(r, queue, **k).first().run_id
+    assert pick(runs) == 4 and pick(runs, explicit=1) == 1 and pick(runs, explicit=77) == 4
+    assert pick(runs.where("status <> 'running'")) == 3 and pick(runs.where("status = 'completed'")) == 1
