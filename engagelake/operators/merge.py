@@ -49,6 +49,17 @@ def replace_sets(target: DataFrame, source: DataFrame, owner: list[str]) -> Data
     return target.join(source.select(*owner).distinct(), owner, "left_anti").unionByName(source)
 
 
+def replace_positions(target: DataFrame, source: DataFrame, owner: list[str], position: str, policy: Mapping[str, str]) -> DataFrame:
+    """Lists of owners that ``source`` names: its positions are merged in by ``policy``, and those beyond its length are gone.
+
+    Positions of a list go from 0 on. An owner whose list is empty is named by one row of a null position: all its rows go.
+    """
+    sizes = source.groupBy(*owner).agg(F.count(position).alias("size_"))
+    merged = merge(target, source.where(F.col(position).isNotNull()), [*owner, position], policy)
+    kept = merged.join(sizes, owner, "left").where(F.col("size_").isNull() | (F.col(position) < F.col("size_")))
+    return kept.select(*target.columns)
+
+
 def close_snapshot(target: DataFrame, complete: DataFrame, owner: str, this_run: Column, current: str = "is_current", run: str = "source_run",
     nulls: bool = False) -> DataFrame:
     """Rows of owners whose walk was complete, and that this run did not touch, are no longer current.

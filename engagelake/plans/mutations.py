@@ -100,6 +100,18 @@ def attachments_replace(spark, sf_dir):
         F.round(F.sum("quantity"), 4).alias("quantity"))
 
 
+def attachments_upsert(spark, sf_dir):
+    """Lists of attachments that have grown, shrunk or become empty: positions are upserted, those beyond the new length go."""
+    pos = F.col("l_linenumber") - 1
+    old = b.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("post_id"), pos.alias("position")).agg(F.max("l_quantity").alias("quantity"),
+        F.min("l_partkey").alias("part"))
+    n = F.when(F.col("post_id") % 6 == 0, 0).when(F.col("post_id") % 6 == 1, 2).otherwise(F.col("post_id") % 9)
+    posts = b.posts(spark, sf_dir).where("kind = 'F'").select("post_id", n.cast("int").alias("n"))
+    new = posts.select("post_id", F.explode_outer(F.when(F.col("n") > 0, F.sequence(F.lit(0), F.col("n") - 1))).alias("position"))
+    new = new.select("post_id", F.col("position"), F.lit(7.5).alias("quantity"), (F.col("post_id") + F.col("position")).alias("part"))
+    return m.replace_positions(old, new, ["post_id"], "position", {"quantity": "take", "part": "coalesce"})
+
+
 def bulk_update(spark, sf_dir):
     decisions = b.groups(spark, sf_dir).where("balance > 5000").select("group_id", F.lit("approved").alias("new_status"))
     return b.groups(spark, sf_dir).join(decisions, "group_id", "left").select("group_id", F.coalesce("new_status", "status").alias("status"))
@@ -175,6 +187,11 @@ QUERIES = {
         AS (SELECT l_orderkey, l_linenumber, q * 10 AS q FROM o WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') AND
         l_linenumber <= 2), u AS (SELECT * FROM o WHERE l_orderkey NOT IN (SELECT l_orderkey FROM n) UNION ALL SELECT * FROM n) SELECT l_linenumber,
         count(*) AS n, round(sum(q), 4) AS quantity FROM u GROUP BY 1"""),
+    "attachments_upsert": (attachments_upsert, f"""WITH {b.POSTS_SQL}, o AS (SELECT l_orderkey AS post_id, l_linenumber - 1 AS position, max(l_quantity) AS
+        quantity, min(l_partkey) AS part FROM lineitem GROUP BY 1, 2), w AS (SELECT post_id, CAST(CASE post_id % 6 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE post_id % 9
+        END AS INT) AS n FROM posts WHERE kind = 'F'), new AS (SELECT post_id, CAST(unnest(range(n)) AS INT) AS position FROM w)
+        SELECT post_id, position, 7.5::DOUBLE AS quantity, post_id + position AS part FROM new
+        UNION ALL SELECT o.* FROM o WHERE post_id NOT IN (SELECT post_id FROM w)"""),
     "bulk_update": (bulk_update, f"""WITH {b.GROUPS_SQL} SELECT group_id, CASE WHEN balance > 5000 THEN 'approved' ELSE status END AS status FROM
         groups"""),
     "erase_cascade": (erase_cascade, f"""WITH {b.EDGES_SQL}, gone AS (SELECT c_custkey FROM customer WHERE c_acctbal < -900) SELECT 'posts' AS name,

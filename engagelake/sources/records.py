@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import files
+
 POST = "post_id bigint, group_id bigint, community_vk_id bigint, subject string, published_at timestamp, text string, modality_profile string, attachments array<struct<position:int,attachment_type:string,width:int,height:int,external_url:string>>"
 DECISION = "batch_id string, approved_group_ids array<bigint>, results array<struct<group_id:bigint,status:string,labels:array<string>,confidence:double>>"
 
@@ -60,10 +64,33 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).where("length > 0").select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
-def write_bundle(vectors: DataFrame, metadata: DataFrame, failures: DataFrame, path: str, key: str = "post_id") -> None:
-    """A bundle: vectors with their metadata, joined by key (never by position), and the failures beside them."""
+#: The reports that a bundle can have.
+REPORTS = ("run_config", "sampling_report", "embedding_quality_report", "video_calibration_report")
+
+
+def write_bundle(vectors: DataFrame, metadata: DataFrame, failures: DataFrame, path: str, key: str = "post_id", **reports: DataFrame | dict) -> None:
+    """A bundle: vectors with their metadata, joined by key (never by position), and beside them the failures and the reports of the run.
+
+    ``reports``: run_config, sampling_report, embedding_quality_report, video_calibration_report, each a dictionary or a table of (measure, value) or of one
+    row; a report that is not given has no file. ``manifest.json`` comes last and names what there is: a bundle without it is not complete.
+    """
+    spark = vectors.sparkSession
+    if wrong := set(reports) - set(REPORTS):
+        raise ValueError(f"unknown reports: {sorted(wrong)}")
     metadata.join(vectors, key).write.parquet(f"{path}/embeddings")
     failures.write.json(f"{path}/failures")
+    for name, report in reports.items():
+        if isinstance(report, DataFrame):
+            rows = report.limit(10_000).collect()
+            report = {r.measure: r.value for r in rows} if report.columns == ["measure", "value"] else rows[0].asDict(True)
+        files.put_new(spark, f"{path}/{name}.json", json.dumps(report, ensure_ascii=False, indent=2, sort_keys=True, default=str))
+    written = spark.read.parquet(f"{path}/embeddings")
+    files.put_new(spark, f"{path}/manifest.json", json.dumps({"rows": written.count(), "reports": sorted(reports)}))
+
+
+def read_report(spark: SparkSession, path: str, name: str) -> dict | None:
+    """A report of a bundle, None if it has none."""
+    return json.loads(files.text_of(spark, f"{path}/{name}.json")) if files.exists(spark, f"{path}/{name}.json") else None
 
 
 def read_bundle(spark: SparkSession, path: str) -> DataFrame:
