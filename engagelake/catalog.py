@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("scalars", "relational", "mutations", "statistics", "stateful", "reports", "planning", "monitoring", "canonical", "exports", "curation")
+MODULES = ("scalars", "relational", "mutations", "statistics", "stateful", "reports", "planning", "monitoring", "canonical", "exports", "curation", "capacity")
 
 
 def _all() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from engagelake.functions import columns as c
 from engagelake.operators import aggregates, embeddings, media, merge, merkle, quantiles, sampling
-from engagelake.plans import canonical, monitoring
+from engagelake.plans import canonical, capacity, monitoring
 
 
 def test_merge_policies(spark):
@@ -166,6 +166,56 @@ def test_capacity_of_user_posts(spark):
     assert d.reasons == "due_users,measured_users,growth_bytes,disk_free,disk_warning"
 
 
+def test_aggregate_capacity_by_known_numbers(spark):
+    """20,000 users at 200,000,000 bytes for 10,000; then a disk that must keep a reserve."""
+    names = ("snapshot_users", "resolved_users", "due_users", "heap_bytes", "key_bytes", "target_users", "target_growth", "reserve", "database_bytes", "disk_total",
+        "disk_free", "disk_warning", "disk_stop")
+    gib = 1024**3
+    first = (20_000, 0, 20_000, 64 * 20_000, 48 * 20_000, 10_000, 200_000_000, 1.30, 1_000_000_000, 10 * gib)
+    plans = spark.createDataFrame([(*first, 3 * gib, True, False), (*first, 8 * gib, False, False), (None, 0, 20_000, None, None, None, None, None, 1, 10 * gib,
+        8 * gib, False, False)], ", ".join(f"{n} {'double' if n == 'reserve' else 'boolean' if n in names[-2:] else 'long'}" for n in names))
+    rejected, passed, empty = sorted(capacity.aggregate_capacity(plans).collect(), key=lambda r: (r.snapshot_users is None, r.disk_free))
+    assert rejected.discovery_growth == 400_000_000 and rejected.decision == "rejected" and rejected.reasons == ["disk_warning"]
+    assert (passed.decision, passed.snapshot_growth, passed.growth, passed.reserve_factor) == ("passed", 2_912_000, 402_912_000, 1.30)
+    assert empty.growth == 0 and set(empty.reasons) == {"negative_counts", "counts_do_not_add_up", "no_target", "no_growth_measured"}
+    tight = spark.createDataFrame([(10_000, 0, 10_000, 640_000, 480_000, 10_000, 2 * gib, 1.30, 2 * gib, 10 * gib, 3 * gib, False, False)], plans.schema)
+    one = capacity.aggregate_capacity(tight, warning_percent=95, safe_bytes=8 * gib, min_free=2 * gib).first()
+    assert one.available == gib and one.decision == "rejected" and one.additional > 0
+
+
+def test_monitoring_reads_missing_fields(spark):
+    """A probe that fails is an alarm, not silence: each field of a healthy snapshot set to null, and a snapshot of nothing."""
+    well = {c: F.expr(e) for c, e in {"pg_present": "true", "pg_status": "'running'", "worker_present": "true", "worker_status": "'running'", "available": "true",
+        "run_status": "'running'", "active_runs": "1", "subscriptions_enabled": "true", "constraints_found": "3", "schema_head": "'h'", "schema_revision": "'h'",
+        "run_changed": "false", "pending": "1", "stalled_minutes": "99", "worker_health": "''", "tg_present": "true", "tg_readable": "true", "tg_count": "1",
+        "vk_present": "true", "vk_readable": "true", "vk_count": "1", "runner_active": "true", "runner_enabled": "true", "runner_pid": "5",
+        "backup_verified": "true"}.items()}
+    raised = {"pg_present": {"postgres.absent"}, "pg_status": {"postgres.stopped"}, "worker_status": {"worker.stopped"}, "worker_present": {"worker.absent"},
+        "available": {"database.unavailable"}, "active_runs": {"collection.no_active_run"}, "constraints_found": {"database.uniqueness_constraints"},
+        "schema_revision": {"database.alembic"}, "tg_present": {"telegram.token_missing"}, "tg_readable": {"telegram.token_permission"},
+        "tg_count": {"telegram.token_empty"}, "vk_present": {"vk.tokens_missing"}, "vk_readable": {"vk.tokens_permission"}, "vk_count": {"vk.tokens_empty"},
+        "runner_active": {"runner.inactive"}, "runner_enabled": {"runner.disabled"}, "runner_pid": {"runner.not_listening"},
+        "backup_verified": {"backup.unverified"}}
+    silent = {"worker_status", "worker_health", "available", "run_status", "pending", "stalled_minutes"}  # nothing to tell a stall from
+    base, df = spark.range(1), None
+    for k, field in enumerate([None, *well]):
+        row = base.select(F.lit(k).cast("long").alias("id"), *(F.lit(None).cast("string" if c in ("pg_status", "worker_status", "run_status", "schema_head",
+            "schema_revision", "worker_health") else "long" if c in ("active_runs", "constraints_found", "pending", "stalled_minutes", "tg_count", "vk_count",
+            "runner_pid") else "boolean").alias(c) if c == field else e.alias(c) for c, e in well.items()))
+        df = row if df is None else df.unionByName(row)
+    got = {}
+    for r in monitoring.evaluated(df).collect():
+        got.setdefault(r.id, set()).add(r.key)
+    for k, field in enumerate([None, *well]):
+        want = raised.get(field, set()) | (set() if field in silent else {"collection.stalled"})
+        assert got.get(k, set()) == want, field
+    nothing = {r.key for r in monitoring.evaluated(base).collect()}
+    assert nothing == {"postgres.absent", "worker.absent", "database.unavailable", "telegram.token_missing", "vk.tokens_missing", "runner.inactive",
+        "runner.disabled", "backup.unverified"}
+    strict = {r.key for r in monitoring.evaluated(df.where("id = 0"), {"stall_minutes": 100}).collect()}
+    assert strict == set()
+
+
 def test_monitoring_rules_one_by_one(spark):
     """A healthy snapshot has no issue; each change of a field raises its issues and no other."""
     well = dict(
