@@ -33,6 +33,13 @@ def spread_join(rows: DataFrame, sums: DataFrame, keys: list[str], size: str, to
     return tagged.where("heavy_").select(*columns).unionByName(rest.select(*columns))
 
 
+def spread_anti(rows: DataFrame, sums: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """``rows`` whose key is not in ``sums``, which counts the rows of its keys in ``size``; rows of heavy keys go where they lie."""
+    least = max(HEAVY, total // HEAVY_KEYS)
+    heavy = F.broadcast(sums.where(F.col(size) > least).select(*keys))
+    return rows.join(heavy, keys, "left_anti").join(sums.where(F.col(size) <= least).select(*keys), keys, "left_anti")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) for every end of ``edges`` (a long, b long); the component is its least id.
 

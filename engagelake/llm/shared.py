@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 import tempfile
 import uuid
@@ -81,6 +82,22 @@ def sweep(spark: SparkSession, since: int, keep: DataFrame) -> None:
     dropped(spark, *(p for p in _tables[since:] if p != keep.written_to))
 
 
+@contextlib.contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Drops, at its end, the tables that operators have written inside: results are lazy and read them, so that a result is used or written within.
+
+    ::
+
+        with shared.scope(spark):
+            substring.substring_dedup(documents).write.parquet(path)
+    """
+    since = mark()
+    try:
+        yield
+    finally:
+        dropped(spark, *_tables[since:])
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

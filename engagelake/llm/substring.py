@@ -173,12 +173,12 @@ def judged(distinct: DataFrame) -> DataFrame:
         half = (WIDTH - gram + 1) // 2
         sizes = texts.groupBy("key").agg(F.count(F.lit(1)).alias("texts"))
         wide = sizes.where(F.col("texts") > SHARD) if half else sizes.limit(0)  # a run of all words has one text
-        found = through_automata(texts.join(wide.select("key"), "key", "left_anti"))
+        found = through_automata(graph.spread_anti(texts, wide, ["key"], "texts", texts.count()))
         if out is None:  # whole segments, each of them a text
             out = found.select(F.col("sub").alias("content"), "mask", "again")
         else:
-            found = found.join(texts.select("key", "sub", F.struct("ord", "text_key", "at").alias("of")), ["key", "sub"])
-            some = pieces.join(found, ["key", "sub"]).select("content", "k0", "n", (F.struct("ord", "text_key", "at") == F.col("of")).alias("first"),
+            found = found.join(texts.select("key", "sub", F.struct("ord", "text_key", "at").alias("of"), "copies"), ["key", "sub"])
+            some = graph.spread_join(pieces, found, ["key", "sub"], "copies", pieces.count()).select("content", "k0", "n", (F.struct("ord", "text_key", "at") == F.col("of")).alias("first"),
                 "mask", "again")
             parts = some if parts is None else parts.unionByName(some)
         if not half or not wide.take(1):
@@ -186,8 +186,8 @@ def judged(distinct: DataFrame) -> DataFrame:
         many = graph.spread_join(pieces, wide, ["key"], "texts", pieces.count())
         pieces = shared.written(refined(many, gram, half))
         place = F.min(F.struct("ord", "text_key", "at"))
-        texts = shared.written(pieces.groupBy("key", "sub").agg(place.alias("first"), F.max("body").alias("body")).select("key", "sub", "first.*",
-            "body"))
+        texts = shared.written(pieces.groupBy("key", "sub").agg(place.alias("first"), F.max("body").alias("body"), F.count("*").alias("copies")).select("key",
+            "sub", "first.*", "body", "copies"))
         gram += half
 
 

@@ -379,7 +379,7 @@ def many_spans(segments_: DataFrame, buckets: int) -> DataFrame:
         pieces, gram = shared.written(refined(rows, gram, half)), gram + half
         sizes = pieces.groupBy("anchor").agg(F.countDistinct("content").alias("texts"), F.count(F.lit(1)).alias("rows"))
         wide = sizes.where(F.col("texts") > SHARD) if gram < WIDTH else sizes.limit(0)
-        spans = shard_spans(pieces.join(wide.select("anchor"), "anchor", "left_anti"), buckets)
+        spans = shard_spans(graph.spread_anti(pieces, wide, ["anchor"], "rows", pieces.count()), buckets)
         out = spans if out is None else out.unionByName(spans)
         if gram == WIDTH or not wide.take(1):
             return out

@@ -115,3 +115,29 @@ def test_tables_are_swept(spark):
     except Exception as gone:
         assert "PATH_NOT_FOUND" in str(gone)
     shared.dropped(spark, one, three)
+
+
+def test_a_scope_leaves_no_tables(spark, sf_dir, tmp_path):
+    import os
+
+    from engagelake.llm import registry, shared
+
+    folder = shared.shared_dir(spark).removeprefix("file:")
+    before = {n for n in os.listdir(folder) if n.startswith("engagelake-")}
+    for name in ("op3_substring_dedup", "op4_ngram_jaccard_join", "op12_nearest_neighbours", "op13_prefix_trie"):
+        with shared.scope(spark):
+            registry.queries()[name](spark, sf_dir).write.parquet(str(tmp_path / name))
+        assert {n for n in os.listdir(folder) if n.startswith("engagelake-")} == before, name
+        assert spark.read.parquet(str(tmp_path / name)).count() > 0
+
+
+def test_spread_anti(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from engagelake.llm import graph
+
+    monkeypatch.setattr(graph, "HEAVY", 5)
+    rows = spark.range(200).select(F.when(F.col("id") < 90, 0).otherwise(F.col("id") % 20).alias("k"), "id")
+    sums = rows.groupBy("k").agg(F.count("*").alias("n")).where("k in (0, 3, 7)")
+    got = sorted(r.id for r in graph.spread_anti(rows, sums, ["k"], "n", 200).collect())
+    assert got == sorted(r.id for r in rows.where("k not in (0, 3, 7)").collect())
