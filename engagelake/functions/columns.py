@@ -153,3 +153,9 @@ def norm(v: Column) -> Column:
 def unit(v: Column, least: float = 1e-12) -> Column:
     n = F.greatest(norm(v), F.lit(least))
     return F.transform(v, lambda x: x.cast("double") / n)
+
+
+def counter(raw: Column, name: str) -> Column:
+    """The count of a counter {name: {count: n}} of a JSON text; 0 where it is missing, no object or no whole number."""
+    text = F.get_json_object(raw, f"$.{name}.count")
+    return F.when(text.rlike(r"^-?\d{1,18}$"), text.try_cast("bigint")).otherwise(0)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import bindings as b
 from ..functions import columns as c
 from ..operators import windows
+from ..sources import paged
 
 READY = ("pending", "retry_wait")
 
@@ -177,6 +178,22 @@ def page_walk(spark, sf_dir):
         ((F.col("page") + 1) * size >= F.col("total")).alias("complete"))
 
 
+def wall_pages(spark, sf_dir, size: int = 3):
+    """Pages of the groups' walls as they have landed: some walls say that they are shorter than they are, and some pages are lost."""
+    w = W.partitionBy("group_id").orderBy(F.desc("published"), "post_id")
+    rows = b.posts(spark, sf_dir).select("group_id", (F.row_number().over(w) - 1).alias("k"))
+    pages = rows.groupBy(F.col("group_id").cast("string").alias("target"), (F.floor(F.col("k") / size) * size).alias("offset")).agg(F.count("*").alias("items"))
+    n = b.posts(spark, sf_dir).groupBy(F.col("group_id").cast("string").alias("target"), "group_id").agg(F.count("*").alias("n"))
+    x = pages.join(n, "target").where(~((F.col("group_id") % 7 == 0) & (F.col("offset") == size)))
+    return x.select("target", "offset", F.lit(size).cast("long").alias("asked"), "items", (F.col("n") - F.when(F.col("group_id") % 5 == 0,
+        2).otherwise(0)).alias("total"))
+
+
+def walked_pages(spark, sf_dir):
+    """The pages that the walks over the walls take, by the stop rules, and why each walk ends."""
+    return paged.walked(wall_pages(spark, sf_dir), maximum=12)
+
+
 def tumbling_counts(spark, sf_dir):
     """Beyond the reference: events in windows of six hours."""
     w = F.window(F.col("ts").cast("timestamp"), "6 hours")
@@ -241,6 +258,13 @@ QUERIES = {
     "page_walk": (page_walk, """WITH n AS (SELECT o_custkey AS group_id, count(*) AS total FROM orders GROUP BY 1), p AS (SELECT group_id, total,
         unnest(range((total + 3) // 4)) AS page FROM n) SELECT group_id, page, page * 4 AS offset, least(4, total - page * 4) AS rows, (page + 1) * 4
         >= total AS complete FROM p"""),
+    "walked_pages": (walked_pages, f"""WITH RECURSIVE {b.POSTS_SQL}, r AS (SELECT group_id, row_number() OVER (PARTITION BY group_id ORDER BY published DESC,
+        post_id) - 1 AS k, count(*) OVER (PARTITION BY group_id) AS n FROM posts), p AS (SELECT CAST(group_id AS VARCHAR) AS target, k // 3 * 3 AS "offset",
+        CAST(3 AS BIGINT) AS asked, count(*) AS items, max(n) - CASE WHEN group_id % 5 = 0 THEN 2 ELSE 0 END AS total FROM r GROUP BY group_id, k // 3),
+        q AS (SELECT *, CASE WHEN items = 0 THEN 'empty' WHEN items < asked THEN 'short' WHEN "offset" + items >= total THEN 'total' WHEN "offset" + items >= 12
+        THEN 'maximum' END AS reason FROM p WHERE NOT (target::BIGINT % 7 = 0 AND "offset" = 3) AND "offset" < 12),
+        walk AS (SELECT * FROM q WHERE "offset" = 0 UNION ALL SELECT q.* FROM walk w JOIN q ON q.target = w.target AND q."offset" = w."offset" + w.items WHERE
+        w.reason IS NULL) SELECT target, "offset", asked, items, total, reason IS NOT NULL AS last, reason FROM walk"""),
     "tumbling_counts": (tumbling_counts, """SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2024-01-01') AS start, event_type, count(*) AS n FROM
         events GROUP BY 1, 2"""),
 }

@@ -106,6 +106,13 @@ def test_moments_are_added_in_levels(spark, monkeypatch):
     assert n == 90 and np.allclose(s, x.sum(0)) and np.allclose(ss, x.T @ x)
 
 
+def test_counters(spark):
+    rows = [('{"likes": {"count": 7}}', 7), ('{"likes": {"count": -2}}', -2), ('{"likes": {"count": "x"}}', 0), ('{"likes": 5}', 0), ('{"likes": null}', 0),
+        ("{}", 0), (None, 0), ("no json", 0), ('{"likes": {"count": 1.5}}', 0), ('{"likes": {"other": 1}}', 0)]
+    df = spark.createDataFrame([(i, r) for i, (r, _) in enumerate(rows)], "i long, raw string")
+    assert [r.n for r in df.orderBy("i").select(c.counter(F.col("raw"), "likes").alias("n")).collect()] == [n for _, n in rows]
+
+
 def test_exact_quantiles(spark):
     r = np.random.default_rng(4)
     cases = [r.normal(size=3000), np.repeat([1.0, 2.0, 5.0], [900, 1200, 700]), np.concatenate([np.zeros(2500), r.normal(size=400)]), np.array([7.0]),
