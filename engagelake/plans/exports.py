@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from .. import bindings as b
 from ..functions import columns as c
+from ..operators import encoding, merkle, windows
 from ..operators import merge as m
-from ..operators import merkle
-from ..operators import windows
 
 POSTS_FROM, EDGES_FROM = "2001-03-01", "2001-06-01"
 
@@ -246,6 +245,13 @@ def batch_fallback(spark, sf_dir):
     return with_fallback(d, 16)
 
 
+def encoder_failures(spark, sf_dir):
+    """All documents through an encoder that cannot take some of them: a batch that fails is tried row by row, and what fails alone is recorded."""
+    docs = b.table(spark, sf_dir, "documents").select("doc_id", "text")
+    run = encoding.encoded(docs, encoding.Seeded(8, fails="@"), "doc_id")
+    return run.where("vector is null").select("doc_id", "stage", "error_type", "message")
+
+
 def keyword_containment(spark, sf_dir):
     """Which of the keywords a group's name and description hold, case-folded: (part, keyword)."""
     words = spark.createDataFrame([(w,) for w in ("steel", "brushed copper", "ed n", "tin")], "keyword string")
@@ -325,6 +331,8 @@ QUERIES = {
     "batch_fallback": (batch_fallback, """WITH d AS (SELECT doc_id AS id, doc_id // 16 AS batch, coalesce(n_chars % 37 = 0, false) AS fails FROM
         documents) SELECT id, batch, CASE WHEN max(fails) OVER (PARTITION BY batch) THEN 'single' ELSE 'batch' END AS way, CASE WHEN fails THEN
         'encode' END AS stage FROM d"""),
+    "encoder_failures": (encoder_failures, """SELECT doc_id, 'encode_batch' AS stage, 'ValueError' AS error_type, 'cannot encode @' AS message FROM documents
+        WHERE contains(text, '@')"""),
     "keyword_containment": (keyword_containment, """SELECT p_partkey, keyword FROM part, (VALUES ('steel'), ('brushed copper'), ('ed n'), ('tin'))
         k(keyword) WHERE contains(lower(p_name || ' ' || p_type), keyword)"""),
 }
