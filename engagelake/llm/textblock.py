@@ -11,6 +11,8 @@ import numpy as np
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 _tables: dict[str, np.ndarray] = {}
+#: Bytes of a step, at least, whose words are hashed in blocks.
+LONG = 4 << 20
 
 #: The separators of words: space and the control characters from tab to carriage return.
 SPACE = np.zeros(256, bool)
@@ -70,7 +72,19 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return run_hashes(prefix(data.astype(np.uint64) + np.uint64(1)), start, end)
+    """Hashes of the words start:end, which follow one another; a hash does not depend on where its word stands.
+
+    More than ``LONG`` bytes, a very long text, go in blocks of words: eight bytes and more are held for each byte of a block, not of the text.
+    """
+    if len(data) <= LONG:
+        return run_hashes(prefix(data.astype(np.uint64) + np.uint64(1)), start, end)
+    out, lo = np.empty(len(start), np.uint64), 0
+    while lo < len(start):
+        hi = max(lo + 1, int(np.searchsorted(end, start[lo] + LONG // 4, "right")))
+        base = start[lo]
+        out[lo:hi] = run_hashes(prefix(data[base : end[hi - 1]].astype(np.uint64) + np.uint64(1)), start[lo:hi] - base, end[lo:hi] - base)
+        lo = hi
+    return out
 
 
 def grams(hashes: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -141,3 +141,34 @@ def test_spread_anti(spark, monkeypatch):
     sums = rows.groupBy("k").agg(F.count("*").alias("n")).where("k in (0, 3, 7)")
     got = sorted(r.id for r in graph.spread_anti(rows, sums, ["k"], "n", 200).collect())
     assert got == sorted(r.id for r in rows.where("k not in (0, 3, 7)").collect())
+
+
+def test_words_of_long_texts_hash_alike(monkeypatch):
+    from engagelake.llm import textblock
+
+    r = np.random.default_rng(3)
+    text = b" ".join(bytes(r.integers(97, 123, int(n), np.uint8)) for n in r.integers(1, 12, 3000)) + b"  " + b"z" * 900 + b"\n x"
+    data = np.frombuffer(text, np.uint8)
+    start, end, _ = textblock.words(data, np.array([0, 700, len(data)]))
+    want = textblock.word_hashes(data, start, end)
+    for long in (64, 1000, 8000):
+        monkeypatch.setattr(textblock, "LONG", long)
+        assert (textblock.word_hashes(data, start, end) == want).all()
+        some = end - start > 3
+        assert (textblock.word_hashes(data, start[some], end[some]) == want[some]).all()
+
+
+def test_long_texts_in_bounded_memory():
+    """The shingles and topics of one text of 50 MB: under 1 GB beside the text."""
+    import tracemalloc
+
+    from engagelake.llm import mixing, ngram_join, segments
+
+    text = np.tile(np.frombuffer(b"".join(b"word%d and " % i for i in range(5000)), np.uint8), 850)[:50_000_000]
+    at = np.array([0, len(text)])
+    for step in (lambda: ngram_join.shingle_sets(text, at), lambda: mixing.word_classes(text, at), lambda: segments.word_symbols(text, at)):
+        tracemalloc.start()
+        step()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 1e9, peak
