@@ -27,7 +27,7 @@ def test_without_the_corpus_operators(tmp_path):
         if name == "llm":
             for f in (part / "engagelake/llm").glob("*.py"):
                 f.unlink()
-            (part / "engagelake/llm/__pycache__").mkdir(exist_ok=True)
+            (part / "engagelake/llm/__pycache__").mkdir(parents=True, exist_ok=True)
             (part / f"engagelake/llm/__pycache__/registry.{sys.implementation.cache_tag}.pyc").write_bytes(b"stale")
         else:
             shutil.rmtree(part / "engagelake/llm", ignore_errors=True)
