@@ -24,7 +24,8 @@ def aggregate_capacity(plans: DataFrame, warning_percent: float = 85.0, safe_byt
     n = lambda c, d: F.coalesce(F.col(c), F.lit(d))
     snapshot, resolved, due = (n(c, -1) for c in ("snapshot_users", "resolved_users", "due_users"))
     measured = (F.col("target_users") > 0) & F.col("target_growth").isNotNull()
-    discovery = F.when(measured, F.ceil(F.col("target_growth") * due / F.col("target_users").cast("double"))).otherwise(0)
+    product = F.col("target_growth").cast("decimal(19,0)") * due.cast("decimal(19,0)")  # of two longs: more than a long holds
+    discovery = F.when(measured, F.ceil(product.cast("double") / F.col("target_users").cast("double"))).otherwise(0)
     reserve = F.greatest(F.lit(RESERVE), n("reserve", 0.0))
     x = plans.withColumns({"discovery_growth": discovery.cast("long"),
         "snapshot_growth": F.ceil((n("heap_bytes", 0) + n("key_bytes", 0)) * reserve).cast("long"), "reserve_factor": reserve})

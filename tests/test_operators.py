@@ -190,6 +190,16 @@ def test_aggregate_capacity_by_known_numbers(spark):
     assert one.available == gib and one.decision == "rejected" and one.additional > 0
 
 
+def test_aggregate_capacity_of_large_numbers(spark):
+    """Growth times users is more than a long holds; the quotient is not."""
+    growth, due, target = 900_000 * 1_000_000 + 7, 900_000 * 60, 10_000
+    plan = spark.range(1).selectExpr(f"{due}L AS snapshot_users", "0L AS resolved_users", f"{due}L AS due_users", "0L AS heap_bytes", "0L AS key_bytes",
+        f"{target}L AS target_users", f"{growth}L AS target_growth", "1.3D AS reserve", "0L AS database_bytes", "10737418240L AS disk_total",
+        "8000000000L AS disk_free", "false AS disk_warning", "false AS disk_stop")
+    row = capacity.aggregate_capacity(plan).first()
+    assert growth * due > 2**63 and row.discovery_growth == math.ceil(growth * due / target) and row.decision == "rejected"
+
+
 def test_monitoring_reads_missing_fields(spark):
     """A probe that fails is an alarm, not silence: each field of a healthy snapshot set to null, and a snapshot of nothing."""
     well = {c: F.expr(e) for c, e in {"pg_present": "true", "pg_status": "'running'", "worker_present": "true", "worker_status": "'running'", "available": "true",
