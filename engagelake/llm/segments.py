@@ -53,21 +53,24 @@ def segments_of(sums: np.ndarray, bounds: np.ndarray, w: Windows):
     nothing = np.zeros(0, np.int64)
     if n < w.width:
         return nothing, nothing, nothing, nothing.astype(np.uint64)
-    at = np.arange(n - w.gram + 1)
-    h = textblock.run_hashes(sums, at, at + w.gram)
-    low = np.uint64((1 << max(1, int(n - 1).bit_length())) - 1)
-    least = textblock.sliding_min(h & ~low | at.astype(np.uint64), w.width - w.gram + 1)
-    anchor = (least & low).astype(np.int64)  # of the window that begins at each symbol
     count = np.maximum(np.diff(bounds) - w.width + 1, 0)
-    place = shared.ragged(bounds[:-1], count)
-    if not len(place):
+    live = np.flatnonzero(count)
+    if not len(live):
         return nothing, nothing, nothing, nothing.astype(np.uint64)
-    own = anchor[place]
-    new = np.ones(len(place), bool)
-    new[1:] = (own[1:] != own[:-1]) | (place[1:] != place[:-1] + 1)
-    first = np.flatnonzero(new)
-    row = np.repeat(np.arange(len(count)), count)[first]
-    return row, place[first], np.diff(np.append(first, len(place))), textblock.mix(h[own[first]])  # least hashes are small: spread them
+    h = textblock.all_run_hashes(sums, w.gram)
+    low = np.uint64((1 << max(1, int(n - 1).bit_length())) - 1)
+    least = textblock.sliding_min(h & ~low | np.arange(len(h), dtype=np.uint64), w.width - w.gram + 1)  # its low bits: the anchor of each window
+    begin = bounds[:-1][live]
+    end = begin + count[live]
+    new = np.empty(len(least), bool)
+    np.not_equal(least[1:], least[:-1], out=new[1:])
+    outside = np.append(0, end)  # windows over a row's end
+    new[shared.ragged(outside, np.append(begin, len(least)) - outside)] = False
+    new[begin] = True
+    place = np.flatnonzero(new)
+    own = np.searchsorted(begin, place, "right") - 1
+    anchor = (least[place] & low).astype(np.int64)
+    return live[own], place, np.minimum(np.append(place[1:], n), end[own]) - place, textblock.mix(h[anchor])  # least hashes are small: spread them
 
 
 def bloom_places(h: np.ndarray, size: int) -> Iterator[np.ndarray]:

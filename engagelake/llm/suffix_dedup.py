@@ -51,38 +51,38 @@ def suffix_array(s: np.ndarray, top: int) -> np.ndarray:
     if n < 3:
         return np.array(sorted(range(n), key=lambda i: s[i:].tolist()), np.int64)
     x = np.concatenate([s.astype(np.int64), np.zeros(3, np.int64)])
-    one = np.arange(1, n + (n % 3 == 1), 3)  # an empty triple closes the first half, if nothing else does
-    two = np.arange(2, n, 3)
-    sample = np.concatenate([one, two])
-    base = top + 1
-    key = (x[sample] * base + x[sample + 1]) * base + x[sample + 2]
-    order = np.argsort(key, kind="stable")
+    base, size, ones = top + 1, n + 4, n + (n % 3 == 1)  # an empty triple closes the first half, if nothing else does
+    triple = (x[:-2] * base + x[1:-1]) * base + x[2:]
+    key = np.concatenate([triple[1:ones:3], triple[2:n:3]])
+    half = len(range(1, ones, 3))
+    order = np.argsort(key)  # equal triples get one name, in any order
+    key = key[order]
     new = np.ones(len(key), bool)
-    new[1:] = key[order][1:] != key[order][:-1]
+    new[1:] = key[1:] != key[:-1]
     name = np.empty(len(key), np.int64)
     name[order] = np.cumsum(new)
-    names = int(name.max())
+    names = int(new.sum())
     if names < len(key):  # recurse on the names
         order = suffix_array(name, names)
         name[order] = np.arange(1, len(order) + 1)
-    sorted_sample = sample[order]
     rank = np.zeros(n + 3, np.int64)
-    rank[sorted_sample] = np.arange(1, len(sorted_sample) + 1)
-    sorted_sample = sorted_sample[sorted_sample < n]
-    rest = np.arange(0, n, 3)
-    size = n + 4
-    first = x[rest] * size + rank[rest + 1]
-    rest = rest[np.argsort(first, kind="stable")]
+    rank[1:ones:3], rank[2:n:3] = name[:half], name[half:]
+    if ones > n:
+        order = order[order != half - 1]
+    own = order < half
+    a, b = order[own], order[~own] - half
+    first = x[0:n:3] * size + rank[1 : n + 1 : 3]
+    rest = np.argsort(first)
     # merge: each remaining suffix against both kinds of sampled ones
-    a, b = sorted_sample[sorted_sample % 3 == 1], sorted_sample[sorted_sample % 3 == 2]
-    before = np.searchsorted(x[a] * size + rank[a + 1], x[rest] * size + rank[rest + 1])
-    before += np.searchsorted((x[b] * base + x[b + 1]) * size + rank[b + 2], (x[rest] * base + x[rest + 1]) * size + rank[rest + 2])
+    before = np.searchsorted((x[1:n:3] * size + rank[2 : n + 1 : 3])[a], first[rest])
+    two = (x[: n + 1] * base + x[1 : n + 2]) * size
+    before += np.searchsorted((two[2:n:3] + rank[4 : n + 2 : 3])[b], (two[0:n:3] + rank[2 : n + 2 : 3])[rest])
     out = np.empty(n, np.int64)
     place = before + np.arange(len(rest))
-    out[place] = rest
+    out[place] = 3 * rest
     free = np.ones(n, bool)
     free[place] = False
-    out[free] = sorted_sample
+    out[free] = np.where(own, 3 * order + 1, 3 * (order - half) + 2)
     return out
 
 
@@ -90,21 +90,20 @@ def repeated_starts(bodies: list[bytes], windows: np.ndarray, ids: np.ndarray) -
     """For each body, which of its first ``windows`` starts has its WIDTH bytes in a body of a smaller id, too."""
     size = np.array([len(x) for x in bodies])
     at = np.concatenate([[0], np.cumsum(size + 1)])
-    s = np.frombuffer(b"\0".join(bodies) + b"\0", np.uint8).astype(np.int64) + 2
+    raw = b"\0".join(bodies) + b"\0"
+    s = np.frombuffer(raw, np.uint8).astype(np.int64) + 2
     s[at[1:] - 1] = 1  # between bodies
     order = suffix_array(s, 257)
     of = np.full(len(s), -1, np.int64)
     starts = shared.ragged(at[:-1], windows)
     of[starts] = np.repeat(np.arange(len(bodies)), windows)
     order = order[of[order] >= 0]
-    same = np.zeros(len(order), bool)
-    step = 1 << 16
-    for lo in range(1, len(order), step):  # adjacent prefixes
-        p, q = order[lo - 1 : lo + step - 1], order[lo : lo + step]
-        q = q[: len(p)]
-        p = p[: len(q)]
-        ahead = np.arange(WIDTH)
-        same[lo : lo + len(q)] = (s[p[:, None] + ahead] == s[q[:, None] + ahead]).all(1)
+    eight = np.ndarray(len(raw), np.uint64, raw + bytes(8), strides=(1,)).copy()  # the eight bytes from each place on
+    same = np.ones(len(order), bool)
+    same[:1] = False
+    for k in (*range(0, WIDTH - 8, 8), WIDTH - 8):  # adjacent prefixes
+        part = eight[order + k]
+        same[1:] &= part[1:] == part[:-1]
     first = np.flatnonzero(~same)
     own = ids[of[order]]
     least = np.minimum.reduceat(own, first) if len(first) else own
@@ -295,6 +294,22 @@ def runs_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge > 0), np.flatnonzero(edge < 0)
 
 
+def mask_spans(masks: list[np.ndarray], number: np.ndarray, later: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first window, windows) of each run that the masks of the rows' texts mark; of ``later`` rows of a text, all windows are one run."""
+    size = np.array([len(m) for m in masks])
+    begin = np.cumsum(size) - size
+    edge = np.zeros(int(size.sum()) + len(masks) + 1, np.int8)  # a zero closes each mask
+    edge[1:][np.arange(int(size.sum())) + np.repeat(np.arange(len(masks)), size)] = np.concatenate(masks)
+    a, z = runs_of(edge[1:])
+    text = np.searchsorted(begin + np.arange(len(masks)), a, "right") - 1
+    a_in = a - (begin + np.arange(len(masks)))[text]
+    runs = np.bincount(text, minlength=len(masks))
+    rows, whole = np.flatnonzero(~later), np.flatnonzero(later)
+    take = shared.ragged((np.cumsum(runs) - runs)[number[rows]], runs[number[rows]])
+    return (np.concatenate([np.repeat(rows, runs[number[rows]]), whole]), np.concatenate([a_in[take], np.zeros(len(whole), np.int64)]),
+        np.concatenate([(z - a)[take], size[number[whole]]]))
+
+
 def shard_spans(segments_: DataFrame, buckets: int) -> DataFrame:
     """SPANS of windows that suffix arrays find in a smaller id, too.
 
@@ -321,17 +336,10 @@ def shard_spans(segments_: DataFrame, buckets: int) -> DataFrame:
                 k = first[lo:hi]
                 masks += repeated_starts([bodies[int(x)].as_py() for x in k], windows[k], ids[k])
                 lo = hi
-            out: list[list] = [[], [], [], []]
-            for i in range(len(ids)):
-                mask = masks[number[i]] if ids[i] == ids[first[number[i]]] else np.ones(windows[i], bool)
-                if mask.any():
-                    a, b = runs_of(mask)
-                    for x, y in zip(out, (np.full(len(a), ids[i]), np.full(len(a), keys[i]), (places[i] + a).astype(np.int32),
-                        (b - a).astype(np.int32)), strict=True):
-                        x.append(y)
-            if out[0]:
-                o, key, place, count = (np.concatenate(x) for x in out)
-                yield dealt(o % buckets, SPANS, ord=o, text_key=key, at=place, n=count)
+            removed = mask_spans(masks, number, ids != ids[first[number]])
+            if len(removed[0]):
+                i, place, count = removed
+                yield dealt(ids[i] % buckets, SPANS, ord=ids[i], text_key=keys[i], at=(places[i] + place).astype(np.int32), n=count.astype(np.int32))
 
     dealt_ = segments_.repartition(n, "anchor").sortWithinPartitions("anchor", "content", "ord", F.col("body").isNull())
     return dealt_.select("anchor", "content", "ord", "text_key", "at", "n", "body").mapInArrow(shard, PACKED)

@@ -55,6 +55,12 @@ def run_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def all_run_hashes(sums: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size``, by where they start."""
+    h = (sums[size:] - sums[:-size]) * powers(len(sums))[1][: len(sums) - size]
+    return mix(h + np.uint64(size * 0xD6E8FEB86659FD93 & (1 << 64) - 1))
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends (in bytes) of all words, and each row's bounds among them."""
     n = len(data)

@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 
-from engagelake.llm import graph, segments, shared, textblock
+from engagelake.llm import graph, segments, shared, suffix_dedup, textblock
 
 
 def test_whole_groups_over_any_batches():
@@ -172,3 +172,38 @@ def test_long_texts_in_bounded_memory():
         peak = tracemalloc.get_traced_memory()[1]
         tracemalloc.stop()
         assert peak < 1e9, peak
+
+
+def test_spans_of_masks_without_a_loop_over_rows():
+    """Runs of the masks of all rows at once, against a row at a time; masks that touch stay apart."""
+    r = np.random.default_rng(11)
+    masks = [r.random(r.integers(1, 7)) < 0.6 for _ in range(120)]
+    number, later = np.sort(r.integers(0, 120, 300)), r.random(300) < 0.3
+    want = []
+    for i, (k, whole) in enumerate(zip(number.tolist(), later.tolist(), strict=True)):
+        a, z = suffix_dedup.runs_of(np.ones(len(masks[k]), bool) if whole else masks[k])
+        want += [(i, int(x), int(y - x)) for x, y in zip(a, z, strict=True)]
+    assert sorted(zip(*(x.tolist() for x in suffix_dedup.mask_spans(masks, number, later)), strict=True)) == sorted(want)
+
+
+def test_segments_by_their_windows():
+    """Each segment's windows share the leftmost least run, rows apart, against a window at a time; short rows have none."""
+    r, w = np.random.default_rng(12), suffix_dedup.BYTES
+    for _ in range(20):
+        bounds = np.concatenate([[0], np.cumsum(r.choice([0, 10, 49, 50, 51, 200], 6))])
+        sums = textblock.prefix(r.integers(1, 3, bounds[-1]).astype(np.uint64))
+        at = np.arange(max(0, bounds[-1] - w.gram + 1))
+        h = textblock.run_hashes(sums, at, at + w.gram)
+        assert not len(at) or np.array_equal(h, textblock.all_run_hashes(sums, w.gram))
+        low = np.uint64((1 << max(1, int(bounds[-1] - 1).bit_length())) - 1)
+        want = []
+        for row, (a, z) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+            for p in range(a, z - w.width + 1):
+                own = p + int(np.argmin(h[p : p + w.width - w.gram + 1] & ~low))
+                if want and want[-1][0] == row and want[-1][3] == own:
+                    want[-1][2] += 1
+                else:
+                    want.append([row, p, 1, own])
+        got = segments.segments_of(sums, bounds, w)
+        assert [x[:3] for x in want] == [list(x) for x in zip(*(x.tolist() for x in got[:3]), strict=True)]
+        assert np.array_equal(got[3], textblock.mix(h[[x[3] for x in want]]))
