@@ -6,13 +6,14 @@ probability of being sampled is its cell's ratio of raked to present tokens, sca
 budget. Only the cells (a row for each combination that occurs) are raked: on the driver while
 they are at most ``max_cells``, in Spark beyond that, by the same steps.
 
-Topics are learnt: seeded centroids (k-means over directions) of hashed, weighted words of a bounded sample of
-``topic_rows`` documents; every document is of the topic whose centroid its words, all of them, are closest to.
+Topics are learnt from all documents: seeded centroids (k-means over directions) of their hashed, weighted words, counted once
+into a table that each round passes over; every document is of the topic whose centroid its words, all of them, are closest to.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -26,8 +27,10 @@ from . import shared, textblock
 MARGINS = ("source", "lang", "topic")
 #: Cells that the driver rakes itself and that are broadcast; more are raked and joined in Spark.
 MAX_CELLS = 200_000
-#: Topics; classes of hashed words; the least bytes of a word that tells of a topic; sampled documents that topics are learnt from.
-TOPICS, CLASSES, TOPIC_BYTES, TOPIC_ROWS = 8, 1024, 4, 2000
+#: Topics; classes of hashed words; the least bytes of a word that tells of a topic.
+TOPICS, CLASSES, TOPIC_BYTES = 8, 1024, 4
+#: Directions are summed as integers, so that sums do not depend on the order of rows: 2**53 of them for eight million rows of a task.
+UNIT = 1 << 30
 
 
 def word_classes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -38,42 +41,156 @@ def word_classes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return (textblock.word_hashes(data, start[long], end[long]) % np.uint64(CLASSES)).astype(np.int64), row, np.diff(bounds)
 
 
-def centroids(counts: np.ndarray, topics: int, seed: int, rounds: int = 15) -> np.ndarray:
-    """Weights of word classes for each topic, from rows of class counts: k-means by cosine with far-apart seeds."""
-    counts = counts[counts.any(1)].astype(np.float64)
-    if not len(counts):
+@dataclass(frozen=True)
+class Block:
+    """Word classes of documents that have any: entries (class, count) sorted by document, and the documents' bounds among them."""
+
+    cls: np.ndarray
+    count: np.ndarray
+    first: np.ndarray
+
+    @classmethod
+    def of(cls, counts: np.ndarray) -> Block:
+        """From a row of counts for each document."""
+        row, at = np.nonzero(counts)
+        return cls(at.astype(np.uint16), np.minimum(counts[row, at], 65535).astype(np.uint16), np.flatnonzero(np.diff(row, prepend=-1)).astype(np.int32))
+
+    @property
+    def row(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.first)), np.diff(self.first, append=len(self.cls)))
+
+    def directions(self, rarity: np.ndarray) -> np.ndarray:
+        """The entries' weights, each document's of length one."""
+        x = self.count * rarity[self.cls]
+        return x / np.sqrt(np.add.reduceat(x * x, self.first))[self.row]
+
+    def nearness(self, x: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Cosines of each document with each centroid."""
+        return np.stack([np.add.reduceat(x * one[self.cls], self.first) for one in c], 1)
+
+    def draws(self, seed: int) -> np.ndarray:
+        """A number in (0, 1) for each document, by what it holds alone."""
+        h = textblock.mix(self.cls.astype(np.uint64) << np.uint64(16) | self.count) * np.uint64(2 * seed + 1)
+        return (textblock.mix(np.add.reduceat(h, self.first)) >> np.uint64(12)).astype(np.float64) / (1 << 52) + 2.0**-53
+
+
+def documents_with(b: Block) -> np.ndarray:
+    """In how many documents each class is, and how many there are."""
+    return np.append(np.bincount(b.cls, minlength=CLASSES), len(b.first))
+
+
+def farthest(b: Block, rarity: np.ndarray, c: np.ndarray, seed: int) -> tuple[float, np.ndarray] | None:
+    """A document drawn by its distance from the nearest of the centroids (the least of draws / distance), and its direction."""
+    x = b.directions(rarity)
+    far = np.clip(1 - b.nearness(x, c).max(1), 0, None) if len(c) else np.ones(len(b.first))
+    if not (far > 1e-9).any():
+        return None
+    with np.errstate(divide="ignore"):
+        late = np.where(far > 1e-9, -np.log(b.draws(seed)) / far, np.inf)
+    k, out = int(late.argmin()), np.zeros(CLASSES)
+    lo, hi = np.append(b.first, len(b.cls))[[k, k + 1]]
+    out[b.cls[lo:hi]] = x[lo:hi]
+    return float(late[k]), out
+
+
+def own_sums(b: Block, rarity: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Sums of the directions of each centroid's documents, in units."""
+    x = b.directions(rarity)
+    own = b.nearness(x, c).argmax(1)
+    return np.bincount(own[b.row] * CLASSES + b.cls, np.rint(x * UNIT), len(c) * CLASSES).astype(np.int64)
+
+
+def fitted(total: Callable, drawn: Callable, topics: int, seed: int, rounds: int) -> np.ndarray:
+    """k-means by cosine with far-apart seeds. ``total`` sums a function of the blocks, ``drawn`` takes the least (number, direction) that one gives."""
+    *df, n = total(documents_with).tolist()
+    if not n:
         return np.zeros((0, CLASSES))
-    rarity = np.log((len(counts) + 1) / ((counts > 0).sum(0) + 1)) + 1e-6
-    x = counts * rarity
-    x /= np.sqrt((x * x).sum(1, keepdims=True))
-    r = np.random.default_rng(seed)
-    c = x[r.integers(0, len(x), 1)]
-    while len(c) < min(topics, len(x)):
-        far = np.clip(1 - (x @ c.T).max(1), 0, None)
-        if far.sum() < 1e-9:
+    rarity = np.log((n + 1) / (np.array(df) + 1)) + 1e-6
+    c = np.zeros((0, CLASSES))
+    for k in range(topics):
+        one = drawn(lambda b, c=c, k=k: farthest(b, rarity, c, seed + k))
+        if one is None:
             break
-        c = np.concatenate([c, x[r.choice(len(x), 1, p=far / far.sum())]])
+        c = np.concatenate([c, one[None]])
     for _ in range(rounds):
-        own = (x @ c.T).argmax(1)
-        sums = np.stack([x[own == k].sum(0) if (own == k).any() else c[k] for k in range(len(c))])
-        c = sums / np.sqrt((sums * sums).sum(1, keepdims=True))
+        sums, before = total(lambda b, c=c: own_sums(b, rarity, c)).reshape(len(c), CLASSES).astype(np.float64), c
+        c = np.where(sums.any(1, keepdims=True), sums, c * UNIT)
+        c = c / np.sqrt((c * c).sum(1, keepdims=True))
+        if np.array_equal(c, before):
+            break
     return c * rarity
 
 
-def learnt_topics(documents: DataFrame, topic_rows: int = TOPIC_ROWS, topics: int = TOPICS, seed: int = 5) -> np.ndarray:
-    """Topic weights from at most ``topic_rows`` documents, those of the least hashes of their ids: whole texts, counted in the tasks."""
+def centroids(counts: np.ndarray, topics: int, seed: int, rounds: int = 15) -> np.ndarray:
+    """Weights of word classes for each topic, from rows of class counts in memory: the same steps, on one block."""
+    b = Block.of(counts)
+    if not len(b.first):
+        return np.zeros((0, CLASSES))
+    return fitted(lambda f: f(b), lambda f: (f(b) or (0.0, None))[1], topics, seed, rounds)
+
+
+def word_blocks(documents: DataFrame) -> DataFrame:
+    """The blocks of all documents as packed rows: whole texts, counted in the tasks."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, offsets = shared.utf8(b.column(1))
-            out = np.zeros((b.num_rows, CLASSES), np.uint16)
+            data, offsets = shared.utf8(b.column(0))
             for lo, hi in shared.steps(offsets):
                 cls, row, _ = word_classes(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                out[lo:hi] = np.minimum(np.bincount(row * CLASSES + cls, minlength=(hi - lo) * CLASSES), 65535).reshape(-1, CLASSES)
-            yield pa.RecordBatch.from_arrays([b.column(0), shared.binary(out.reshape(-1), np.arange(b.num_rows + 1) * CLASSES)], ["r", "counts"])
+                if len(cls):
+                    own = Block.of(np.bincount(row * CLASSES + cls, minlength=(hi - lo) * CLASSES).reshape(-1, CLASSES))
+                    yield pa.RecordBatch.from_pylist([{"cls": own.cls.tobytes(), "count": own.count.tobytes(), "first": own.first.tobytes()}])
+
+    return documents.select("text").mapInArrow(run, "cls binary, count binary, first binary")
+
+
+def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    for b in batches:
+        for cls, count, first in zip(*(b.column(c) for c in ("cls", "count", "first")), strict=True):
+            yield Block(np.frombuffer(cls.as_buffer(), np.uint16), np.frombuffer(count.as_buffer(), np.uint16), np.frombuffer(first.as_buffer(), np.int32))
+
+
+def learnt_topics(documents: DataFrame, topics: int = TOPICS, seed: int = 5, rounds: int = 15) -> np.ndarray:
+    """Topic weights from all of ``documents``: each round is a pass over their counted words, of which a row of sums for each task and topic is dealt out."""
+    spark = documents.sparkSession
+    blocks = shared.written(word_blocks(documents))
+
+    def total(f: Callable) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = None
+            for b in blocks_of(batches):
+                sums = f(b) if sums is None else sums + f(b)
+            for k in range(0, 0 if sums is None else len(sums), CLASSES):
+                yield pa.RecordBatch.from_pylist([{"part": k // CLASSES, "sums": sums[k : k + CLASSES].tobytes()}], SUMS)
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, np.ndarray] = {}
+            for b in batches:
+                for part, x in zip(b.column("part").to_pylist(), b.column("sums").to_pylist(), strict=True):
+                    sums[part] = sums.get(part, 0) + np.frombuffer(x, np.int64)
+            yield pa.RecordBatch.from_pylist([{"part": k, "sums": x.tobytes()} for k, x in sums.items()], SUMS)
+
+        n = min(shared.partitions(spark), topics)
+        rows = blocks.mapInArrow(run, "part int, sums binary").repartition(n, "part").mapInArrow(add, "part int, sums binary").collect()
+        return np.concatenate([np.frombuffer(r.sums, np.int64) for r in sorted(rows)] or [np.zeros(CLASSES + 1, np.int64)])
+
+    def drawn(f: Callable) -> np.ndarray | None:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = [x for b in blocks_of(batches) if (x := f(b))]
+            if found:
+                late, one = min(found, key=lambda x: (x[0], x[1].tobytes()))
+                yield pa.RecordBatch.from_pylist([{"late": late, "one": one.tobytes()}])
+
+        rows = blocks.mapInArrow(run, "late double, one binary").orderBy("late", "one").limit(1).collect()
+        return np.frombuffer(rows[0].one) if rows else None
+
+    out = fitted(total, drawn, topics, seed, rounds)
+    shared.dropped(spark, blocks)
+    return out
+
 
-    some = shared.cut(documents.select("doc_id", "text"), topic_rows, seed, "doc_id", "text").select("r_", "text")
-    rows = some.mapInArrow(run, "r long, counts binary").orderBy("r", "counts").limit(topic_rows).collect()
-    return centroids(np.array([np.frombuffer(r.counts, np.uint16) for r in rows]).reshape(-1, CLASSES), topics, seed)
+#: A part of a task's sums.
+SUMS = pa.schema([("part", pa.int32()), ("sums", pa.binary())])
 
 
 def topics_and_tokens(data: np.ndarray, offsets: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

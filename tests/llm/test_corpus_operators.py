@@ -203,6 +203,20 @@ def test_topics_are_learnt():
     assert len(set(topic.tolist())) == 3 and all(len(set(topic[i::3].tolist())) == 1 for i in range(3))
 
 
+def test_topics_are_learnt_from_all_documents(spark):
+    """Passes over all rows, however dealt, give the centroids of all rows in memory."""
+    r = np.random.default_rng(4)
+    kinds = [[f"{k}word{i}" for i in range(40)] for k in ("farm", "ship", "court")]
+    texts_ = [" ".join(r.choice(kinds[2 if i % 900 == 7 else i % 2], 30)) for i in range(3600)] + ["", None, "a b c"]
+    rows = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")
+    raw = [(t or "").encode() for t in texts_]
+    data, at = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])])
+    cls, row, _ = mixing.word_classes(data, at)
+    counts = np.bincount(row * mixing.CLASSES + cls, minlength=len(raw) * mixing.CLASSES).reshape(len(raw), -1)
+    got = mixing.learnt_topics(rows.repartition(7), 8)
+    assert np.allclose(got, mixing.centroids(counts, 8, 5), rtol=0, atol=1e-12) and np.array_equal(got, mixing.learnt_topics(rows.coalesce(1), 8))
+
+
 def test_mixing_in_spark_equals_driver(documents):
     one = {r.doc_id: r.probability for r in mixing.mixed(documents).collect()}
     two = {r.doc_id: r.probability for r in mixing.mixed(documents, max_cells=0, rounds=4).collect()}
