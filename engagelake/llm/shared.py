@@ -52,7 +52,11 @@ _tables: list[str] = []
 
 
 def written(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read again: cuts lineage, survives lost executors."""
+    """``df`` as a Parquet table in the shared folder, read again: cuts lineage, survives lost executors.
+
+    The driver's garbage is collected then: Spark drops shuffle files and broadcasts only of plans that are, and a chain of many
+    small jobs would let the heap grow to its bound.
+    """
     spark = df.sparkSession
     small_batches(spark)
     path = f"{shared_dir(spark).rstrip('/')}/engagelake-{uuid.uuid4().hex}"
@@ -60,6 +64,7 @@ def written(df: DataFrame) -> DataFrame:
     _tables.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
+    spark.sparkContext._jvm.System.gc()
     return out
 
 

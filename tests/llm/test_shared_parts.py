@@ -174,6 +174,14 @@ def test_long_texts_in_bounded_memory():
         assert peak < 1e9, peak
 
 
+def test_garbage_goes_when_a_table_is_written(spark):
+    jvm = spark.sparkContext._jvm
+    ref = jvm.java.lang.ref.WeakReference(jvm.java.util.ArrayList())
+    with shared.scope(spark):
+        shared.written(spark.range(3))
+        assert ref.get() is None
+
+
 def test_spans_of_masks_without_a_loop_over_rows():
     """Runs of the masks of all rows at once, against a row at a time; masks that touch stay apart."""
     r = np.random.default_rng(11)
