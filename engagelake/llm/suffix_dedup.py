@@ -147,7 +147,7 @@ def segment_batches(batches: Iterator[pa.RecordBatch], keep) -> Iterator[list[np
     for b in batches:
         data, offsets = shared.utf8(b.column(2))
         ids, keys = b.column(0).to_numpy(), b.column(1).to_numpy()
-        for lo, hi in shared.steps(offsets):
+        for lo, hi in shared.steps(offsets, segments.STEP):
             part, bounds = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
             sums = textblock.prefix(part.astype(np.uint64) + np.uint64(1))
             row, place, n, anchor = segments.segments_of(sums, bounds, BYTES)
